@@ -1,0 +1,24 @@
+"""Join helpers.
+
+``small_side`` broadcasts a side only after checking its size; beyond the
+bound the plain DataFrame is returned and the planner shuffles (sort-merge
+or shuffle-hash) instead. Dimension tables of the star are bounded by their
+nature (zones, payment codes, days), but the check keeps the code safe when
+someone feeds a larger table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check reads at most ``max_rows + 1`` rows of ``df`` (a bounded
+    action on the small side only)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
