@@ -29,6 +29,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     roughly 128-256 MB of shuffle data."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**PIPELINE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)

@@ -66,10 +66,12 @@ def trip_source(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(s, li.l_suppkey == s.s_suppkey))
     pk = F.col("l_partkey")
     price = F.col("l_extendedprice")
-    # 0 = the row itself, 1 = exact duplicate, 2 = same key with another tip
-    variant = F.explode(F.filter(
-        F.array(F.lit(0), F.when(pk % 50 == 0, F.lit(1)), F.when(pk % 75 == 0, F.lit(2))),
-        lambda v: v.isNotNull()))
+    # 0 = the row itself, 1 = exact duplicate, 2 = same key with another tip.
+    # A CASE over literal arrays keeps the generator inside codegen.
+    dup, retip = pk % 50 == 0, pk % 75 == 0
+    arr = lambda *v: F.array(*[F.lit(x) for x in v])
+    variant = F.explode(F.when(dup & retip, arr(0, 1, 2)).when(dup, arr(0, 1))
+                         .when(retip, arr(0, 2)).otherwise(arr(0)))
     b = j.select(
         F.col("l_linenumber").alias("VendorID"),
         F.col("o_orderdate").alias("tpep_pickup_datetime"),

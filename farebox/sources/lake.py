@@ -121,54 +121,66 @@ def dataset_schema(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "position int, column_name string, data_type string")
 
 
+def _source_name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _tagged_sources(spark: SparkSession, sources: Sequence[tuple[int, int, str]],
+                    cols: Sequence[str]) -> DataFrame | None:
+    """One scan per present source, each tagged with its stated year, month
+    and name as literals, combined with UNION ALL (sources are monthly
+    files: tens to hundreds of scans, each pruned to ``cols``)."""
+    present, _ = existing_sources(spark, [p for _, _, p in sources])
+    frames = [spark.read.parquet(p).select(
+                  F.lit(y).cast("int").alias("year"), F.lit(m).cast("int").alias("month"),
+                  F.lit(_source_name(p)).alias("file_name"), *cols)
+              for y, m, p in sources if p in present]
+    if not frames:
+        return None
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, str]]) -> DataFrame:
-    """S-19 + A-09: row count per expected source file (year, month, path).
-
-    Present files are read in one scan that selects only ``_metadata``
-    (row counts come from the files, no data columns are decoded) and are
-    grouped by file; the expected list is left-joined so a missing month
-    shows up with ``rows`` NULL and ``is_missing`` true. ``total_rows``
-    repeats the grand total on every row."""
-    present, _ = existing_sources(spark, [p for _, _, p in expected])
-    exp = spark.createDataFrame(
-        [(y, m, p.rstrip("/").rsplit("/", 1)[-1]) for y, m, p in expected],
-        "year int, month int, file_name string")
-    if present:
-        counts = (spark.read.parquet(*present)
-                  .select(F.col("_metadata.file_name").alias("file_name"))
-                  .groupBy("file_name").agg(F.count("*").alias("rows")))
+    """S-19 + A-09: row count per expected source (year, month, path).
+
+    Present sources are scanned without decoding any data column (row
+    counts come from the Parquet footers) and counted per source; the
+    expected list is left-joined so a missing month shows up with ``rows``
+    NULL and ``is_missing`` true. ``total_rows`` repeats the grand total on
+    every row (a window over one row per source)."""
+    exp = spark.createDataFrame([(y, m, _source_name(p)) for y, m, p in expected],
+                                "year int, month int, file_name string")
+    tagged = _tagged_sources(spark, expected, [])
+    if tagged is None:
+        counts = spark.createDataFrame([], "year int, month int, file_name string, rows bigint")
     else:
-        counts = spark.createDataFrame([], "file_name string, rows bigint")
-    out = exp.join(F.broadcast(counts), "file_name", "left")
-    return (out.select("year", "month", "file_name", "rows",
-                       F.col("rows").isNull().alias("is_missing"))
-               .withColumn("total_rows", F.sum("rows").over(
-                   Window.partitionBy())))
+        counts = tagged.groupBy("year", "month", "file_name").agg(F.count("*").alias("rows"))
+    out = exp.join(counts, ["year", "month", "file_name"], "left")
+    return out.select("year", "month", "file_name", "rows",
+                      F.col("rows").isNull().alias("is_missing"),
+                      F.sum("rows").over(Window.partitionBy()).alias("total_rows"))
 
 
 def stray_dates(spark: SparkSession, sources: Sequence[tuple[int, int, str]], ts_col: str) -> DataFrame:
     """C-07 / A-06: per source file, rows inside the file's stated month and
     rows outside it (a NULL timestamp counts as outside), with the share.
-
-    One scan over all present files; the stated month of each file is
-    attached by a broadcast join on the file name (a list of files, bounded
-    by the number of monthly sources)."""
-    present, _ = existing_sources(spark, [p for _, _, p in sources])
-    stated = spark.createDataFrame(
-        [(y, m, p.rstrip("/").rsplit("/", 1)[-1]) for y, m, p in sources if p in present],
-        "stated_year int, stated_month int, file_name string")
-    rows = (spark.read.parquet(*present)
-            .select(F.col(ts_col).alias("ts"), F.col("_metadata.file_name").alias("file_name")))
-    j = rows.join(F.broadcast(stated), "file_name")
-    in_month = (F.year("ts") == F.col("stated_year")) & (F.month("ts") == F.col("stated_month"))
-    agg = j.groupBy("file_name", "stated_year", "stated_month").agg(
+    One pruned scan per source (only ``ts_col`` is read), partial counts."""
+    rows = _tagged_sources(spark, sources, [F.col(ts_col).alias("ts")])
+    if rows is None:
+        return spark.createDataFrame(
+            [], "year int, month int, file_name string, rows bigint, in_month bigint, "
+                "stray bigint, stray_pct decimal(18,2)")
+    in_month = (F.year("ts") == F.col("year")) & (F.month("ts") == F.col("month"))
+    agg = rows.groupBy("year", "month", "file_name").agg(
         F.count("*").alias("rows"),
         F.count_if(F.coalesce(in_month, F.lit(False))).alias("in_month"),
     )
     stray = F.col("rows") - F.col("in_month")
     return agg.select(
-        F.col("stated_year").alias("year"), F.col("stated_month").alias("month"), "file_name",
-        "rows", "in_month", stray.alias("stray"),
+        "year", "month", "file_name", "rows", "in_month", stray.alias("stray"),
         round_exact_ratio_2dp(stray.cast("decimal(38,0)"), F.col("rows").cast("decimal(38,0)"), 0, 100)
         .alias("stray_pct"))
 

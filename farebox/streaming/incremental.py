@@ -70,36 +70,56 @@ def replace_partitions(df: DataFrame, raw_root: str) -> None:
        .parquet(raw_root))
 
 
+# A lake partition is one (year, month): decades of data are hundreds of
+# rows. The list is metadata, like the file listing Spark keeps on the
+# driver for every scan; beyond this bound we refuse rather than guess.
+MAX_LISTED_PARTITIONS = 100_000
+
+
+def partition_predicate(parts: list[tuple[int | None, int | None]]):
+    """Predicate over the partition columns only (so it becomes
+    ``PartitionFilters`` and prunes folders) selecting ``parts``."""
+    keyed = sorted({y * 100 + m for y, m in parts if y is not None and m is not None})
+    pred = (F.col("year") * 100 + F.col("month")).isin(keyed) if keyed else F.lit(False)
+    if any(y is None or m is None for y, m in parts):
+        pred = pred | F.col("year").isNull() | F.col("month").isNull()
+    return pred
+
+
 def load_partitions(spark: SparkSession, lake_root: str, raw_root: str, audit_root: str,
                     table_name: str = "yellow_trips", full_refresh: bool = False) -> DataFrame:
     """S-12 + J-04: load lake partitions missing from the audit (all with
     ``full_refresh``) into the raw table, then audit them.
 
-    Returns the (year, month, row_count) of the partitions loaded by this
-    run. The partitions to load are a small set (one row per month), and
-    the lake is semi-joined with it, which prunes the lake's folders."""
+    Three jobs: (1) row count per lake partition -- a scan that decodes no
+    data column -- anti-joined with the audit; (2) the copy of exactly those
+    partitions (partition-pruned scan, dynamic overwrite); (3) the audit
+    append. Jobs 1 and 2 use the same file listing, so the audited counts
+    are the counts of the files that were copied. Returns the audit rows of
+    this run as (year, month, row_count)."""
     lake = read_lake(spark, lake_root)
-    parts = lake.select(*PARTITION_COLS).distinct()
+    counts = lake.groupBy(*PARTITION_COLS).agg(F.count("*").alias("row_count"))
     if not full_refresh:
         done = loaded_partitions(read_audit(spark, audit_root), table_name)
-        parts = parts.join(done, list(PARTITION_COLS), "left_anti")
-    todo = parts.checkpoint(eager=True)
-    if todo.isEmpty():
+        counts = counts.join(done, list(PARTITION_COLS), "left_anti")
+    todo = counts.limit(MAX_LISTED_PARTITIONS + 1).collect()
+    if len(todo) > MAX_LISTED_PARTITIONS:
+        raise ValueError(f"more than {MAX_LISTED_PARTITIONS} partitions to load in one run")
+    if not todo:
         return spark.createDataFrame([], "year int, month int, row_count bigint")
-    batch = lake.join(small_side(todo, 100_000), list(PARTITION_COLS), "left_semi")
+
+    batch = lake.where(partition_predicate([(r["year"], r["month"]) for r in todo]))
     replace_partitions(with_load_timestamp(align_columns(batch)), raw_root)
 
     load_id = uuid.uuid4().hex
-    written = (spark.read.parquet(raw_root)
-               .join(small_side(todo, 100_000), list(PARTITION_COLS), "left_semi")
-               .groupBy(*PARTITION_COLS).agg(F.count("*").alias("row_count")))
-    audit_rows = written.select(
-        F.lit(table_name).alias("table_name"), "year", "month", "row_count",
-        F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
-        F.lit(load_id).alias("load_id"))
+    audit_rows = spark.createDataFrame(
+        [(table_name, r["year"], r["month"], r["row_count"]) for r in todo],
+        "table_name string, year int, month int, row_count bigint",
+    ).select("table_name", "year", "month", "row_count",
+             F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
+             F.lit(load_id).alias("load_id"))
     audit_rows.coalesce(1).write.mode("append").parquet(audit_root)
-    return (read_audit(spark, audit_root).where(F.col("load_id") == load_id)
-            .select("year", "month", "row_count"))
+    return audit_rows.select("year", "month", "row_count")
 
 
 # ------------------------------------------------------- incremental fact
