@@ -21,7 +21,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from farebox.operators import dims, profile, staging  # noqa: E402
+from farebox.operators import dims, profile  # noqa: E402
 from farebox.session import build_session, scratch_path  # noqa: E402
 from farebox.sources import fixtures, lake  # noqa: E402
 from farebox.streaming import incremental  # noqa: E402
@@ -66,7 +66,7 @@ def main():
     def stg_fact():
         fact_path = scratch_path(spark, "bench_fct")
         raw = spark.read.parquet(raw_path)
-        incremental.build_fact(spark, staging.stg_trips(raw, P), fact_path)
+        incremental.build_fact(spark, raw, P, fact_path)
         stg_fact.fact_path = fact_path
     q["stg_fact_build"] = timed(stg_fact)
     rows_per_sec["stg_fact_build"] = n_src / q["stg_fact_build"]

@@ -125,17 +125,35 @@ def window_partition_predicate(start: dt.date, end: dt.date) -> Column:
     return ym.between(start.year * 100 + start.month, last.year * 100 + last.month)
 
 
+def since_partition_predicate(since: Column) -> Column:
+    """(year, month) lower bound implied by ``pickup > since``. ``since`` may
+    be a scalar subquery: Spark evaluates it before listing files, so only
+    partitions at or after the mark are read."""
+    ym = F.col("year") * 100 + F.col("month")
+    return ym >= F.year(since) * 100 + F.month(since)
+
+
 def stg_trips(raw: DataFrame, params: PipelineParams, clean: bool = True,
-              dedupe: bool = True) -> DataFrame:
+              dedupe: bool = True, since: Column | None = None) -> DataFrame:
     """The staging model. ``raw`` is the aligned raw table (partitioned by
-    year/month of pickup when it has those columns)."""
+    year/month of pickup when it has those columns).
+
+    ``since`` (optional, e.g. a high-water-mark scalar subquery) keeps only
+    trips with ``pickup_at > since``; pickup is part of the key, so this
+    runs before the dedupe and prunes raw partitions."""
     src = raw
-    if clean and {"year", "month"} <= set(raw.columns):
+    partitioned = {"year", "month"} <= set(raw.columns)
+    if clean and partitioned:
         src = src.where(window_partition_predicate(params.start, params.end))
+    if since is not None and partitioned:
+        src = src.where(since_partition_predicate(since))
     r = renamed(src)
     rules = cleaning_rules(params)
-    if clean:
-        r = r.where(_all(p for n, p in rules.items() if n in KEY_DETERMINED_RULES))
+    early = [p for n, p in rules.items() if n in KEY_DETERMINED_RULES] if clean else []
+    if since is not None:
+        early.append(F.col("pickup_at") > since)
+    if early:
+        r = r.where(_all(early))
     if dedupe:
         r = deduplicate(r)
     if clean:

@@ -106,8 +106,8 @@ class Workspace:
             path = f"{self.root}/fct_{late}"
             raw = fixtures.trip_raw(self.spark, self.sf_dir)
             arrived = raw.where(F.col("tpep_dropoff_datetime") < F.lit(fixtures.FIXTURE_ARRIVAL_CUTOFF))
-            incremental.build_fact(self.spark, staging.stg_trips(arrived, P), path, late=late)
-            incremental.build_fact(self.spark, staging.stg_trips(raw, P), path, late=late)
+            incremental.build_fact(self.spark, arrived, P, path, late=late)
+            incremental.build_fact(self.spark, raw, P, path, late=late)
             return path
         return self._once(f"fact_{late}", build)
 

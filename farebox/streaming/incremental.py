@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from pyspark.sql import types as T
 
 from farebox.operators.fact import FACT_COLUMNS, to_fact, with_storage_partitions
 from farebox.operators.joins import small_side
+from farebox.operators.staging import stg_trips
+from farebox.params import PipelineParams
 from farebox.session import path_exists
 from farebox.sources.lake import PARTITION_COLS, read_lake, write_partitioned
 from farebox.sources.raw import align_columns, with_load_timestamp
@@ -139,40 +142,50 @@ def schema_differences(target: T.StructType, new: T.StructType) -> list[tuple[st
     return out
 
 
-def build_fact(spark: SparkSession, stg: DataFrame, fact_root: str, late: str = "drop") -> DataFrame:
-    """S-13 + P-22 + A-07: materialise the fact incrementally.
-
-    ``late="drop"``: staging rows with ``pickup_at`` <= max(pickup_at) of
-    the stored fact are ignored (strict ``>``, the reference's rule).
-    ``late="upsert"``: every staging row whose key is absent is added.
-    Either way matching keys are replaced and the touched partitions are
-    rewritten from a checkpointed copy (lineage is cut before the files it
-    was read from are replaced). Returns the stored fact."""
+def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact_root: str,
+               late: str = "drop", model: Callable[[DataFrame], DataFrame] = to_fact) -> DataFrame:
+    """S-13 + P-22 + A-07: materialise the fact from the raw table.
+
+    First run: staging -> fact, written partitioned by pickup month.
+    Later runs:
+    ``late="drop"`` (the reference's rule): only trips with ``pickup_at`` >
+    max(pickup_at) of the stored fact. The mark is a scalar subquery pushed
+    into staging, so the raw scan is pruned to the partitions at or after
+    it and the dedupe shuffles only new trips.
+    ``late="upsert"``: every staged trip whose key is absent from the fact
+    (anti-join on trip_id + partition), so late arrivals are kept.
+    Matching keys are replaced and only touched (year, month) partitions
+    are rewritten, from a checkpointed copy (lineage to the files being
+    replaced is cut first). ``model`` maps staging rows to fact rows; if
+    its output schema differs from the stored fact, the run fails (C-08).
+    Returns the stored fact."""
     if late not in ("drop", "upsert"):
         raise ValueError("late must be 'drop' or 'upsert'")
     if not path_exists(spark, fact_root):
-        write_partitioned(with_storage_partitions(to_fact(stg)), fact_root, mode="overwrite")
+        write_partitioned(with_storage_partitions(model(stg_trips(raw, params))), fact_root,
+                          mode="overwrite")
         return read_lake(spark, fact_root)
 
     target = read_lake(spark, fact_root)
     stored_cols = [c for c in target.columns if c not in PARTITION_COLS]
-    diffs = schema_differences(target.select(*stored_cols).schema, to_fact(stg).schema)
+    diffs = schema_differences(target.select(*stored_cols).schema,
+                               model(stg_trips(raw, params)).schema)
     if diffs:
         raise SchemaChangeError(f"fact schema changed: {diffs}")
 
     if late == "drop":
         hwm = target.agg(F.max("pickup_at")).scalar()
         floor = F.coalesce(hwm, F.lit("1900-01-01 00:00:00").cast("timestamp_ntz"))
-        new = to_fact(stg.where(F.col("pickup_at") > floor))
+        new = model(stg_trips(raw, params, since=floor))
     else:
         stored_keys = target.select("trip_id", *PARTITION_COLS)
-        new = to_fact(with_storage_partitions(stg).join(
+        new = model(with_storage_partitions(stg_trips(raw, params)).join(
             stored_keys, ["trip_id", *PARTITION_COLS], "left_anti").drop(*PARTITION_COLS))
     new = with_storage_partitions(new).checkpoint(eager=True)
     touched = new.select(*PARTITION_COLS).distinct()
     if touched.isEmpty():
         return target
-    existing = target.join(small_side(touched, 100_000), list(PARTITION_COLS), "left_semi")
+    existing = target.join(small_side(touched, MAX_LISTED_PARTITIONS), list(PARTITION_COLS), "left_semi")
     kept = existing.join(new.select("trip_id", *PARTITION_COLS), ["trip_id", *PARTITION_COLS], "left_anti")
     merged = kept.unionByName(new.select(*kept.columns)).checkpoint(eager=True)
     replace_partitions(merged, fact_root)

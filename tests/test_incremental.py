@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import raw_rows
-from farebox.operators import staging
+from farebox.operators.fact import to_fact
 from farebox.params import PipelineParams
 from farebox.sources import lake
 from farebox.streaming import incremental
@@ -48,8 +48,8 @@ def test_load_is_incremental_and_idempotent(spark, scratch):
     assert latest == {(2024, 1): 4, (2024, 2): 2}
 
 
-def _stg(spark, rows):
-    return staging.stg_trips(raw_rows(spark, *rows), P)
+def _raw(spark, rows):
+    return raw_rows(spark, *rows)
 
 
 @pytest.mark.parametrize("late,expected", [("drop", [1, 2, 4]), ("upsert", [1, 2, 3, 4])])
@@ -62,17 +62,19 @@ def test_fact_high_water_mark(spark, scratch, late, expected):
                       tpep_dropoff_datetime=T0 + dt.timedelta(hours=1, minutes=30)),
                  dict(vendorid=4, tpep_pickup_datetime=dt.datetime(2024, 2, 1, 9),
                       tpep_dropoff_datetime=dt.datetime(2024, 2, 1, 9, 30))]
-    incremental.build_fact(spark, _stg(spark, first), path, late=late)
-    incremental.build_fact(spark, _stg(spark, first + late_rows), path, late=late)
-    incremental.build_fact(spark, _stg(spark, first + late_rows), path, late=late)  # idempotent
+    incremental.build_fact(spark, _raw(spark, first), P, path, late=late)
+    incremental.build_fact(spark, _raw(spark, first + late_rows), P, path, late=late)
+    incremental.build_fact(spark, _raw(spark, first + late_rows), P, path, late=late)  # idempotent
     got = sorted(r.vendor_id for r in lake.read_lake(spark, path).collect())
     assert got == expected
 
 
 def test_fact_schema_gate(spark, scratch):
     path = scratch("fct_gate")
-    stg = _stg(spark, [dict(vendorid=1)])
-    incremental.build_fact(spark, stg, path)
-    changed = stg.withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    raw = _raw(spark, [dict(vendorid=1)])
+    incremental.build_fact(spark, raw, P, path)
+    # the fact model gains a column: the incremental writer refuses
+    def changed_model(stg):
+        return to_fact(stg).withColumn("store_id", F.lit(None).cast("int"))
     with pytest.raises(incremental.SchemaChangeError):
-        incremental.build_fact(spark, changed, path)
+        incremental.build_fact(spark, raw, P, path, model=changed_model)
