@@ -21,7 +21,7 @@ from farebox.operators import checks, dims, profile, staging
 from farebox.operators.fact import FACT_COLUMNS, route_unmatched_to_unknown, to_fact
 from farebox.session import apply_pipeline_conf, scratch_path
 from farebox.sources import fixtures, lake, seeds
-from farebox.sources.raw import RAW_COLUMN_NAMES, align_columns
+from farebox.sources.raw import align_columns, with_load_timestamp
 from farebox.streaming import incremental
 
 P = fixtures.FIXTURE_PARAMS
@@ -95,9 +95,8 @@ class Workspace:
                                         full_refresh=True)
             y, m = ONE_MONTH
             part = lake.read_partition(self.spark, lake_path, y, m)
-            incremental.replace_partitions(
-                align_columns(part).withColumn("_loaded_at", F.current_timestamp().cast("timestamp_ntz")),
-                raw_path)
+            incremental.replace_partitions(with_load_timestamp(align_columns(part)), raw_path,
+                                           rebalance=False)
             return raw_path, audit_path
         return self._once("replaced_raw", build)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,9 +63,16 @@ def align_columns(df: DataFrame, target: Sequence[tuple[str, T.DataType]] = RAW_
     return df.select(*cols)
 
 
+def load_time_literal() -> Column:
+    """The load instant (UTC, as timestamp_ntz), taken once on the driver
+    so every row of one load carries the same value."""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(now).cast("timestamp_ntz")
+
+
 def with_load_timestamp(df: DataFrame) -> DataFrame:
     """Schema-on-write: the aligned columns plus the load time."""
-    return df.withColumn(LOADED_AT, F.current_timestamp().cast("timestamp_ntz"))
+    return df.withColumn(LOADED_AT, load_time_literal())
 
 
 def read_aligned(spark: SparkSession, paths: Iterable[str],

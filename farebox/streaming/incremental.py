@@ -27,7 +27,7 @@ from farebox.operators.staging import stg_trips
 from farebox.params import PipelineParams
 from farebox.session import path_exists
 from farebox.sources.lake import PARTITION_COLS, read_lake, write_partitioned
-from farebox.sources.raw import align_columns, with_load_timestamp
+from farebox.sources.raw import align_columns, load_time_literal, with_load_timestamp
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
@@ -62,11 +62,16 @@ def loaded_partitions(audit: DataFrame, table_name: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ raw loading
-def replace_partitions(df: DataFrame, raw_root: str) -> None:
+def replace_partitions(df: DataFrame, raw_root: str, rebalance: bool = True) -> None:
     """S-09: replace exactly the (year, month) partitions present in ``df``
-    (dynamic overwrite: delete + insert per partition, atomically per job)."""
-    (df.hint("rebalance", *PARTITION_COLS)
-       .write.mode("overwrite")
+    (dynamic overwrite: delete + insert per partition, atomically per job).
+
+    ``rebalance=False`` skips the shuffle when ``df`` is read from a table
+    that is already partitioned the same way (each task then writes the
+    few partitions its files belong to)."""
+    if rebalance:
+        df = df.hint("rebalance", *PARTITION_COLS)
+    (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*PARTITION_COLS)
        .option("compression", "snappy")
@@ -96,7 +101,8 @@ def load_partitions(spark: SparkSession, lake_root: str, raw_root: str, audit_ro
 
     Three jobs: (1) row count per lake partition -- a scan that decodes no
     data column -- anti-joined with the audit; (2) the copy of exactly those
-    partitions (partition-pruned scan, dynamic overwrite); (3) the audit
+    partitions (partition-pruned scan, no shuffle: the lake is already
+    partitioned by year/month, dynamic overwrite); (3) the audit
     append. Jobs 1 and 2 use the same file listing, so the audited counts
     are the counts of the files that were copied. Returns the audit rows of
     this run as (year, month, row_count)."""
@@ -112,14 +118,15 @@ def load_partitions(spark: SparkSession, lake_root: str, raw_root: str, audit_ro
         return spark.createDataFrame([], "year int, month int, row_count bigint")
 
     batch = lake.where(partition_predicate([(r["year"], r["month"]) for r in todo]))
-    replace_partitions(with_load_timestamp(align_columns(batch)), raw_root)
+    # lake and raw share the partitioning: copy without a shuffle
+    replace_partitions(with_load_timestamp(align_columns(batch)), raw_root, rebalance=False)
 
     load_id = uuid.uuid4().hex
     audit_rows = spark.createDataFrame(
         [(table_name, r["year"], r["month"], r["row_count"]) for r in todo],
         "table_name string, year int, month int, row_count bigint",
     ).select("table_name", "year", "month", "row_count",
-             F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
+             load_time_literal().alias("loaded_at"),
              F.lit(load_id).alias("load_id"))
     audit_rows.coalesce(1).write.mode("append").parquet(audit_root)
     return audit_rows.select("year", "month", "row_count")
