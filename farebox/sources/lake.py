@@ -13,7 +13,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from farebox.functions.numeric import round_exact_ratio_2dp
 from farebox.session import path_exists
@@ -150,7 +149,7 @@ def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, s
     counts come from the Parquet footers) and counted per source; the
     expected list is left-joined so a missing month shows up with ``rows``
     NULL and ``is_missing`` true. ``total_rows`` repeats the grand total on
-    every row (a window over one row per source)."""
+    every row (a scalar subquery over the per-source counts)."""
     exp = spark.createDataFrame([(y, m, _source_name(p)) for y, m, p in expected],
                                 "year int, month int, file_name string")
     tagged = _tagged_sources(spark, expected, [])
@@ -159,9 +158,10 @@ def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, s
     else:
         counts = tagged.groupBy("year", "month", "file_name").agg(F.count("*").alias("rows"))
     out = exp.join(counts, ["year", "month", "file_name"], "left")
+    total = counts.agg(F.sum("rows")).scalar()
     return out.select("year", "month", "file_name", "rows",
                       F.col("rows").isNull().alias("is_missing"),
-                      F.sum("rows").over(Window.partitionBy()).alias("total_rows"))
+                      total.alias("total_rows"))
 
 
 def stray_dates(spark: SparkSession, sources: Sequence[tuple[int, int, str]], ts_col: str) -> DataFrame:
