@@ -48,7 +48,11 @@ class Workspace:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Workspace":
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        try:
+            app = spark.sparkContext.applicationId
+        except Exception:  # Spark Connect: no SparkContext on the client
+            app = str(id(spark))
+        key = (app, sf_dir.rstrip("/"))
         with cls._lock:
             if key not in cls._cache:
                 cls._cache[key] = cls(spark, sf_dir)

@@ -22,6 +22,18 @@ PIPELINE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (100 TB class inputs): start with
+# many shuffle partitions and let AQE coalesce them to ~256 MB each; split
+# skewed partitions; read ~256 MB per scan task.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "farebox", extra: dict | None = None) -> SparkSession:
     """A session for local runs and tests. On a cluster, pass the cluster's

@@ -95,7 +95,8 @@ def partition_predicate(parts: list[tuple[int | None, int | None]]):
 
 
 def load_partitions(spark: SparkSession, lake_root: str, raw_root: str, audit_root: str,
-                    table_name: str = "yellow_trips", full_refresh: bool = False) -> DataFrame:
+                    table_name: str = "yellow_trips", full_refresh: bool = False,
+                    partitions_per_commit: int | None = None) -> DataFrame:
     """S-12 + J-04: load lake partitions missing from the audit (all with
     ``full_refresh``) into the raw table, then audit them.
 
@@ -105,7 +106,11 @@ def load_partitions(spark: SparkSession, lake_root: str, raw_root: str, audit_ro
     partitioned by year/month, dynamic overwrite); (3) the audit
     append. Jobs 1 and 2 use the same file listing, so the audited counts
     are the counts of the files that were copied. Returns the audit rows of
-    this run as (year, month, row_count)."""
+    this run as (year, month, row_count).
+
+    ``partitions_per_commit`` splits a large backfill into groups of
+    partitions, each copied and audited by its own jobs: a failure keeps
+    the groups already done, and the next run resumes after them."""
     lake = read_lake(spark, lake_root)
     counts = lake.groupBy(*PARTITION_COLS).agg(F.count("*").alias("row_count"))
     if not full_refresh:
@@ -117,19 +122,24 @@ def load_partitions(spark: SparkSession, lake_root: str, raw_root: str, audit_ro
     if not todo:
         return spark.createDataFrame([], "year int, month int, row_count bigint")
 
-    batch = lake.where(partition_predicate([(r["year"], r["month"]) for r in todo]))
-    # lake and raw share the partitioning: copy without a shuffle
-    replace_partitions(with_load_timestamp(align_columns(batch)), raw_root, rebalance=False)
-
+    todo = sorted(todo, key=lambda r: (r["year"] is not None, r["year"] or 0, r["month"] or 0))
+    step = partitions_per_commit or len(todo)
     load_id = uuid.uuid4().hex
-    audit_rows = spark.createDataFrame(
-        [(table_name, r["year"], r["month"], r["row_count"]) for r in todo],
-        "table_name string, year int, month int, row_count bigint",
-    ).select("table_name", "year", "month", "row_count",
-             load_time_literal().alias("loaded_at"),
-             F.lit(load_id).alias("load_id"))
-    audit_rows.coalesce(1).write.mode("append").parquet(audit_root)
-    return audit_rows.select("year", "month", "row_count")
+    done_rows = []
+    for i in range(0, len(todo), step):
+        group = todo[i:i + step]
+        batch = lake.where(partition_predicate([(r["year"], r["month"]) for r in group]))
+        # lake and raw share the partitioning: copy without a shuffle
+        replace_partitions(with_load_timestamp(align_columns(batch)), raw_root, rebalance=False)
+        audit_rows = spark.createDataFrame(
+            [(table_name, r["year"], r["month"], r["row_count"]) for r in group],
+            "table_name string, year int, month int, row_count bigint",
+        ).select("table_name", "year", "month", "row_count",
+                 load_time_literal().alias("loaded_at"),
+                 F.lit(load_id).alias("load_id"))
+        audit_rows.coalesce(1).write.mode("append").parquet(audit_root)
+        done_rows += [(r["year"], r["month"], r["row_count"]) for r in group]
+    return spark.createDataFrame(done_rows, "year int, month int, row_count bigint")
 
 
 # ------------------------------------------------------- incremental fact

@@ -39,8 +39,12 @@ def test_load_is_incremental_and_idempotent(spark, scratch):
     from farebox.operators.checks import check_audit_drift
     drift = check_audit_drift(latest, lake.read_lake(spark, lake_root), "yellow_trips").collect()
     assert [(r.year, r.month, r.audited_rows, r.lake_rows) for r in drift] == [(2024, 1, 3, 4)]
-    # full refresh replaces, never appends; twice gives the same table
-    incremental.load_partitions(spark, lake_root, raw_root, audit_root, full_refresh=True)
+    # full refresh replaces, never appends; twice gives the same table;
+    # committing one partition at a time gives the same result
+    loaded = incremental.load_partitions(spark, lake_root, raw_root, audit_root, full_refresh=True,
+                                         partitions_per_commit=1)
+    assert sorted((r.year, r.month, r.row_count) for r in loaded.collect()) == [(2024, 1, 4), (2024, 2, 2)]
+    assert incremental.read_audit(spark, audit_root).select("load_id").distinct().count() == 3
     incremental.load_partitions(spark, lake_root, raw_root, audit_root, full_refresh=True)
     assert counts(spark.read.parquet(raw_root)) == [(2024, 1, 4), (2024, 2, 2)]
     latest = {(r.year, r.month): r.row_count
