@@ -424,13 +424,13 @@ SQL["check_relationships"] = with_(*FCT_CHAIN, ZONES_CTE, DIM_LOCATION_CTE, DIM_
           WHERE location_id <= {UNMATCHED_MAX_LOCATION_ID}),
 pay AS (SELECT DISTINCT CAST(payment_type_id AS BIGINT) AS k FROM dim_payment)
 SELECT 'pickup_location_id' AS column_name, CAST(pickup_location_id AS BIGINT) AS key_value, count(*) AS rows
-FROM fct WHERE CAST(pickup_location_id AS BIGINT) NOT IN (SELECT k FROM loc) GROUP BY 2
+FROM fct WHERE pickup_location_id IS NOT NULL AND CAST(pickup_location_id AS BIGINT) NOT IN (SELECT k FROM loc) GROUP BY 2
 UNION ALL
 SELECT 'dropoff_location_id', CAST(dropoff_location_id AS BIGINT), count(*)
-FROM fct WHERE CAST(dropoff_location_id AS BIGINT) NOT IN (SELECT k FROM loc) GROUP BY 2
+FROM fct WHERE dropoff_location_id IS NOT NULL AND CAST(dropoff_location_id AS BIGINT) NOT IN (SELECT k FROM loc) GROUP BY 2
 UNION ALL
 SELECT 'payment_type_id', CAST(payment_type_id AS BIGINT), count(*)
-FROM fct WHERE CAST(payment_type_id AS BIGINT) NOT IN (SELECT k FROM pay) GROUP BY 2"""
+FROM fct WHERE payment_type_id IS NOT NULL AND CAST(payment_type_id AS BIGINT) NOT IN (SELECT k FROM pay) GROUP BY 2"""
 
 SQL["check_business_rules"] = with_(RAW_CTE, RENAMED_CTE, DEDUP_CTE) + """
 , flags AS (
