@@ -3,8 +3,10 @@
 Steps (each the median of 3 warm runs after one warm-up):
   lake_build        trip source -> partitioned Parquet lake (S-05/S-06)
   raw_load          lake -> raw table, full refresh + audit (S-09..S-12)
+  dims_build        dimension tables (S-14..S-16, S-18)
   stg_fact_build    raw table -> staging -> fact table (W-01, S-13 first run)
-  top_pickup_zones  stored fact ⋈ dim_location, top 5 (J-01, A-08, O-02)
+  top_pickup_zones  stored fact ⋈ stored dim_location, top 5 (J-01, A-08, O-02)
+  weekend_revenue_by_quarter, tip_rate_reliable      star reports on stored marts
   trips_by_month, quality_counters, busiest_hours   profile queries
 
 Prints ONE JSON line. Env: BENCH_SF_DIR (default /root/testdata/sf0.1),
@@ -21,7 +23,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from farebox.operators import dims, profile  # noqa: E402
+from farebox.operators import profile  # noqa: E402
+from farebox.plans.marts import Marts, build_dimensions  # noqa: E402
 from farebox.session import build_session, scratch_path  # noqa: E402
 from farebox.sources import fixtures, lake  # noqa: E402
 from farebox.streaming import incremental  # noqa: E402
@@ -63,19 +66,26 @@ def main():
     rows_per_sec["raw_load"] = n_src / q["raw_load"]
     raw_path = load.raw_path
 
+    seed = fixtures.zone_seed(spark, sf_dir)
+    marts_root = scratch_path(spark, "bench_marts")
+    q["dims_build"] = timed(lambda: build_dimensions(spark, seed, P, Marts(marts_root)))
+
     def stg_fact():
-        fact_path = scratch_path(spark, "bench_fct")
         raw = spark.read.parquet(raw_path)
+        fact_path = scratch_path(spark, "bench_fct")
         incremental.build_fact(spark, raw, P, fact_path)
         stg_fact.fact_path = fact_path
     q["stg_fact_build"] = timed(stg_fact)
     rows_per_sec["stg_fact_build"] = n_src / q["stg_fact_build"]
 
-    fact = lake.read_lake(spark, stg_fact.fact_path)
-    dim = dims.dim_location(fixtures.zone_seed(spark, sf_dir), P.airport_zones)
+    marts = Marts(marts_root).read(spark, fact_path=stg_fact.fact_path)
+    fact, dim = marts["fct_trips"], marts["dim_location"]
     raw = spark.read.parquet(raw_path)
     ev = fixtures.events(spark, sf_dir)
     q["top_pickup_zones"] = timed(lambda: profile.top_pickup_zones(fact, dim).collect())
+    q["weekend_revenue_by_quarter"] = timed(
+        lambda: profile.weekend_revenue_by_quarter(fact, marts["dim_date"]).collect())
+    q["tip_rate_reliable"] = timed(lambda: profile.tip_rate_reliable(fact, marts["dim_payment_type"]).collect())
     q["trips_by_month"] = timed(lambda: profile.trips_by_month(raw).collect())
     q["quality_counters"] = timed(lambda: profile.quality_counters(raw).collect())
     q["busiest_hours"] = timed(lambda: profile.busiest_hours(ev, "ts", "value").collect())

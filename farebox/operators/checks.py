@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from farebox.operators.joins import small_side
 from farebox.sources.lake import PARTITION_COLS
+from farebox.sources.seeds import inline_relation
 
 
 def check_unique(df: DataFrame, key: str) -> DataFrame:
@@ -105,4 +106,4 @@ def schema_change_verdict(spark: SparkSession, target: DataFrame, new: DataFrame
     diffs = schema_differences(target.schema, new.schema)
     rows = [(c, t, n, "added" if t is None else "removed" if n is None else "retyped")
             for c, t, n in diffs]
-    return spark.createDataFrame(rows, "column_name string, target_type string, new_type string, change string")
+    return inline_relation(spark, rows, "column_name string, target_type string, new_type string, change string")

@@ -47,7 +47,7 @@ def dim_location(seed: DataFrame, airport_zones: Sequence[str] = DEFAULT_AIRPORT
         F.concat(zone, F.lit(", "), borough).alias("zone_full_name"),
         F.coalesce(F.col("zone"), F.lit("")).isin(list(airport_zones)).alias("is_airport"),
     )
-    member = seed.sparkSession.createDataFrame(
+    member = inline_relation(seed.sparkSession,
         [(UNKNOWN_ID, UNKNOWN_TEXT, UNKNOWN_TEXT, UNKNOWN_TEXT, UNKNOWN_TEXT, False)],
         "location_id int, borough string, zone_name string, service_zone string, "
         "zone_full_name string, is_airport boolean")

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from farebox.functions.numeric import round_exact_ratio_2dp
 from farebox.session import path_exists
+from farebox.sources.seeds import inline_relation
 
 PARTITION_COLS = ("year", "month")
 
@@ -117,7 +118,7 @@ def dataset_summary(df: DataFrame) -> DataFrame:
 def dataset_schema(spark: SparkSession, df: DataFrame) -> DataFrame:
     """S-21: (position, name, type) of a dataset's columns."""
     rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column_name string, data_type string")
+    return inline_relation(spark, rows, "position int, column_name string, data_type string")
 
 
 def _source_name(path: str) -> str:
@@ -150,11 +151,11 @@ def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, s
     expected list is left-joined so a missing month shows up with ``rows``
     NULL and ``is_missing`` true. ``total_rows`` repeats the grand total on
     every row (a scalar subquery over the per-source counts)."""
-    exp = spark.createDataFrame([(y, m, _source_name(p)) for y, m, p in expected],
+    exp = inline_relation(spark, [(y, m, _source_name(p)) for y, m, p in expected],
                                 "year int, month int, file_name string")
     tagged = _tagged_sources(spark, expected, [])
     if tagged is None:
-        counts = spark.createDataFrame([], "year int, month int, file_name string, rows bigint")
+        counts = inline_relation(spark, [], "year int, month int, file_name string, rows bigint")
     else:
         counts = tagged.groupBy("year", "month", "file_name").agg(F.count("*").alias("rows"))
     out = exp.join(counts, ["year", "month", "file_name"], "left")
@@ -170,9 +171,8 @@ def stray_dates(spark: SparkSession, sources: Sequence[tuple[int, int, str]], ts
     One pruned scan per source (only ``ts_col`` is read), partial counts."""
     rows = _tagged_sources(spark, sources, [F.col(ts_col).alias("ts")])
     if rows is None:
-        return spark.createDataFrame(
-            [], "year int, month int, file_name string, rows bigint, in_month bigint, "
-                "stray bigint, stray_pct decimal(18,2)")
+        return inline_relation(spark, [], "year int, month int, file_name string, rows bigint, "
+                                          "in_month bigint, stray bigint, stray_pct decimal(18,2)")
     in_month = (F.year("ts") == F.col("year")) & (F.month("ts") == F.col("month"))
     agg = rows.groupBy("year", "month", "file_name").agg(
         F.count("*").alias("rows"),
@@ -186,4 +186,4 @@ def stray_dates(spark: SparkSession, sources: Sequence[tuple[int, int, str]], ts
 
 
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    return inline_relation(spark, [], schema)

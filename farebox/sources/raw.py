@@ -90,7 +90,8 @@ def read_aligned(spark: SparkSession, paths: Iterable[str],
         groups.setdefault(key, []).append(p)
     frames = [align_columns(spark.read.parquet(*ps), target) for ps in groups.values()]
     if not frames:
-        return spark.createDataFrame([], T.StructType([T.StructField(n, t) for n, t in target]))
+        from farebox.sources.seeds import inline_relation
+        return inline_relation(spark, [], T.StructType([T.StructField(n, t) for n, t in target]))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

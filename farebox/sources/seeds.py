@@ -7,6 +7,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.types import _parse_datatype_string
 
 ZONE_SEED_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
 
@@ -25,9 +27,17 @@ def write_seed_csv(df: DataFrame, path: str) -> None:
        .option("quoteAll", True).csv(path))
 
 
-def inline_relation(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """S-15: a literal relation; Catalyst folds it into a LocalRelation."""
-    return spark.createDataFrame(rows, schema)
+def inline_relation(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """S-15: a small literal relation built on the JVM side: one row of
+    ``range(1)`` expanded by ``inline(array(struct(...)))``. (A
+    ``createDataFrame`` of a Python list becomes a Python RDD, which makes
+    every job that reads it start Python workers.)"""
+    st = schema if isinstance(schema, T.StructType) else _parse_datatype_string(schema)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, st.fields)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:

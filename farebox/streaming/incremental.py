@@ -28,6 +28,7 @@ from farebox.params import PipelineParams
 from farebox.session import path_exists
 from farebox.sources.lake import PARTITION_COLS, read_lake, write_partitioned
 from farebox.sources.raw import align_columns, load_time_literal, with_load_timestamp
+from farebox.sources.seeds import inline_relation
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
@@ -43,7 +44,7 @@ AUDIT_SCHEMA = T.StructType([
 def read_audit(spark: SparkSession, audit_root: str) -> DataFrame:
     """S-10: the append-only audit log (empty if it does not exist yet)."""
     if not path_exists(spark, audit_root):
-        return spark.createDataFrame([], AUDIT_SCHEMA)
+        return inline_relation(spark, [], AUDIT_SCHEMA)
     return spark.read.schema(AUDIT_SCHEMA).parquet(audit_root)
 
 
@@ -120,7 +121,7 @@ def load_partitions(spark: SparkSession, lake_root: str, raw_root: str, audit_ro
     if len(todo) > MAX_LISTED_PARTITIONS:
         raise ValueError(f"more than {MAX_LISTED_PARTITIONS} partitions to load in one run")
     if not todo:
-        return spark.createDataFrame([], "year int, month int, row_count bigint")
+        return inline_relation(spark, [], "year int, month int, row_count bigint")
 
     todo = sorted(todo, key=lambda r: (r["year"] is not None, r["year"] or 0, r["month"] or 0))
     step = partitions_per_commit or len(todo)
@@ -131,15 +132,15 @@ def load_partitions(spark: SparkSession, lake_root: str, raw_root: str, audit_ro
         batch = lake.where(partition_predicate([(r["year"], r["month"]) for r in group]))
         # lake and raw share the partitioning: copy without a shuffle
         replace_partitions(with_load_timestamp(align_columns(batch)), raw_root, rebalance=False)
-        audit_rows = spark.createDataFrame(
-            [(table_name, r["year"], r["month"], r["row_count"]) for r in group],
+        audit_rows = inline_relation(
+            spark, [(table_name, r["year"], r["month"], r["row_count"]) for r in group],
             "table_name string, year int, month int, row_count bigint",
         ).select("table_name", "year", "month", "row_count",
                  load_time_literal().alias("loaded_at"),
                  F.lit(load_id).alias("load_id"))
         audit_rows.coalesce(1).write.mode("append").parquet(audit_root)
         done_rows += [(r["year"], r["month"], r["row_count"]) for r in group]
-    return spark.createDataFrame(done_rows, "year int, month int, row_count bigint")
+    return inline_relation(spark, done_rows, "year int, month int, row_count bigint")
 
 
 # ------------------------------------------------------- incremental fact
