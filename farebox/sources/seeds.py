@@ -4,6 +4,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,17 +29,27 @@ def write_seed_csv(df: DataFrame, path: str) -> None:
        .option("quoteAll", True).csv(path))
 
 
+def _json_value(v):
+    if isinstance(v, (dt.datetime, dt.date)):
+        return v.isoformat()
+    if isinstance(v, Decimal):
+        raise TypeError("inline_relation: pass decimals as strings or floats")
+    return v
+
+
 def inline_relation(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
-    """S-15: a small literal relation built on the JVM side: one row of
-    ``range(1)`` expanded by ``inline(array(struct(...)))``. (A
-    ``createDataFrame`` of a Python list becomes a Python RDD, which makes
-    every job that reads it start Python workers.)"""
+    """S-15: a small literal relation built on the JVM side.
+
+    The rows travel as ONE JSON string literal that ``from_json`` parses
+    into an array of structs (constant-folded once), expanded by
+    ``inline``: a constant number of driver-to-JVM calls whatever the row
+    count. (A ``createDataFrame`` of a Python list becomes a Python RDD,
+    which makes every job that reads it start Python workers.)"""
     st = schema if isinstance(schema, T.StructType) else _parse_datatype_string(schema)
-    if not rows:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, st.fields)])
-               for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    names = st.fieldNames()
+    payload = json.dumps([{n: _json_value(v) for n, v in zip(names, row)} for row in rows])
+    arr = F.from_json(F.lit(payload), T.ArrayType(st), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"})
+    return spark.range(1).select(F.inline(arr)).select(*[F.col(f.name).cast(f.dataType) for f in st.fields])
 
 
 def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
