@@ -148,17 +148,19 @@ def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, s
 
     Present sources are scanned without decoding any data column (row
     counts come from the Parquet footers) and counted per source; the
-    expected list is left-joined so a missing month shows up with ``rows``
+    expected list is merged in (union + max) so a missing month shows up with ``rows``
     NULL and ``is_missing`` true. ``total_rows`` repeats the grand total on
     every row (a scalar subquery over the per-source counts)."""
-    exp = inline_relation(spark, [(y, m, _source_name(p)) for y, m, p in expected],
-                                "year int, month int, file_name string")
+    exp = inline_relation(spark, [(y, m, _source_name(p), None) for y, m, p in expected],
+                          "year int, month int, file_name string, rows bigint")
     tagged = _tagged_sources(spark, expected, [])
     if tagged is None:
         counts = inline_relation(spark, [], "year int, month int, file_name string, rows bigint")
     else:
         counts = tagged.groupBy("year", "month", "file_name").agg(F.count("*").alias("rows"))
-    out = exp.join(counts, ["year", "month", "file_name"], "left")
+    # expected rows carry NULL counts; present sources add theirs (no join)
+    keys = ["year", "month", "file_name"]
+    out = exp.unionByName(counts).groupBy(*keys).agg(F.max("rows").alias("rows"))
     total = counts.agg(F.sum("rows")).scalar()
     return out.select("year", "month", "file_name", "rows",
                       F.col("rows").isNull().alias("is_missing"),
