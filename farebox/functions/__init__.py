@@ -14,10 +14,11 @@ from farebox.functions.temporal import (
     duration_minutes_2dp,
     duration_us,
     iso_day_of_week,
+    ntz_literal,
 )
 
 __all__ = [
     "date_key", "surrogate_key", "exact_mean_2dp", "half_even_int",
     "round_exact_ratio_2dp", "round_numeric", "sum_2dp", "duration_minutes",
-    "duration_minutes_2dp", "duration_us", "iso_day_of_week",
+    "duration_minutes_2dp", "duration_us", "iso_day_of_week", "ntz_literal",
 ]

@@ -4,6 +4,8 @@ bounds like "between 1 and 1440 minutes" are evaluated on integers, and the
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,6 +36,19 @@ def duration_minutes_2dp(us: str | Column) -> Column:
     return (signed.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(18,2)")
 
 
+def ntz_literal(value: dt.datetime | dt.date) -> Column:
+    """A ``timestamp_ntz`` literal from a naive datetime, built from its
+    text so no time zone (driver's or session's) is involved."""
+    if not isinstance(value, dt.datetime):
+        value = dt.datetime.combine(value, dt.time())
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def date_literal(value: dt.date) -> Column:
+    """A ``date`` literal from its ISO text."""
+    return F.lit(value.isoformat()).cast("date")
+
+
 def iso_day_of_week(d: str | Column) -> Column:
     """ISO day of week, Monday = 1 .. Sunday = 7."""
     return (F.weekday(_c(d)) + 1).cast("int")

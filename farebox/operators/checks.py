@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.functions import ntz_literal
 from farebox.operators.joins import small_side
 from farebox.sources.lake import PARTITION_COLS
 from farebox.sources.seeds import inline_relation
@@ -81,9 +82,9 @@ def check_freshness(df: DataFrame, ts_col: str, as_of: dt.datetime, max_age: dt.
     """C-06: age of the newest row at ``as_of`` against a threshold."""
     max_age_s = int(max_age.total_seconds())
     newest = df.agg(F.max(ts_col).alias("newest_at"))
-    age = F.timestamp_diff("SECOND", F.col("newest_at"), F.lit(as_of).cast("timestamp_ntz"))
+    age = F.timestamp_diff("SECOND", F.col("newest_at"), ntz_literal(as_of))
     return newest.select(
-        "newest_at", F.lit(as_of).cast("timestamp_ntz").alias("as_of"),
+        "newest_at", ntz_literal(as_of).alias("as_of"),
         age.alias("age_seconds"), F.lit(max_age_s).cast("bigint").alias("max_age_seconds"),
         F.coalesce(age <= max_age_s, F.lit(False)).alias("is_fresh"))
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from farebox.functions import duration_minutes, duration_us, half_even_int, surrogate_key
+from farebox.functions import duration_minutes, duration_us, half_even_int, ntz_literal, surrogate_key
 from farebox.params import PipelineParams
 
 # The columns whose text forms the trip key, in key order.
@@ -81,8 +81,8 @@ def cleaning_rules(params: PipelineParams) -> dict[str, Column]:
     dist = F.col("trip_distance_miles")
     return {
         "forward_in_time": dropoff > pickup,
-        "after_window_start": pickup >= F.lit(params.start_ts()),
-        "before_window_end": pickup < F.lit(params.end_ts()),
+        "after_window_start": pickup >= ntz_literal(params.start_ts()),
+        "before_window_end": pickup < ntz_literal(params.end_ts()),
         "fare_not_negative": F.col("fare_amount") >= 0,
         "total_not_negative": F.col("total_amount") >= 0,
         "distance_positive": dist > 0,

@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.functions import ntz_literal
 from farebox.operators import checks, dims, profile, staging
 from farebox.operators.fact import FACT_COLUMNS, route_unmatched_to_unknown, to_fact
 from farebox.session import apply_pipeline_conf, scratch_path
@@ -79,7 +80,7 @@ class Workspace:
             raw_path = f"{self.root}/raw_inc"
             audit_path = f"{self.root}/audit_inc"
             src = fixtures.trip_source(self.spark, self.sf_dir)
-            arrived = src.where(F.col("tpep_dropoff_datetime") < F.lit(fixtures.FIXTURE_ARRIVAL_CUTOFF))
+            arrived = src.where(F.col("tpep_dropoff_datetime") < ntz_literal(fixtures.FIXTURE_ARRIVAL_CUTOFF))
             lake.build_lake([arrived], lake_path, "tpep_pickup_datetime")
             incremental.load_partitions(self.spark, lake_path, raw_path, audit_path, TABLE_NAME)
             lake.build_lake([src], lake_path, "tpep_pickup_datetime")
@@ -108,7 +109,7 @@ class Workspace:
         def build():
             path = f"{self.root}/fct_{late}"
             raw = fixtures.trip_raw(self.spark, self.sf_dir)
-            arrived = raw.where(F.col("tpep_dropoff_datetime") < F.lit(fixtures.FIXTURE_ARRIVAL_CUTOFF))
+            arrived = raw.where(F.col("tpep_dropoff_datetime") < ntz_literal(fixtures.FIXTURE_ARRIVAL_CUTOFF))
             incremental.build_fact(self.spark, arrived, P, path, late=late)
             incremental.build_fact(self.spark, raw, P, path, late=late)
             return path

@@ -67,7 +67,7 @@ def load_time_literal() -> Column:
     """The load instant (UTC, as timestamp_ntz), taken once on the driver
     so every row of one load carries the same value."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return F.lit(now).cast("timestamp_ntz")
+    return F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def with_load_timestamp(df: DataFrame) -> DataFrame:

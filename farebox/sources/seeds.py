@@ -55,7 +55,8 @@ def inline_relation(spark: SparkSession, rows: list[tuple], schema: str | T.Stru
 def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """S-16: one row per day in ``[start, end)`` (end exclusive)."""
     return date_spine_between(spark.range(1).select(
-        F.lit(start).alias("start"), F.lit(end).alias("end")))
+        F.lit(start.isoformat()).cast("date").alias("start"),
+        F.lit(end.isoformat()).cast("date").alias("end")))
 
 
 def date_spine_between(bounds: DataFrame) -> DataFrame:

@@ -98,3 +98,24 @@ def test_stg_plan_prunes_partitions_and_limits_window(spark, scratch):
     plan = staging.stg_trips(spark.read.parquet(p), P)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_window_is_time_zone_free_and_pushed(spark, scratch):
+    raw = raw_rows(spark, dict(vendorid=1, tpep_pickup_datetime=dt.datetime(2024, 1, 1, 0, 30),
+                               tpep_dropoff_datetime=dt.datetime(2024, 1, 1, 1, 0)),
+                   dict(vendorid=2, tpep_pickup_datetime=dt.datetime(2023, 12, 31, 23, 30),
+                        tpep_dropoff_datetime=dt.datetime(2024, 1, 1, 0, 0)))
+    p = scratch("raw_tz")
+    raw.write.partitionBy("year", "month").parquet(p)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    old_len = spark.conf.get("spark.sql.maxMetadataStringLength")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+        df = staging.stg_trips(spark.read.parquet(p), P)
+        assert ids(df) == [1]
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(tpep_pickup_datetime,2024-01-01T00:00)" in plan
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+        spark.conf.set("spark.sql.maxMetadataStringLength", old_len)
