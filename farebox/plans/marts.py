@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from farebox.operators import dims
 from farebox.params import PipelineParams
 from farebox.sources.lake import read_lake
-from farebox.streaming.incremental import build_fact
+from farebox.streaming.incremental import build_fact, load_partitions
 
 
 @dataclass(frozen=True)
@@ -65,3 +65,20 @@ def build_marts(spark: SparkSession, raw: DataFrame, zone_seed: DataFrame, param
     build_dimensions(spark, zone_seed, params, m)
     build_fact(spark, raw, params, m.fact, late=late)
     return m
+
+
+def refresh_star(spark: SparkSession, lake_root: str, raw_root: str, audit_root: str,
+                 zone_seed: DataFrame, params: PipelineParams, marts_root: str,
+                 full_refresh: bool = False, table_name: str = "yellow_trips") -> Marts:
+    """load -> seed/dimensions -> fact, as plain function composition.
+
+    The raw load returns the (year, month) partitions it (re)loaded; the
+    fact is upserted for exactly those, so a run reads and rewrites only
+    the months that changed."""
+    loaded = load_partitions(spark, lake_root, raw_root, audit_root, table_name, full_refresh)
+    parts = [(r["year"], r["month"]) for r in loaded.select("year", "month").collect()]
+    m = Marts(marts_root)
+    build_dimensions(spark, zone_seed, params, m)
+    if parts:
+        build_fact(spark, spark.read.parquet(raw_root), params, m.fact, late="upsert", partitions=parts)
+    return m

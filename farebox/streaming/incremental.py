@@ -15,7 +15,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,7 +161,8 @@ def schema_differences(target: T.StructType, new: T.StructType) -> list[tuple[st
 
 
 def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact_root: str,
-               late: str = "drop", model: Callable[[DataFrame], DataFrame] = to_fact) -> DataFrame:
+               late: str = "drop", model: Callable[[DataFrame], DataFrame] = to_fact,
+               partitions: Sequence[tuple[int | None, int | None]] | None = None) -> DataFrame:
     """S-13 + P-22 + A-07: materialise the fact from the raw table.
 
     First run: staging -> fact, written partitioned by pickup month.
@@ -172,6 +173,9 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
     it and the dedupe shuffles only new trips.
     ``late="upsert"``: every staged trip whose key is absent from the fact
     (anti-join on trip_id + partition), so late arrivals are kept.
+    ``partitions`` (e.g. the (year, month) list ``load_partitions`` returns)
+    limits a run to those raw partitions: staging, the anti-join and the
+    rewrite then touch only the months that were (re)loaded.
     Matching keys are replaced and only touched (year, month) partitions
     are rewritten, from a checkpointed copy (lineage to the files being
     replaced is cut first). ``model`` maps staging rows to fact rows; if
@@ -179,6 +183,11 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
     Returns the stored fact."""
     if late not in ("drop", "upsert"):
         raise ValueError("late must be 'drop' or 'upsert'")
+    if partitions is not None:
+        if not {"year", "month"} <= set(raw.columns):
+            raw = raw.withColumns({"year": F.year("tpep_pickup_datetime").cast("int"),
+                                   "month": F.month("tpep_pickup_datetime").cast("int")})
+        raw = raw.where(partition_predicate(list(partitions)))
     if not path_exists(spark, fact_root):
         write_partitioned(with_storage_partitions(model(stg_trips(raw, params))), fact_root,
                           mode="overwrite")
@@ -197,6 +206,8 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
         new = model(stg_trips(raw, params, since=floor))
     else:
         stored_keys = target.select("trip_id", *PARTITION_COLS)
+        if partitions is not None:
+            stored_keys = stored_keys.where(partition_predicate(list(partitions)))
         new = model(with_storage_partitions(stg_trips(raw, params)).join(
             stored_keys, ["trip_id", *PARTITION_COLS], "left_anti").drop(*PARTITION_COLS))
     new = with_storage_partitions(new).checkpoint(eager=True)

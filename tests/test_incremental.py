@@ -82,3 +82,20 @@ def test_fact_schema_gate(spark, scratch):
         return to_fact(stg).withColumn("store_id", F.lit(None).cast("int"))
     with pytest.raises(incremental.SchemaChangeError):
         incremental.build_fact(spark, raw, P, path, model=changed_model)
+
+
+def test_upsert_limited_to_loaded_partitions(spark, scratch):
+    path = scratch("fct_parts")
+    jan = dict(vendorid=1, tpep_pickup_datetime=T0, tpep_dropoff_datetime=T0 + dt.timedelta(minutes=20))
+    late_jan = dict(vendorid=2, tpep_pickup_datetime=T0 - dt.timedelta(days=2),
+                    tpep_dropoff_datetime=T0 - dt.timedelta(days=2) + dt.timedelta(minutes=20))
+    late_feb = dict(vendorid=3, tpep_pickup_datetime=dt.datetime(2024, 2, 1, 9),
+                    tpep_dropoff_datetime=dt.datetime(2024, 2, 1, 9, 30))
+    incremental.build_fact(spark, _raw(spark, [jan]), P, path, late="upsert")
+    # only January was reloaded: the February trip waits for its own load
+    incremental.build_fact(spark, _raw(spark, [jan, late_jan, late_feb]), P, path, late="upsert",
+                           partitions=[(2024, 1)])
+    assert sorted(r.vendor_id for r in lake.read_lake(spark, path).collect()) == [1, 2]
+    incremental.build_fact(spark, _raw(spark, [jan, late_jan, late_feb]), P, path, late="upsert",
+                           partitions=[(2024, 2)])
+    assert sorted(r.vendor_id for r in lake.read_lake(spark, path).collect()) == [1, 2, 3]
