@@ -44,11 +44,6 @@ def ntz_literal(value: dt.datetime | dt.date) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def date_literal(value: dt.date) -> Column:
-    """A ``date`` literal from its ISO text."""
-    return F.lit(value.isoformat()).cast("date")
-
-
 def iso_day_of_week(d: str | Column) -> Column:
     """ISO day of week, Monday = 1 .. Sunday = 7."""
     return (F.weekday(_c(d)) + 1).cast("int")

@@ -12,7 +12,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from farebox.functions.numeric import round_exact_ratio_2dp
 from farebox.session import path_exists
@@ -185,7 +184,3 @@ def stray_dates(spark: SparkSession, sources: Sequence[tuple[int, int, str]], ts
         "year", "month", "file_name", "rows", "in_month", stray.alias("stray"),
         round_exact_ratio_2dp(stray.cast("decimal(38,0)"), F.col("rows").cast("decimal(38,0)"), 0, 100)
         .alias("stray_pct"))
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return inline_relation(spark, [], schema)

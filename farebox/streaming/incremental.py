@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.operators.fact import FACT_COLUMNS, to_fact, with_storage_partitions
+from farebox.operators.fact import to_fact, with_storage_partitions
 from farebox.operators.joins import small_side
 from farebox.operators.staging import stg_trips
 from farebox.params import PipelineParams
@@ -219,8 +219,3 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
     merged = kept.unionByName(new.select(*kept.columns)).checkpoint(eager=True)
     replace_partitions(merged, fact_root)
     return read_lake(spark, fact_root)
-
-
-def stored_fact(df: DataFrame) -> DataFrame:
-    """Fact columns of a stored fact (drops the storage partition columns)."""
-    return df.select(*FACT_COLUMNS)

@@ -50,3 +50,15 @@ def test_source_counts_and_stray(spark, scratch):
     assert (stray.rows, stray.in_month, stray.stray) == (3, 1, 2)
     assert str(stray.stray_pct) == "66.67"
     assert F is not None
+
+
+def test_dataset_schema_and_summary(spark, scratch):
+    root = scratch("lake_s")
+    raw = raw_rows(spark, dict(vendorid=1), dict(vendorid=2, tpep_pickup_datetime=dt.datetime(2024, 2, 3)))
+    lake.build_lake([raw.drop("year", "month")], root, "tpep_pickup_datetime")
+    df = lake.read_lake(spark, root)
+    sch = lake.dataset_schema(spark, df).collect()
+    assert [r.column_name for r in sch][-2:] == ["year", "month"]
+    assert sch[0].position == 1 and sch[0].data_type == "int"
+    s = lake.dataset_summary(df).first()
+    assert (s.rows, s.columns) == (2, len(RAW_COLUMN_NAMES)) and s.files >= 2
