@@ -93,11 +93,14 @@ def check_audit_drift(audit_latest: DataFrame, lake: DataFrame, table_name: str)
     """C-09: partitions whose lake row count differs from the audited one
     (e.g. a later file added stray rows to an already loaded month)."""
     audited = (audit_latest.where(F.col("table_name") == table_name)
-               .select(*PARTITION_COLS, F.col("row_count").alias("audited_rows")))
-    counts = lake.groupBy(*PARTITION_COLS).agg(F.count("*").alias("lake_rows"))
-    return (audited.join(counts, list(PARTITION_COLS), "inner")
+               .select(*PARTITION_COLS, F.col("row_count").alias("audited_rows")).alias("a"))
+    counts = lake.groupBy(*PARTITION_COLS).agg(F.count("*").alias("lake_rows")).alias("l")
+    # null-safe on the partition values: the NULL-timestamp partition too
+    same = (F.col("a.year").eqNullSafe(F.col("l.year"))
+            & F.col("a.month").eqNullSafe(F.col("l.month")))
+    return (audited.join(counts, same, "inner")
                    .where(F.col("audited_rows") != F.col("lake_rows"))
-                   .select(*PARTITION_COLS, "audited_rows", "lake_rows"))
+                   .select("a.year", "a.month", "audited_rows", "lake_rows"))
 
 
 def schema_change_verdict(spark: SparkSession, target: DataFrame, new: DataFrame) -> DataFrame:

@@ -115,8 +115,12 @@ def load_partitions(spark: SparkSession, lake_root: str, raw_root: str, audit_ro
     lake = read_lake(spark, lake_root)
     counts = lake.groupBy(*PARTITION_COLS).agg(F.count("*").alias("row_count"))
     if not full_refresh:
-        done = loaded_partitions(read_audit(spark, audit_root), table_name)
-        counts = counts.join(done, list(PARTITION_COLS), "left_anti")
+        done = loaded_partitions(read_audit(spark, audit_root), table_name).alias("done")
+        c = counts.alias("c")
+        # null-safe: the NULL-timestamp partition counts as loaded too
+        same = (F.col("c.year").eqNullSafe(F.col("done.year"))
+                & F.col("c.month").eqNullSafe(F.col("done.month")))
+        counts = c.join(small_side(done, MAX_LISTED_PARTITIONS), same, "left_anti")
     todo = counts.limit(MAX_LISTED_PARTITIONS + 1).collect()
     if len(todo) > MAX_LISTED_PARTITIONS:
         raise ValueError(f"more than {MAX_LISTED_PARTITIONS} partitions to load in one run")

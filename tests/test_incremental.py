@@ -99,3 +99,14 @@ def test_upsert_limited_to_loaded_partitions(spark, scratch):
     incremental.build_fact(spark, _raw(spark, [jan, late_jan, late_feb]), P, path, late="upsert",
                            partitions=[(2024, 2)])
     assert sorted(r.vendor_id for r in lake.read_lake(spark, path).collect()) == [1, 2, 3]
+
+
+def test_null_partition_is_loaded_once(spark, scratch):
+    lake_root, raw_root, audit_root = scratch("lake_n"), scratch("raw_n"), scratch("audit_n")
+    rows = [dict(vendorid=1), dict(vendorid=2, tpep_pickup_datetime=None)]
+    lake.build_lake([raw_rows(spark, *rows).drop("year", "month")], lake_root, "tpep_pickup_datetime")
+    first = incremental.load_partitions(spark, lake_root, raw_root, audit_root)
+    assert sorted(((r.year, r.month, r.row_count) for r in first.collect()),
+                  key=lambda t: (t[0] is not None, t[0] or 0)) == [(None, None, 1), (2024, 1, 1)]
+    assert incremental.load_partitions(spark, lake_root, raw_root, audit_root).count() == 0
+    assert spark.read.parquet(raw_root).count() == 2
