@@ -1,6 +1,6 @@
 """Benchmark: the headline path at one scale factor.
 
-Steps (each the median of 3 warm runs after one warm-up):
+Steps (each the median of 5 warm runs after one warm-up):
   lake_build        trip source -> partitioned Parquet lake (S-05/S-06)
   raw_load          lake -> raw table, full refresh + audit (S-09..S-12)
   dims_build        dimension tables (S-14..S-16, S-18)
@@ -8,6 +8,7 @@ Steps (each the median of 3 warm runs after one warm-up):
   top_pickup_zones  stored fact ⋈ stored dim_location, top 5 (J-01, A-08, O-02)
   weekend_revenue_by_quarter, tip_rate_reliable      star reports on stored marts
   trips_by_month, quality_counters, busiest_hours   profile queries
+  scan_*            pruned vs full scans (partition pruning, column pruning)
 
 Prints ONE JSON line. Env: BENCH_SF_DIR (default /root/testdata/sf0.1),
 BENCH_CPUS (default 8).
@@ -29,7 +30,7 @@ from farebox.session import build_session, scratch_path  # noqa: E402
 from farebox.sources import fixtures, lake  # noqa: E402
 from farebox.streaming import incremental  # noqa: E402
 
-RUNS = 3
+RUNS = 5
 
 
 def timed(fn, runs=RUNS):
@@ -87,6 +88,17 @@ def main():
         lambda: profile.weekend_revenue_by_quarter(fact, marts["dim_date"]).collect())
     q["tip_rate_reliable"] = timed(lambda: profile.tip_rate_reliable(fact, marts["dim_payment_type"]).collect())
     q["trips_by_month"] = timed(lambda: profile.trips_by_month(raw).collect())
+    # pruning demos of the reference, measured: one month vs whole lake
+    # (2 columns), and 2 columns vs every column of one file
+    lk = lake.read_lake(spark, lake_path)
+    two = ["trip_distance", "total_amount"]
+    q["scan_lake_all_2cols"] = timed(lambda: lk.select(*two).write.mode("overwrite").format("noop").save())
+    one_month = lake.read_partition(spark, lake_path, 1996, 1, two)
+    q["scan_lake_one_month_2cols"] = timed(lambda: one_month.write.mode("overwrite").format("noop").save())
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    q["scan_file_all_cols"] = timed(lambda: li.write.mode("overwrite").format("noop").save())
+    q["scan_file_2cols"] = timed(
+        lambda: li.select("l_quantity", "l_extendedprice").write.mode("overwrite").format("noop").save())
     q["quality_counters"] = timed(lambda: profile.quality_counters(raw).collect())
     q["busiest_hours"] = timed(lambda: profile.busiest_hours(ev, "ts", "value").collect())
 
