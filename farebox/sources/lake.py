@@ -8,6 +8,7 @@ large share of all rows over several writer tasks instead of one.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -120,6 +121,23 @@ def dataset_schema(spark: SparkSession, df: DataFrame) -> DataFrame:
     return inline_relation(spark, rows, "position int, column_name string, data_type string")
 
 
+# Fixed value: monthly source files carry their month as YYYY-MM in the name
+# (e.g. "<type>_tripdata_2024-01.parquet").
+MONTH_IN_NAME = re.compile(r"(\d{4})-(\d{2})(?:\.parquet)?/?$")
+
+
+def stated_months(paths: Iterable[str]) -> list[tuple[int, int, str]]:
+    """(year, month, path) for source files named ``..._YYYY-MM.parquet``;
+    names without that pattern are rejected (a source must state its month)."""
+    out = []
+    for p in paths:
+        m = MONTH_IN_NAME.search(p)
+        if not m:
+            raise ValueError(f"no YYYY-MM month in source name: {p}")
+        out.append((int(m.group(1)), int(m.group(2)), p))
+    return out
+
+
 def _source_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 

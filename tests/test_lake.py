@@ -62,3 +62,11 @@ def test_dataset_schema_and_summary(spark, scratch):
     assert sch[0].position == 1 and sch[0].data_type == "int"
     s = lake.dataset_summary(df).first()
     assert (s.rows, s.columns) == (2, len(RAW_COLUMN_NAMES)) and s.files >= 2
+
+
+def test_stated_months_from_names():
+    import pytest
+    got = lake.stated_months(["/x/yellow_tripdata_2024-01.parquet", "s3://b/l/green_tripdata_2023-12.parquet/"])
+    assert [(y, m) for y, m, _ in got] == [(2024, 1), (2023, 12)]
+    with pytest.raises(ValueError):
+        lake.stated_months(["/x/events.parquet"])
