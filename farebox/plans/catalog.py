@@ -72,6 +72,14 @@ class Workspace:
             return path
         return self._once("lake_full", build)
 
+    # the trip source landed as monthly files by arrival (dropoff) month
+    def landing(self) -> str:
+        def build():
+            path = f"{self.root}/landing"
+            lake.land_monthly(fixtures.trip_source(self.spark, self.sf_dir), path, "tpep_dropoff_datetime")
+            return path
+        return self._once("landing", build)
+
     # raw table after: load of the arrived trips, lake rebuilt with all
     # trips, incremental load. Returns (lake v2, raw, audit) paths.
     def incremental_raw(self) -> tuple[str, str, str]:
@@ -197,6 +205,13 @@ def q_stray_dates(spark, sf):
     return lake.stray_dates(spark, _event_sources(sf), "ts")
 
 
+def q_stray_dates_trips(spark, sf):
+    _prep(spark)
+    root = Workspace.of(spark, sf).landing()
+    months = [m for m in lake.list_sources(spark, root) if "__HIVE_DEFAULT_PARTITION__" not in m]
+    return lake.stray_dates(spark, lake.stated_months(months), "tpep_pickup_datetime")
+
+
 def q_aligned_raw(spark, sf):
     _prep(spark)
     path = Workspace.of(spark, sf).lake_full()
@@ -405,6 +420,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dataset_summary": q_dataset_summary,
     "source_file_counts": q_source_file_counts,
     "stray_dates": q_stray_dates,
+    "stray_dates_trips": q_stray_dates_trips,
     "aligned_raw": q_aligned_raw,
     "partition_replace": q_partition_replace,
     "audit_latest": q_audit_latest,

@@ -288,6 +288,20 @@ SELECT CAST({EV_Y1} AS INTEGER) AS year, CAST({EV_M1} AS INTEGER) AS month,
        {ratio_2dp('CAST(rows - in_month AS DECIMAL(38,0))', 'CAST(rows AS DECIMAL(38,0))', 0, 100)} AS stray_pct
 FROM c"""
 
+SQL["stray_dates_trips"] = with_(RAW_CTE) + f"""
+, c AS (
+  SELECT CAST(year(tpep_dropoff_datetime) AS INTEGER) AS year,
+         CAST(month(tpep_dropoff_datetime) AS INTEGER) AS month,
+         'file_month=' || strftime(tpep_dropoff_datetime, '%Y-%m') AS file_name,
+         count(*) AS rows,
+         count(*) FILTER (WHERE year(tpep_pickup_datetime) = year(tpep_dropoff_datetime)
+                            AND month(tpep_pickup_datetime) = month(tpep_dropoff_datetime)) AS in_month
+  FROM raw WHERE tpep_dropoff_datetime IS NOT NULL GROUP BY 1, 2, 3
+)
+SELECT year, month, file_name, rows, in_month, rows - in_month AS stray,
+       {ratio_2dp('CAST(rows - in_month AS DECIMAL(38,0))', 'CAST(rows AS DECIMAL(38,0))', 0, 100)} AS stray_pct
+FROM c"""
+
 SQL["aligned_raw"] = with_(RAW_CTE) + f"\nSELECT {RAW_COLS} FROM raw"
 
 SQL["partition_replace"] = with_(RAW_CTE) + """

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions.numeric import round_exact_ratio_2dp
+from farebox.operators.joins import small_side
 from farebox.session import path_exists
 from farebox.sources.seeds import inline_relation
 
@@ -138,39 +139,87 @@ def stated_months(paths: Iterable[str]) -> list[tuple[int, int, str]]:
     return out
 
 
+def land_monthly(df: DataFrame, root: str, ts_col: str) -> None:
+    """Land rows as monthly source files (one folder per month of
+    ``ts_col``, named ``file_month=YYYY-MM``), like a feed that delivers one
+    file per month. One partitioned write; rows without a time are kept in
+    the default partition."""
+    (df.withColumn("file_month", F.date_format(ts_col, "yyyy-MM"))
+       .hint("rebalance", "file_month")
+       .write.mode("overwrite").partitionBy("file_month").parquet(root))
+
+
+def list_sources(spark: SparkSession, root: str) -> list[str]:
+    """Sorted sub-folders / files directly below ``root`` (a directory
+    listing through the Hadoop FileSystem, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(conf)
+    names = [st.getPath().toString() for st in fs.listStatus(p)]
+    return sorted(n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", ".")))
+
+
 def _source_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
+def _qualified(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """(scheme-less qualified path, is_directory) of an existing path."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    q = fs.makeQualified(p)
+    return _strip_scheme(q.toString()), bool(fs.getFileStatus(q).isDirectory())
+
+
+def _strip_scheme(uri: str) -> str:
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", uri).rstrip("/")
+
+
 def _tagged_sources(spark: SparkSession, sources: Sequence[tuple[int, int, str]],
-                    cols: Sequence[str]) -> DataFrame | None:
-    """One scan per present source, each tagged with its stated year, month
-    and name as literals, combined with UNION ALL (sources are monthly
-    files: tens to hundreds of scans, each pruned to ``cols``)."""
+                    ts_col: str | None = None) -> DataFrame | None:
+    """All present sources in ONE scan (reading only ``ts_col``, as ``ts``,
+    or no data column at all), each row tagged with its source's stated
+    year, month and name.
+
+    A row's source is its file (file sources) or the file's folder (folder
+    sources), read from ``_metadata.file_path`` and matched with an
+    equi-join to the source list -- one row per monthly source, broadcast
+    after a size check."""
     present, _ = existing_sources(spark, [p for _, _, p in sources])
-    frames = [spark.read.parquet(p).select(
-                  F.lit(y).cast("int").alias("year"), F.lit(m).cast("int").alias("month"),
-                  F.lit(_source_name(p)).alias("file_name"), *cols)
-              for y, m, p in sources if p in present]
-    if not frames:
+    if not present:
         return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    present_set = set(present)
+    tags, file_keys = [], []
+    for y, m, p in sources:
+        if p in present_set:
+            key, is_dir = _qualified(spark, p)
+            tags.append((key, y, m, _source_name(p)))
+            if not is_dir:
+                file_keys.append(key)
+    tag_df = inline_relation(spark, tags, "_src string, year int, month int, file_name string")
+    fp = F.regexp_replace(F.url_decode(F.col("_metadata.file_path")), r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    src_key = F.when(fp.isin(file_keys), fp).otherwise(F.regexp_replace(fp, "/[^/]*$", "")) \
+        if file_keys else F.regexp_replace(fp, "/[^/]*$", "")
+    cols = [F.col(ts_col).alias("ts")] if ts_col else []
+    rows = spark.read.parquet(*present).select(src_key.alias("_src"), *cols)
+    return (rows.join(small_side(tag_df, 1_000_000), "_src")
+                .select("year", "month", "file_name", *(["ts"] if ts_col else [])))
 
 
 def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, str]]) -> DataFrame:
     """S-19 + A-09: row count per expected source (year, month, path).
 
-    Present sources are scanned without decoding any data column (row
+    Present sources are read in one scan that decodes no data column (row
     counts come from the Parquet footers) and counted per source; the
     expected list is merged in (union + max) so a missing month shows up with ``rows``
     NULL and ``is_missing`` true. ``total_rows`` repeats the grand total on
     every row (a scalar subquery over the per-source counts)."""
     exp = inline_relation(spark, [(y, m, _source_name(p), None) for y, m, p in expected],
                           "year int, month int, file_name string, rows bigint")
-    tagged = _tagged_sources(spark, expected, [])
+    tagged = _tagged_sources(spark, expected)
     if tagged is None:
         counts = inline_relation(spark, [], "year int, month int, file_name string, rows bigint")
     else:
@@ -187,8 +236,8 @@ def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, s
 def stray_dates(spark: SparkSession, sources: Sequence[tuple[int, int, str]], ts_col: str) -> DataFrame:
     """C-07 / A-06: per source file, rows inside the file's stated month and
     rows outside it (a NULL timestamp counts as outside), with the share.
-    One pruned scan per source (only ``ts_col`` is read), partial counts."""
-    rows = _tagged_sources(spark, sources, [F.col(ts_col).alias("ts")])
+    One scan over all sources (only ``ts_col`` is read), partial counts."""
+    rows = _tagged_sources(spark, sources, ts_col)
     if rows is None:
         return inline_relation(spark, [], "year int, month int, file_name string, rows bigint, "
                                           "in_month bigint, stray bigint, stray_pct decimal(18,2)")
