@@ -140,9 +140,13 @@ def tip_rate_reliable(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
 
 
 def payment_type_usage(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
-    """Payment dimension with its trip counts (every member, 0 if unused)."""
+    """Payment dimension with its trip counts (every member, 0 if unused).
+
+    No size check on the aggregated side: counting it would aggregate the
+    whole fact a second time. Its shuffle output is measured by AQE, which
+    turns the join into a broadcast at run time (a few rows per code)."""
     per_type = fact.groupBy("payment_type_id").agg(F.count("*").alias("trips"))
     dp = dim_payment.withColumn("payment_type_id", F.col("payment_type_id").cast("bigint"))
-    return (dp.join(small_side(per_type), "payment_type_id", "left")
+    return (dp.join(per_type, "payment_type_id", "left")
               .select("payment_type_id", "payment_type_name", "is_card_payment",
                       "tips_are_reliable", F.coalesce(F.col("trips"), F.lit(0)).alias("trips")))
