@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farebox.functions.temporal import ntz_literal
 from farebox.operators.fact import to_fact, with_storage_partitions
 from farebox.operators.joins import small_side
 from farebox.operators.staging import stg_trips
@@ -164,6 +166,27 @@ def schema_differences(target: T.StructType, new: T.StructType) -> list[tuple[st
     return out
 
 
+# Fixed value: the mark used when the fact is empty.
+HWM_DEFAULT = dt.datetime(1900, 1, 1)
+
+
+def high_water_mark(target: DataFrame) -> dt.datetime | None:
+    """A-07: ``max(pickup_at)`` of the stored fact (None if it is empty).
+
+    The fact is partitioned by pickup month, so the maximum lies in the
+    newest (year, month) partition: that partition is found from partition
+    values alone (no data column is read), then ``pickup_at`` is read from
+    that one month only. Computed once; as a literal the mark prunes raw
+    partitions at planning time and reaches the Parquet reader as a pushed
+    filter (row groups older than the mark are skipped), which a scalar
+    subquery in the filter does not do."""
+    last = target.agg(F.max(F.col("year") * 100 + F.col("month"))).first()[0]
+    if last is None:
+        return target.agg(F.max("pickup_at")).first()[0]
+    newest = target.where((F.col("year") == last // 100) & (F.col("month") == last % 100))
+    return newest.agg(F.max("pickup_at")).first()[0]
+
+
 def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact_root: str,
                late: str = "drop", model: Callable[[DataFrame], DataFrame] = to_fact,
                partitions: Sequence[tuple[int | None, int | None]] | None = None) -> DataFrame:
@@ -172,9 +195,10 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
     First run: staging -> fact, written partitioned by pickup month.
     Later runs:
     ``late="drop"`` (the reference's rule): only trips with ``pickup_at`` >
-    max(pickup_at) of the stored fact. The mark is a scalar subquery pushed
-    into staging, so the raw scan is pruned to the partitions at or after
-    it and the dedupe shuffles only new trips.
+    max(pickup_at) of the stored fact (1900-01-01 if empty). The mark
+    (``high_water_mark``) is pushed into staging as a literal, so the raw
+    scan is pruned to the partitions at or after it and the dedupe
+    shuffles only new trips.
     ``late="upsert"``: every staged trip whose key is absent from the fact
     (anti-join on trip_id + partition), so late arrivals are kept.
     ``partitions`` (e.g. the (year, month) list ``load_partitions`` returns)
@@ -205,8 +229,8 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
         raise SchemaChangeError(f"fact schema changed: {diffs}")
 
     if late == "drop":
-        hwm = target.agg(F.max("pickup_at")).scalar()
-        floor = F.coalesce(hwm, F.lit("1900-01-01 00:00:00").cast("timestamp_ntz"))
+        hwm = high_water_mark(target)
+        floor = ntz_literal(hwm if hwm is not None else HWM_DEFAULT)
         new = model(stg_trips(raw, params, since=floor))
     else:
         stored_keys = target.select("trip_id", *PARTITION_COLS)

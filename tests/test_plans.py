@@ -28,3 +28,37 @@ def test_lake_one_month_is_pruned(spark):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in p
     assert "ReadSchema: struct<trip_distance:double,total_amount:double>" in p
+
+
+def test_high_water_mark_prunes_raw_scan(spark, scratch):
+    """The fact's mark is read from its newest month only and reaches the
+    raw scan as a partition bound and a pushed Parquet filter."""
+    import datetime as dt
+
+    from conftest import raw_rows
+    from farebox.functions.temporal import ntz_literal
+    from farebox.operators.staging import stg_trips
+    from farebox.params import PipelineParams
+    from farebox.sources import lake
+    from farebox.streaming import incremental
+
+    P = PipelineParams()
+    t1, t2 = dt.datetime(2024, 1, 10, 8), dt.datetime(2024, 3, 1, 9, 0, 0, 1234)
+    rows = [dict(vendorid=1, tpep_pickup_datetime=t1, tpep_dropoff_datetime=t1 + dt.timedelta(minutes=20)),
+            dict(vendorid=2, tpep_pickup_datetime=t2, tpep_dropoff_datetime=t2 + dt.timedelta(minutes=30))]
+    rp, fp = scratch("raw_hwm"), scratch("fct_hwm")
+    raw_rows(spark, *rows).write.partitionBy("year", "month").parquet(rp)
+    incremental.build_fact(spark, spark.read.parquet(rp), P, fp)
+    hwm = incremental.high_water_mark(lake.read_lake(spark, fp))
+    assert hwm == t2
+    df = stg_trips(spark.read.parquet(rp), P, since=ntz_literal(hwm))
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        p = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    assert "((year#" in p and ">= 202403)" in p  # partitions before March pruned
+    assert "GreaterThan(tpep_pickup_datetime,2024-03-01T09:00:00.001234)" in p
+    assert "Subquery" not in p
+    assert df.count() == 0  # strict >: the row at the mark is not new
