@@ -180,14 +180,17 @@ def _strip_scheme(uri: str) -> str:
 
 def _tagged_sources(spark: SparkSession, sources: Sequence[tuple[int, int, str]],
                     ts_col: str | None = None) -> DataFrame | None:
-    """All present sources in ONE scan (reading only ``ts_col``, as ``ts``,
-    or no data column at all), each row tagged with its source's stated
-    year, month and name.
-
-    A row's source is its file (file sources) or the file's folder (folder
-    sources), read from ``_metadata.file_path`` and matched with an
-    equi-join to the source list -- one row per monthly source, broadcast
-    after a size check."""
+    """Row counts of all present sources from ONE scan (reading only
+    ``ts_col``, or no data column at all), per source (its stated year,
+    month and name) and, with ``ts_col``, per year and month of that
+    column (``ts_year``, ``ts_month``; NULL for a NULL time), in ``n``.
+
+    Rows are counted per file path first (partial aggregation in every
+    task), so the path normalisation and the match with the source list
+    run on a few rows per file, not on every row. A file's source is the
+    file itself (file sources) or its folder (folder sources), matched with
+    an equi-join to the source list -- one row per monthly source,
+    broadcast after a size check."""
     present, _ = existing_sources(spark, [p for _, _, p in sources])
     if not present:
         return None
@@ -200,13 +203,17 @@ def _tagged_sources(spark: SparkSession, sources: Sequence[tuple[int, int, str]]
             if not is_dir:
                 file_keys.append(key)
     tag_df = inline_relation(spark, tags, "_src string, year int, month int, file_name string")
-    fp = F.regexp_replace(F.url_decode(F.col("_metadata.file_path")), r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    ts_parts = ["ts_year", "ts_month"] if ts_col else []
+    ts_cols = [F.year(ts_col).alias("ts_year"), F.month(ts_col).alias("ts_month")] if ts_col else []
+    per_file = (spark.read.parquet(*present)
+                .select(F.col("_metadata.file_path").alias("_fp"), *ts_cols)
+                .groupBy("_fp", *ts_parts).agg(F.count("*").alias("n")))
+    fp = F.regexp_replace(F.url_decode(F.col("_fp")), r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
     src_key = F.when(fp.isin(file_keys), fp).otherwise(F.regexp_replace(fp, "/[^/]*$", "")) \
         if file_keys else F.regexp_replace(fp, "/[^/]*$", "")
-    cols = [F.col(ts_col).alias("ts")] if ts_col else []
-    rows = spark.read.parquet(*present).select(src_key.alias("_src"), *cols)
-    return (rows.join(small_side(tag_df, 1_000_000), "_src")
-                .select("year", "month", "file_name", *(["ts"] if ts_col else [])))
+    return (per_file.select(src_key.alias("_src"), *ts_parts, "n")
+                    .join(small_side(tag_df, 1_000_000), "_src")
+                    .select("year", "month", "file_name", *ts_parts, "n"))
 
 
 def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, str]]) -> DataFrame:
@@ -223,7 +230,7 @@ def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, s
     if tagged is None:
         counts = inline_relation(spark, [], "year int, month int, file_name string, rows bigint")
     else:
-        counts = tagged.groupBy("year", "month", "file_name").agg(F.count("*").alias("rows"))
+        counts = tagged.groupBy("year", "month", "file_name").agg(F.sum("n").alias("rows"))
     # expected rows carry NULL counts; present sources add theirs (no join)
     keys = ["year", "month", "file_name"]
     out = exp.unionByName(counts).groupBy(*keys).agg(F.max("rows").alias("rows"))
@@ -236,15 +243,17 @@ def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, s
 def stray_dates(spark: SparkSession, sources: Sequence[tuple[int, int, str]], ts_col: str) -> DataFrame:
     """C-07 / A-06: per source file, rows inside the file's stated month and
     rows outside it (a NULL timestamp counts as outside), with the share.
-    One scan over all sources (only ``ts_col`` is read), partial counts."""
+    One scan over all sources (only ``ts_col`` is read), counted per file
+    and month of ``ts_col`` before anything else."""
     rows = _tagged_sources(spark, sources, ts_col)
     if rows is None:
         return inline_relation(spark, [], "year int, month int, file_name string, rows bigint, "
                                           "in_month bigint, stray bigint, stray_pct decimal(18,2)")
-    in_month = (F.year("ts") == F.col("year")) & (F.month("ts") == F.col("month"))
+    in_month = F.coalesce((F.col("ts_year") == F.col("year")) & (F.col("ts_month") == F.col("month")),
+                          F.lit(False))
     agg = rows.groupBy("year", "month", "file_name").agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.coalesce(in_month, F.lit(False))).alias("in_month"),
+        F.sum("n").alias("rows"),
+        F.sum(F.when(in_month, F.col("n")).otherwise(F.lit(0).cast("bigint"))).alias("in_month"),
     )
     stray = F.col("rows") - F.col("in_month")
     return agg.select(
