@@ -62,3 +62,14 @@ def test_high_water_mark_prunes_raw_scan(spark, scratch):
     assert "GreaterThan(tpep_pickup_datetime,2024-03-01T09:00:00.001234)" in p
     assert "Subquery" not in p
     assert df.count() == 0  # strict >: the row at the mark is not new
+
+
+def test_stray_dates_count_per_file_before_source_join(spark):
+    """Rows are counted per file (and month) in the scan stage; the path
+    parsing and the join to the source list see only those counts."""
+    df = catalog.q_stray_dates_trips(spark, SF_SMALL)
+    p = plan_of(df).split("== Initial Plan ==")[0]
+    lines = p.splitlines()
+    j = next(i for i, l in enumerate(lines) if "BroadcastHashJoin [_src" in l)
+    assert "HashAggregate(keys=[_fp" in lines[j + 1]
+    assert "partial_count(1)" in p
