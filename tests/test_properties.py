@@ -63,3 +63,34 @@ def test_ratio_pct_is_one_half_up_rounding(spark, rows):
     got = [r[0] for r in df.select(round_exact_ratio_2dp(F.col("a"), F.col("b"), 2, 100)).collect()]
     want = [_half_up(a * 100 / b) if b > 0 else None for a, b in rows]
     assert got == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(min_value=0, max_value=3),        # trip (key columns)
+                          st.sampled_from([5.0, 12.5, -1.0, 20.0]),     # fare (outside the key)
+                          st.sampled_from([0.0, 1.0, 2.5]),             # tip (outside the key)
+                          st.sampled_from([1.0, None, 3.0])),           # passengers (outside the key)
+                min_size=1, max_size=40),
+       st.randoms(use_true_random=False))
+def test_staging_is_independent_of_row_order(spark, rows, rnd):
+    """Copies of a trip share its key but may differ elsewhere; the copy
+    kept (and so the staged result) must not depend on the input order or
+    partitioning."""
+    import datetime as dt
+
+    from conftest import raw_rows
+    from farebox.operators.staging import stg_trips
+    from farebox.params import PipelineParams
+
+    t0 = dt.datetime(2024, 1, 10, 8)
+    recs = [dict(vendorid=1, tpep_pickup_datetime=t0 + dt.timedelta(hours=k),
+                 tpep_dropoff_datetime=t0 + dt.timedelta(hours=k, minutes=25),
+                 fare_amount=fare, tip_amount=tip, passenger_count=pax)
+            for k, fare, tip, pax in rows]
+    shuffled = recs[:]
+    rnd.shuffle(shuffled)
+    P = PipelineParams()
+    a = stg_trips(raw_rows(spark, *recs).coalesce(1), P).collect()
+    b = stg_trips(raw_rows(spark, *shuffled).repartition(3), P).collect()
+    assert sorted(a) == sorted(b)
+    assert len({r.trip_id for r in a}) == len(a)
