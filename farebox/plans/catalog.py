@@ -279,9 +279,9 @@ def q_fct_incremental_upsert(spark, sf):
 
 
 def _dim_location_matched_only(spark, sf):
-    """The location dimension without zones above 20. Every zone of the
-    seed occurs in the fact, so this is how fact keys without a dimension
-    row arise for J-03 and C-03 to find; the fact is still read whole."""
+    """The location dimension without zones above 20, so that fact keys
+    above 20 have no dimension row: J-03 and C-03 then have orphan keys to
+    route or report. Only the dimension is reduced; the fact is read whole."""
     d = _dim_location(spark, sf)
     return d.where(F.col("location_id") <= UNMATCHED_MAX_LOCATION_ID)
 
