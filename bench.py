@@ -5,6 +5,7 @@ Steps (each the median of 5 warm runs after one warm-up):
   raw_load          lake -> raw table, full refresh + audit (S-09..S-12)
   dims_build        dimension tables (S-14..S-16, S-18)
   stg_fact_build    raw table -> staging -> fact table (W-01, S-13 first run)
+  fact_incremental_nothing_new   later fact run, high-water mark, no new rows (S-13, P-22)
   top_pickup_zones  stored fact ⋈ stored dim_location, top 5 (J-01, A-08, O-02)
   weekend_revenue_by_quarter, tip_rate_reliable      star reports on stored marts
   trips_by_month, quality_counters, busiest_hours   profile queries
@@ -78,6 +79,9 @@ def main():
         stg_fact.fact_path = fact_path
     q["stg_fact_build"] = timed(stg_fact)
     rows_per_sec["stg_fact_build"] = n_src / q["stg_fact_build"]
+    # a later run with nothing new: the high-water mark prunes raw to its month
+    q["fact_incremental_nothing_new"] = timed(lambda: incremental.build_fact(
+        spark, spark.read.parquet(raw_path), P, stg_fact.fact_path, late="drop"))
 
     marts = Marts(marts_root).read(spark, fact_path=stg_fact.fact_path)
     fact, dim = marts["fct_trips"], marts["dim_location"]

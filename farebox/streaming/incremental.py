@@ -223,10 +223,6 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
 
     target = read_lake(spark, fact_root)
     stored_cols = [c for c in target.columns if c not in PARTITION_COLS]
-    diffs = schema_differences(target.select(*stored_cols).schema,
-                               model(stg_trips(raw, params)).schema)
-    if diffs:
-        raise SchemaChangeError(f"fact schema changed: {diffs}")
 
     if late == "drop":
         hwm = high_water_mark(target)
@@ -238,6 +234,10 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
             stored_keys = stored_keys.where(partition_predicate(list(partitions)))
         new = model(with_storage_partitions(stg_trips(raw, params)).join(
             stored_keys, ["trip_id", *PARTITION_COLS], "left_anti").drop(*PARTITION_COLS))
+    # C-08 on the rows this run would write (one plan, analysed once)
+    diffs = schema_differences(target.select(*stored_cols).schema, new.schema)
+    if diffs:
+        raise SchemaChangeError(f"fact schema changed: {diffs}")
     new = with_storage_partitions(new).checkpoint(eager=True)
     touched = new.select(*PARTITION_COLS).distinct()
     if touched.isEmpty():
