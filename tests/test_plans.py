@@ -73,3 +73,13 @@ def test_stray_dates_count_per_file_before_source_join(spark):
     j = next(i for i, l in enumerate(lines) if "BroadcastHashJoin [_src" in l)
     assert "HashAggregate(keys=[_fp" in lines[j + 1]
     assert "partial_count(1)" in p
+
+
+def test_metadata_reports_read_no_data_column(spark):
+    """File layout, dataset summary and source counts come from file
+    metadata, partition values and footer row counts only."""
+    import re
+    for name in ("lake_layout", "dataset_summary", "source_file_counts"):
+        p = plan_of(catalog.QUERIES[name](spark, SF_SMALL))
+        schemas = set(re.findall(r"ReadSchema: struct<[^>]*>", p))
+        assert schemas == {"ReadSchema: struct<>"}, (name, schemas)
