@@ -59,25 +59,20 @@ def apply_pipeline_conf(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Root folder on storage every executor can reach.
+    """Root folder on storage every executor can reach: ``spark.checkpoint.dir``.
 
-    Taken from ``spark.checkpoint.dir`` (the cluster names it). Only when the
-    session has none -- local runs and tests -- do we set one ourselves.
+    Where it is unset, a session on one machine (``local[..]``: tests, bench)
+    gets a folder of its own; on a cluster there is no safe guess, so it is
+    an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # Spark Connect has no SparkContext
-            root = None
-    if not root:
-        root = tempfile.mkdtemp(prefix="farebox-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:
-        pass
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             "executors share: stored tables and checkpoints go there")
+        root = os.path.join(tempfile.gettempdir(), f"farebox-{os.getuid()}")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -88,11 +83,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path, so it works
-    for HDFS/S3/ABFS as well as local files."""
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(conf).exists(p))
-    except Exception:
-        return os.path.exists(path.removeprefix("file:"))
+    for HDFS/S3/ABFS as well as local files. A file system that cannot be
+    reached is an error, never "absent"."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).exists(p))
