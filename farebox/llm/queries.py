@@ -5,18 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import superkmers
+from . import ann, simhash, superkmers, topk
 from .runtime import table
 
 
+def op5_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                      "component_id")
+
+
+def op6_adaptive_dimension_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op9_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = superkmers.remove_repeated_words(docs)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_tiled_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 QUERIES = {
+    "op5_simhash_pigeonring": op5_simhash_pigeonring,
+    "op6_adaptive_dimension_ann": op6_adaptive_dimension_ann,
     "op9_super_kmer_dedup": op9_super_kmer_dedup,
+    "op10_tiled_top_k": op10_tiled_top_k,
 }
 
 SQL: dict[str, str] = {}
