@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, simhash, superkmers, topk
+from . import ann, secret_ledger, simhash, superkmers, topk
 from .runtime import table
 
 
+def op4_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_ledger.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("spans", lambda x: x["kind"] == F.lit(k))).cast("long").alias(f"n_{k}")
+              for k in ("assign", "access", "hex")]
+    base = F.filter("spans", lambda x: x["kind"].isin("assign", "access", "hex"))
+    return out.select("doc_id", *counts,
+                      F.sha2(secret_ledger.joined(base), 256).alias("base_sha256"),
+                      secret_ledger.joined("spans").alias("spans"))
+
+
 def op5_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -30,6 +40,7 @@ def op10_tiled_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_blob_ledger_secrets": op4_blob_ledger_secrets,
     "op5_simhash_pigeonring": op5_simhash_pigeonring,
     "op6_adaptive_dimension_ann": op6_adaptive_dimension_ann,
     "op9_super_kmer_dedup": op9_super_kmer_dedup,
