@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, packing, secret_ledger, simhash, superkmers, topk
+from . import ann, packing, quality, secret_ledger, simhash, superkmers, topk
 from .runtime import table
 
 
@@ -15,6 +15,14 @@ def op2_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
+def op3_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    out = quality.score(docs, model, keep=["doc_id"])
+    return out.select("doc_id", (~quality.in_training()).alias("held_out"), "score",
+                      (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
 def op4_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_ledger.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.size(F.filter("spans", lambda x: x["kind"] == F.lit(k))).cast("long").alias(f"n_{k}")
@@ -47,6 +55,7 @@ def op10_tiled_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_retrieval_packing": op2_retrieval_packing,
+    "op3_bradley_terry_quality": op3_bradley_terry_quality,
     "op4_blob_ledger_secrets": op4_blob_ledger_secrets,
     "op5_simhash_pigeonring": op5_simhash_pigeonring,
     "op6_adaptive_dimension_ann": op6_adaptive_dimension_ann,
