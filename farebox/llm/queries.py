@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, packing, quality, secret_ledger, simhash, superkmers, topk
+from . import ann, packing, quality, secret_ledger, simhash, superkmers, topk, toxicity
 from .runtime import table
 
 
@@ -43,6 +43,14 @@ def op6_adaptive_dimension_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
 
 
+def op7_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs, model, keep=["doc_id"])
+    return out.select("doc_id", (~quality.in_training()).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = superkmers.remove_repeated_words(docs)
@@ -59,6 +67,7 @@ QUERIES = {
     "op4_blob_ledger_secrets": op4_blob_ledger_secrets,
     "op5_simhash_pigeonring": op5_simhash_pigeonring,
     "op6_adaptive_dimension_ann": op6_adaptive_dimension_ann,
+    "op7_boosted_toxicity": op7_boosted_toxicity,
     "op9_super_kmer_dedup": op9_super_kmer_dedup,
     "op10_tiled_top_k": op10_tiled_top_k,
 }
