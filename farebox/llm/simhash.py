@@ -211,9 +211,10 @@ def links(nodes: DataFrame, most: int = MAX_BITS, block: int = BLOCK) -> DataFra
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, version, fp, component_id): rows whose fingerprints differ in
+    """(doc_id, version, fp, component, component_id): rows whose fingerprints differ in
     at most ``most`` bits are linked; ``component_id`` is the smallest id
-    reachable.
+    reachable; ``component`` names the component also where all its ids are
+    null.
 
     Fingerprints: ASCII-lower-cased words, shingles of ``shingle`` words with
     repeats, XXH64 with seed 42; a bit is set if over half of the hashes set
@@ -228,5 +229,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BIT
     roots = components(links(nodes, most)).withColumnRenamed("node", "fp")
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "version", "fp", "component_id")
+    classes = rooted.join(least, "root").select("fp", F.col("root").alias("component"), "component_id")
+    return prints.join(classes, "fp").select("doc_id", "version", "fp", "component", "component_id")

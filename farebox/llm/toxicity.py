@@ -190,11 +190,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: int
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns (default: all) of each row and ``score``, the
+    """The ``keep`` columns (default: all but a former ``score``) of each row and
+    ``score``, the
     calibrated probability of label 1; a null text scores as the empty one.
     The text is the only input."""
     prepare(docs.sparkSession)
-    keep = docs.columns if keep is None else keep
+    keep = docs.drop("score").columns if keep is None else keep
     names = [f"c{i}" for i in range(len(keep))]
     rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)), F.col(f"`{text_col}`").alias("t"))
     if model.trees is None:
