@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,8 @@ from .runtime import prepare, shuffle_width
 WINDOW = 20
 GRAM = 4
 CHUNK_BYTES = 8 << 20        # text that a task holds at a time
-BUCKET_BYTES = 32 << 20      # text for each bucket
+BUCKET_BYTES = 12 << 20      # text for each bucket
+PIECE_WORDS = 1 << 20        # words hashed at a time in a bucket
 SAMPLE_BYTES = 16 << 20      # text read to find frequent minimisers
 
 BLOCK = T.StructType([
@@ -40,17 +42,23 @@ BLOCK = T.StructType([
 MARK = T.StructType([
     T.StructField("doc", T.LongType()), T.StructField("version", T.LongType()),
     T.StructField("start", T.LongType()), T.StructField("n", T.LongType())])
-RUN = np.dtype([("doc", "<i8"), ("version", "<i8"), ("start", "<i8"), ("n", "<i8")])
+# A run of windows; columns are stored one after the other, which compresses best.
+RUN = (("doc", "<i8"), ("version", "<u4"), ("start", "<u4"), ("n", "<u4"))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, version, text): an id that orders and identifies a row, null ids
     first; rows of one id with different texts are told apart by version."""
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc"),
-                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"),
+                       version(text_col).alias("version"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def version(text_col: str):
+    """32 bits of a hash that tell the texts of one id apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 def dense_rank(x: np.ndarray) -> np.ndarray:
     return np.unique(x, return_inverse=True)[1].astype(np.int64)
 
@@ -81,19 +89,24 @@ def _frequent(docs: DataFrame, total: int, width: int, gram: int, share: float)
     return np.sort(np.array([r.m for r in rows], dtype=np.int64).view(np.uint64))
 
 
-def _pack(arrays: np.ndarray, zip_) -> bytes:
-    return zip_.compress(np.ascontiguousarray(arrays).tobytes())
+def by_spelling(w: W.Words) -> W.Words:
+    """The same words with codes in the vocabulary's order: vocabularies of
+    buckets come sorted, which compresses best."""
+    by = pc.sort_indices(w.vocab).to_numpy()
+    rank = np.empty(len(by), dtype=np.int32)
+    rank[by] = np.arange(len(by), dtype=np.int32)
+    return W.Words(rank[w.codes], w.bounds, w.vocab.take(pa.array(by)))
 
 
 def _split(buckets: int, hot: np.ndarray, width: int, gram: int):
     def run(batches):
-        zip_ = zstandard.ZstdCompressor(level=1)
+        zip_ = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for a, n in W.chunks(batch.column("text"), CHUNK_BYTES):
                 part = batch.slice(a, n)
                 ids = part.column("doc").to_numpy()
                 version = part.column("version").to_numpy()
-                w = W.encode(part.column("text"))
+                w = by_spelling(W.encode(part.column("text")))
                 h = W.hash_words(w.vocab)[w.codes]
                 windows = W.window_hash(h, width)
                 starts = np.flatnonzero(W.starts_inside(w.bounds, width)[:len(windows)])
@@ -113,8 +126,8 @@ def _split(buckets: int, hot: np.ndarray, width: int, gram: int):
                 first, length = W.runs_of(starts[marks], doc[marks])
                 if len(first):
                     at = marks[first]
-                    yield _rows([int(ids[0]) % buckets], [None], [None],
-                                [_runs(ids, version, doc[at], inside[at], length, zip_)])
+                    yield block_rows([int(ids[0]) % buckets], [None], [None],
+                                [pack_places(ids[doc[at]], version[doc[at]], inside[at], length, zip_)])
                 low, grams = _minimisers(h, width, gram)
                 route = (low % np.uint64(buckets)).astype(np.int32)
                 if len(hot):
@@ -127,42 +140,58 @@ def _split(buckets: int, hot: np.ndarray, width: int, gram: int):
                 first, length = W.runs_of(starts[keep], doc[keep], route[starts[keep]])
                 at = keep[first]
                 to = route[starts[at]]
-                by = np.argsort(to, kind="stable")
-                at, length, to = at[by], length[by], to[by]
-                edges = np.flatnonzero(np.diff(to, prepend=-1, append=buckets))
-                lut = np.zeros(len(w.vocab), dtype=np.int32)
-                for i, j in zip(edges[:-1], edges[1:]):
-                    codes = w.codes[W.ragged(starts[at[i:j]], length[i:j] + (width - 1))]
-                    used = np.unique(codes)
-                    lut[used] = np.arange(len(used), dtype=np.int32)
-                    small = np.uint16 if len(used) <= 1 << 16 else np.uint32
-                    vocab = b"\n".join(w.vocab.take(pa.array(used)).to_pylist())
-                    head = b"2" if small is np.uint16 else b"4"
-                    yield _rows([int(to[i])], [zip_.compress(vocab)],
-                                [head + _pack(lut[codes].astype(small), zip_)],
-                                [_runs(ids, version, doc[at[i:j]], inside[at[i:j]], length[i:j], zip_)])
+                yield from packed_runs(w, starts[at], length, to, ids[doc[at]], version[doc[at]],
+                                       inside[at], width, zip_)
     return run
 
 
-def _runs(ids, version, doc, start, length, zip_) -> bytes:
-    out = np.empty(len(doc), dtype=RUN)
-    out["doc"], out["version"], out["start"], out["n"] = ids[doc], version[doc], start, length
-    return _pack(out, zip_)
+def packed_runs(w: W.Words, at: np.ndarray, n: np.ndarray, to: np.ndarray, ids: np.ndarray,
+                version: np.ndarray, inside: np.ndarray, width: int, zip_):
+    """One block for each bucket ``to`` of the runs of ``n`` windows that start
+    at the words ``at``: a sorted vocabulary, the words as codes of it, and
+    where each run is from."""
+    by = np.argsort(to, kind="stable")
+    at, n, to, ids, version, inside = at[by], n[by], to[by], ids[by], version[by], inside[by]
+    edges = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
+    lut = np.zeros(len(w.vocab), dtype=np.int32)
+    for i, j in zip(edges[:-1], edges[1:]):
+        codes = w.codes[W.ragged(at[i:j], n[i:j] + (width - 1))]
+        used = np.unique(codes)
+        lut[used] = np.arange(len(used), dtype=np.int32)
+        small, mark = (np.uint16, b"2") if len(used) <= 1 << 16 else (np.uint32, b"4")
+        vocab = b"\n".join(w.vocab.take(pa.array(used)).to_pylist())
+        yield block_rows([int(to[i])], [zip_.compress(vocab)],
+                    [mark + zip_.compress(lut[codes].astype(small).tobytes())],
+                    [pack_places(ids[i:j], version[i:j], inside[i:j], n[i:j], zip_)])
+
+
+def pack_places(ids, version, start, n, zip_) -> bytes:
+    columns = (ids, version, start, n)
+    return zip_.compress(b"".join(x.astype(t).tobytes() for x, (_, t) in zip(columns, RUN)))
+
+
+def read_places(blob: bytes, unzip) -> dict[str, np.ndarray]:
+    raw = unzip.decompress(blob)
+    n = len(raw) // sum(np.dtype(t).itemsize for _, t in RUN)
+    out, at = {}, 0
+    for name, t in RUN:
+        out[name] = np.frombuffer(raw, dtype=t, count=n, offset=at).astype(np.int64)
+        at += n * np.dtype(t).itemsize
+    return out
 
 
-def _rows(bucket, vocab, codes, runs) -> pa.RecordBatch:
+def block_rows(bucket, vocab, codes, runs) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket, pa.int32()), pa.array(vocab, pa.binary()), pa.array(codes, pa.binary()),
          pa.array(runs, pa.binary())], BLOCK.names)
 
 
-def _mark_rows(runs: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.ascontiguousarray(runs[c])) for c in RUN.names], MARK.names)
+def mark_rows(runs: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(runs[c]) for c in MARK.names], MARK.names)
 
 
-def _repeats(vocabs: list[bytes], codes: list[bytes], runs: list[bytes], width: int) -> np.ndarray:
-    """Of one bucket: the runs of windows that also start earlier."""
+def open_blocks(vocabs: list[bytes], codes: list[bytes], runs: list[bytes]):
+    """(words as codes, hash of each code's word, runs) of a bucket's blocks."""
     unzip = zstandard.ZstdDecompressor()
     known: dict[bytes, int] = {}
     parts = []
@@ -172,22 +201,35 @@ def _repeats(vocabs: list[bytes], codes: list[bytes], runs: list[bytes], width:
         kind = np.uint16 if c[:1] == b"2" else np.uint32
         parts.append(lut[np.frombuffer(unzip.decompress(c[1:]), dtype=kind)])
     flat = np.concatenate(parts)
-    run = np.concatenate([np.frombuffer(unzip.decompress(r), dtype=RUN) for r in runs])
-    h = W.hash_words(pa.array(known.keys(), pa.large_binary()))[flat]
-    bounds = np.zeros(len(run) + 1, dtype=np.int64)
-    np.cumsum(run["n"] + (width - 1), out=bounds[1:])
-    windows = W.window_hash(h, width)
-    starts = np.flatnonzero(W.starts_inside(bounds, width)[:len(windows)])
-    of = np.repeat(np.arange(len(run)), run["n"])
-    inside = run["start"][of] + (starts - bounds[of])
+    del parts
+    tables = [read_places(r, unzip) for r in runs]
+    run = {name: np.concatenate([t[name] for t in tables]) for name, _ in RUN}
+    return flat, W.hash_words(pa.array(known.keys(), pa.large_binary())), run
+
+
+def _repeats(vocabs: list[bytes], codes: list[bytes], runs: list[bytes], width: int) -> dict:
+    """Of one bucket: the runs of windows that also start earlier."""
+    flat, by_word, run = open_blocks(vocabs, codes, runs)
+    ends = np.cumsum(run["n"] + (width - 1))
+    begins = ends - run["n"] - (width - 1)
+    starts = W.ragged(begins, run["n"])
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    upto = np.concatenate([[0], np.cumsum(run["n"])])
+    a = 0
+    while a < len(ends):  # whole runs at a time
+        b = max(a + 1, int(np.searchsorted(ends, begins[a] + PIECE_WORDS, side="right")))
+        h = W.window_hash(by_word[flat[begins[a]:ends[b - 1]]], width)
+        hashes[upto[a]:upto[b]] = h[starts[upto[a]:upto[b]] - begins[a]]
+        a = b
+    of = np.repeat(np.arange(len(ends), dtype=np.int32), run["n"])
+    inside = run["start"][of] + (starts - begins[of])
     order = (dense_rank(run["doc"])[of] << 32) | inside
-    dup, head = W.equal_windows(windows[starts], flat, starts, width, order)
+    dup, head = W.equal_windows(hashes, flat, starts, width, order)
     later = np.sort(dup[order[dup] > order[dup[head]]])
     first, length = W.runs_of(starts[later], of[later])
     at = later[first]
-    out = run[of[at]].copy()
-    out["start"], out["n"] = inside[at], length
-    return out
+    return {"doc": run["doc"][of[at]], "version": run["version"][of[at]], "start": inside[at],
+            "n": length}
 
 
 def _count(width: int):
@@ -197,15 +239,15 @@ def _count(width: int):
         for batch in batches:
             for row in batch.to_pylist():
                 if row["codes"] is None:
-                    yield _mark_rows(np.frombuffer(unzip.decompress(row["runs"]), dtype=RUN))
+                    yield mark_rows(read_places(row["runs"], unzip))
                     continue
                 if held and row["bucket"] != now:
-                    yield _mark_rows(_repeats(*zip(*held), width))
+                    yield mark_rows(_repeats(*zip(*held), width))
                     held = []
                 now = row["bucket"]
                 held.append((row["vocab"], row["codes"], row["runs"]))
         if held:
-            yield _mark_rows(_repeats(*zip(*held), width))
+            yield mark_rows(_repeats(*zip(*held), width))
     return run
 
 
@@ -262,8 +304,9 @@ def remove_repeated_words(docs: DataFrame, width: int = WINDOW, gram: int = GRAM
     than the other. Rows of one id with different texts are ordered by the
     window's place. An empty table gives an empty result.
     """
+    docs = docs.drop("n_words", "n_removed", "kept_text")  # replaced by the new ones
     names = docs.columns
-    rows = docs.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    rows = docs.toDF(*(f"c{i}" for i in range(len(names))))
     at_id, at_text = names.index(id_col), names.index(text_col)
     keys = keyed(rows, f"c{at_id}", f"c{at_text}")
     marks = (repeated_windows(keys, width, gram).groupBy("doc", "version")
@@ -272,7 +315,7 @@ def remove_repeated_words(docs: DataFrame, width: int = WINDOW, gram: int = GRAM
                      F.col("m.n").alias("lengths")))
     own = rows.withColumns({
         "doc": F.coalesce(F.col(f"c{at_id}").cast("long"), F.lit(-(1 << 63))),
-        "version": F.xxhash64(F.coalesce(F.col(f"c{at_text}"), F.lit("")))})
+        "version": version(f"c{at_text}")})
     joined = own.join(marks, ["doc", "version"], "left").drop("doc", "version")
     k = len(names)
     schema = T.StructType([*rows.schema.fields, T.StructField(f"c{k}", T.LongType()),
