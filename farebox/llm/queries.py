@@ -6,10 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, packing, quality, secret_ledger, simhash, superkmers, topk, toxicity
+from . import ann, lattice, packing, quality, secret_ledger, simhash, suffixes, superkmers, topk, toxicity
 from .runtime import table
 
 
+def op1_lattice_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of each document, and the SHA-256 of the text they spell."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = lattice.decode_pieces(lattice.sample_pieces(docs, model), model)
+    return out.select("doc_id", "n_pieces", "ids", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op2_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).drop("ids")
@@ -51,6 +59,10 @@ def op7_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_sparse_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = superkmers.remove_repeated_words(docs)
@@ -62,12 +74,14 @@ def op10_tiled_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lattice_sampling": op1_lattice_sampling,
     "op2_retrieval_packing": op2_retrieval_packing,
     "op3_bradley_terry_quality": op3_bradley_terry_quality,
     "op4_blob_ledger_secrets": op4_blob_ledger_secrets,
     "op5_simhash_pigeonring": op5_simhash_pigeonring,
     "op6_adaptive_dimension_ann": op6_adaptive_dimension_ann,
     "op7_boosted_toxicity": op7_boosted_toxicity,
+    "op8_sparse_suffix_arrays": op8_sparse_suffix_arrays,
     "op9_super_kmer_dedup": op9_super_kmer_dedup,
     "op10_tiled_top_k": op10_tiled_top_k,
 }
