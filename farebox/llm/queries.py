@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, lattice, packing, quality, secret_ledger, simhash, suffixes, superkmers, topk, toxicity
+from .oracle import SQL  # noqa: F401
 from .runtime import table
 
 
@@ -86,4 +87,4 @@ QUERIES = {
     "op10_tiled_top_k": op10_tiled_top_k,
 }
 
-SQL: dict[str, str] = {}
+
