@@ -6,6 +6,8 @@ Steps (each the median of 5 warm runs after one warm-up):
   dims_build        dimension tables (S-14..S-16, S-18)
   stg_fact_build    raw table -> staging -> fact table (W-01, S-13 first run)
   fact_incremental_nothing_new   later fact run, high-water mark, no new rows (S-13, P-22)
+  fact_incremental_new_day       later fact run with one new day, appended
+  fact_corrected_month           one month loaded again, its partition replaced
   top_pickup_zones  stored fact ⋈ stored dim_location, top 5 (J-01, A-08, O-02)
   weekend_revenue_by_quarter, tip_rate_reliable      star reports on stored marts
   trips_by_month, quality_counters, busiest_hours   profile queries
@@ -17,6 +19,7 @@ BENCH_CPUS (default 8).
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 import statistics
@@ -25,6 +28,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from farebox.operators import profile  # noqa: E402
 from farebox.plans.marts import Marts, build_dimensions  # noqa: E402
 from farebox.session import build_session, scratch_path  # noqa: E402
@@ -52,7 +57,10 @@ def main():
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     P = fixtures.FIXTURE_PARAMS
 
-    src = fixtures.trip_source(spark, sf_dir)
+    # the source as a stored feed, so that the lake write alone is measured
+    feed = scratch_path(spark, "bench_feed")
+    fixtures.trip_source(spark, sf_dir).repartition(cpus).write.parquet(feed)
+    src = spark.read.parquet(feed)
     n_src = src.count()
     q, rows_per_sec = {}, {}
 
@@ -83,6 +91,19 @@ def main():
     q["fact_incremental_nothing_new"] = timed(lambda: incremental.build_fact(
         spark, spark.read.parquet(raw_path), P, stg_fact.fact_path, late="drop"))
 
+    raw_all = spark.read.parquet(raw_path)
+    last_day = P.end - dt.timedelta(days=880)
+    early = raw_all.where(F.col("tpep_pickup_datetime") < F.lit(str(last_day)).cast("timestamp_ntz"))
+    day = raw_all.where(F.col("tpep_pickup_datetime") < F.lit(str(last_day + dt.timedelta(days=1)))
+                        .cast("timestamp_ntz"))
+    days = iter([f"{stg_fact.fact_path}_day{i}" for i in range(RUNS + 1)])
+    for i in range(RUNS + 1):
+        incremental.build_fact(spark, early, P, f"{stg_fact.fact_path}_day{i}")
+    q["fact_incremental_new_day"] = timed(lambda: incremental.build_fact(spark, day, P, next(days)))
+    month = [(last_day.year, last_day.month)]
+    q["fact_corrected_month"] = timed(lambda: incremental.build_fact(
+        spark, raw_all, P, f"{stg_fact.fact_path}_day0", late="upsert", partitions=month))
+
     marts = Marts(marts_root).read(spark, fact_path=stg_fact.fact_path)
     fact, dim = marts["fct_trips"], marts["dim_location"]
     raw = spark.read.parquet(raw_path)

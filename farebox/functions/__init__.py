@@ -7,7 +7,8 @@ from farebox.functions.numeric import (
     half_even_int,
     round_exact_ratio_2dp,
     round_numeric,
-    sum_2dp,
+    money_2dp,
+    money_sum,
 )
 from farebox.functions.temporal import (
     duration_minutes,
@@ -19,6 +20,6 @@ from farebox.functions.temporal import (
 
 __all__ = [
     "date_key", "surrogate_key", "exact_mean_2dp", "half_even_int",
-    "round_exact_ratio_2dp", "round_numeric", "sum_2dp", "duration_minutes",
+    "round_exact_ratio_2dp", "round_numeric", "money_2dp", "money_sum", "duration_minutes",
     "duration_minutes_2dp", "duration_us", "iso_day_of_week", "ntz_literal",
 ]

@@ -29,15 +29,28 @@ def half_even_int(c: Column | str) -> Column:
 
 def round_numeric(c: Column | str, scale: int = 2) -> Column:
     """``round(x::numeric, scale)`` for a double: 15 significant digits, then
-    HALF_UP. NULL, NaN, +-Infinity and out-of-range values give NULL."""
-    text = F.format_string("%.15g", _c(c))
-    as_dec = text.try_cast("decimal(38,15)")
-    return F.round(as_dec, scale).try_cast(f"decimal(18,{scale})")
+    HALF_UP. NULL gives NULL; NaN, +-Infinity and values that do not fit
+    ``decimal(18, scale)`` raise, so no sum over the result can lose a row.
 
+    The 15-digit text is only needed where it can decide the rounding: within
+    its own error of a tie. Everywhere else the plain decimal rounds alike."""
+    x = _c(c)
+    shifted = F.abs(x) * F.lit(float(10 ** scale))
+    near_tie = F.abs(shifted - F.floor(shifted) - F.lit(0.5)) <= shifted * F.lit(1e-14) + F.lit(1e-9)
+    large = shifted >= F.lit(1e14)  # also NaN and Infinity
+    text = F.format_string("%.15g", x).cast("decimal(38,15)")
+    return F.round(F.when(large | near_tie, text).otherwise(x.cast("decimal(38,15)")), scale).cast(
+        f"decimal(18,{scale})")
 
-def sum_2dp(c: Column | str) -> Column:
-    """Exact sum of per-row 2-decimal numerics, typed ``decimal(38,2)``."""
-    return F.sum(round_numeric(c)).cast("decimal(38,2)")
+
+def money_sum(c: Column | str) -> Column:
+    """Exact sum of an amount, typed ``decimal(38,6)``; rounded by no one yet."""
+    return F.sum(_c(c).cast("decimal(38,6)")).cast("decimal(38,6)")
+
+
+def money_2dp(c: Column) -> Column:
+    """An exact sum rounded once, HALF_UP, to 2 decimals."""
+    return F.round(c, 2).cast("decimal(38,2)")
 
 
 def _int_div(a: Column, b: Column) -> Column:

@@ -2,8 +2,7 @@
 DataFrame of violations or a one-row verdict; none raises by itself.
 
 All checks are aggregations or anti-joins with partial aggregation per
-task, so a key that holds a large share of the rows is combined map-side;
-dimension sides are broadcast only after a size check.
+task, so a key that holds a large share of the rows is combined map-side.
 """
 
 from __future__ import annotations
@@ -11,13 +10,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions import ntz_literal
-from farebox.operators.joins import small_side
 from farebox.sources.lake import PARTITION_COLS
-from farebox.sources.seeds import inline_relation
 
 
 def check_unique(df: DataFrame, key: str) -> DataFrame:
@@ -39,7 +36,7 @@ def check_relationships(fact: DataFrame, checks: Mapping[str, tuple[DataFrame, s
     One pass over the fact: the foreign-key columns are unpivoted to
     (column_name, key_value) and counted (partial aggregation), then
     anti-joined once with the union of every dimension's distinct keys
-    tagged by column (a size-checked broadcast)."""
+    tagged by column."""
     fks = list(checks)
     keyed = fact.select(*[F.col(fk).cast("bigint").alias(fk) for fk in fks]).unpivot(
         [], fks, "column_name", "key_value")
@@ -51,7 +48,7 @@ def check_relationships(fact: DataFrame, checks: Mapping[str, tuple[DataFrame, s
         k = dim.select(F.lit(fk).alias("column_name"),
                        F.col(dim_key).cast("bigint").alias("key_value")).distinct()
         dim_keys = k if dim_keys is None else dim_keys.unionByName(k)
-    missing = per_key.join(small_side(dim_keys), ["column_name", "key_value"], "left_anti")
+    missing = per_key.join(dim_keys, ["column_name", "key_value"], "left_anti")
     return missing.select("column_name", "key_value", "rows")
 
 
@@ -90,24 +87,39 @@ def check_freshness(df: DataFrame, ts_col: str, as_of: dt.datetime, max_age: dt.
 
 
 def check_audit_drift(audit_latest: DataFrame, lake: DataFrame, table_name: str) -> DataFrame:
-    """C-09: partitions whose lake row count differs from the audited one
-    (e.g. a later file added stray rows to an already loaded month)."""
+    """C-09: partitions whose lake row count differs from the audited one: a
+    later file added rows to a loaded month, a loaded month is gone from the
+    lake, or a lake month was never loaded (the missing side counts 0)."""
     audited = (audit_latest.where(F.col("table_name") == table_name)
-               .select(*PARTITION_COLS, F.col("row_count").alias("audited_rows")).alias("a"))
-    counts = lake.groupBy(*PARTITION_COLS).agg(F.count("*").alias("lake_rows")).alias("l")
-    # null-safe on the partition values: the NULL-timestamp partition too
-    same = (F.col("a.year").eqNullSafe(F.col("l.year"))
-            & F.col("a.month").eqNullSafe(F.col("l.month")))
-    return (audited.join(counts, same, "inner")
-                   .where(F.col("audited_rows") != F.col("lake_rows"))
-                   .select("a.year", "a.month", "audited_rows", "lake_rows"))
-
-
-def schema_change_verdict(spark: SparkSession, target: DataFrame, new: DataFrame) -> DataFrame:
-    """C-08: one row per added / removed / retyped column (empty when the
-    schemas agree); the incremental fact writer refuses such a change."""
-    from farebox.streaming.incremental import schema_differences
-    diffs = schema_differences(target.schema, new.schema)
-    rows = [(c, t, n, "added" if t is None else "removed" if n is None else "retyped")
-            for c, t, n in diffs]
-    return inline_relation(spark, rows, "column_name string, target_type string, new_type string, change string")
+               .select(*PARTITION_COLS, F.col("row_count").alias("audited_rows"),
+                       F.lit(0).cast("long").alias("lake_rows")))
+    counts = lake.groupBy(*PARTITION_COLS).agg(F.lit(0).cast("long").alias("audited_rows"),
+                                               F.count("*").alias("lake_rows"))
+    # union and sum instead of an outer join: NULL partition values group too
+    return (audited.unionByName(counts).groupBy(*PARTITION_COLS)
+            .agg(F.sum("audited_rows").alias("audited_rows"), F.sum("lake_rows").alias("lake_rows"))
+            .where(F.col("audited_rows") != F.col("lake_rows")))
+
+
+def check_model_keys(models: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """C-01 and C-02 for every model's key: (model, key, rows, null_keys,
+    repeated_keys), one row per model."""
+    out = None
+    for model, (df, key) in models.items():
+        per_key = df.groupBy(F.col(key).cast("string").alias("k")).agg(F.count("*").alias("n"))
+        row = per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
+            F.count_if(F.col("k").isNotNull() & (F.col("n") > 1)).alias("repeated_keys"))
+        row = row.select(F.lit(model).alias("model"), F.lit(key).alias("key"), "rows", "null_keys", "repeated_keys")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def check_load_freshness(audit: DataFrame, as_of: dt.datetime, max_age: dt.timedelta) -> DataFrame:
+    """C-06 for the pipeline itself: per table, whether its newest load is at
+    most ``max_age`` old at ``as_of``, whatever the data's own times say, and
+    the rows of its latest loads."""
+    age = F.timestamp_diff("SECOND", F.max("loaded_at"), ntz_literal(as_of))
+    return audit.groupBy("table_name").agg(
+        (age <= int(max_age.total_seconds())).alias("is_fresh"), F.sum("row_count").alias("audited_rows"))

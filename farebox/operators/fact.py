@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from farebox.functions import date_key, round_numeric
 from farebox.functions.temporal import duration_minutes_2dp, duration_us
-from farebox.operators.joins import small_side
 
 UNKNOWN_ID = -1
 
@@ -56,9 +55,9 @@ def with_storage_partitions(fact: DataFrame) -> DataFrame:
 def route_unmatched_to_unknown(fact: DataFrame, dim: DataFrame, dim_key: str,
                                fks: Sequence[str], unknown: int = UNKNOWN_ID) -> DataFrame:
     """J-03: foreign keys without a dimension row (and NULLs) become the
-    unknown member. The distinct dimension keys are broadcast after a size
-    check; a left join on distinct keys never multiplies fact rows."""
-    keys = small_side(dim.select(F.col(dim_key).alias("_dim_key")).distinct())
+    unknown member. A left join on distinct keys never multiplies fact
+    rows; AQE broadcasts the keys where their measured size allows."""
+    keys = dim.select(F.col(dim_key).alias("_dim_key")).distinct()
     out = fact
     for fk in fks:
         k = keys.withColumnRenamed("_dim_key", f"_dim_key_{fk}")

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.functions import exact_mean_2dp, round_exact_ratio_2dp, sum_2dp
-from farebox.operators.joins import small_side
+from farebox.functions import exact_mean_2dp, money_2dp, money_sum, round_exact_ratio_2dp
 
 
 def top_k(df: DataFrame, measure: str, k: int, *tie_break: str) -> DataFrame:
@@ -26,7 +25,7 @@ def trips_by_zone(fact: DataFrame, dim_location: DataFrame, fk: str = "pickup_lo
     """J-01 + A-08: trips per (zone_name, borough). Zone names repeat across
     ids, so the grouping is by name, as in the reference."""
     per_key = fact.groupBy(F.col(fk).alias("location_id")).agg(F.count("*").alias("trips"))
-    dim = small_side(dim_location.select("location_id", "zone_name", "borough"))
+    dim = dim_location.select("location_id", "zone_name", "borough")
     return (per_key.join(dim, "location_id")
                    .groupBy("zone_name", "borough")
                    .agg(F.sum("trips").alias("trips")))
@@ -113,38 +112,38 @@ def rejects_by_rule(renamed_raw: DataFrame, rules: dict) -> DataFrame:
 
 
 def weekend_revenue_by_quarter(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """A-13 + J-05: revenue (exact 2-decimal sums) by year, quarter and
-    weekend flag. The fact is pre-aggregated per date key before the join."""
+    """A-13 + J-05: revenue by year, quarter and weekend flag: exact sums
+    of the amounts, rounded once. The fact is pre-aggregated per date key
+    before the join."""
     per_day = fact.groupBy("pickup_date_key").agg(
-        F.count("*").alias("trips"), sum_2dp("total_amount").alias("revenue"))
-    dd = small_side(dim_date.select("date_key", "year", "quarter", "is_weekend"))
+        F.count("*").alias("trips"), money_sum("total_amount").alias("revenue"))
+    dd = dim_date.select("date_key", "year", "quarter", "is_weekend")
     j = per_day.join(dd, per_day.pickup_date_key == dd.date_key)
     return (j.groupBy("year", "quarter", "is_weekend")
-             .agg(F.sum("trips").alias("trips"), F.sum("revenue").cast("decimal(38,2)").alias("revenue"))
+             .agg(F.sum("trips").alias("trips"), money_2dp(F.sum("revenue")).alias("revenue"))
              .orderBy("year", "quarter", "is_weekend"))
 
 
 def tip_rate_reliable(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
     """A-14 + J-06: tip rate over payment types whose tips are reliable:
-    ratio of exact sums, rounded once."""
+    ratio of exact sums, rounded once; the totals are rounded for display."""
     per_type = fact.groupBy("payment_type_id").agg(
-        F.count("*").alias("trips"), sum_2dp("tip_amount").alias("tips"),
-        sum_2dp("fare_amount").alias("fares"))
-    dp = small_side(dim_payment.where("tips_are_reliable").select("payment_type_id"))
+        F.count("*").alias("trips"), money_sum("tip_amount").alias("tips"),
+        money_sum("fare_amount").alias("fares"))
+    dp = dim_payment.where("tips_are_reliable").select("payment_type_id")
     j = per_type.join(dp, "payment_type_id", "left_semi")
-    s = j.agg(F.sum("trips").alias("trips"), F.sum("tips").cast("decimal(38,2)").alias("tip_total"),
-              F.sum("fares").cast("decimal(38,2)").alias("fare_total"))
-    return s.select("trips", "tip_total", "fare_total",
-                    round_exact_ratio_2dp(F.col("tip_total"), F.col("fare_total"), 2, 100)
-                    .alias("tip_rate_pct"))
+    s = j.agg(F.sum("trips").alias("trips"), F.sum("tips").cast("decimal(38,6)").alias("tips"),
+              F.sum("fares").cast("decimal(38,6)").alias("fares"))
+    return s.select("trips", money_2dp(F.col("tips")).alias("tip_total"),
+                    money_2dp(F.col("fares")).alias("fare_total"),
+                    round_exact_ratio_2dp(F.col("tips"), F.col("fares"), 6, 100).alias("tip_rate_pct"))
 
 
 def payment_type_usage(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
     """Payment dimension with its trip counts (every member, 0 if unused).
 
-    No size check on the aggregated side: counting it would aggregate the
-    whole fact a second time. Its shuffle output is measured by AQE, which
-    turns the join into a broadcast at run time (a few rows per code)."""
+    The aggregated side's shuffle output is measured by AQE, which turns the
+    join into a broadcast at run time (a few rows per code)."""
     per_type = fact.groupBy("payment_type_id").agg(F.count("*").alias("trips"))
     dp = dim_payment.withColumn("payment_type_id", F.col("payment_type_id").cast("bigint"))
     return (dp.join(per_type, "payment_type_id", "left")

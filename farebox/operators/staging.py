@@ -33,10 +33,11 @@ STG_COLUMNS = (
     "congestion_surcharge", "airport_fee", "total_amount", "was_store_and_forward",
 )
 
-# Dedupe order inside one trip_id: pickup time first (as the reference),
-# then every other output column, so the surviving row is fully determined.
+# Dedupe order inside one trip_id: every output column that is not part of
+# the key (pickup time is, so it cannot decide), so the surviving row is
+# fully determined.
 DEDUPE_ORDER = (
-    "pickup_at", "fare_amount", "tip_amount", "trip_distance_miles",
+    "fare_amount", "tip_amount", "trip_distance_miles",
     "passenger_count", "rate_code_id", "payment_type_id", "was_store_and_forward",
     "extra_charges", "mta_tax", "tolls_amount", "improvement_surcharge",
     "congestion_surcharge", "airport_fee",

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,16 +19,16 @@ from pyspark.sql import functions as F
 from farebox.functions import ntz_literal
 from farebox.operators import checks, dims, profile, staging
 from farebox.operators.fact import FACT_COLUMNS, route_unmatched_to_unknown, to_fact
+from farebox.plans import marts
 from farebox.session import apply_pipeline_conf, scratch_path
 from farebox.sources import fixtures, lake, seeds
-from farebox.sources.raw import align_columns, with_load_timestamp
+from farebox.sources.raw import align_columns, read_aligned, with_load_timestamp
 from farebox.streaming import incremental
 
 P = fixtures.FIXTURE_PARAMS
 TABLE_NAME = "yellow_trips"
 # Fixed values used by the named queries below.
 ONE_MONTH = (1996, 1)
-UNMATCHED_MAX_LOCATION_ID = 20
 FRESHNESS_AS_OF = dt.datetime(2024, 2, 1)
 FRESHNESS_MAX_AGE = dt.timedelta(hours=24)
 
@@ -113,13 +112,64 @@ class Workspace:
             return raw_path, audit_path
         return self._once("replaced_raw", build)
 
+    # the same lake after its first partition went missing
+    def shrunk_lake(self) -> tuple[str, str]:
+        def build():
+            _, _, audit_path = self.incremental_raw()
+            path = f"{self.root}/lake_shrunk"
+            src = fixtures.trip_raw(self.spark, self.sf_dir)
+            y, m = ONE_MONTH
+            gone = (F.col("year") == y) & (F.col("month") == m)
+            lake.build_lake([src.where(~F.coalesce(gone, F.lit(False)))], path, "tpep_pickup_datetime")
+            return path, audit_path
+        return self._once("shrunk_lake", build)
+
+    # monthly sources by dropoff month, half of them with another spelling
+    # and another integer type; one stated month has no source
+    def monthly_sources(self) -> list[str]:
+        def build():
+            src = fixtures.trip_source(self.spark, self.sf_dir)
+            even = F.month("tpep_dropoff_datetime") % 2 == 0
+            a, b = f"{self.root}/feed_a", f"{self.root}/feed_b"
+            lake.land_monthly(src.where(F.coalesce(~even, F.lit(True))), a, "tpep_dropoff_datetime")
+            other = src.where(even).withColumn("payment_type", F.col("payment_type").cast("int"))
+            lake.land_monthly(other.toDF(*[c.lower() for c in other.columns]), b, "tpep_dropoff_datetime")
+            return sorted(lake.list_sources(self.spark, a) + lake.list_sources(self.spark, b),
+                          key=lambda p: p.rsplit("/", 1)[-1])
+        return self._once("monthly_sources", build)
+
+    # lake built from all monthly sources but the last, which is appended
+    def lake_of_months(self) -> tuple[str, str, list[str]]:
+        def build():
+            built, grown = f"{self.root}/lake_months", f"{self.root}/lake_grown"
+            sources = self.monthly_sources()
+            absent = [f"{sources[0].rsplit('/', 1)[0]}/file_month=1901-01"]
+            present, missing = lake.existing_sources(self.spark, absent + sources[:-1])
+            rows = read_aligned(self.spark, present)
+            lake.build_lake([rows], built, "tpep_pickup_datetime")
+            lake.build_lake([rows], grown, "tpep_pickup_datetime")
+            lake.append_to_lake(read_aligned(self.spark, sources[-1:]), grown, "tpep_pickup_datetime")
+            return built, grown, missing
+        return self._once("lake_of_months", build)
+
+    # first load: the trips that had arrived; second: all of them. For the
+    # upsert, the first load also holds wrong tips and trips that are later
+    # withdrawn; their months are loaded again.
     def fact_incremental(self, late: str) -> str:
         def build():
             path = f"{self.root}/fct_{late}"
             raw = fixtures.trip_raw(self.spark, self.sf_dir)
             arrived = raw.where(F.col("tpep_dropoff_datetime") < ntz_literal(fixtures.FIXTURE_ARRIVAL_CUTOFF))
+            if late == "upsert":
+                wrong = arrived.withColumn("tip_amount", F.when(F.col("vendorid") == 1, F.col("tip_amount") + 7)
+                                           .otherwise(F.col("tip_amount")))
+                withdrawn = arrived.where("vendorid = 2").withColumn("vendorid", F.lit(99))
+                arrived = wrong.unionByName(withdrawn)
+                months = [(r["year"], r["month"]) for r in raw.select("year", "month").distinct().collect()]
+            else:
+                months = None
             incremental.build_fact(self.spark, arrived, P, path, late=late)
-            incremental.build_fact(self.spark, raw, P, path, late=late)
+            incremental.build_fact(self.spark, raw, P, path, late=late, partitions=months)
             return path
         return self._once(f"fact_{late}", build)
 
@@ -175,18 +225,36 @@ def q_lake_one_month(spark, sf):
 
 def q_lake_partitions(spark, sf):
     _prep(spark)
-    path = Workspace.of(spark, sf).lake_full()
-    return lake.lake_partitions(lake.read_lake(spark, path))
+    return lake.lake_partitions(spark, Workspace.of(spark, sf).lake_full())
 
 
 def q_lake_layout(spark, sf):
+    """Rows per partition next to whether the layout lists files and bytes
+    for it (their numbers depend on the writer's tasks)."""
     _prep(spark)
-    return lake.lake_layout(spark, Workspace.of(spark, sf).lake_full())
+    path = Workspace.of(spark, sf).lake_full()
+    layout = lake.lake_layout(spark, path).alias("f")
+    rows = lake.read_lake(spark, path).groupBy("year", "month").agg(F.count("*").alias("rows")).alias("r")
+    same = F.col("f.year").eqNullSafe(F.col("r.year")) & F.col("f.month").eqNullSafe(F.col("r.month"))
+    return layout.join(rows, same).select("r.year", "r.month", "rows", (F.col("files") >= 1).alias("has_files"),
+                                          (F.col("bytes") > 0).alias("has_bytes"))
 
 
 def q_dataset_summary(spark, sf):
     _prep(spark)
-    return lake.dataset_summary(lake.read_lake(spark, Workspace.of(spark, sf).lake_full()))
+    return lake.dataset_summary(spark, Workspace.of(spark, sf).lake_full()).drop("files")
+
+
+def q_lake_from_monthly_files(spark, sf):
+    _prep(spark)
+    built, _, missing = Workspace.of(spark, sf).lake_of_months()
+    return profile.trips_by_month(lake.read_lake(spark, built)).withColumn("absent_sources", F.lit(len(missing)))
+
+
+def q_lake_append_month(spark, sf):
+    _prep(spark)
+    _, grown, _ = Workspace.of(spark, sf).lake_of_months()
+    return profile.trips_by_month(lake.read_lake(spark, grown))
 
 
 def _event_sources(sf):
@@ -208,8 +276,7 @@ def q_stray_dates(spark, sf):
 def q_stray_dates_trips(spark, sf):
     _prep(spark)
     root = Workspace.of(spark, sf).landing()
-    months = [m for m in lake.list_sources(spark, root) if "__HIVE_DEFAULT_PARTITION__" not in m]
-    return lake.stray_dates(spark, lake.stated_months(months), "tpep_pickup_datetime")
+    return lake.stray_dates(spark, lake.stated_months(lake.list_sources(spark, root)), "tpep_pickup_datetime")
 
 
 def q_aligned_raw(spark, sf):
@@ -238,16 +305,15 @@ def q_incremental_load(spark, sf):
 
 def q_check_audit_drift(spark, sf):
     _prep(spark)
-    lake_path, _, audit_path = Workspace.of(spark, sf).incremental_raw()
+    lake_path, audit_path = Workspace.of(spark, sf).shrunk_lake()
     latest = incremental.audit_latest(incremental.read_audit(spark, audit_path))
     return checks.check_audit_drift(latest, lake.read_lake(spark, lake_path), TABLE_NAME)
 
 
 def q_stg_trips(spark, sf):
     _prep(spark)
-    name = f"stg_trips_{uuid.uuid4().hex[:8]}"
-    _stg(spark, sf).createOrReplaceTempView(name)   # S-17: a view stores nothing
-    return spark.table(name)
+    _stg(spark, sf).createOrReplaceTempView("stg_trips")   # S-17: a view stores nothing
+    return spark.table("stg_trips")
 
 
 def q_stg_dedup(spark, sf):
@@ -278,18 +344,10 @@ def q_fct_incremental_upsert(spark, sf):
     return lake.read_lake(spark, path).select(*FACT_COLUMNS)
 
 
-def _dim_location_matched_only(spark, sf):
-    """The location dimension without zones above 20, so that fact keys
-    above 20 have no dimension row: J-03 and C-03 then have orphan keys to
-    route or report. Only the dimension is reduced; the fact is read whole."""
-    d = _dim_location(spark, sf)
-    return d.where(F.col("location_id") <= UNMATCHED_MAX_LOCATION_ID)
-
-
 def q_fct_unmatched_to_unknown(spark, sf):
     _prep(spark)
     f = _fact(spark, sf)
-    routed = route_unmatched_to_unknown(f, _dim_location_matched_only(spark, sf), "location_id",
+    routed = route_unmatched_to_unknown(f, _dim_location(spark, sf), "location_id",
                                         ["pickup_location_id", "dropoff_location_id"])
     return routed.select("trip_id", "pickup_location_id", "dropoff_location_id")
 
@@ -381,12 +439,50 @@ def q_check_not_null(spark, sf):
 def q_check_relationships(spark, sf):
     _prep(spark)
     return checks.check_relationships(_fact(spark, sf), {
-        "pickup_location_id": (_dim_location_matched_only(spark, sf), "location_id"),
-        "dropoff_location_id": (_dim_location_matched_only(spark, sf), "location_id"),
+        "pickup_location_id": (_dim_location(spark, sf), "location_id"),
+        "dropoff_location_id": (_dim_location(spark, sf), "location_id"),
         "payment_type_id": (dims.dim_payment_type(spark), "payment_type_id"),
+        "pickup_date_key": (dims.dim_date(spark, P.start, P.end), "date_key"),
     })
 
 
+def q_check_model_keys(spark, sf):
+    _prep(spark)
+    fact = lake.read_lake(spark, Workspace.of(spark, sf).fact_incremental("upsert"))
+    return checks.check_model_keys({
+        "raw": (staging.renamed(_raw(spark, sf)), "trip_id"),
+        "fct_trips": (fact, "trip_id"),
+        "dim_location": (_dim_location(spark, sf), "location_id"),
+        "dim_payment_type": (dims.dim_payment_type(spark), "payment_type_id"),
+        "dim_date": (dims.dim_date_covering(fixtures.table(spark, sf, "orders"), "o_orderdate"), "date_key"),
+    })
+
+
+def q_check_load_freshness(spark, sf):
+    """Just after its loads the pipeline is fresh; the same loads seen from
+    two days later are not."""
+    _prep(spark)
+    _, audit_path = Workspace.of(spark, sf).replaced_raw()
+    audit = incremental.audit_latest(incremental.read_audit(spark, audit_path))
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    out = None
+    for when, as_of in (("now", now), ("two days on", now + dt.timedelta(days=2))):
+        row = checks.check_load_freshness(audit, as_of, FRESHNESS_MAX_AGE).withColumn("seen", F.lit(when))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_stored_star_report(spark, sf):
+    """The sample star query over stored tables: every model built once."""
+    _prep(spark)
+    ws = Workspace.of(spark, sf)
+
+    def build():
+        return marts.build_marts(spark, _raw(spark, sf), fixtures.zone_seed(spark, sf), P, f"{ws.root}/marts")
+    m = ws._once("marts", build).read(spark)
+    return profile.top_pickup_zones(m["fct_trips"], m["dim_location"])
+
+
 def q_check_business_rules(spark, sf):
     _prep(spark)
     return checks.check_business_rules(staging.stg_trips(_raw(spark, sf), P, clean=False))
@@ -404,13 +500,19 @@ def q_check_freshness(spark, sf):
 
 
 def q_schema_change_gate(spark, sf):
+    """A changed model is refused, and the stored fact is as it was."""
     _prep(spark)
     path = Workspace.of(spark, sf).fact_incremental("drop")
-    stored = lake.read_lake(spark, path).select(*FACT_COLUMNS)
-    # an upstream change: passenger counts arrive as double, a new column
-    changed = _fact(spark, sf).withColumn("passenger_count", F.col("passenger_count").cast("double")) \
-        .withColumn("store_id", F.lit(None).cast("int"))
-    return checks.schema_change_verdict(spark, stored, changed)
+
+    def changed(stg):
+        return to_fact(stg).withColumns({"passenger_count": F.col("passenger_count").cast("double"),
+                                         "store_id": F.lit(None).cast("int")})
+    try:
+        incremental.build_fact(spark, _raw(spark, sf), P, path, model=changed)
+        refused = False
+    except incremental.SchemaChangeError:
+        refused = True
+    return profile.trips_by_month(lake.read_lake(spark, path)).withColumn("refused", F.lit(refused))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -419,6 +521,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_roundtrip_counts": q_lake_roundtrip_counts,
     "lake_one_month": q_lake_one_month,
     "lake_partitions": q_lake_partitions,
+    "lake_from_monthly_files": q_lake_from_monthly_files,
+    "lake_append_month": q_lake_append_month,
     "lake_layout": q_lake_layout,
     "dataset_summary": q_dataset_summary,
     "source_file_counts": q_source_file_counts,
@@ -455,5 +559,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_reconciliation": q_check_reconciliation,
     "check_freshness": q_check_freshness,
     "check_audit_drift": q_check_audit_drift,
+    "check_model_keys": q_check_model_keys,
+    "check_load_freshness": q_check_load_freshness,
+    "stored_star_report": q_stored_star_report,
     "schema_change_gate": q_schema_change_gate,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from farebox.operators import dims
 from farebox.params import PipelineParams
 from farebox.sources.lake import read_lake
-from farebox.streaming.incremental import build_fact, load_partitions
+from farebox.streaming.incremental import build_fact, load_partitions, note_absorbed, pending_loads
 
 
 @dataclass(frozen=True)
@@ -25,6 +25,11 @@ class Marts:
     def fact(self) -> str:
         return f"{self.root}/fct_trips"
 
+    @property
+    def absorbed(self) -> str:
+        """Ledger of the raw loads that the fact has taken in."""
+        return f"{self.root}/fct_trips_absorbed"
+
     @property
     def dim_date(self) -> str:
         return f"{self.root}/dim_date"
@@ -52,9 +57,10 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def build_dimensions(spark: SparkSession, zone_seed: DataFrame, params: PipelineParams, m: Marts) -> None:
-    """The three dimensions as tables (each bounded: days, zones, codes)."""
+    """The three dimensions as tables. Days and codes are one small file; the
+    zone seed may be any frame, so it keeps its tasks."""
     write_table(dims.dim_date(spark, params.start, params.end).coalesce(1), m.dim_date)
-    write_table(dims.dim_location(zone_seed, params.airport_zones).coalesce(1), m.dim_location)
+    write_table(dims.dim_location(zone_seed, params.airport_zones), m.dim_location)
     write_table(dims.dim_payment_type(spark).coalesce(1), m.dim_payment_type)
 
 
@@ -72,13 +78,15 @@ def refresh_star(spark: SparkSession, lake_root: str, raw_root: str, audit_root:
                  full_refresh: bool = False, table_name: str = "yellow_trips") -> Marts:
     """load -> seed/dimensions -> fact, as plain function composition.
 
-    The raw load returns the (year, month) partitions it (re)loaded; the
-    fact is upserted for exactly those, so a run reads and rewrites only
-    the months that changed."""
-    loaded = load_partitions(spark, lake_root, raw_root, audit_root, table_name, full_refresh)
-    parts = [(r["year"], r["month"]) for r in loaded.select("year", "month").collect()]
+    The fact is upserted for the partitions of every audited load that it has
+    not taken in yet, this run's or an earlier one's that died before its
+    fact was written; these loads are noted after the fact's commit."""
+    load_partitions(spark, lake_root, raw_root, audit_root, table_name, full_refresh)
     m = Marts(marts_root)
     build_dimensions(spark, zone_seed, params, m)
-    if parts:
+    pending = pending_loads(spark, audit_root, m.absorbed, table_name).collect()  # one row per partition
+    if pending:
+        parts = sorted({(r["year"], r["month"]) for r in pending}, key=lambda p: (p[0] is not None, p[0] or 0, p[1] or 0))
         build_fact(spark, spark.read.parquet(raw_root), params, m.fact, late="upsert", partitions=parts)
+        note_absorbed(spark, m.absorbed, table_name, sorted({r["load_id"] for r in pending}))
     return m

@@ -74,15 +74,17 @@ def trip_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                          .when(retip, arr(0, 2)).otherwise(arr(0)))
     b = j.select(
         F.col("l_linenumber").alias("VendorID"),
-        F.col("o_orderdate").alias("tpep_pickup_datetime"),
-        F.col("l_shipdate").alias("tpep_dropoff_datetime"),
+        # some rows have no times, and some ids have no zone
+        F.when(pk % 250 != 9, F.col("o_orderdate")).alias("tpep_pickup_datetime"),
+        F.when(pk % 200 != 3, F.col("l_shipdate")).alias("tpep_dropoff_datetime"),
         F.when(pk % 20 == 0, F.lit(None)).otherwise(F.col("l_quantity") / 2).alias("passenger_count"),
         ((F.col("l_quantity") - 1) * 5).alias("trip_distance"),
         ((pk % 12).cast("double") / 2).alias("RatecodeID"),
         F.when(F.col("l_returnflag") == "R", "Y").when(F.col("l_returnflag") == "N", "N")
          .alias("store_and_fwd_flag"),
-        F.col("c_nationkey").alias("PULocationID"),
-        F.when(F.col("s_nationkey") != 24, F.col("s_nationkey")).alias("DOLocationID"),
+        F.when(pk % 90 == 7, F.lit(264)).otherwise(F.col("c_nationkey")).alias("PULocationID"),
+        F.when(pk % 90 == 11, F.lit(265)).when(F.col("s_nationkey") != 24, F.col("s_nationkey"))
+         .alias("DOLocationID"),
         F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None))
          .otherwise(F.substring("o_orderpriority", 1, 1).cast("bigint")).alias("payment_type"),
         (price - 2000).alias("fare_amount"),

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions.numeric import round_exact_ratio_2dp
-from farebox.operators.joins import small_side
 from farebox.session import path_exists
 from farebox.sources.seeds import inline_relation
 
@@ -43,6 +42,13 @@ def write_partitioned(df: DataFrame, root: str, mode: str = "append",
        .parquet(root))
 
 
+def append_to_lake(df: DataFrame, root: str, ts_col: str) -> None:
+    """S-05: add one more source to a lake: its rows are written next to what
+    is there; nothing else is read or rewritten. Appending a source twice
+    doubles its rows (a rebuild does not)."""
+    write_partitioned(add_partition_columns(df.drop(*PARTITION_COLS), ts_col), root, mode="append")
+
+
 def build_lake(sources: Iterable[DataFrame], root: str, ts_col: str) -> None:
     """S-06 + U-02: full rebuild from all source files in ONE job.
 
@@ -88,32 +94,41 @@ def read_partition(spark: SparkSession, root: str, year: int, month: int,
     return df.select(*columns) if columns else df
 
 
-def lake_partitions(df: DataFrame) -> DataFrame:
-    """S-07 / O-03: sorted distinct (year, month). On a partitioned scan
-    this reads only partition values (no data columns)."""
-    return df.select(*PARTITION_COLS).distinct().orderBy(*PARTITION_COLS)
+def lake_files(spark: SparkSession, root: str) -> DataFrame:
+    """One row per data file: partition columns, path and bytes. The rows come
+    from the file listing; no file is opened."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("basePath", root).load(root)
+            .select(*[F.col(c).cast("int").alias(c) for c in PARTITION_COLS], "path", "length"))
+
+
+def lake_partitions(spark: SparkSession, root: str) -> DataFrame:
+    """S-07 / O-03: sorted distinct (year, month), from the folder names."""
+    return lake_files(spark, root).select(*PARTITION_COLS).distinct().orderBy(*PARTITION_COLS)
+
+
+def newest_partition(spark: SparkSession, root: str) -> tuple[int, int] | None:
+    """The last (year, month) that has a file, from the folder names."""
+    last = lake_files(spark, root).agg(F.max(F.col("year") * 100 + F.col("month"))).first()[0]
+    return None if last is None else (last // 100, last % 100)
 
 
 def lake_layout(spark: SparkSession, root: str) -> DataFrame:
-    """S-20: files and bytes per partition, from file metadata only."""
-    files = (read_lake(spark, root)
-             .select("year", "month", F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_size").alias("file_size"))
-             .distinct())
-    return (files.groupBy("year", "month")
-                 .agg(F.count("*").alias("files"), F.sum("file_size").alias("bytes"))
-                 .orderBy("year", "month"))
-
-
-def dataset_summary(df: DataFrame) -> DataFrame:
-    """S-21: row count, file count and column count of a dataset, in one
-    aggregation pass that reads no data columns."""
-    n_cols = len(df.columns)
-    return df.select(F.col("_metadata.file_path").alias("f")).agg(
-        F.count("*").alias("rows"),
-        F.count_distinct("f").alias("files"),
-        F.lit(n_cols).alias("columns"),
-    )
+    """S-20: files and bytes per partition, from the file listing only."""
+    return (lake_files(spark, root).groupBy("year", "month")
+            .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+            .orderBy("year", "month"))
+
+
+def dataset_summary(spark: SparkSession, root: str) -> DataFrame:
+    """S-21: rows, columns, partitions and files of a stored dataset. Files and
+    partitions come from the listing; the count decodes no data column."""
+    df = read_lake(spark, root)
+    listed = lake_files(spark, root)
+    files = listed.agg(F.count("*")).scalar()
+    partitions = listed.select(F.struct(*PARTITION_COLS).alias("p")).distinct().agg(F.count("*")).scalar()
+    return df.agg(F.count("*").alias("rows")).select(
+        "rows", F.lit(len(df.columns)).alias("columns"), partitions.alias("partitions"), files.alias("files"))
 
 
 def dataset_schema(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -127,11 +142,19 @@ def dataset_schema(spark: SparkSession, df: DataFrame) -> DataFrame:
 MONTH_IN_NAME = re.compile(r"(\d{4})-(\d{2})(?:\.parquet)?/?$")
 
 
-def stated_months(paths: Iterable[str]) -> list[tuple[int, int, str]]:
-    """(year, month, path) for source files named ``..._YYYY-MM.parquet``;
-    names without that pattern are rejected (a source must state its month)."""
+# The folder in which Spark's writer puts rows without a partition value.
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+
+
+def stated_months(paths: Iterable[str]) -> list[tuple[int | None, int | None, str]]:
+    """(year, month, path) for source files named ``..._YYYY-MM.parquet``. The
+    source of rows without a time states no month: (None, None, path), so all
+    its rows count as stray. Other names are rejected."""
     out = []
     for p in paths:
+        if p.rstrip("/").endswith(NO_MONTH):
+            out.append((None, None, p))
+            continue
         m = MONTH_IN_NAME.search(p)
         if not m:
             raise ValueError(f"no YYYY-MM month in source name: {p}")
@@ -164,21 +187,19 @@ def _source_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def _qualified(spark: SparkSession, path: str) -> tuple[str, bool]:
-    """(scheme-less qualified path, is_directory) of an existing path."""
+def _uri(spark: SparkSession, path: str) -> str:
+    """A path's URI in the form that ``_metadata.file_path`` has."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    q = fs.makeQualified(p)
-    return _strip_scheme(q.toString()), bool(fs.getFileStatus(q).isDirectory())
+    return _plain_uri(p.getFileSystem(conf).makeQualified(p).toUri().toString())
 
 
-def _strip_scheme(uri: str) -> str:
-    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", uri).rstrip("/")
+def _plain_uri(uri: str) -> str:
+    return re.sub("^file:/+", "file:/", uri).rstrip("/")
 
 
-def _tagged_sources(spark: SparkSession, sources: Sequence[tuple[int, int, str]],
+def _tagged_sources(spark: SparkSession, sources: Sequence[tuple[int | None, int | None, str]],
                     ts_col: str | None = None) -> DataFrame | None:
     """Row counts of all present sources from ONE scan (reading only
     ``ts_col``, or no data column at all), per source (its stated year,
@@ -186,34 +207,32 @@ def _tagged_sources(spark: SparkSession, sources: Sequence[tuple[int, int, str]]
     column (``ts_year``, ``ts_month``; NULL for a NULL time), in ``n``.
 
     Rows are counted per file path first (partial aggregation in every
-    task), so the path normalisation and the match with the source list
-    run on a few rows per file, not on every row. A file's source is the
-    file itself (file sources) or its folder (folder sources), matched with
-    an equi-join to the source list -- one row per monthly source,
-    broadcast after a size check."""
+    task). A file belongs to the source whose path is the file itself or the
+    longest of its parent folders: each counted file meets the source list
+    under all its prefixes, as URIs, so no decoding is involved. A file
+    without a source is an error, never a lost row."""
     present, _ = existing_sources(spark, [p for _, _, p in sources])
     if not present:
         return None
     present_set = set(present)
-    tags, file_keys = [], []
-    for y, m, p in sources:
-        if p in present_set:
-            key, is_dir = _qualified(spark, p)
-            tags.append((key, y, m, _source_name(p)))
-            if not is_dir:
-                file_keys.append(key)
-    tag_df = inline_relation(spark, tags, "_src string, year int, month int, file_name string")
+    tags = [(_uri(spark, p), y, m, _source_name(p)) for y, m, p in sources if p in present_set]
+    tag_df = inline_relation(spark, tags, "prefix string, year int, month int, file_name string")
     ts_parts = ["ts_year", "ts_month"] if ts_col else []
     ts_cols = [F.year(ts_col).alias("ts_year"), F.month(ts_col).alias("ts_month")] if ts_col else []
-    per_file = (spark.read.parquet(*present)
-                .select(F.col("_metadata.file_path").alias("_fp"), *ts_cols)
-                .groupBy("_fp", *ts_parts).agg(F.count("*").alias("n")))
-    fp = F.regexp_replace(F.url_decode(F.col("_fp")), r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
-    src_key = F.when(fp.isin(file_keys), fp).otherwise(F.regexp_replace(fp, "/[^/]*$", "")) \
-        if file_keys else F.regexp_replace(fp, "/[^/]*$", "")
-    return (per_file.select(src_key.alias("_src"), *ts_parts, "n")
-                    .join(small_side(tag_df, 1_000_000), "_src")
-                    .select("year", "month", "file_name", *ts_parts, "n"))
+    per_file = (spark.read.option("recursiveFileLookup", "true").parquet(*present)
+                .select(F.col("_metadata.file_path").alias("file"), *ts_cols)
+                .groupBy("file", *ts_parts).agg(F.count("*").alias("n")))
+    steps = F.split(F.regexp_replace("file", "^file:/+", "file:/"), "/")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(steps)),
+                           lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))
+    files = per_file.select("file").distinct().select("file", F.explode(prefixes).alias("prefix"))
+    source = (files.join(tag_df, "prefix", "left").groupBy("file")
+              .agg(F.max_by(F.struct("year", "month", "file_name"),
+                            F.when(F.col("file_name").isNotNull(), F.length("prefix"))).alias("s")))
+    found = F.when(F.col("s.file_name").isNull(), F.raise_error(
+        F.concat(F.lit("no source for the scanned file "), "file"))).otherwise(F.col("s.file_name"))
+    return (per_file.join(source, "file")
+            .select("s.year", "s.month", found.alias("file_name"), *ts_parts, "n"))
 
 
 def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, str]]) -> DataFrame:
@@ -240,7 +259,7 @@ def source_file_counts(spark: SparkSession, expected: Sequence[tuple[int, int, s
                       total.alias("total_rows"))
 
 
-def stray_dates(spark: SparkSession, sources: Sequence[tuple[int, int, str]], ts_col: str) -> DataFrame:
+def stray_dates(spark: SparkSession, sources: Sequence[tuple[int | None, int | None, str]], ts_col: str) -> DataFrame:
     """C-07 / A-06: per source file, rows inside the file's stated month and
     rows outside it (a NULL timestamp counts as outside), with the share.
     One scan over all sources (only ``ts_col`` is read), counted per file

@@ -5,11 +5,13 @@
   append, so re-running is safe), then the audit log gets one row per
   partition. The audit is written after the data commit: a crash in between
   just reloads the same partitions on the next run.
-* Fact (S-13): the first run writes everything; later runs take staging
-  rows newer than the stored high-water mark (``late="drop"``, the
-  reference's rule) or every row missing from the target
-  (``late="upsert"``), and rewrite only the touched (year, month)
-  partitions from ``existing - new keys + new``.
+* Fact (S-13): the first run writes everything. ``late="drop"`` (the
+  reference's rule) appends staging rows newer than the stored mark;
+  ``late="upsert"`` recomputes the (re)loaded (year, month) partitions and
+  replaces exactly those, so corrected and removed rows take effect.
+* Each consumer notes what it has taken in after its own commit
+  (``absorbed`` loads, the fact's mark). Whatever dies in between is done
+  again by the next run.
 """
 
 from __future__ import annotations
@@ -24,11 +26,10 @@ from pyspark.sql import types as T
 
 from farebox.functions.temporal import ntz_literal
 from farebox.operators.fact import to_fact, with_storage_partitions
-from farebox.operators.joins import small_side
 from farebox.operators.staging import stg_trips
 from farebox.params import PipelineParams
-from farebox.session import path_exists
-from farebox.sources.lake import PARTITION_COLS, read_lake, write_partitioned
+from farebox.session import path_exists, scratch_path
+from farebox.sources.lake import PARTITION_COLS, lake_partitions, newest_partition, read_lake, write_partitioned
 from farebox.sources.raw import align_columns, load_time_literal, with_load_timestamp
 from farebox.sources.seeds import inline_relation
 
@@ -67,7 +68,9 @@ def loaded_partitions(audit: DataFrame, table_name: str) -> DataFrame:
 # ------------------------------------------------------------ raw loading
 def replace_partitions(df: DataFrame, raw_root: str, rebalance: bool = True) -> None:
     """S-09: replace exactly the (year, month) partitions present in ``df``
-    (dynamic overwrite: delete + insert per partition, atomically per job).
+    (dynamic overwrite). The commit deletes a partition's files and then moves
+    the new ones in: a crash between the two loses it, until the run that has
+    not noted it as done writes it again.
 
     ``rebalance=False`` skips the shuffle when ``df`` is read from a table
     that is already partitioned the same way (each task then writes the
@@ -81,12 +84,6 @@ def replace_partitions(df: DataFrame, raw_root: str, rebalance: bool = True) ->
        .parquet(raw_root))
 
 
-# A lake partition is one (year, month): decades of data are hundreds of
-# rows. The list is metadata, like the file listing Spark keeps on the
-# driver for every scan; beyond this bound we refuse rather than guess.
-MAX_LISTED_PARTITIONS = 100_000
-
-
 def partition_predicate(parts: list[tuple[int | None, int | None]]):
     """Predicate over the partition columns only (so it becomes
     ``PartitionFilters`` and prunes folders) selecting ``parts``."""
@@ -103,32 +100,28 @@ def load_partitions(spark: SparkSession, lake_root: str, raw_root: str, audit_ro
     """S-12 + J-04: load lake partitions missing from the audit (all with
     ``full_refresh``) into the raw table, then audit them.
 
-    Three jobs: (1) row count per lake partition -- a scan that decodes no
-    data column -- anti-joined with the audit; (2) the copy of exactly those
-    partitions (partition-pruned scan, no shuffle: the lake is already
-    partitioned by year/month, dynamic overwrite); (3) the audit
-    append. Jobs 1 and 2 use the same file listing, so the audited counts
-    are the counts of the files that were copied. Returns the audit rows of
-    this run as (year, month, row_count).
+    The lake's folders are listed and anti-joined with the audit; only the
+    partitions left are opened: counted from their footers, copied (no
+    shuffle: the lake is already partitioned by year/month, dynamic
+    overwrite) and audited. Returns the audit rows of this run as
+    (year, month, row_count).
 
     ``partitions_per_commit`` splits a large backfill into groups of
     partitions, each copied and audited by its own jobs: a failure keeps
     the groups already done, and the next run resumes after them."""
     lake = read_lake(spark, lake_root)
-    counts = lake.groupBy(*PARTITION_COLS).agg(F.count("*").alias("row_count"))
+    listed = lake_partitions(spark, lake_root)
     if not full_refresh:
         done = loaded_partitions(read_audit(spark, audit_root), table_name).alias("done")
-        c = counts.alias("c")
         # null-safe: the NULL-timestamp partition counts as loaded too
-        same = (F.col("c.year").eqNullSafe(F.col("done.year"))
-                & F.col("c.month").eqNullSafe(F.col("done.month")))
-        counts = c.join(small_side(done, MAX_LISTED_PARTITIONS), same, "left_anti")
-    todo = counts.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(todo) > MAX_LISTED_PARTITIONS:
-        raise ValueError(f"more than {MAX_LISTED_PARTITIONS} partitions to load in one run")
-    if not todo:
+        same = (F.col("l.year").eqNullSafe(F.col("done.year"))
+                & F.col("l.month").eqNullSafe(F.col("done.month")))
+        listed = listed.alias("l").join(done, same, "left_anti")
+    pending = [(r["year"], r["month"]) for r in listed.collect()]  # folder names
+    if not pending:
         return inline_relation(spark, [], "year int, month int, row_count bigint")
-
+    todo = (lake.where(partition_predicate(pending)).groupBy(*PARTITION_COLS)
+            .agg(F.count("*").alias("row_count")).collect())
     todo = sorted(todo, key=lambda r: (r["year"] is not None, r["year"] or 0, r["month"] or 0))
     step = partitions_per_commit or len(todo)
     load_id = uuid.uuid4().hex
@@ -166,25 +159,106 @@ def schema_differences(target: T.StructType, new: T.StructType) -> list[tuple[st
     return out
 
 
+# ------------------------------------------------------------- ledgers
+ABSORBED = "table_name string, load_id string"
+MARKS = "mark timestamp_ntz"
+
+
+def absorbed_loads(spark: SparkSession, ledger_root: str) -> DataFrame:
+    """(table_name, load_id) of the raw loads that a consumer has taken in."""
+    if not path_exists(spark, ledger_root):
+        return inline_relation(spark, [], ABSORBED)
+    return spark.read.schema(ABSORBED).parquet(ledger_root)
+
+
+def pending_loads(spark: SparkSession, audit_root: str, ledger_root: str, table_name: str) -> DataFrame:
+    """(year, month, load_id) of audited partitions whose load the consumer of
+    ``ledger_root`` has not taken in."""
+    audit = read_audit(spark, audit_root).where(F.col("table_name") == table_name)
+    return audit.join(absorbed_loads(spark, ledger_root), ["table_name", "load_id"], "left_anti").select(
+        *PARTITION_COLS, "load_id")
+
+
+def note_absorbed(spark: SparkSession, ledger_root: str, table_name: str, load_ids: Sequence[str]) -> None:
+    """Written after the consumer's own commit."""
+    rows = inline_relation(spark, [(table_name, x) for x in load_ids], ABSORBED)
+    rows.coalesce(1).write.mode("append").parquet(ledger_root)
+
+
 # Fixed value: the mark used when the fact is empty.
 HWM_DEFAULT = dt.datetime(1900, 1, 1)
 
 
-def high_water_mark(target: DataFrame) -> dt.datetime | None:
-    """A-07: ``max(pickup_at)`` of the stored fact (None if it is empty).
+def marks_root(fact_root: str) -> str:
+    return f"{fact_root.rstrip('/')}_marks"
+
 
-    The fact is partitioned by pickup month, so the maximum lies in the
-    newest (year, month) partition: that partition is found from partition
-    values alone (no data column is read), then ``pickup_at`` is read from
-    that one month only. Computed once; as a literal the mark prunes raw
-    partitions at planning time and reaches the Parquet reader as a pushed
-    filter (row groups older than the mark are skipped), which a scalar
-    subquery in the filter does not do."""
-    last = target.agg(F.max(F.col("year") * 100 + F.col("month"))).first()[0]
-    if last is None:
-        return target.agg(F.max("pickup_at")).first()[0]
-    newest = target.where((F.col("year") == last // 100) & (F.col("month") == last % 100))
-    return newest.agg(F.max("pickup_at")).first()[0]
+def high_water_mark(spark: SparkSession, fact_root: str) -> dt.datetime | None:
+    """A-07: ``max(pickup_at)`` of the stored fact as its last complete run
+    noted it; a fact without notes is asked itself: its newest partition is
+    found from the folder names and only that one is read. Computed once; as a
+    literal the mark prunes raw partitions at planning time and reaches the
+    Parquet reader as a pushed filter."""
+    if path_exists(spark, marks_root(fact_root)):
+        return spark.read.schema(MARKS).parquet(marks_root(fact_root)).agg(F.max("mark")).first()[0]
+    return _stored_maximum(spark, fact_root)
+
+
+def _stored_maximum(spark: SparkSession, fact_root: str) -> dt.datetime | None:
+    last = newest_partition(spark, fact_root)
+    target = read_lake(spark, fact_root)
+    if last is not None:
+        target = target.where((F.col("year") == last[0]) & (F.col("month") == last[1]))
+    return target.agg(F.max("pickup_at")).first()[0]
+
+
+def _note_mark(spark: SparkSession, fact_root: str) -> None:
+    mark = _stored_maximum(spark, fact_root)
+    if mark is not None:
+        inline_relation(spark, [(mark,)], MARKS).coalesce(1).write.mode("append").parquet(marks_root(fact_root))
+
+
+def _drop_beyond(spark: SparkSession, fact_root: str, mark: dt.datetime) -> None:
+    """Remove what an unfinished append has left: rows beyond the mark, which
+    only the partitions from the mark's month on can hold."""
+    late = read_lake(spark, fact_root).where(
+        F.col("year") * 100 + F.col("month") >= mark.year * 100 + mark.month)
+    beyond = late.where(F.col("pickup_at") > ntz_literal(mark))
+    touched = [(r["year"], r["month"]) for r in beyond.select(*PARTITION_COLS).distinct().collect()]
+    if touched:
+        rows = late.where(partition_predicate(touched) & (F.col("pickup_at") <= ntz_literal(mark)))
+        _replace_exactly(spark, rows, fact_root, touched)
+
+
+def _replace_exactly(spark: SparkSession, rows: DataFrame, root: str,
+                     partitions: Sequence[tuple[int | None, int | None]]) -> None:
+    """Make ``partitions`` of the table hold exactly ``rows``. The rows are
+    written to a scratch table first (they may be read from the very files
+    that go) and that is removed after the commit; a partition without rows is
+    deleted."""
+    scratch = scratch_path(spark, "replace")
+    write_partitioned(rows, scratch, mode="overwrite")
+    kept = {(r["year"], r["month"]) for r in lake_partitions(spark, scratch).collect()} if path_exists(
+        spark, scratch) and not lake_is_empty(spark, scratch) else set()
+    if kept:
+        replace_partitions(read_lake(spark, scratch).select(*rows.columns), root, rebalance=False)
+    for year, month in set(partitions) - kept:
+        remove_path(spark, f"{root}/year={_folder(year)}/month={_folder(month)}")
+    remove_path(spark, scratch)
+
+
+def _folder(value: int | None) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+
+
+def lake_is_empty(spark: SparkSession, root: str) -> bool:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", "true").load(root).select("path").isEmpty()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact_root: str,
@@ -194,56 +268,50 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
 
     First run: staging -> fact, written partitioned by pickup month.
     Later runs:
-    ``late="drop"`` (the reference's rule): only trips with ``pickup_at`` >
-    max(pickup_at) of the stored fact (1900-01-01 if empty). The mark
-    (``high_water_mark``) is pushed into staging as a literal, so the raw
-    scan is pruned to the partitions at or after it and the dedupe
-    shuffles only new trips.
-    ``late="upsert"``: every staged trip whose key is absent from the fact
-    (anti-join on trip_id + partition), so late arrivals are kept.
-    ``partitions`` (e.g. the (year, month) list ``load_partitions`` returns)
-    limits a run to those raw partitions: staging, the anti-join and the
-    rewrite then touch only the months that were (re)loaded.
-    Matching keys are replaced and only touched (year, month) partitions
-    are rewritten, from a checkpointed copy (lineage to the files being
-    replaced is cut first). ``model`` maps staging rows to fact rows; if
-    its output schema differs from the stored fact, the run fails (C-08).
-    Returns the stored fact."""
+    ``late="drop"`` (the reference's rule): trips with ``pickup_at`` later than
+    the mark (1900-01-01 if empty) are appended; pickup time is part of
+    the key, so no stored key can be among them and nothing stored is read.
+    The mark is noted after the append; rows of an append that did
+    not get that far are removed first.
+    ``late="upsert"``: the fact rows of ``partitions`` (the (year, month) list
+    that was (re)loaded; required after the first run) are computed anew from raw and
+    replace what the fact holds of them: keys that match are replaced, rows that are gone
+    from raw go. A key never moves between partitions.
+    ``model`` maps staging rows to fact rows; if its output schema differs
+    from the stored fact, the run fails (C-08). Returns the stored fact."""
     if late not in ("drop", "upsert"):
         raise ValueError("late must be 'drop' or 'upsert'")
+    first = not path_exists(spark, fact_root)
+    if late == "upsert" and not first and partitions is None:
+        raise ValueError("an upsert needs the partitions that were loaded")
     if partitions is not None:
         if not {"year", "month"} <= set(raw.columns):
             raw = raw.withColumns({"year": F.year("tpep_pickup_datetime").cast("int"),
                                    "month": F.month("tpep_pickup_datetime").cast("int")})
         raw = raw.where(partition_predicate(list(partitions)))
-    if not path_exists(spark, fact_root):
+    if first:
         write_partitioned(with_storage_partitions(model(stg_trips(raw, params))), fact_root,
                           mode="overwrite")
+        if late == "drop":
+            _note_mark(spark, fact_root)
         return read_lake(spark, fact_root)
 
     target = read_lake(spark, fact_root)
-    stored_cols = [c for c in target.columns if c not in PARTITION_COLS]
-
+    stored = target.drop(*PARTITION_COLS)
     if late == "drop":
-        hwm = high_water_mark(target)
-        floor = ntz_literal(hwm if hwm is not None else HWM_DEFAULT)
-        new = model(stg_trips(raw, params, since=floor))
+        mark = high_water_mark(spark, fact_root) or HWM_DEFAULT
+        new = model(stg_trips(raw, params, since=ntz_literal(mark)))
     else:
-        stored_keys = target.select("trip_id", *PARTITION_COLS)
-        if partitions is not None:
-            stored_keys = stored_keys.where(partition_predicate(list(partitions)))
-        new = model(with_storage_partitions(stg_trips(raw, params)).join(
-            stored_keys, ["trip_id", *PARTITION_COLS], "left_anti").drop(*PARTITION_COLS))
+        new = model(stg_trips(raw, params))
     # C-08 on the rows this run would write (one plan, analysed once)
-    diffs = schema_differences(target.select(*stored_cols).schema, new.schema)
+    diffs = schema_differences(stored.schema, new.schema)
     if diffs:
         raise SchemaChangeError(f"fact schema changed: {diffs}")
-    new = with_storage_partitions(new).checkpoint(eager=True)
-    touched = new.select(*PARTITION_COLS).distinct()
-    if touched.isEmpty():
-        return target
-    existing = target.join(small_side(touched, MAX_LISTED_PARTITIONS), list(PARTITION_COLS), "left_semi")
-    kept = existing.join(new.select("trip_id", *PARTITION_COLS), ["trip_id", *PARTITION_COLS], "left_anti")
-    merged = kept.unionByName(new.select(*kept.columns)).checkpoint(eager=True)
-    replace_partitions(merged, fact_root)
+    new = with_storage_partitions(new).select(*target.columns)
+    if late == "drop":
+        _drop_beyond(spark, fact_root, mark)
+        write_partitioned(new, fact_root, mode="append")
+        _note_mark(spark, fact_root)
+    elif partitions:
+        _replace_exactly(spark, new, fact_root, partitions)
     return read_lake(spark, fact_root)

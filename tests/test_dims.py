@@ -18,15 +18,16 @@ def test_dim_date_empty_range(spark):
     assert dims.dim_date(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 1)).count() == 0
 
 
-def test_dim_location_defaults_and_unknown(spark, scratch):
-    p = scratch("seed")
-    with open(p.removeprefix("file:") + ".csv", "w") as fh:
+# A few rows of the zone seed.
+def test_dim_location_defaults_and_unknown(spark, tmp_path):
+    p = tmp_path / "seed.csv"
+    with open(p, "w") as fh:
         fh.write('"LocationID","Borough","Zone","service_zone"\n'
                  '1,"EWR","Newark Airport","EWR"\n'
                  '264,"Unknown","N/A","N/A"\n'
                  '265,,,\n'
                  '56,"Queens","Corona","Boro Zone"\n57,"Queens","Corona","Boro Zone"\n')
-    seed = read_seed_csv(spark, p + ".csv")
+    seed = read_seed_csv(spark, f"file:{p}")
     d = {r.location_id: r for r in dims.dim_location(seed).collect()}
     assert d[1].is_airport is True and d[1].zone_full_name == "Newark Airport, EWR"
     assert d[264].zone_name == "N/A" and d[264].is_airport is False

@@ -1,10 +1,13 @@
+import random
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from farebox.functions import (
     date_key, duration_minutes_2dp, exact_mean_2dp, half_even_int, round_exact_ratio_2dp,
-    round_numeric, surrogate_key,
+    money_2dp, money_sum, round_numeric, surrogate_key,
 )
 
 
@@ -15,13 +18,36 @@ def test_half_even_int(spark):
 
 
 def test_round_numeric_15_digit_rule(spark):
-    df = spark.createDataFrame([(12.344999999999999,), (None,), (float("nan"),), (float("inf"),),
-                                (-12.345,), (0.005,), (1e-7,)], "x double")
+    df = spark.createDataFrame([(12.344999999999999,), (None,), (-12.345,), (0.005,), (1e-7,), (1e15,),
+                                (123456789.125,)], "x double")
     got = [r[0] for r in df.select(round_numeric("x")).collect()]
-    assert got == [Decimal("12.35"), None, None, None, Decimal("-12.35"), Decimal("0.01"), Decimal("0.00")]
+    assert got == [Decimal("12.35"), None, Decimal("-12.35"), Decimal("0.01"), Decimal("0.00"),
+                   Decimal("1000000000000000.00"), Decimal("123456789.13")]
     assert dict(df.select(round_numeric("x").alias("r")).dtypes)["r"] == "decimal(18,2)"
 
 
+@pytest.mark.parametrize("x", [float("nan"), float("inf"), 1e17])
+def test_round_numeric_never_loses_a_value(spark, x):
+    df = spark.createDataFrame([(x,), (5.0,)], "x double")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|NUMERIC_VALUE_OUT_OF_RANGE|OVERFLOW"):
+        df.select(F.sum(round_numeric("x"))).collect()
+
+
+def test_plain_and_text_rounding_agree(spark):
+    """Where the text form is not used, it would have given the same."""
+    rng = random.Random(4)
+    xs = [rng.choice((1, -1)) * rng.random() * 10 ** rng.randint(-4, 10) for _ in range(4000)]
+    xs += [round(x, 2) + 0.005 for x in xs[:2000]]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    text = F.round(F.format_string("%.15g", F.col("x")).cast("decimal(38,15)"), 2).cast("decimal(18,2)")
+    assert df.where(~round_numeric("x").eqNullSafe(text)).count() == 0
+
+
+def test_money_is_rounded_once(spark):
+    df = spark.createDataFrame([(0.0044,)] * 10 + [(1.0012,)], "x double")
+    assert df.select(money_2dp(money_sum("x"))).first()[0] == Decimal("1.05")
+
+
 def test_exact_mean_single_rounding(spark):
     # 0.0049996 would become 0.005000 with a scale-6 intermediate, then 0.01
     df = spark.createDataFrame([(Decimal("0.049996"), 10), (Decimal("10"), 3), (Decimal("-0.125"), 1),

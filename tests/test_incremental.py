@@ -67,8 +67,9 @@ def test_fact_high_water_mark(spark, scratch, late, expected):
                  dict(vendorid=4, tpep_pickup_datetime=dt.datetime(2024, 2, 1, 9),
                       tpep_dropoff_datetime=dt.datetime(2024, 2, 1, 9, 30))]
     incremental.build_fact(spark, _raw(spark, first), P, path, late=late)
-    incremental.build_fact(spark, _raw(spark, first + late_rows), P, path, late=late)
-    incremental.build_fact(spark, _raw(spark, first + late_rows), P, path, late=late)  # idempotent
+    parts = [(2024, 1), (2024, 2)] if late == "upsert" else None
+    for _ in range(2):  # idempotent
+        incremental.build_fact(spark, _raw(spark, first + late_rows), P, path, late=late, partitions=parts)
     got = sorted(r.vendor_id for r in lake.read_lake(spark, path).collect())
     assert got == expected
 
@@ -110,3 +111,68 @@ def test_null_partition_is_loaded_once(spark, scratch):
                   key=lambda t: (t[0] is not None, t[0] or 0)) == [(None, None, 1), (2024, 1, 1)]
     assert incremental.load_partitions(spark, lake_root, raw_root, audit_root).count() == 0
     assert spark.read.parquet(raw_root).count() == 2
+
+
+def test_upsert_replaces_corrected_and_removed_rows(spark, scratch):
+    path = scratch("fct_fix")
+    a, b = dict(vendorid=1, tip_amount=4.0), dict(vendorid=2)
+    feb = dict(vendorid=3, tpep_pickup_datetime=dt.datetime(2024, 2, 1, 9),
+               tpep_dropoff_datetime=dt.datetime(2024, 2, 1, 9, 30))
+    incremental.build_fact(spark, _raw(spark, [a, b, feb]), P, path, late="upsert")
+    # same key, another tip; one trip of January withdrawn; all of February too
+    now = _raw(spark, [dict(a, tip_amount=1.0)])
+    incremental.build_fact(spark, now, P, path, late="upsert", partitions=[(2024, 1), (2024, 2)])
+    assert [(r.vendor_id, r.tip_amount) for r in lake.read_lake(spark, path).collect()] == [(1, 1.0)]
+    with pytest.raises(ValueError):
+        incremental.build_fact(spark, now, P, path, late="upsert")
+
+
+def test_drop_appends_and_heals_an_unfinished_append(spark, scratch, monkeypatch):
+    path = scratch("fct_append")
+    one = dict(vendorid=1, tpep_pickup_datetime=T0, tpep_dropoff_datetime=T0 + dt.timedelta(minutes=20))
+    later = [dict(vendorid=v, tpep_pickup_datetime=T0 + dt.timedelta(days=d),
+                  tpep_dropoff_datetime=T0 + dt.timedelta(days=d, minutes=20)) for v, d in ((2, 1), (3, 2), (4, 40))]
+    incremental.build_fact(spark, _raw(spark, [one]), P, path)
+    before = {r.path for r in lake.lake_files(spark, path).collect()}
+    # a run that dies after its data commit, before it notes the mark
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "_note_mark", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            incremental.build_fact(spark, _raw(spark, [one, later[1], later[2]]), P, path)
+    assert incremental.high_water_mark(spark, path) == T0
+    got = incremental.build_fact(spark, _raw(spark, [one, *later]), P, path)
+    assert sorted(r.vendor_id for r in got.collect()) == [1, 2, 3, 4]
+    again = {r.path for r in lake.lake_files(spark, path).collect()}
+    incremental.build_fact(spark, _raw(spark, [one, *later]), P, path)
+    assert again <= {r.path for r in lake.lake_files(spark, path).collect()} and before
+
+
+def test_star_heals_a_crash_between_raw_and_fact(spark, scratch, monkeypatch):
+    from farebox.plans import marts
+    roots = [scratch(x) for x in ("lake", "raw", "audit")]
+    seed = spark.createDataFrame([(1, "B", "Z", "S")], "LocationID int, Borough string, Zone string, service_zone string")
+    m = scratch("marts")
+    lake.build_lake([raw_rows(spark, dict(vendorid=1)).drop("year", "month")], roots[0], "tpep_pickup_datetime")
+    with monkeypatch.context() as c:
+        c.setattr(marts, "build_fact", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            marts.refresh_star(spark, *roots, seed, P, m)
+    done = marts.refresh_star(spark, *roots, seed, P, m)
+    assert done.read(spark)["fct_trips"].count() == 1
+    assert incremental.pending_loads(spark, roots[2], done.absorbed, "yellow_trips").count() == 0
+
+
+def test_unreachable_file_systems_are_errors(spark):
+    from farebox.session import path_exists
+    for path in ("s3a://nowhere/fact", "nosuchscheme://x/fact"):
+        with pytest.raises(Exception):
+            path_exists(spark, path)
+
+
+def test_audit_drift_sees_vanished_and_new_partitions(spark, scratch):
+    from farebox.operators.checks import check_audit_drift
+    audit = spark.createDataFrame([("t", 2024, 1, 5), ("t", 2024, 2, 5), ("t", None, None, 1)],
+                                  "table_name string, year int, month int, row_count long")
+    now = spark.createDataFrame([(2024, 2)] * 5 + [(2024, 3)] + [(None, None)], "year int, month int")
+    got = {(r.year, r.month, r.audited_rows, r.lake_rows) for r in check_audit_drift(audit, now, "t").collect()}
+    assert got == {(2024, 1, 5, 0), (2024, 3, 0, 1)}

@@ -14,7 +14,7 @@ def test_lake_roundtrip_and_null_partition(spark, scratch):
     lake.build_lake([raw.drop("year", "month")], root, "tpep_pickup_datetime")
     lake.build_lake([raw.drop("year", "month")], root, "tpep_pickup_datetime")  # idempotent
     back = lake.read_lake(spark, root)
-    got = [(r.year, r.month) for r in lake.lake_partitions(back).collect()]
+    got = [(r.year, r.month) for r in lake.lake_partitions(spark, root).collect()]
     assert got == [(None, None), (2024, 1), (2024, 2)]  # NULL partition sorts first
     assert back.count() == 3
     one = lake.read_partition(spark, root, 2024, 2, ["vendorid"])
@@ -49,7 +49,41 @@ def test_source_counts_and_stray(spark, scratch):
     stray = lake.stray_dates(spark, [(2024, 1, jan)], "ts").first()
     assert (stray.rows, stray.in_month, stray.stray) == (3, 1, 2)
     assert str(stray.stray_pct) == "66.67"
-    assert F is not None
+
+
+def test_sources_with_odd_paths_and_nested_folders(spark, scratch):
+    """A plus, a space and a percent sign in a name; files two folders down; a
+    source inside another's folder; rows without a time."""
+    rows = spark.createDataFrame([(dt.datetime(2024, 1, 5),), (None,)], "ts timestamp_ntz").coalesce(1)
+    root = scratch("odd")
+    plus, deep = f"{root}/a+b c%2Bd_2024-01", f"{root}/deep_2024-02"
+    rows.write.parquet(plus)
+    rows.withColumns({"p": F.lit(1), "q": F.lit("x y")}).write.partitionBy("p", "q").parquet(deep)
+    sources = [(2024, 1, plus), (2024, 2, deep)]
+    got = {r.file_name: (r.rows, r.total_rows) for r in lake.source_file_counts(spark, sources).collect()}
+    assert got == {"a+b c%2Bd_2024-01": (2, 4), "deep_2024-02": (2, 4)}
+    stray = {r.month: (r.rows, r.in_month, r.stray) for r in lake.stray_dates(spark, sources, "ts").collect()}
+    assert stray == {1: (2, 1, 1), 2: (2, 0, 2)}
+
+
+def test_rows_without_a_time_are_stray(spark, scratch):
+    root = scratch("land")
+    rows = [(dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 6)), (dt.datetime(2024, 1, 5), None)]
+    lake.land_monthly(spark.createDataFrame(rows, "up timestamp_ntz, down timestamp_ntz"), root, "down")
+    got = {(r.year, r.month): (r.rows, r.stray) for r in lake.stray_dates(
+        spark, lake.stated_months(lake.list_sources(spark, root)), "up").collect()}
+    assert got == {(2024, 1): (1, 0), (None, None): (1, 1)}
+
+
+def test_append_reads_and_rewrites_nothing(spark, scratch):
+    root = scratch("grow")
+    jan = raw_rows(spark, dict(vendorid=1)).drop("year", "month")
+    lake.build_lake([jan], root, "tpep_pickup_datetime")
+    before = {r.path for r in lake.lake_files(spark, root).collect()}
+    more = raw_rows(spark, dict(vendorid=2), dict(vendorid=3, tpep_pickup_datetime=dt.datetime(2024, 2, 3)))
+    lake.append_to_lake(more, root, "tpep_pickup_datetime")
+    assert before < {r.path for r in lake.lake_files(spark, root).collect()}
+    assert lake.read_lake(spark, root).groupBy("year", "month").count().where("month = 1").first()["count"] == 2
 
 
 def test_dataset_schema_and_summary(spark, scratch):
@@ -60,8 +94,8 @@ def test_dataset_schema_and_summary(spark, scratch):
     sch = lake.dataset_schema(spark, df).collect()
     assert [r.column_name for r in sch][-2:] == ["year", "month"]
     assert sch[0].position == 1 and sch[0].data_type == "int"
-    s = lake.dataset_summary(df).first()
-    assert (s.rows, s.columns) == (2, len(RAW_COLUMN_NAMES)) and s.files >= 2
+    s = lake.dataset_summary(spark, root).first()
+    assert (s.rows, s.columns) == (2, len(RAW_COLUMN_NAMES)) and s.files >= 2 and s.partitions == 2
 
 
 def test_stated_months_from_names():

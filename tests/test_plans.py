@@ -49,7 +49,7 @@ def test_high_water_mark_prunes_raw_scan(spark, scratch):
     rp, fp = scratch("raw_hwm"), scratch("fct_hwm")
     raw_rows(spark, *rows).write.partitionBy("year", "month").parquet(rp)
     incremental.build_fact(spark, spark.read.parquet(rp), P, fp)
-    hwm = incremental.high_water_mark(lake.read_lake(spark, fp))
+    hwm = incremental.high_water_mark(spark, fp)
     assert hwm == t2
     df = stg_trips(spark.read.parquet(rp), P, since=ntz_literal(hwm))
     old = spark.conf.get("spark.sql.maxMetadataStringLength")
@@ -65,21 +65,48 @@ def test_high_water_mark_prunes_raw_scan(spark, scratch):
 
 
 def test_stray_dates_count_per_file_before_source_join(spark):
-    """Rows are counted per file (and month) in the scan stage; the path
-    parsing and the join to the source list see only those counts."""
-    df = catalog.q_stray_dates_trips(spark, SF_SMALL)
-    p = plan_of(df).split("== Initial Plan ==")[0]
+    """Rows are counted per file (and month) in the scan stage; the source list
+    meets only those counts."""
+    p = plan_of(catalog.q_stray_dates_trips(spark, SF_SMALL)).split("== Initial Plan ==")[0]
     lines = p.splitlines()
-    j = next(i for i, l in enumerate(lines) if "BroadcastHashJoin [_src" in l)
-    assert "HashAggregate(keys=[_fp" in lines[j + 1]
+    for i in [i for i, line in enumerate(lines) if "FileScan parquet" in line]:
+        above = next(line for line in reversed(lines[:i]) if "HashAggregate" in line or "Join" in line)
+        assert "HashAggregate(keys=[file" in above
     assert "partial_count(1)" in p
 
 
-def test_metadata_reports_read_no_data_column(spark):
-    """File layout, dataset summary and source counts come from file
-    metadata, partition values and footer row counts only."""
+def test_metadata_reports_open_no_data_file(spark):
+    """Partitions and newest month come from the file listing alone; layout and
+    summary add a count that decodes no data column."""
     import re
+    p = plan_of(catalog.q_lake_partitions(spark, SF_SMALL))
+    assert "FileScan parquet" not in p and "FileScan binaryFile" in p
+    assert "content" not in re.search(r"FileScan binaryFile.*ReadSchema: (struct<[^>]*>)", p)[1]
     for name in ("lake_layout", "dataset_summary", "source_file_counts"):
         p = plan_of(catalog.QUERIES[name](spark, SF_SMALL))
-        schemas = set(re.findall(r"ReadSchema: struct<[^>]*>", p))
-        assert schemas == {"ReadSchema: struct<>"}, (name, schemas)
+        schemas = set(re.findall(r"FileScan parquet.*ReadSchema: (struct<[^>]*>)", p))
+        assert schemas == {"struct<>"}, (name, schemas)
+
+
+def test_load_opens_only_new_partitions(spark, scratch, monkeypatch):
+    import datetime as dt
+    import re
+
+    from conftest import raw_rows
+    from farebox.sources import lake
+    from farebox.streaming import incremental
+
+    lake_root, raw_root, audit_root = scratch("lk"), scratch("rw"), scratch("au")
+    jan = raw_rows(spark, dict(vendorid=1)).drop("year", "month")
+    lake.build_lake([jan], lake_root, "tpep_pickup_datetime")
+    incremental.load_partitions(spark, lake_root, raw_root, audit_root)
+    feb = raw_rows(spark, dict(vendorid=2, tpep_pickup_datetime=dt.datetime(2024, 2, 3)))
+    lake.append_to_lake(feb, lake_root, "tpep_pickup_datetime")
+    seen = []
+    predicate = incremental.partition_predicate
+    monkeypatch.setattr(incremental, "partition_predicate", lambda parts: seen.append(list(parts)) or predicate(parts))
+    assert incremental.load_partitions(spark, lake_root, raw_root, audit_root).count() == 1
+    assert seen == [[(2024, 2)], [(2024, 2)]]
+    counted = lake.read_lake(spark, lake_root).where(predicate([(2024, 2)])).groupBy("year", "month").count()
+    pushed = re.search(r"PartitionFilters: \[([^\n]*)\], PushedFilters", plan_of(counted))[1]
+    assert "= 202402" in pushed
