@@ -31,13 +31,14 @@ from .runtime import prepare, shuffle_width, stored
 from .vectors import best_of, grouped, matrix, merge_lists, pack, usable
 
 SAMPLE_ROWS = 16384
-PILOT_ROWS = 1024
+PILOT_ROWS = 8192
 TUNE_QUERIES = 256
 RECALL = 0.95
 EPS = 2.1
 COLUMNS = 16
 BLOCK_ROWS = 2048
 QUERY_ROWS = 512
+STEP = 1 << 16    # pairs scored at a time
 SPARSE = 0.2      # share of live pairs below which pairs are followed one by one
 
 
@@ -140,10 +141,30 @@ def scan(index: Index, qid: np.ndarray, q: np.ndarray, limit: np.ndarray, cid: n
          c: np.ndarray, rotated: np.ndarray, k: int):
     """(query, candidate, score) of the k best of each query among ``c``."""
     y = index.queries(q)
-    width = y.shape[1]
     limit = limit * (1 + 1e-9) + 1e-12
-    live = qid[:, None] != cid[None, :]
-    exempt = np.isin(cid, index.pilot_ids)
+    pilot = np.isin(cid, index.pilot_ids)
+    row, col = [], []
+    for some, within in ((np.flatnonzero(pilot), whole), (np.flatnonzero(~pilot), adaptive)):
+        if len(some):
+            r, s = within(y, rotated[some], limit, qid[:, None] != cid[some][None, :])
+            row.append(r)
+            col.append(some[s])
+    row, col = np.concatenate(row), np.concatenate(col)
+    score = np.concatenate([np.zeros(0), *((q[row[a:a + STEP]] * c[col[a:a + STEP]]).sum(axis=1)
+                                           for a in range(0, len(row), STEP))])
+    top = best_of(row, cid[col], score, k)
+    return qid[row[top]], cid[col[top]], score[top]
+
+
+def whole(y, rotated, limit, live):
+    """(query, candidate) pairs within the limit."""
+    return np.nonzero(live & (distances(y, rotated) <= limit[:, None]))
+
+
+def adaptive(y, rotated, limit, live):
+    """The same by blocks of columns; the pairs that a block's hypothesis test
+    rejects are abandoned. Few live pairs are followed one by one."""
+    width = y.shape[1]
     partial = np.zeros(live.shape)
     row = col = part = None
     for a in range(0, width, COLUMNS):
@@ -151,27 +172,16 @@ def scan(index: Index, qid: np.ndarray, q: np.ndarray, limit: np.ndarray, cid: n
         bound = limit * (b / width) * (1 + EPS / np.sqrt(b)) ** 2 if b < width else limit
         if row is None:
             partial += distances(y[:, a:b], rotated[:, a:b])
-            live &= (partial <= bound[:, None]) | (exempt & (b < width))
+            live &= partial <= bound[:, None]
             if live.mean() < SPARSE or b == width:
                 row, col = np.nonzero(live)
                 part = partial[row, col]
         else:
             diff = y[row, a:b] - rotated[col, a:b]
             part = part + (diff * diff).sum(axis=1)
-            ok = (part <= bound[row]) | (exempt[col] & (b < width))
+            ok = part <= bound[row]
             row, col, part = row[ok], col[ok], part[ok]
-    out_row, out_col, out_score = [], [], []
-    for a in range(0, len(row), 1 << 16):
-        r, s = row[a:a + (1 << 16)], col[a:a + (1 << 16)]
-        out_score.append((q[r] * c[s]).sum(axis=1))
-        out_row.append(r)
-        out_col.append(s)
-    if not out_row:
-        none = np.zeros(0, dtype=np.int64)
-        return none, none, np.zeros(0)
-    row, col, score = np.concatenate(out_row), np.concatenate(out_col), np.concatenate(out_score)
-    top = best_of(row, cid[col], score, k)
-    return qid[row[top]], cid[col[top]], score[top]
+    return row, col
 
 
 def _scans(index: Index, k: int, dim: int):
