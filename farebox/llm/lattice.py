@@ -34,7 +34,7 @@ from .runtime import prepare
 ALPHA = 1.0
 ZIPF_SHIFT = 2.7
 SEED = 42
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 2 << 20
 MARK = "▁"          # the word mark of SentencePiece
 SHIELD = "▁"  # never a piece: see Model.chars
 STEP = np.uint64(0xD1342543DE82EF95)
@@ -66,20 +66,23 @@ class Model:
         weight -= np.log(np.exp(weight).sum())
         self.unknown = weight.min()  # log-weight of a byte
         self.longest = max(len(pieces[i]) for i in plain)
-        # By length: sorted hashes of the pieces' characters, ids, log-weights.
+        # By length: sorted hashes of the pieces' characters, ids, log-weights,
+        # and a bit set of the hashes of all beginnings of that length.
+        begins: list[set[str]] = [set() for _ in range(self.longest + 1)]
+        for i in plain:
+            for n in range(1, len(pieces[i]) + 1):
+                begins[n].add(pieces[i][:n])
         self.table = []
         for n in range(1, self.longest + 1):
             own = [k for k, i in enumerate(plain) if len(pieces[i]) == n]
             chars = np.array([[ord(c) for c in pieces[plain[k]]] for k in own], dtype=np.uint64).reshape(-1, n)
-            h = np.zeros(len(own), dtype=np.uint64)
-            for j in range(n):
-                h = h * W.BASE + chars[:, j]
-            h = W.mix(h)
+            h = self.spell(chars)
             by = np.argsort(h)
-            seen = np.zeros(1 << BITS, dtype=bool)
-            seen[(h >> np.uint64(64 - BITS)).astype(np.int64)] = True
             ids = np.array([plain[k] for k in own], dtype=np.int64)[by]
-            self.table.append((h[by], ids, weight[own][by], chars[by], seen))
+            known = np.zeros(1 << BITS, dtype=bool)
+            known[self.slot(self.spell(np.array([[ord(c) for c in x] for x in sorted(begins[n])],
+                                                dtype=np.uint64).reshape(-1, n)))] = True
+            self.table.append((h[by], ids, weight[own][by], chars[by], known))
         # Decoding: each id's bytes.
         spelt = [bytes([int(pieces[i][3:5], 16)]) if sp.is_byte(i) else pieces[i].replace(MARK, " ").encode()
                  if not (sp.is_control(i) or sp.is_unknown(i)) else b"" for i in range(size)]
@@ -89,6 +92,18 @@ class Model:
         split = set(" \n") - {c for i in plain for c in pieces[i]}  # "\n", if no piece holds it
         self.words = re.compile(r" *[^ \n]+|\n| +" if "\n" in split else r" *[^ ]+| +")
 
+    @staticmethod
+    def spell(chars: np.ndarray) -> np.ndarray:
+        h = np.zeros(len(chars), dtype=np.uint64)
+        for j in range(chars.shape[1]):
+            h = h * W.BASE + chars[:, j] + np.uint64(1)
+        return h
+
+    @staticmethod
+    def slot(h: np.ndarray) -> np.ndarray:
+        """Place in a bit set: the high bits of one more multiplication."""
+        return ((h * W.BASE) >> np.uint64(64 - BITS)).astype(np.int64)
+
     @classmethod
     def at(cls, path: str, alpha: float) -> "Model":
         key = f"{path}|{alpha}"
@@ -109,81 +124,95 @@ class Model:
 
 
 class Lattice:
-    """Filtered lattices of distinct words. State b + i is position i of the word
-    whose characters begin at b - (its number); edges are sorted by end."""
+    """Filtered lattices of distinct words. A state is a position of a word;
+    states are numbered by position first, so that one sort of the edges by
+    their end gives both the order of the forward pass and the table that
+    sampling searches."""
 
     def __init__(self, model: Model, words: list[str]):
         seen, true, bounds = model.chars(words)
+        size = np.diff(bounds)
+        # Longest words first: those that reach position j are the first ones.
+        kind = np.int32 if len(seen) + len(words) < 1 << 31 else np.int64
+        rank = np.empty(len(words), dtype=kind)
+        rank[np.argsort(-size, kind="stable")] = np.arange(len(words))
+        longest = int(size.max(initial=0))
+        reach = len(words) - np.cumsum(np.bincount(size, minlength=longest + 1)) + np.bincount(
+            size, minlength=longest + 1)  # words of at least j characters
+        states = int(reach.sum())
+        base = (np.cumsum(reach) - reach).astype(kind)  # first state of position j
         n = len(seen)
-        word = np.repeat(np.arange(len(words)), np.diff(bounds))
-        left = bounds[1:][word] - np.arange(n)  # characters up to the word's end
-        state = np.arange(n) + word             # of the position before each character
+        place = (np.arange(n) - np.repeat(bounds[:-1], size)).astype(kind)
+        left = (np.repeat(bounds[1:], size) - np.arange(n)).astype(kind)
+        own_rank = np.repeat(rank, size)
         starts, ends, ids, logs = [], [], [], []
         single = np.zeros(n, dtype=bool)
+        at = np.arange(n)
         h = np.zeros(n, dtype=np.uint64)
-        for size in range(1, model.longest + 1):
-            m = n - size + 1
-            if m <= 0:
+        for length in range(1, model.longest + 1):
+            inside = left[at] >= length
+            if not inside.all():
+                at, h = at[inside], h[inside]
+            h = h * W.BASE + seen[at + (length - 1)] + np.uint64(1)
+            keys, own, weight, chars, known = model.table[length - 1]
+            go = known[model.slot(h)]  # no piece goes on from here otherwise
+            at, h = at[go], h[go]
+            if not len(at):
                 break
-            h = h[:m] * W.BASE + seen[size - 1:]
-            keys, own, weight, chars, maybe = model.table[size - 1]
             if not len(keys):
                 continue
-            mixed = W.mix(h)
-            at = np.flatnonzero(maybe[(mixed >> np.uint64(64 - BITS)).astype(np.int64)] & (left[:m] >= size))
-            k = np.minimum(np.searchsorted(keys, mixed[at]), len(keys) - 1)
-            hit = keys[k] == mixed[at]
-            at, k = at[hit], k[hit]
-            for j in range(size):
-                ok = seen[at + j] == chars[k, j]
-                at, k = at[ok], k[ok]
-            if size == 1:
-                single[at] = True
-            starts.append(state[at])
-            ends.append(state[at] + size)
-            ids.append(own[k])
+            k = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            hit = keys[k] == h
+            found, k = at[hit], k[hit]
+            for j in range(length):
+                same = seen[found + j] == chars[k, j]
+                if not same.all():
+                    found, k = found[same], k[same]
+            if length == 1:
+                single[found] = True
+            first = place[found]
+            starts.append(base[first] + own_rank[found])
+            ends.append(base[first + length] + own_rank[found])
+            ids.append(own[k].astype(kind))
             logs.append(weight[k])
         # Characters without a piece: their bytes, named by size + place.
         lost = np.flatnonzero(~single)
         self.lost_bytes = [chr(c).encode("utf-8", "surrogatepass") for c in true[lost].tolist()]
-        starts.append(state[lost])
-        ends.append(state[lost] + 1)
-        ids.append(model.size + np.arange(len(lost)))
+        starts.append(base[place[lost]] + own_rank[lost])
+        ends.append(base[place[lost] + 1] + own_rank[lost])
+        ids.append((model.size + np.arange(len(lost))).astype(kind))
         logs.append(np.array([len(b) for b in self.lost_bytes], dtype=np.float64) * model.unknown)
-        start, end = np.concatenate(starts), np.concatenate(ends)
-        piece, log = np.concatenate(ids), np.concatenate(logs)
-
-        self.first = bounds[:-1] + np.arange(len(words))  # state before each word
-        self.last = bounds[1:] + np.arange(len(words))
-        total = n + len(words)
-        offset = np.zeros(total, dtype=np.int64)          # position in the word
-        offset[:] = np.arange(total) - np.repeat(self.first, np.diff(bounds) + 1)
-        # Forward, all words at once, by position.
-        alpha = np.zeros(total)
-        share = np.empty(len(start))
-        by = np.lexsort((end, offset[end]))
-        level = offset[end[by]]
-        cuts = np.flatnonzero(np.diff(level)) + 1
-        for a, b in zip([0, *cuts], [*cuts, len(by)]):
-            e = by[a:b]
-            if not len(e):
+        end = np.concatenate(ends)
+        packed = np.sort((end.astype(np.uint64) << np.uint64(32)) | np.arange(len(end), dtype=np.uint64))
+        by = (packed & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        end = end[by]
+        self.start, self.piece = np.concatenate(starts)[by], np.concatenate(ids)[by]
+        log = np.concatenate(logs)[by]
+        self.first, self.last = rank, base[size] + rank
+
+        # Forward, all words at once, position by position; a state's edges
+        # are neighbours.
+        head = np.flatnonzero(np.concatenate([[True], end[1:] != end[:-1]])) if len(end) else by
+        count = np.diff(np.append(head, len(end)))
+        alpha = np.zeros(states)
+        share = np.empty(len(end))
+        level = np.searchsorted(end[head], np.append(base[1:], len(alpha)))
+        edges = np.append(head, len(end))
+        for i, j in zip(level[:-1], level[1:]):
+            if i == j:
                 continue
-            value = alpha[start[e]] + log[e]
-            at = end[e]
-            head = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            count = np.diff(np.append(head, len(e)))
-            top = np.maximum.reduceat(value, head)
-            part = np.exp(value - np.repeat(top, count))
-            sums = np.add.reduceat(part, head)
-            alpha[at[head]] = top + np.log(sums)
-            share[e] = part / np.repeat(sums, count)
-        by = np.argsort(end, kind="stable")
-        self.start, self.piece, share, end = start[by], piece[by], share[by], end[by]
-        head = np.flatnonzero(np.concatenate([[True], end[1:] != end[:-1]])) if len(end) else by[:0]
-        total_share = np.cumsum(share)
-        before = np.repeat((total_share - share)[head], np.diff(np.append(head, len(end))))
-        self.key = end + np.minimum(total_share - before, 1.0)
-        tail = np.append(head[1:], len(end)) - 1 if len(end) else by[:0]
+            a, b = edges[i], edges[j]
+            value = alpha[self.start[a:b]] + log[a:b]
+            own = head[i:j] - a
+            top = np.maximum.reduceat(value, own)
+            part = np.exp(value - np.repeat(top, count[i:j]))
+            sums = np.add.reduceat(part, own)
+            alpha[end[head[i:j]]] = top + np.log(sums)
+            share[a:b] = part / np.repeat(sums, count[i:j])
+        upto = np.cumsum(share)
+        before = np.repeat((upto - share)[head], count)
+        self.key = end + np.minimum(upto - before, 1.0)
+        tail = edges[1:] - 1
         self.key[tail] = end[tail] + 1.0
 
     def sample(self, code: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,7 +281,7 @@ def decode(model: Model, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return [raw[a + 1:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
-def _encode(path: str, alpha: float, seed: int):
+def _encode(path: str, alpha: float, seed: int, back: bool):
     def run(batches):
         model = Model.at(path, alpha)
         for batch in batches:
@@ -264,18 +293,21 @@ def _encode(path: str, alpha: float, seed: int):
                 ids, counts = encode(model, texts, keys[a:a + n])
                 ends = np.concatenate([[0], np.cumsum(counts)]) * 2
                 raw = ids.astype("<u2").tobytes()
-                packed = [raw[p:q] for p, q in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                out = [pa.array(counts), pa.array([raw[p:q] for p, q in zip(ends[:-1].tolist(), ends[1:].tolist())],
+                                                  pa.binary())]
+                if back:
+                    out.append(pa.array(decode(model, ids, counts), pa.binary()).cast(pa.string()))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).slice(a, n) for i in range(batch.num_columns - 2)),
-                     pa.array(counts), pa.array(packed, pa.binary())],
-                    [f"c{i}" for i in range(batch.num_columns)])
+                    [*(batch.column(i).slice(a, n) for i in range(batch.num_columns - 2)), *out],
+                    [f"c{i}" for i in range(batch.num_columns - 2 + len(out))])
     return run
 
 
 def sample_pieces(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", back: bool = False) -> DataFrame:
     """(doc_id, n_pieces, ids): one sampled segmentation of each row; ids are
-    little-endian unsigned 16-bit integers of the model's vocabulary.
+    little-endian unsigned 16-bit integers of the model's vocabulary. With
+    ``back``, also ``text``: what the ids spell, decoded in the same task.
 
     The row key is the id; rows of one id and text draw alike, a null id is a
     key of its own. Null and empty texts have no pieces. White space, control
@@ -284,8 +316,12 @@ def sample_pieces(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int =
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("c0"), F.xxhash64(F.lit("row"), F.col(id_col)).alias("key"),
                        F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([rows.schema["c0"], T.StructField("c1", T.LongType()), T.StructField("c2", T.BinaryType())])
-    return rows.mapInArrow(_encode(model, alpha, seed), schema).toDF("doc_id", "n_pieces", "ids")
+    fields = [rows.schema["c0"], T.StructField("c1", T.LongType()), T.StructField("c2", T.BinaryType())]
+    names = ["doc_id", "n_pieces", "ids"]
+    if back:
+        fields.append(T.StructField("c3", T.StringType()))
+        names.append("text")
+    return rows.mapInArrow(_encode(model, alpha, seed, back), T.StructType(fields)).toDF(*names)
 
 
 def _decode(path: str):

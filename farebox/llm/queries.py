@@ -15,7 +15,7 @@ def op1_lattice_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of each document, and the SHA-256 of the text they spell."""
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = lattice.decode_pieces(lattice.sample_pieces(docs, model), model)
+    out = lattice.sample_pieces(docs, model, back=True)
     return out.select("doc_id", "n_pieces", "ids", F.sha2("text", 256).alias("text_sha256"))
 
 
