@@ -218,7 +218,8 @@ def repeated_marks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     rows = keyed(docs, id_col, text_col)
     kept = stored(rows.mapInArrow(_positions(length, gram),
                                   "gram long, doc long, version long, place long"), "suffixes")
-    shared = kept.groupBy("gram").count().filter("count > 1").select("gram")
+    # written, so that both sides of the join are dealt anew and a hot gram's rows can be split
+    shared = stored(kept.groupBy("gram").count().filter("count > 1").select("gram"), "grams")
     places = (kept.join(shared, "gram", "left_semi").groupBy("doc", "version")
               .agg(F.collect_set("place").alias("places")))
     buckets = shuffle_width(spark)
