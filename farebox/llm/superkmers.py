@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .runtime import prepare, shuffle_width
+from .runtime import prepare, shuffle_width, stored
 
 WINDOW = 20
 GRAM = 4
@@ -82,10 +82,9 @@ def _frequent(docs: DataFrame, total: int, width: int, gram: int, share: float)
                     [pa.array(m.view(np.int64)), pa.array(k.astype(np.int64))], ["m", "k"])
 
     part = docs.select("text").sample(min(1.0, SAMPLE_BYTES / max(total, 1)), seed=7)
-    counted = part.mapInArrow(count, "m long, k long").groupBy("m").agg(F.sum("k").alias("k"))
-    seen = counted.agg(F.sum("k").alias("seen"))
-    hot = counted.crossJoin(F.broadcast(seen)).filter(F.col("k") > F.col("seen") * share)
-    rows = hot.select("m").filter("k >= 16").collect()
+    counted = stored(part.mapInArrow(count, "m long, k long").groupBy("m").agg(F.sum("k").alias("k")), "minimisers")
+    seen = counted.agg(F.sum("k")).first()[0] or 0
+    rows = counted.filter((F.col("k") > seen * share) & (F.col("k") >= 16)).select("m").collect()
     return np.sort(np.array([r.m for r in rows], dtype=np.int64).view(np.uint64))
 
 
