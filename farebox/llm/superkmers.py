@@ -42,8 +42,10 @@ BLOCK = T.StructType([
 MARK = T.StructType([
     T.StructField("doc", T.LongType()), T.StructField("version", T.LongType()),
     T.StructField("start", T.LongType()), T.StructField("n", T.LongType())])
-# A run of windows; columns are stored one after the other, which compresses best.
-RUN = (("doc", "<i8"), ("version", "<u4"), ("start", "<u4"), ("n", "<u4"))
+# Runs of windows; columns are stored one after the other, which compresses best,
+# and a text's id and version once for all its consecutive runs.
+TEXTS = (("doc", "<i8"), ("version", "<i8"), ("runs", "<u4"))
+RUNS = (("start", "<u4"), ("n", "<u4"))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -55,8 +57,8 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def version(text_col: str):
-    """32 bits of a hash that tell the texts of one id apart."""
-    return F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
+    """A 64-bit hash that tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def dense_rank(x: np.ndarray) -> np.ndarray:
@@ -165,18 +167,24 @@ def packed_runs(w: W.Words, at: np.ndarray, n: np.ndarray, to: np.ndarray, ids:
 
 
 def pack_places(ids, version, start, n, zip_) -> bytes:
-    columns = (ids, version, start, n)
-    return zip_.compress(b"".join(x.astype(t).tobytes() for x, (_, t) in zip(columns, RUN)))
+    new = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (version[1:] != version[:-1])]))
+    columns = (ids[new], version[new], np.diff(np.append(new, len(ids))), start, n)
+    head = len(new).to_bytes(8, "little")
+    return zip_.compress(head + b"".join(x.astype(t).tobytes() for x, (_, t) in zip(columns, TEXTS + RUNS)))
 
 
 def read_places(blob: bytes, unzip) -> dict[str, np.ndarray]:
     raw = unzip.decompress(blob)
-    n = len(raw) // sum(np.dtype(t).itemsize for _, t in RUN)
-    out, at = {}, 0
-    for name, t in RUN:
-        out[name] = np.frombuffer(raw, dtype=t, count=n, offset=at).astype(np.int64)
-        at += n * np.dtype(t).itemsize
-    return out
+    texts, at = int.from_bytes(raw[:8], "little"), 8
+    runs = (len(raw) - at - texts * sum(np.dtype(t).itemsize for _, t in TEXTS)) // sum(
+        np.dtype(t).itemsize for _, t in RUNS)
+    out = {}
+    for fields, count in ((TEXTS, texts), (RUNS, runs)):
+        for name, t in fields:
+            out[name] = np.frombuffer(raw, dtype=t, count=count, offset=at).astype(np.int64)
+            at += count * np.dtype(t).itemsize
+    each = out.pop("runs")
+    return out | {name: np.repeat(out[name], each) for name in ("doc", "version")}
 
 
 def block_rows(bucket, vocab, codes, runs) -> pa.RecordBatch:
@@ -202,7 +210,7 @@ def open_blocks(vocabs: list[bytes], codes: list[bytes], runs: list[bytes]):
     flat = np.concatenate(parts)
     del parts
     tables = [read_places(r, unzip) for r in runs]
-    run = {name: np.concatenate([t[name] for t in tables]) for name, _ in RUN}
+    run = {name: np.concatenate([t[name] for t in tables]) for name in MARK.names}
     return flat, W.hash_words(pa.array(known.keys(), pa.large_binary())), run
 
 

@@ -134,6 +134,19 @@ def test_super_kmers_in_small_chunks_and_hot_minimisers(documents, monkeypatch):
     assert removed(documents.limit(60)) == sorted(brute_removed(sample_rows(documents.limit(60))), key=key)
 
 
+def test_texts_of_one_id_whose_hashes_agree_in_32_bits(spark):
+    """A text that repeats itself and one of a single word, under a null id and
+    under one id: 32 bits of the hash do not tell them apart."""
+    def low(t):
+        return xxhash.xxh64_intdigest(t, seed=42) & 0xFFFFFFFF
+    short = {low(f"s{k}"): f"s{k}" for k in range(1 << 17)}
+    long = next(t for t in (f"{PASSAGE} {PASSAGE} t{k}" for k in range(1 << 20)) if low(t) in short)
+    rows = [(i, t) for i in (None, 5) for t in (long, short[low(long)])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert removed(df) == sorted(brute_removed(rows), key=key)
+    assert {tuple(r) for r in suffixes.repeated_passages(df).collect()} == brute_passages(rows, 50)
+
+
 def _encoded(docs):
     import pyarrow as pa
 
