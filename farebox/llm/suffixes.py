@@ -16,7 +16,11 @@ passages keep the same suffixes, one in fourteen or so.
    a class are grouped by their words, exactly.
 
 A map task settles what repeats within its own chunk and ships one copy of it,
-so a hot passage reaches its bucket once per chunk.
+so a hot passage reaches its bucket once per chunk. Windows at a passage's edges
+hold words of their own document and are not settled so: where a gram is in more
+than a share of the kept positions, each of its windows goes to the bucket of
+the whole window's hash, which equal windows share. Buckets grow in number with
+the input, not in size.
 """
 
 from __future__ import annotations
@@ -31,8 +35,8 @@ from pyspark.sql import types as T
 
 from . import words as W
 from .runtime import prepare, shuffle_width, stored
-from .superkmers import (BLOCK, CHUNK_BYTES, block_rows, by_spelling, dense_rank, keyed, open_blocks,
-                         pack_places, packed_runs, read_places)
+from .superkmers import (BLOCK, BUCKET_BYTES, CHUNK_BYTES, among, block_rows, by_spelling, dense_rank,
+                         keyed, open_blocks, pack_places, packed_runs, read_places)
 
 LENGTH = 50
 GRAM = 24
@@ -85,7 +89,7 @@ def _marks(doc, version, start, n, later) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc, version, start, n, later)], MARK.names)
 
 
-def _suffixes(buckets: int, length: int, gram: int):
+def _suffixes(buckets: int, hot: np.ndarray, length: int, gram: int):
     """Blocks of the windows around repeated grams. Rows without codes carry
     what the chunk itself has settled; ``vocab`` then tells later windows (b"1")
     from first ones."""
@@ -119,10 +123,14 @@ def _suffixes(buckets: int, length: int, gram: int):
                 ship = np.ones(len(starts), dtype=bool)
                 ship[rest] = False
                 keep = np.flatnonzero(ship)
-                first, count = W.runs_of(starts[keep], doc[keep], place[starts[keep]])
+                own = grams[place[starts[keep]]]
+                route = W.mix(own)
+                if len(hot):
+                    route = np.where(among(own, hot), W.mix(hashes[keep]), route)
+                route = (route % np.uint64(buckets)).astype(np.int32)
+                first, count = W.runs_of(starts[keep], doc[keep], place[starts[keep]], route)
                 at = keep[first]
-                to = (W.mix(grams[place[starts[at]]]) % np.uint64(buckets)).astype(np.int32)
-                yield from packed_runs(w, starts[at], count, to, ids[doc[at]], version[doc[at]],
+                yield from packed_runs(w, starts[at], count, route[first], ids[doc[at]], version[doc[at]],
                                        inside[at], length, zip_)
     return run
 
@@ -213,19 +221,27 @@ def repeated_marks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     first starting at word ``start``, that occur at another place; ``later``
     if they also start earlier (smaller id, or earlier in the same document).
     A window may be marked more than once."""
-    spark = docs.sparkSession
-    prepare(spark)
-    rows = keyed(docs, id_col, text_col)
+    prepare(docs.sparkSession)
+    blocks, buckets = _blocks(keyed(docs, id_col, text_col), length, gram)
+    return (blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(_arrays(length, gram), MARK))
+
+
+def _blocks(rows: DataFrame, length: int, gram: int) -> tuple[DataFrame, int]:
+    """(blocks of the windows around repeated grams, number of buckets)."""
+    spark = rows.sparkSession
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(shuffle_width(spark), -(-total // BUCKET_BYTES))
     kept = stored(rows.mapInArrow(_positions(length, gram),
                                   "gram long, doc long, version long, place long"), "suffixes")
     # written, so that both sides of the join are dealt anew and a hot gram's rows can be split
-    shared = stored(kept.groupBy("gram").count().filter("count > 1").select("gram"), "grams")
-    places = (kept.join(shared, "gram", "left_semi").groupBy("doc", "version")
+    shared = stored(kept.groupBy("gram").count().filter("count > 1"), "grams")
+    least = max(16, kept.count() // (2 * buckets))  # at most 2 * buckets grams have more
+    often = shared.filter(F.col("count") > least).select("gram").collect()
+    hot = np.sort(np.array([r["gram"] for r in often], dtype=np.int64).view(np.uint64))
+    places = (kept.join(shared.select("gram"), "gram", "left_semi").groupBy("doc", "version")
               .agg(F.collect_set("place").alias("places")))
-    buckets = shuffle_width(spark)
-    blocks = rows.join(places, ["doc", "version"]).mapInArrow(_suffixes(buckets, length, gram), BLOCK)
-    return (blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(_arrays(length, gram), MARK))
+    return rows.join(places, ["doc", "version"]).mapInArrow(_suffixes(buckets, hot, length, gram), BLOCK), buckets
 
 
 def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,

@@ -90,6 +90,11 @@ def _frequent(docs: DataFrame, total: int, width: int, gram: int, share: float)
     return np.sort(np.array([r.m for r in rows], dtype=np.int64).view(np.uint64))
 
 
+def among(x: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in ``hot``, which is sorted and not empty."""
+    return hot[np.minimum(np.searchsorted(hot, x), len(hot) - 1)] == x
+
+
 def by_spelling(w: W.Words) -> W.Words:
     """The same words with codes in the vocabulary's order: vocabularies of
     buckets come sorted, which compresses best."""
@@ -132,7 +137,7 @@ def _split(buckets: int, hot: np.ndarray, width: int, gram: int):
                 low, grams = _minimisers(h, width, gram)
                 route = (low % np.uint64(buckets)).astype(np.int32)
                 if len(hot):
-                    frequent = hot[np.minimum(np.searchsorted(hot, low), len(hot) - 1)] == low
+                    frequent = among(low, hot)
                     second = W.window_min(W.mix(grams), width - gram + 1)
                     route = np.where(frequent, (W.mix(low ^ second) % np.uint64(buckets))
                                      .astype(np.int32), route)

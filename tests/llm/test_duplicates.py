@@ -213,3 +213,32 @@ def test_hot_groups(spark, copies):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
     assert removed(df) == sorted(brute_removed(rows), key=key)
     assert {tuple(r) for r in suffixes.repeated_passages(df).collect()} == brute_passages(rows, 50)
+
+
+def most_in_a_bucket(blocks):
+    """(runs in the fullest bucket, all runs)."""
+    import zstandard
+
+    unzip, n = zstandard.ZstdDecompressor(), {}
+    for r in blocks.filter("codes is not null").collect():
+        n[r["bucket"]] = n.get(r["bucket"], 0) + int(superkmers.read_places(r["runs"], unzip)["n"].sum())
+    return max(n.values()), sum(n.values())
+
+
+def test_sparse_suffixes_deal_out_a_hot_gram(spark, monkeypatch):
+    """One gram in every document, each time between other words; some windows
+    around it repeat, most do not."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 1 << 12)
+    def rank(text):  # as a minimiser
+        w = W.encode(pa.array([text]))
+        return W.mix(W.window_hash(W.hash_words(w.vocab)[w.codes], 24))[0]
+    core = min((prose(k, 24) for k in range(5000, 5300)), key=rank)
+    rows = [(i, f"{prose(1000 + i, 40)} {core} {prose(2000 + i % 90, 40)}") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {tuple(r) for r in suffixes.repeated_passages(df).collect()} == brute_passages(rows, 50)
+    suffixes.prepare(spark)
+    blocks, buckets = suffixes._blocks(superkmers.keyed(df, "doc_id", "text"), 50, 24)
+    most, total = most_in_a_bucket(blocks)
+    assert buckets > 8 and total > 1000 and most < total / 4, (buckets, total, most)
