@@ -1,10 +1,10 @@
 """Lexical retrieval packing (operator 2).
 
 Documents are cut and joined to sequences of ``WINDOW`` tokens. A seed document
-opens a window; a BM25 search with its most telling tokens over an inverted
+opens a window; a BM25 search with all tokens it shares over an inverted
 index of its shard returns unused neighbours, which fill the window greedily,
 best first: those that fit whole, then the best one left, cut where the window
-ends. What is cut off seeds the next window. A shard's last window is cut into
+ends. If all that a search returned are used and room is left, it asks again. What is cut off seeds the next window. A shard's last window is cut into
 powers of two, which need no padding, so nothing is padded.
 
 BM25's counts (documents, lengths, document frequencies of token ids, at most
@@ -31,8 +31,9 @@ from .runtime import prepare, shuffle_width, stored
 
 WINDOW = 2048
 END_ID = 1
-QUERY_TOKENS = 24       # of a seed document, by weight
-NEIGHBOURS = 32         # asked for at a time
+QUERY_TOKENS = None     # no bound: a seed is scored with all tokens it shares
+NEIGHBOURS = 32         # asked for at a time, until the window is full
+COMMON = 16             # tokens of over one in so many of a shard's documents are scored as a matrix
 SHARD_TOKENS = 1 << 20
 BUCKETS = 4096          # rows of the driver's table of shard sizes
 K1, B = 1.2, 0.75       # BM25
@@ -185,25 +186,36 @@ class Index:
         count = np.bincount(self.token, minlength=len(idf))
         self.ends = np.cumsum(count)
         self.begins = self.ends - count
+        # Weights of common tokens as a matrix, at most COMMON cells a posting.
+        common = np.flatnonzero(count > max(1, docs // COMMON))
+        self.column = np.full(len(idf), -1, dtype=np.int32)
+        self.column[common] = np.arange(len(common), dtype=np.int32)
+        self.matrix = np.zeros((docs, len(common)), dtype=np.float32)
+        own = self.column[self.token]
+        self.matrix[self.doc[own >= 0], own[own >= 0]] = self.weight[own >= 0]
 
     def search(self, doc: int, unused: np.ndarray, most: int) -> list[int]:
         """The unused documents nearest to ``doc``, best first, ties by place."""
-        a, b = self.bounds[doc], self.bounds[doc + 1]
-        tokens, weight = self.token[a:b], self.weight[a:b]
-        shared = self.ends[tokens] - self.begins[tokens] > 1
-        tokens, weight = tokens[shared], weight[shared]
-        if len(tokens) > QUERY_TOKENS:
-            top = np.argpartition(-weight, QUERY_TOKENS - 1)[:QUERY_TOKENS]
-            tokens = tokens[top]
-        if not len(tokens):
-            return []
+        return self.nearest(self.scores(doc), unused, most)
+
+    def scores(self, doc: int) -> np.ndarray:
+        """BM25 of each document for all tokens of ``doc``."""
+        tokens = self.token[self.bounds[doc]:self.bounds[doc + 1]]
+        column = self.column[tokens]
+        asked = np.zeros(self.matrix.shape[1], dtype=np.float32)
+        asked[column[column >= 0]] = 1
+        tokens = tokens[column < 0]
         at = W.ragged(self.begins[tokens], self.ends[tokens] - self.begins[tokens])
-        score = np.bincount(self.posting_doc[at], self.posting_weight[at], minlength=len(unused))
-        score[~unused] = 0
-        found = np.flatnonzero(score)
+        rare = np.bincount(self.posting_doc[at], self.posting_weight[at], minlength=len(self.matrix))
+        return rare + self.matrix @ asked
+
+    @staticmethod
+    def nearest(score: np.ndarray, unused: np.ndarray, most: int) -> list[int]:
+        found = np.flatnonzero(unused & (score > 0))
         if len(found) > most:
-            found = found[np.argpartition(-score[found], most - 1)[:most]]
-        return found[np.lexsort((found, -score[found]))].tolist()
+            least = -np.partition(-score[found], most - 1)[most - 1]
+            found = found[score[found] >= least]  # ties at the cut too
+        return found[np.lexsort((found, -score[found]))][:most].tolist()
 
 
 def pack_shard(n: np.ndarray, index: Index, window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
@@ -226,15 +238,18 @@ def pack_shard(n: np.ndarray, index: Index, window: int = WINDOW) -> list[list[t
         free -= take
         carry = (seed, start + take) if start + take < size[seed] else None
         if free and unused.any():
-            near = index.search(seed, unused, NEIGHBOURS)
-            cut = None
-            for d in near:
-                if size[d] <= free:
-                    pieces.append((d, 0, size[d]))
-                    unused[d] = False
-                    free -= size[d]
-                elif cut is None:
-                    cut = d
+            score, cut = index.scores(seed), None
+            while free and cut is None:
+                near = index.nearest(score, unused, NEIGHBOURS)
+                for d in near:
+                    if size[d] <= free:
+                        pieces.append((d, 0, size[d]))
+                        unused[d] = False
+                        free -= size[d]
+                    elif cut is None:
+                        cut = d
+                if not near:
+                    break
             if free and cut is not None:
                 pieces.append((cut, 0, free))
                 unused[cut] = False

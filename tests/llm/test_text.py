@@ -157,6 +157,24 @@ def test_neighbours_by_bm25_fill_the_window():
     assert all({d // 5 for d, _, _ in s} == {s[0][0] // 5} for s in packed) and len(packed) == 4
 
 
+def test_all_shared_tokens_count_and_all_neighbours_are_asked_for():
+    """Forty short kin of a seed fit its window, also those after the 32nd;
+    a document that shares many light tokens is nearer than one with 24 heavy ones."""
+    kin = [np.array([500, 501, 10 * k + 600]) for k in range(41)]
+    other = [np.array([5000 + k, 5500]) for k in range(41)]
+    topic = [d for pair in zip(kin, other) for d in pair]
+    n = np.array([len(d) for d in topic])
+    idf = np.ones(6000, dtype=np.float32)
+    index = packing.Index(np.concatenate(topic).astype(np.uint16), n, idf, 2.5)
+    assert {d % 2 for d, _, _ in packing.pack_shard(n, index, window=3 * 41)[0]} == {0}
+
+    seed, heavy, light = np.arange(200), np.arange(24), np.arange(24, 200)
+    flat, n = np.concatenate([seed, heavy, light]).astype(np.uint16), np.array([200, 24, 176])
+    idf = np.where(np.arange(200) < 24, 2, 1).astype(np.float32)
+    index = packing.Index(flat, n, idf, 1e9)
+    assert index.search(0, np.array([False, True, True]), 2) == [2, 1]
+
+
 # ------------------------------------------------------------- operator 4
 SECRETS = [
     'password = "hunter22" and PASSWD:abcdef', "token=abc api_key: 'x/y+z=12' apikey=toolong1", "éé secret: ſecret=abcdefg",
