@@ -12,8 +12,8 @@ Scale and skew: a map task marks what repeats within its own chunk of
 documents and ships a window's first occurrence only, so a group of copies or
 a common passage reaches its bucket once per chunk, not once per document.
 Minimisers that a bounded sample shows in more than a share of the windows
-are split by a second minimiser (the sample changes the routing, never the
-result). Buckets grow in number with the input, not in size.
+are split by a second minimiser, and pairs of both that are as frequent by the
+whole window's hash (the sample changes the routing, never the result). Buckets grow in number with the input, not in size.
 """
 
 from __future__ import annotations
@@ -70,22 +70,28 @@ def _minimisers(h: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.nd
     return W.window_min(grams, width - gram + 1), grams
 
 
+def _pairs(low: np.ndarray, grams: np.ndarray, width: int, gram: int) -> np.ndarray:
+    """One hash of each window's first and second minimiser."""
+    return W.mix(low ^ W.window_min(W.mix(grams), width - gram + 1))
+
+
 def _frequent(docs: DataFrame, total: int, width: int, gram: int, share: float) -> np.ndarray:
-    """Minimisers of more than ``share`` of a sample's windows: at most
-    1 / share values, whatever the input."""
+    """Minimisers, and pairs of first and second ones, of more than ``share`` of
+    a sample's windows: at most 2 / share values, whatever the input."""
     def count(batches):
         for batch in batches:
             for a, n in W.chunks(batch.column(0), CHUNK_BYTES):
                 w = W.encode(batch.column(0).slice(a, n))
-                m, _ = _minimisers(W.hash_words(w.vocab)[w.codes], width, gram)
-                m = m[W.starts_inside(w.bounds, width)[:len(m)]]
+                m, grams = _minimisers(W.hash_words(w.vocab)[w.codes], width, gram)
+                inside = W.starts_inside(w.bounds, width)[:len(m)]
+                m = np.concatenate([m[inside], _pairs(m, grams, width, gram)[inside]])
                 m, k = np.unique(m, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(m.view(np.int64)), pa.array(k.astype(np.int64))], ["m", "k"])
 
     part = docs.select("text").sample(min(1.0, SAMPLE_BYTES / max(total, 1)), seed=7)
     counted = stored(part.mapInArrow(count, "m long, k long").groupBy("m").agg(F.sum("k").alias("k")), "minimisers")
-    seen = counted.agg(F.sum("k")).first()[0] or 0
+    seen = (counted.agg(F.sum("k")).first()[0] or 0) // 2  # each window is in twice
     rows = counted.filter((F.col("k") > seen * share) & (F.col("k") >= 16)).select("m").collect()
     return np.sort(np.array([r.m for r in rows], dtype=np.int64).view(np.uint64))
 
@@ -119,7 +125,6 @@ def _split(buckets: int, hot: np.ndarray, width: int, gram: int):
                 if not len(starts):
                     continue
                 hashes = windows[starts]
-                del windows
                 doc = np.searchsorted(w.bounds, starts, side="right") - 1
                 inside = starts - w.bounds[doc]
                 order = (dense_rank(ids)[doc] << 32) | inside
@@ -135,12 +140,14 @@ def _split(buckets: int, hot: np.ndarray, width: int, gram: int):
                     yield block_rows([int(ids[0]) % buckets], [None], [None],
                                 [pack_places(ids[doc[at]], version[doc[at]], inside[at], length, zip_)])
                 low, grams = _minimisers(h, width, gram)
-                route = (low % np.uint64(buckets)).astype(np.int32)
+                route = low
                 if len(hot):
-                    frequent = among(low, hot)
-                    second = W.window_min(W.mix(grams), width - gram + 1)
-                    route = np.where(frequent, (W.mix(low ^ second) % np.uint64(buckets))
-                                     .astype(np.int32), route)
+                    pair = _pairs(low, grams, width, gram)
+                    pair = np.where(among(pair, hot), W.mix(windows), pair)
+                    route = np.where(among(low, hot), pair, low)
+                    del pair
+                route = (route % np.uint64(buckets)).astype(np.int32)
+                del windows
                 del low, grams, h
                 keep = np.flatnonzero(ship)
                 first, length = W.runs_of(starts[keep], doc[keep], route[starts[keep]])
@@ -268,12 +275,17 @@ def repeated_windows(docs: DataFrame, width: int = WINDOW, gram: int = GRAM) ->
     of n consecutive windows, the first starting at word ``start``, that also
     start earlier: in a smaller doc, or earlier in the same one."""
     prepare(docs.sparkSession)
+    blocks, buckets = _blocks(docs, width, gram)
+    return (blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(_count(width), MARK))
+
+
+def _blocks(docs: DataFrame, width: int, gram: int) -> tuple[DataFrame, int]:
+    """(blocks of the windows, number of buckets)."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(shuffle_width(docs.sparkSession), -(-total // BUCKET_BYTES))
     hot = _frequent(docs, total, width, gram, 1 / (2 * buckets))
-    blocks = docs.mapInArrow(_split(buckets, hot, width, gram), BLOCK)
-    return (blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(_count(width), MARK))
+    return docs.mapInArrow(_split(buckets, hot, width, gram), BLOCK), buckets
 
 
 def _strike(width: int, text_at: int):

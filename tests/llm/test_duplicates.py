@@ -242,3 +242,23 @@ def test_sparse_suffixes_deal_out_a_hot_gram(spark, monkeypatch):
     blocks, buckets = suffixes._blocks(superkmers.keyed(df, "doc_id", "text"), 50, 24)
     most, total = most_in_a_bucket(blocks)
     assert buckets > 8 and total > 1000 and most < total / 4, (buckets, total, most)
+
+
+def test_super_kmers_deal_out_a_hot_pair(spark, monkeypatch):
+    """One passage in every document, both minimisers of most windows inside it."""
+    monkeypatch.setattr(superkmers, "BUCKET_BYTES", 1 << 11)
+    core = min((prose(k, 8) for k in range(5000, 5300)),
+               key=lambda t: _both_ranks(t.encode().split()))
+    rows = [(i, f"{prose(1000 + i, 15)} {core} {prose(2000 + i % 90, 15)}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert removed(df) == sorted(brute_removed(rows), key=key)
+    blocks, buckets = superkmers._blocks(superkmers.keyed(df, "doc_id", "text"), 20, 4)
+    most, total = most_in_a_bucket(blocks)
+    assert buckets > 8 and most < total / 6, (buckets, most, total)
+
+
+def _both_ranks(words):
+    import pyarrow as pa
+
+    grams = W.mix(W.window_hash(W.hash_words(pa.array(words, pa.large_binary())), 4))
+    return max(int(grams.min()), int(W.mix(grams).min()))
