@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, lattice, packing, quality, secret_ledger, simhash, suffixes, superkmers, topk, toxicity
+from . import (ann, digest_index, lattice, lexical, merkle, packing, quality, secret_ledger, simhash, suffixes,
+               superkmers, topk, toxicity)
 from .oracle import SQL  # noqa: F401
 from .runtime import table
 
@@ -74,6 +75,34 @@ def op10_tiled_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op11_blocked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth document's text is tampered with; its proof then fails. A
+    null id is never tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    cells = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    other = F.when(chosen, merkle.leaf(*cells, F.translate("text", upper, lower)))
+    rows = docs.select("doc_id", "source", merkle.leaf(*cells, F.col("text")).alias("leaf"), other.alias("tampered"))
+    out, root = merkle.dataset_manifest(rows, "source", "doc_id")
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("steps"))
+    return out.select("doc_id", "leaf", "subroot", F.lit(root).alias("root"),
+                      F.sha2(merkle.siblings(F.col("steps")), 256).alias("proof_sha256"),
+                      folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents come in two loads by source, so the second one meets an
+    index that is not empty."""
+    docs = table(spark, sf_dir, "documents")
+    out = digest_index.deduplicate(docs, batch=F.pmod(F.xxhash64("source"), F.lit(2)), batches=2)
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 QUERIES = {
     "op1_lattice_sampling": op1_lattice_sampling,
     "op2_retrieval_packing": op2_retrieval_packing,
@@ -85,6 +114,9 @@ QUERIES = {
     "op8_sparse_suffix_arrays": op8_sparse_suffix_arrays,
     "op9_super_kmer_dedup": op9_super_kmer_dedup,
     "op10_tiled_top_k": op10_tiled_top_k,
+    "op11_blocked_lexical_search": op11_blocked_lexical_search,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_digest_index_dedup": op13_digest_index_dedup,
 }
 
 
