@@ -10,11 +10,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions import ntz_literal
-from farebox.sources.lake import PARTITION_COLS
+from farebox.sources.commits import partition_predicate, read_log
+from farebox.sources.lake import PARTITION_COLS, partition_signatures, read_lake
 
 
 def check_unique(df: DataFrame, key: str) -> DataFrame:
@@ -101,6 +102,33 @@ def check_audit_drift(audit_latest: DataFrame, lake: DataFrame, table_name: str)
             .where(F.col("audited_rows") != F.col("lake_rows")))
 
 
+def check_signature_drift(spark: SparkSession, lake_root: str, audit_root: str, table_name: str) -> DataFrame:
+    """C-09 from the file listing: of every partition the listing's signature is
+    compared with the one that its newest load noted; only partitions whose
+    files differ are counted, from their footers. A partition that is gone
+    from the lake counts 0; one that was never loaded has 0 audited rows;
+    files that were rewritten with as many rows are no drift."""
+    newest = F.max_by(F.struct("signature", "row_count"), "seq")
+    audited = (read_log(spark, audit_root).where((F.col("table_name") == table_name) & (F.col("kind") == "replace"))
+               .groupBy(*PARTITION_COLS).agg(newest.alias("n"))
+               .select(*PARTITION_COLS, F.col("n.signature").alias("was"), F.lit(None).cast("string").alias("now"),
+                       F.col("n.row_count").alias("audited_rows")))
+    listed = partition_signatures(spark, lake_root).select(
+        *PARTITION_COLS, F.lit(None).cast("string").alias("was"), F.col("signature").alias("now"),
+        F.lit(0).cast("long").alias("audited_rows"))
+    # union and aggregate instead of an outer join: NULL partition values group too
+    both = audited.unionByName(listed).groupBy(*PARTITION_COLS).agg(
+        F.max("was").alias("was"), F.max("now").alias("now"), F.sum("audited_rows").alias("audited_rows"))
+    changed = both.where(~F.col("was").eqNullSafe(F.col("now"))).select(
+        *PARTITION_COLS, "audited_rows", F.lit(0).cast("long").alias("lake_rows"))
+    touched = [(r["year"], r["month"]) for r in changed.collect()]   # folder names
+    counts = (read_lake(spark, lake_root).where(partition_predicate(touched)).groupBy(*PARTITION_COLS)
+              .agg(F.lit(0).cast("long").alias("audited_rows"), F.count("*").alias("lake_rows")))
+    return (changed.unionByName(counts).groupBy(*PARTITION_COLS)
+            .agg(F.sum("audited_rows").alias("audited_rows"), F.sum("lake_rows").alias("lake_rows"))
+            .where(F.col("audited_rows") != F.col("lake_rows")))
+
+
 def check_model_keys(models: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """C-01 and C-02 for every model's key: (model, key, rows, null_keys,
     repeated_keys), one row per model."""

@@ -86,14 +86,23 @@ def date_attributes(spine: DataFrame) -> DataFrame:
     )
 
 
+def with_unknown_date(dim: DataFrame) -> DataFrame:
+    """U-01: the -1 member of the date dimension: a day that is not known has no
+    calendar attributes, an 'Unknown' name and is no weekend."""
+    values = {"date_key": UNKNOWN_ID, "month_name": UNKNOWN_TEXT, "day_name": UNKNOWN_TEXT, "is_weekend": False}
+    member = inline_relation(dim.sparkSession, [tuple(values.get(f.name) for f in dim.schema.fields)], dim.schema)
+    return dim.unionByName(member)
+
+
 def dim_date(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
-    """One row per day of ``[start, end)``."""
-    return date_attributes(date_spine(spark, start, end))
+    """One row per day of ``[start, end)`` and the -1 'Unknown' member."""
+    return with_unknown_date(date_attributes(date_spine(spark, start, end)))
 
 
 def dim_date_covering(df: DataFrame, ts_col: str) -> DataFrame:
     """Date dimension spanning the days of ``ts_col`` found in ``df``: the
-    bounds come from one aggregation (partial min/max per task)."""
+    bounds come from one aggregation (partial min/max per task); and the -1
+    'Unknown' member."""
     bounds = df.agg(F.min(ts_col).cast("date").alias("start"),
                     F.date_add(F.max(ts_col).cast("date"), 1).alias("end"))
-    return date_attributes(date_spine_between(bounds))
+    return with_unknown_date(date_attributes(date_spine_between(bounds)))

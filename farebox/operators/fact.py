@@ -67,3 +67,16 @@ def route_unmatched_to_unknown(fact: DataFrame, dim: DataFrame, dim_key: str,
                                              F.lit(unknown).cast(dtype)))
                   .drop(f"_dim_key_{fk}"))
     return out.select(*fact.columns)
+
+
+def with_source_ids(fact: DataFrame, fks: Sequence[str]) -> DataFrame:
+    """Each foreign key's own id beside it, as ``<fk>_source``: what a key that is
+    routed to the unknown member was, and is again once its member arrives."""
+    return fact.withColumns({f"{fk}_source": F.col(fk) for fk in fks})
+
+
+def reroute(fact: DataFrame, dim: DataFrame, dim_key: str, fks: Sequence[str]) -> DataFrame:
+    """The routed keys of a fact that keeps its source ids, against ``dim`` as it
+    is now."""
+    return route_unmatched_to_unknown(
+        fact.withColumns({fk: F.col(f"{fk}_source") for fk in fks}), dim, dim_key, fks)

@@ -17,18 +17,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions import ntz_literal
-from farebox.operators import checks, dims, profile, staging
-from farebox.operators.fact import FACT_COLUMNS, route_unmatched_to_unknown, to_fact
+from farebox.operators import checks, dims, profile, staging, summaries
+from farebox.operators.fact import FACT_COLUMNS, route_unmatched_to_unknown, to_fact, with_storage_partitions
 from farebox.plans import marts
 from farebox.session import apply_pipeline_conf, scratch_path
 from farebox.sources import fixtures, lake, seeds
-from farebox.sources.raw import align_columns, read_aligned, with_load_timestamp
+from farebox.sources.commits import CommittedTable, log_beside
+from farebox.sources.raw import align_columns, read_aligned
 from farebox.streaming import incremental
 
 P = fixtures.FIXTURE_PARAMS
 TABLE_NAME = "yellow_trips"
 # Fixed values used by the named queries below.
 ONE_MONTH = (1996, 1)
+LATER_MONTH = (1999, 3)
+ZONE = 7
+LATE_MEMBERS = (264,)
 FRESHNESS_AS_OF = dt.datetime(2024, 2, 1)
 FRESHNESS_MAX_AGE = dt.timedelta(hours=24)
 
@@ -107,8 +111,7 @@ class Workspace:
                                         full_refresh=True)
             y, m = ONE_MONTH
             part = lake.read_partition(self.spark, lake_path, y, m)
-            incremental.replace_partitions(with_load_timestamp(align_columns(part)), raw_path,
-                                           rebalance=False)
+            incremental.replace_partitions(self.spark, part, raw_path, audit_path, TABLE_NAME, rebalance=False)
             return raw_path, audit_path
         return self._once("replaced_raw", build)
 
@@ -174,6 +177,87 @@ class Workspace:
         return self._once(f"fact_{late}", build)
 
 
+    # drop, then an upsert of an early month and of one beyond the mark, then drop
+    def fact_mixed(self) -> str:
+        def build():
+            path = f"{self.root}/fct_mixed"
+            raw = fixtures.trip_raw(self.spark, self.sf_dir)
+            arrived = raw.where(F.col("tpep_dropoff_datetime") < ntz_literal(fixtures.FIXTURE_ARRIVAL_CUTOFF))
+            incremental.build_fact(self.spark, arrived, P, path, late="drop")
+            incremental.build_fact(self.spark, raw, P, path, late="upsert", partitions=[ONE_MONTH, LATER_MONTH])
+            incremental.build_fact(self.spark, raw, P, path, late="drop")
+            return path
+        return self._once("fct_mixed", build)
+
+    # a committed lake: the monthly sources appended in three loads, each of
+    # them given again with the next
+    def lake_of_appends(self) -> str:
+        def build():
+            path = f"{self.root}/lake_appends"
+            sources = self.monthly_sources()
+            for k in (1, 2, 3, 3):
+                lake.append_sources(self.spark, sources[:len(sources) * k // 3], path, "tpep_pickup_datetime", read_aligned)
+            return path
+        return self._once("lake_appends", build)
+
+    # the same with every month's files packed to the target size
+    def lake_packed(self) -> str:
+        def build():
+            path = f"{self.root}/lake_packed"
+            sources = self.monthly_sources()
+            for k in (1, 2):
+                lake.append_sources(self.spark, sources[:len(sources) * k // 2], path, "tpep_pickup_datetime", read_aligned)
+            lake.compact_lake(self.spark, path, slack=1)
+            return path
+        return self._once("lake_packed", build)
+
+    # raw loaded from the arrived trips, the lake rebuilt with all, and the
+    # partitions whose files have changed loaded again; with its summaries,
+    # taken before and brought up to date after
+    def reloaded_raw(self) -> tuple[CommittedTable, str]:
+        def build():
+            lake_path, raw_path, audit_path, sums = (f"{self.root}/{x}_rel" for x in ("lake", "raw", "audit", "sums"))
+            src = fixtures.trip_source(self.spark, self.sf_dir)
+            arrived = src.where(F.col("tpep_dropoff_datetime") < ntz_literal(fixtures.FIXTURE_ARRIVAL_CUTOFF))
+            raw = incremental.raw_table(self.spark, raw_path, audit_path, TABLE_NAME)
+            for rows in (arrived, src):
+                lake.build_lake([rows], lake_path, "tpep_pickup_datetime")
+                incremental.load_partitions(self.spark, lake_path, raw_path, audit_path, TABLE_NAME, reload_changed=True)
+                summaries.refresh(self.spark, raw, sums)
+            return raw, sums
+        return self._once("reloaded_raw", build)
+
+    # days as partitions
+    def lake_daily(self) -> str:
+        def build():
+            path = f"{self.root}/lake_daily"
+            lake.build_lake([fixtures.trip_source(self.spark, self.sf_dir)], path, "tpep_pickup_datetime", by=lake.DAILY)
+            return path
+        return self._once("lake_daily", build)
+
+    # rows of a month dealt to its files by ranges of the pickup location
+    def lake_clustered(self) -> str:
+        def build():
+            path = f"{self.root}/lake_clustered"
+            lake.build_lake([fixtures.trip_source(self.spark, self.sf_dir)], path, "tpep_pickup_datetime",
+                            cluster_by="PULocationID")
+            return path
+        return self._once("lake_clustered", build)
+
+    # a fact routed against the zones, then again after a member has come
+    def fact_rerouted(self) -> str:
+        def build():
+            path = f"{self.root}/fct_rerouted"
+            fact, kept = (CommittedTable(self.spark, r, log_beside(r)) for r in (path, f"{path}_unmatched"))
+            keys = ["pickup_location_id", "dropoff_location_id"]
+            zones = _dim_location(self.spark, self.sf_dir)
+            summaries.write_routed(fact, kept, with_storage_partitions(_fact(self.spark, self.sf_dir)), zones, "location_id", keys)
+            late = seeds.inline_relation(self.spark, [(i,) for i in LATE_MEMBERS], "location_id int")
+            summaries.reroute_new_members(fact, kept, zones.select("location_id").unionByName(late), "location_id", keys)
+            return path
+        return self._once("fct_rerouted", build)
+
+
 # ------------------------------------------------------------- building blocks
 def _raw(spark, sf):
     return fixtures.trip_raw(spark, sf)
@@ -287,8 +371,8 @@ def q_aligned_raw(spark, sf):
 
 def q_partition_replace(spark, sf):
     _prep(spark)
-    raw_path, _ = Workspace.of(spark, sf).replaced_raw()
-    return profile.trips_by_month(spark.read.parquet(raw_path))
+    raw_path, audit_path = Workspace.of(spark, sf).replaced_raw()
+    return profile.trips_by_month(incremental.read_raw(spark, raw_path, audit_path, TABLE_NAME))
 
 
 def q_audit_latest(spark, sf):
@@ -299,8 +383,82 @@ def q_audit_latest(spark, sf):
 
 def q_incremental_load(spark, sf):
     _prep(spark)
-    _, raw_path, _ = Workspace.of(spark, sf).incremental_raw()
-    return profile.trips_by_month(spark.read.parquet(raw_path))
+    _, raw_path, audit_path = Workspace.of(spark, sf).incremental_raw()
+    return profile.trips_by_month(incremental.read_raw(spark, raw_path, audit_path, TABLE_NAME))
+
+
+def q_incremental_reload_changed(spark, sf):
+    _prep(spark)
+    raw, _ = Workspace.of(spark, sf).reloaded_raw()
+    return profile.trips_by_month(raw.read())
+
+
+def q_profile_from_summaries(spark, sf):
+    """Counters and statistics merged from one kept row per partition."""
+    _prep(spark)
+    _, sums = Workspace.of(spark, sf).reloaded_raw()
+    return summaries.profile_of(summaries.summary_table(spark, sums).read())
+
+
+def q_trips_by_month_kept(spark, sf):
+    _prep(spark)
+    _, sums = Workspace.of(spark, sf).reloaded_raw()
+    return summaries.trips_by_month(summaries.summary_table(spark, sums).read())
+
+
+def q_check_signature_drift(spark, sf):
+    _prep(spark)
+    lake_path, audit_path = Workspace.of(spark, sf).shrunk_lake()
+    return checks.check_signature_drift(spark, lake_path, audit_path, TABLE_NAME)
+
+
+def q_lake_append_twice(spark, sf):
+    _prep(spark)
+    return profile.trips_by_month(lake.read_lake(spark, Workspace.of(spark, sf).lake_of_appends()))
+
+
+def q_lake_compacted(spark, sf):
+    """Rows per month of the packed lake, and whether its files are no more
+    than the target size asks for."""
+    _prep(spark)
+    path = Workspace.of(spark, sf).lake_packed()
+    layout = lake.lake_layout(spark, path).alias("f")
+    rows = profile.trips_by_month(lake.read_lake(spark, path)).alias("r")
+    same = F.col("f.year").eqNullSafe(F.col("r.year")) & F.col("f.month").eqNullSafe(F.col("r.month"))
+    asked = F.ceil(F.col("bytes") / F.lit(lake.TARGET_FILE_BYTES))
+    return layout.join(rows, same).select("r.year", "r.month", "trips", (F.col("files") <= asked).alias("packed"))
+
+
+def q_lake_daily(spark, sf):
+    """Days of the lake from its folder names, and their number of rows."""
+    _prep(spark)
+    path = Workspace.of(spark, sf).lake_daily()
+    days = lake.lake_partitions(spark, path, lake.DAILY).alias("d")
+    rows = lake.read_lake(spark, path).groupBy(*lake.DAILY).agg(F.count("*").alias("trips")).alias("r")
+    same = F.lit(True)
+    for c in lake.DAILY:
+        same = same & F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return days.join(rows, same).select(*(f"d.{c}" for c in lake.DAILY), "trips")
+
+
+def q_lake_clustered_zone(spark, sf):
+    """One zone of one month: a partition filter and a pushed filter that the
+    statistics of the month's files answer."""
+    _prep(spark)
+    y, m = ONE_MONTH
+    df = lake.read_partition(spark, Workspace.of(spark, sf).lake_clustered(), y, m)
+    return df.where(F.col("PULocationID") == ZONE).select("trip_distance", "total_amount")
+
+
+def q_fct_incremental_mixed(spark, sf):
+    _prep(spark)
+    return lake.read_lake(spark, Workspace.of(spark, sf).fact_mixed()).select(*FACT_COLUMNS)
+
+
+def q_fct_rerouted(spark, sf):
+    _prep(spark)
+    return lake.read_lake(spark, Workspace.of(spark, sf).fact_rerouted()).select(
+        "trip_id", "pickup_location_id", "dropoff_location_id")
 
 
 def q_check_audit_drift(spark, sf):
@@ -563,4 +721,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_load_freshness": q_check_load_freshness,
     "stored_star_report": q_stored_star_report,
     "schema_change_gate": q_schema_change_gate,
+    "incremental_reload_changed": q_incremental_reload_changed,
+    "profile_from_summaries": q_profile_from_summaries,
+    "trips_by_month_kept": q_trips_by_month_kept,
+    "check_signature_drift": q_check_signature_drift,
+    "lake_append_twice": q_lake_append_twice,
+    "lake_compacted": q_lake_compacted,
+    "lake_daily": q_lake_daily,
+    "lake_clustered_zone": q_lake_clustered_zone,
+    "fct_incremental_mixed": q_fct_incremental_mixed,
+    "fct_rerouted": q_fct_rerouted,
 }

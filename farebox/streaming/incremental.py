@@ -1,23 +1,21 @@
-"""Incremental, idempotent loading.
-
-* Raw load (S-09..S-12): lake partitions not yet in the audit log are
-  copied to the raw table with a dynamic partition overwrite (replace, never
-  append, so re-running is safe), then the audit log gets one row per
-  partition. The audit is written after the data commit: a crash in between
-  just reloads the same partitions on the next run.
-* Fact (S-13): the first run writes everything. ``late="drop"`` (the
+"""Incremental, idempotent loading into committed tables (``sources.commits``).
+
+* Raw load (S-09..S-12): lake partitions that the audit log lacks are
+  copied to the raw table, into folders of the load's own; the audit rows are
+  the commit. A run that dies before them leaves the old rows readable
+  in full, and the next run loads the same partitions again.
+* Fact (S-13): the first load writes everything. ``late="drop"`` (the
   reference's rule) appends staging rows newer than the stored mark;
   ``late="upsert"`` recomputes the (re)loaded (year, month) partitions and
-  replaces exactly those, so corrected and removed rows take effect.
-* Each consumer notes what it has taken in after its own commit
-  (``absorbed`` loads, the fact's mark). Whatever dies in between is done
-  again by the next run.
+  replaces exactly those, so corrected and removed rows take effect. The mark
+  is part of the commit records: it always speaks of the rows that are there.
+* The star notes which raw loads its fact has taken in (``absorbed``) after
+  the fact's commit. Whatever dies in between is done again by the next run.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +26,10 @@ from farebox.functions.temporal import ntz_literal
 from farebox.operators.fact import to_fact, with_storage_partitions
 from farebox.operators.staging import stg_trips
 from farebox.params import PipelineParams
-from farebox.session import path_exists, scratch_path
-from farebox.sources.lake import PARTITION_COLS, lake_partitions, newest_partition, read_lake, write_partitioned
-from farebox.sources.raw import align_columns, load_time_literal, with_load_timestamp
+from farebox.session import path_exists
+from farebox.sources.commits import CommittedTable, log_beside, new_load_id, partition_predicate, read_log
+from farebox.sources.lake import PARTITION_COLS, partition_signatures, read_lake
+from farebox.sources.raw import LOADED_AT, RAW_SCHEMA, align_columns, with_load_timestamp
 from farebox.sources.seeds import inline_relation
 
 AUDIT_SCHEMA = T.StructType([
@@ -46,9 +45,7 @@ AUDIT_SCHEMA = T.StructType([
 # ---------------------------------------------------------------- audit log
 def read_audit(spark: SparkSession, audit_root: str) -> DataFrame:
     """S-10: the append-only audit log (empty if it does not exist yet)."""
-    if not path_exists(spark, audit_root):
-        return inline_relation(spark, [], AUDIT_SCHEMA)
-    return spark.read.schema(AUDIT_SCHEMA).parquet(audit_root)
+    return read_log(spark, audit_root).where("kind = 'replace'").select(*AUDIT_SCHEMA.fieldNames())
 
 
 def audit_latest(audit: DataFrame) -> DataFrame:
@@ -60,86 +57,79 @@ def audit_latest(audit: DataFrame) -> DataFrame:
                  .select("table_name", "year", "month", "n.row_count", "n.loaded_at"))
 
 
-def loaded_partitions(audit: DataFrame, table_name: str) -> DataFrame:
-    """Set of (year, month) already loaded for ``table_name``."""
-    return audit.where(F.col("table_name") == table_name).select(*PARTITION_COLS).distinct()
-
-
 # ------------------------------------------------------------ raw loading
-def replace_partitions(df: DataFrame, raw_root: str, rebalance: bool = True) -> None:
-    """S-09: replace exactly the (year, month) partitions present in ``df``
-    (dynamic overwrite). The commit deletes a partition's files and then moves
-    the new ones in: a crash between the two loses it, until the run that has
-    not noted it as done writes it again.
-
-    ``rebalance=False`` skips the shuffle when ``df`` is read from a table
-    that is already partitioned the same way (each task then writes the
-    few partitions its files belong to)."""
-    if rebalance:
-        df = df.hint("rebalance", *PARTITION_COLS)
-    (df.write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*PARTITION_COLS)
-       .option("compression", "snappy")
-       .parquet(raw_root))
-
-
-def partition_predicate(parts: list[tuple[int | None, int | None]]):
-    """Predicate over the partition columns only (so it becomes
-    ``PartitionFilters`` and prunes folders) selecting ``parts``."""
-    keyed = sorted({y * 100 + m for y, m in parts if y is not None and m is not None})
-    pred = (F.col("year") * 100 + F.col("month")).isin(keyed) if keyed else F.lit(False)
-    if any(y is None or m is None for y, m in parts):
-        pred = pred | F.col("year").isNull() | F.col("month").isNull()
-    return pred
+def raw_table(spark: SparkSession, raw_root: str, audit_root: str, table_name: str = "yellow_trips") -> CommittedTable:
+    """The raw table, whose commit records are the audit log."""
+    return CommittedTable(spark, raw_root, audit_root, table_name)
+
+
+def read_raw(spark: SparkSession, raw_root: str, audit_root: str, table_name: str = "yellow_trips") -> DataFrame:
+    """The raw rows of the audited loads; without any, an empty raw table."""
+    table = raw_table(spark, raw_root, audit_root, table_name)
+    state = table.state()
+    if state.columns is None:
+        return inline_relation(spark, [], T.StructType(
+            [f for f in RAW_SCHEMA.fields if f.name not in PARTITION_COLS]
+            + [T.StructField(LOADED_AT, T.TimestampNTZType())] + [RAW_SCHEMA[c] for c in PARTITION_COLS]))
+    return table.read(state)
+
+
+def replace_partitions(spark: SparkSession, rows: DataFrame, raw_root: str, audit_root: str,
+                       table_name: str = "yellow_trips", rebalance: bool = True) -> dict:
+    """S-09: replace exactly the (year, month) partitions present in ``rows``
+    (lake columns), in one commit with their audit rows."""
+    return raw_table(spark, raw_root, audit_root, table_name).write(
+        with_load_timestamp(align_columns(rows)), "replace", rebalance=rebalance)
+
+
+def pending_partitions(spark: SparkSession, lake_root: str, audit_root: str, table_name: str,
+                       full_refresh: bool = False, reload_changed: bool = False) -> DataFrame:
+    """J-04: (year, month, signature) of the lake's partitions to load, from the
+    listing and the audit alone: those without an audit row, with
+    ``reload_changed`` also those whose files are not those that were loaded,
+    with ``full_refresh`` all."""
+    listed = partition_signatures(spark, lake_root)
+    if full_refresh:
+        return listed
+    newest = F.max_by("signature", "seq").alias("done_signature")
+    done = (read_log(spark, audit_root).where((F.col("table_name") == table_name) & (F.col("kind") == "replace"))
+            .groupBy(*PARTITION_COLS).agg(newest, F.lit(True).alias("done")).alias("done"))
+    # null-safe: the NULL-timestamp partition counts as loaded too
+    same = (F.col("l.year").eqNullSafe(F.col("done.year")) & F.col("l.month").eqNullSafe(F.col("done.month")))
+    todo = F.col("done").isNull()
+    if reload_changed:
+        todo = todo | ~F.col("signature").eqNullSafe(F.col("done_signature"))
+    return listed.alias("l").join(done, same, "left").where(todo).select("l.year", "l.month", "l.signature")
 
 
 def load_partitions(spark: SparkSession, lake_root: str, raw_root: str, audit_root: str,
                     table_name: str = "yellow_trips", full_refresh: bool = False,
-                    partitions_per_commit: int | None = None) -> DataFrame:
+                    partitions_per_commit: int | None = None, reload_changed: bool = False) -> DataFrame:
     """S-12 + J-04: load lake partitions missing from the audit (all with
-    ``full_refresh``) into the raw table, then audit them.
+    ``full_refresh``; with ``reload_changed`` also those whose files have
+    changed since) into the raw table.
 
-    The lake's folders are listed and anti-joined with the audit; only the
-    partitions left are opened: counted from their footers, copied (no
-    shuffle: the lake is already partitioned by year/month, dynamic
-    overwrite) and audited. Returns the audit rows of this run as
-    (year, month, row_count).
+    The lake's folders are listed and compared with the audit; only the
+    partitions left are opened and copied, without a shuffle (the lake is
+    already partitioned by year/month). The rows take effect with their audit
+    rows. Returns those of this run as (year, month, row_count).
 
     ``partitions_per_commit`` splits a large backfill into groups of
-    partitions, each copied and audited by its own jobs: a failure keeps
-    the groups already done, and the next run resumes after them."""
-    lake = read_lake(spark, lake_root)
-    listed = lake_partitions(spark, lake_root)
-    if not full_refresh:
-        done = loaded_partitions(read_audit(spark, audit_root), table_name).alias("done")
-        # null-safe: the NULL-timestamp partition counts as loaded too
-        same = (F.col("l.year").eqNullSafe(F.col("done.year"))
-                & F.col("l.month").eqNullSafe(F.col("done.month")))
-        listed = listed.alias("l").join(done, same, "left_anti")
-    pending = [(r["year"], r["month"]) for r in listed.collect()]  # folder names
-    if not pending:
-        return inline_relation(spark, [], "year int, month int, row_count bigint")
-    todo = (lake.where(partition_predicate(pending)).groupBy(*PARTITION_COLS)
-            .agg(F.count("*").alias("row_count")).collect())
-    todo = sorted(todo, key=lambda r: (r["year"] is not None, r["year"] or 0, r["month"] or 0))
-    step = partitions_per_commit or len(todo)
-    load_id = uuid.uuid4().hex
-    done_rows = []
-    for i in range(0, len(todo), step):
-        group = todo[i:i + step]
-        batch = lake.where(partition_predicate([(r["year"], r["month"]) for r in group]))
-        # lake and raw share the partitioning: copy without a shuffle
-        replace_partitions(with_load_timestamp(align_columns(batch)), raw_root, rebalance=False)
-        audit_rows = inline_relation(
-            spark, [(table_name, r["year"], r["month"], r["row_count"]) for r in group],
-            "table_name string, year int, month int, row_count bigint",
-        ).select("table_name", "year", "month", "row_count",
-                 load_time_literal().alias("loaded_at"),
-                 F.lit(load_id).alias("load_id"))
-        audit_rows.coalesce(1).write.mode("append").parquet(audit_root)
-        done_rows += [(r["year"], r["month"], r["row_count"]) for r in group]
-    return inline_relation(spark, done_rows, "year int, month int, row_count bigint")
+    partitions, each its own commit: a failure keeps the groups already done,
+    and the next run resumes after them."""
+    pending = pending_partitions(spark, lake_root, audit_root, table_name, full_refresh, reload_changed)
+    todo = sorted(pending.collect(), key=lambda r: (r["year"] is not None, r["year"] or 0, r["month"] or 0))  # folder names
+    done = []
+    if todo:
+        lake, table = read_lake(spark, lake_root), raw_table(spark, raw_root, audit_root, table_name)
+        step, load_id = partitions_per_commit or len(todo), new_load_id()
+        for i in range(0, len(todo), step):
+            group = {(r["year"], r["month"]): r["signature"] for r in todo[i:i + step]}
+            batch = lake.where(partition_predicate(list(group)))
+            counts = table.write(with_load_timestamp(align_columns(batch)), "replace", list(group),
+                                 rebalance=False, signatures=group, load_id=load_id)
+            done += [(y, m, n) for (y, m), n in counts.items()]
+    return inline_relation(spark, done, "year int, month int, row_count bigint")
 
 
 # ------------------------------------------------------- incremental fact
@@ -161,7 +151,6 @@ def schema_differences(target: T.StructType, new: T.StructType) -> list[tuple[st
 
 # ------------------------------------------------------------- ledgers
 ABSORBED = "table_name string, load_id string"
-MARKS = "mark timestamp_ntz"
 
 
 def absorbed_loads(spark: SparkSession, ledger_root: str) -> DataFrame:
@@ -189,76 +178,16 @@ def note_absorbed(spark: SparkSession, ledger_root: str, table_name: str, load_i
 HWM_DEFAULT = dt.datetime(1900, 1, 1)
 
 
-def marks_root(fact_root: str) -> str:
-    return f"{fact_root.rstrip('/')}_marks"
+def fact_table(spark: SparkSession, fact_root: str) -> CommittedTable:
+    return CommittedTable(spark, fact_root, log_beside(fact_root))
 
 
 def high_water_mark(spark: SparkSession, fact_root: str) -> dt.datetime | None:
-    """A-07: ``max(pickup_at)`` of the stored fact as its last complete run
-    noted it; a fact without notes is asked itself: its newest partition is
-    found from the folder names and only that one is read. Computed once; as a
-    literal the mark prunes raw partitions at planning time and reaches the
-    Parquet reader as a pushed filter."""
-    if path_exists(spark, marks_root(fact_root)):
-        return spark.read.schema(MARKS).parquet(marks_root(fact_root)).agg(F.max("mark")).first()[0]
-    return _stored_maximum(spark, fact_root)
-
-
-def _stored_maximum(spark: SparkSession, fact_root: str) -> dt.datetime | None:
-    last = newest_partition(spark, fact_root)
-    target = read_lake(spark, fact_root)
-    if last is not None:
-        target = target.where((F.col("year") == last[0]) & (F.col("month") == last[1]))
-    return target.agg(F.max("pickup_at")).first()[0]
-
-
-def _note_mark(spark: SparkSession, fact_root: str) -> None:
-    mark = _stored_maximum(spark, fact_root)
-    if mark is not None:
-        inline_relation(spark, [(mark,)], MARKS).coalesce(1).write.mode("append").parquet(marks_root(fact_root))
-
-
-def _drop_beyond(spark: SparkSession, fact_root: str, mark: dt.datetime) -> None:
-    """Remove what an unfinished append has left: rows beyond the mark, which
-    only the partitions from the mark's month on can hold."""
-    late = read_lake(spark, fact_root).where(
-        F.col("year") * 100 + F.col("month") >= mark.year * 100 + mark.month)
-    beyond = late.where(F.col("pickup_at") > ntz_literal(mark))
-    touched = [(r["year"], r["month"]) for r in beyond.select(*PARTITION_COLS).distinct().collect()]
-    if touched:
-        rows = late.where(partition_predicate(touched) & (F.col("pickup_at") <= ntz_literal(mark)))
-        _replace_exactly(spark, rows, fact_root, touched)
-
-
-def _replace_exactly(spark: SparkSession, rows: DataFrame, root: str,
-                     partitions: Sequence[tuple[int | None, int | None]]) -> None:
-    """Make ``partitions`` of the table hold exactly ``rows``. The rows are
-    written to a scratch table first (they may be read from the very files
-    that go) and that is removed after the commit; a partition without rows is
-    deleted."""
-    scratch = scratch_path(spark, "replace")
-    write_partitioned(rows, scratch, mode="overwrite")
-    kept = {(r["year"], r["month"]) for r in lake_partitions(spark, scratch).collect()} if path_exists(
-        spark, scratch) and not lake_is_empty(spark, scratch) else set()
-    if kept:
-        replace_partitions(read_lake(spark, scratch).select(*rows.columns), root, rebalance=False)
-    for year, month in set(partitions) - kept:
-        remove_path(spark, f"{root}/year={_folder(year)}/month={_folder(month)}")
-    remove_path(spark, scratch)
-
-
-def _folder(value: int | None) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-
-
-def lake_is_empty(spark: SparkSession, root: str) -> bool:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
-        "recursiveFileLookup", "true").load(root).select("path").isEmpty()
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    """A-07: ``max(pickup_at)`` of the stored fact: the largest of the marks that
+    the live folders' commit records hold. No row is read. As a literal it
+    prunes raw partitions at planning time and reaches the Parquet reader as a
+    pushed filter."""
+    return fact_table(spark, fact_root).state().mark
 
 
 def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact_root: str,
@@ -266,22 +195,24 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
                partitions: Sequence[tuple[int | None, int | None]] | None = None) -> DataFrame:
     """S-13 + P-22 + A-07: materialise the fact from the raw table.
 
-    First run: staging -> fact, written partitioned by pickup month.
-    Later runs:
+    First load (no committed one): staging -> fact, written partitioned by
+    pickup month. Later ones:
     ``late="drop"`` (the reference's rule): trips with ``pickup_at`` later than
-    the mark (1900-01-01 if empty) are appended; pickup time is part of
-    the key, so no stored key can be among them and nothing stored is read.
-    The mark is noted after the append; rows of an append that did
-    not get that far are removed first.
+    the mark (1900-01-01 if the fact is empty) are appended; pickup time is
+    part of the key, so no stored key can be among them and nothing stored is
+    read. Without such a raw row nothing is written.
     ``late="upsert"``: the fact rows of ``partitions`` (the (year, month) list
-    that was (re)loaded; required after the first run) are computed anew from raw and
+    that was (re)loaded; required after the first load) are computed anew from raw and
     replace what the fact holds of them: keys that match are replaced, rows that are gone
     from raw go. A key never moves between partitions.
+    Both may alternate: the mark is that of the rows that are live.
     ``model`` maps staging rows to fact rows; if its output schema differs
     from the stored fact, the run fails (C-08). Returns the stored fact."""
     if late not in ("drop", "upsert"):
         raise ValueError("late must be 'drop' or 'upsert'")
-    first = not path_exists(spark, fact_root)
+    table = fact_table(spark, fact_root)
+    state = table.state()
+    first = state.columns is None
     if late == "upsert" and not first and partitions is None:
         raise ValueError("an upsert needs the partitions that were loaded")
     if partitions is not None:
@@ -289,29 +220,16 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
             raw = raw.withColumns({"year": F.year("tpep_pickup_datetime").cast("int"),
                                    "month": F.month("tpep_pickup_datetime").cast("int")})
         raw = raw.where(partition_predicate(list(partitions)))
-    if first:
-        write_partitioned(with_storage_partitions(model(stg_trips(raw, params))), fact_root,
-                          mode="overwrite")
-        if late == "drop":
-            _note_mark(spark, fact_root)
-        return read_lake(spark, fact_root)
-
-    target = read_lake(spark, fact_root)
-    stored = target.drop(*PARTITION_COLS)
-    if late == "drop":
-        mark = high_water_mark(spark, fact_root) or HWM_DEFAULT
-        new = model(stg_trips(raw, params, since=ntz_literal(mark)))
-    else:
-        new = model(stg_trips(raw, params))
-    # C-08 on the rows this run would write (one plan, analysed once)
-    diffs = schema_differences(stored.schema, new.schema)
-    if diffs:
-        raise SchemaChangeError(f"fact schema changed: {diffs}")
-    new = with_storage_partitions(new).select(*target.columns)
-    if late == "drop":
-        _drop_beyond(spark, fact_root, mark)
-        write_partitioned(new, fact_root, mode="append")
-        _note_mark(spark, fact_root)
-    elif partitions:
-        _replace_exactly(spark, new, fact_root, partitions)
-    return read_lake(spark, fact_root)
+    since = ntz_literal(state.mark or HWM_DEFAULT) if late == "drop" and not first else None
+    new = model(stg_trips(raw, params, since=since))
+    if not first:
+        # C-08 on the rows this run would write (one plan, analysed once)
+        diffs = schema_differences(state.columns, new.schema)
+        if diffs:
+            raise SchemaChangeError(f"fact schema changed: {diffs}")
+        new = new.select(*state.columns.fieldNames())
+    if late == "drop" and not first and stg_trips(raw, params, dedupe=False, since=since).isEmpty():
+        return table.read(state)
+    kind = "replace" if late == "upsert" and not first else "append"
+    table.write(with_storage_partitions(new), kind, partitions or (), mark_col="pickup_at", state=state)
+    return table.read()

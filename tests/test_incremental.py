@@ -1,3 +1,4 @@
+import contextlib
 import datetime as dt
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import raw_rows
 from farebox.operators.fact import to_fact
 from farebox.params import PipelineParams
-from farebox.sources import lake
+from farebox.sources import commits, lake
 from farebox.streaming import incremental
 
 P = PipelineParams()
@@ -134,17 +135,110 @@ def test_drop_appends_and_heals_an_unfinished_append(spark, scratch, monkeypatch
                   tpep_dropoff_datetime=T0 + dt.timedelta(days=d, minutes=20)) for v, d in ((2, 1), (3, 2), (4, 40))]
     incremental.build_fact(spark, _raw(spark, [one]), P, path)
     before = {r.path for r in lake.lake_files(spark, path).collect()}
-    # a run that dies after its data commit, before it notes the mark
-    with monkeypatch.context() as m:
-        m.setattr(incremental, "_note_mark", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
-        with pytest.raises(RuntimeError):
-            incremental.build_fact(spark, _raw(spark, [one, later[1], later[2]]), P, path)
+    # a run that dies after it has written its rows, before its commit
+    with lost_commit(monkeypatch):
+        incremental.build_fact(spark, _raw(spark, [one, later[1], later[2]]), P, path)
     assert incremental.high_water_mark(spark, path) == T0
+    assert vendors(lake.read_lake(spark, path)) == [1]
     got = incremental.build_fact(spark, _raw(spark, [one, *later]), P, path)
-    assert sorted(r.vendor_id for r in got.collect()) == [1, 2, 3, 4]
+    assert vendors(got) == [1, 2, 3, 4]
     again = {r.path for r in lake.lake_files(spark, path).collect()}
     incremental.build_fact(spark, _raw(spark, [one, *later]), P, path)
-    assert again <= {r.path for r in lake.lake_files(spark, path).collect()} and before
+    assert before < again == {r.path for r in lake.lake_files(spark, path).collect()}
+    # the rows of the run that died lie beside them until they are removed
+    assert incremental.fact_table(spark, path).vacuum() >= 1
+    assert vendors(lake.read_lake(spark, path)) == [1, 2, 3, 4]
+
+
+@contextlib.contextmanager
+def lost_commit(monkeypatch):
+    def lost(*a):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(commits.CommittedTable, "_commit", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            yield
+
+
+def trip(vendor, day, **more):
+    start = dt.datetime(2024, 1, day, 8) if day < 32 else dt.datetime(2024, 2, day - 31, 8)
+    return dict(vendorid=vendor, tpep_pickup_datetime=start,
+                tpep_dropoff_datetime=start + dt.timedelta(minutes=20), **more)
+
+
+def vendors(df):
+    return sorted(r.vendor_id for r in df.collect())
+
+
+def test_a_rebuilt_fact_has_no_stale_mark(spark, scratch):
+    """Fact of days 5 and 20, removed and rebuilt from day 5: day 10 is new."""
+    path = scratch("fct_again")
+    incremental.build_fact(spark, _raw(spark, [trip(1, 5), trip(2, 20)]), P, path)
+    commits.remove_path(spark, path)
+    incremental.build_fact(spark, _raw(spark, [trip(1, 5)]), P, path)
+    got = incremental.build_fact(spark, _raw(spark, [trip(1, 5), trip(3, 10)]), P, path)
+    assert vendors(got) == [1, 3]
+
+
+def test_drop_after_upsert_keeps_every_row(spark, scratch):
+    """Day 5 by drop, day 9 by upsert, then an increment with day 12 alone."""
+    path = scratch("fct_mixed")
+    incremental.build_fact(spark, _raw(spark, [trip(1, 5)]), P, path, late="drop")
+    incremental.build_fact(spark, _raw(spark, [trip(1, 5), trip(2, 9)]), P, path, late="upsert", partitions=[(2024, 1)])
+    assert incremental.high_water_mark(spark, path) == dt.datetime(2024, 1, 9, 8)
+    got = incremental.build_fact(spark, _raw(spark, [trip(3, 12)]), P, path, late="drop")
+    assert vendors(got) == [1, 2, 3]
+    # an upsert that takes the newest rows away takes the mark back
+    incremental.build_fact(spark, _raw(spark, [trip(1, 5)]), P, path, late="upsert", partitions=[(2024, 1)])
+    assert incremental.high_water_mark(spark, path) == dt.datetime(2024, 1, 5, 8)
+    assert vendors(incremental.build_fact(spark, _raw(spark, [trip(4, 6)]), P, path)) == [1, 4]
+
+
+def test_first_run_without_rows_or_killed(spark, scratch, monkeypatch):
+    path = scratch("fct_empty")
+    nothing = _raw(spark, [trip(1, 5, total_amount=-1.0)])   # rejected by a rule
+    for _ in range(2):
+        assert incremental.build_fact(spark, nothing, P, path).count() == 0
+    assert incremental.high_water_mark(spark, path) is None
+    assert vendors(incremental.build_fact(spark, _raw(spark, [trip(1, 5)]), P, path)) == [1]
+    killed = scratch("fct_killed")
+    with lost_commit(monkeypatch):
+        incremental.build_fact(spark, _raw(spark, [trip(1, 5), trip(2, 40)]), P, killed)
+    (spark.range(1).write.parquet(f"{killed}/_temporary/0/x"))   # what a killed job leaves
+    assert lake.read_lake(spark, killed).count() >= 0
+    assert vendors(incremental.build_fact(spark, _raw(spark, [trip(3, 6)]), P, killed)) == [3]
+
+
+def test_load_killed_between_rows_and_audit_leaves_the_old_rows(spark, scratch, monkeypatch):
+    roots = [scratch(x) for x in ("lake_k", "raw_k", "audit_k")]
+    lake.build_lake([raw_rows(spark, trip(1, 5), trip(2, 40)).drop("year", "month")], roots[0], "tpep_pickup_datetime")
+    incremental.load_partitions(spark, *roots)
+    old = sorted(incremental.read_raw(spark, *roots[1:]).collect())
+    lake.build_lake([raw_rows(spark, trip(3, 5), trip(4, 40)).drop("year", "month")], roots[0], "tpep_pickup_datetime")
+    with lost_commit(monkeypatch):
+        incremental.load_partitions(spark, *roots, full_refresh=True)
+    assert sorted(incremental.read_raw(spark, *roots[1:]).collect()) == old
+    incremental.load_partitions(spark, *roots, full_refresh=True)
+    assert sorted(r.vendorid for r in incremental.read_raw(spark, *roots[1:]).collect()) == [3, 4]
+    assert sorted(r.vendorid for r in spark.read.parquet(roots[1]).collect()) == [3, 4]   # vacuumed
+
+
+def test_a_loaded_partition_that_grew_is_found_from_the_listing(spark, scratch):
+    from farebox.operators.checks import check_signature_drift
+    roots = [scratch(x) for x in ("lake_g", "raw_g", "audit_g")]
+    rows = [trip(1, 5), trip(2, 40), dict(vendorid=3, tpep_pickup_datetime=None)]
+    lake.build_lake([raw_rows(spark, *rows).drop("year", "month")], roots[0], "tpep_pickup_datetime")
+    incremental.load_partitions(spark, *roots)
+    assert check_signature_drift(spark, roots[0], roots[2], "yellow_trips").count() == 0
+    lake.append_to_lake(raw_rows(spark, trip(4, 6)), roots[0], "tpep_pickup_datetime")
+    drift = check_signature_drift(spark, roots[0], roots[2], "yellow_trips")
+    assert [(r.year, r.month, r.audited_rows, r.lake_rows) for r in drift.collect()] == [(2024, 1, 1, 2)]
+    # by default an audited partition is not looked at again
+    assert incremental.load_partitions(spark, *roots).count() == 0
+    again = incremental.load_partitions(spark, *roots, reload_changed=True).collect()
+    assert [tuple(r) for r in again] == [(2024, 1, 2)]
+    assert counts(incremental.read_raw(spark, *roots[1:]).where("year is not null")) == [(2024, 1, 2), (2024, 2, 1)]
+    assert incremental.load_partitions(spark, *roots, reload_changed=True).count() == 0
 
 
 def test_star_heals_a_crash_between_raw_and_fact(spark, scratch, monkeypatch):

@@ -104,3 +104,101 @@ def test_stated_months_from_names():
     assert [(y, m) for y, m, _ in got] == [(2024, 1), (2023, 12)]
     with pytest.raises(ValueError):
         lake.stated_months(["/x/events.parquet"])
+
+
+def test_empty_lake(spark, scratch):
+    """No folder, an empty folder, and a lake that was written without a row."""
+    from farebox.streaming import incremental
+    absent, empty, written = scratch("absent"), scratch("empty"), scratch("written")
+    spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getLocal(
+        spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(empty))
+    lake.build_lake([raw_rows(spark, dict(vendorid=1)).drop("year", "month").limit(0)], written, "tpep_pickup_datetime")
+    for root in (absent, empty, written):
+        assert lake.lake_partitions(spark, root).collect() == [] and lake.lake_layout(spark, root).collect() == []
+        assert lake.newest_partition(spark, root) is None
+        assert lake.read_lake(spark, root).select("year", "month").count() == 0
+        s = lake.dataset_summary(spark, root).first()
+        assert (s.rows, s.partitions, s.files) == (0, 0, 0)
+        assert incremental.load_partitions(spark, root, scratch("r"), scratch("a")).collect() == []
+
+
+def _land(spark, root, name, *days):
+    rows = raw_rows(spark, *(dict(vendorid=d, tpep_pickup_datetime=dt.datetime(2024, 1 + d // 40, 1 + d % 28)) for d in days))
+    path = f"{root}/{name}"
+    rows.drop("year", "month").coalesce(1).write.parquet(path)
+    return path
+
+
+def _vendors(df):
+    return sorted(r.vendorid for r in df.collect())
+
+
+def test_append_sources_takes_each_file_once(spark, scratch, monkeypatch):
+    import pytest
+    from farebox.sources import commits
+    feed, root, ts = scratch("feed"), scratch("lake_once"), "tpep_pickup_datetime"
+    a, b = _land(spark, feed, "a", 1, 2), _land(spark, feed, "b", 3, 45)
+    assert lake.append_sources(spark, [a], root, ts) == {(2024, 1): 2}
+    assert lake.append_sources(spark, [a], root, ts) == {}                        # twice changes nothing
+    assert lake.append_sources(spark, [a, b, f"{feed}/absent"], root, ts) == {(2024, 1): 1, (2024, 2): 1}
+    assert _vendors(lake.read_lake(spark, root)) == [1, 2, 3, 45]
+    # a run that dies after its rows are written adds nothing, and can be repeated
+    c = _land(spark, feed, "c", 4)
+    with monkeypatch.context() as m:
+        m.setattr(commits.CommittedTable, "_commit", lambda *x: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            lake.append_sources(spark, [feed], root, ts)
+    assert _vendors(lake.read_lake(spark, root)) == [1, 2, 3, 45]
+    lake.append_sources(spark, [feed], root, ts)
+    assert _vendors(lake.read_lake(spark, root)) == [1, 2, 3, 4, 45]
+    # a source folder that grew adds its new file; a file that changed is refused
+    raw_rows(spark, dict(vendorid=5)).drop("year", "month").write.mode("append").parquet(a)
+    assert sum(lake.append_sources(spark, [feed], root, ts).values()) == 1
+    raw_rows(spark, dict(vendorid=6), dict(vendorid=7)).drop("year", "month").coalesce(1).write.mode("overwrite").parquet(c)
+    new = [r.path for r in lake.source_files(spark, [c]).collect()][0]
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.FileSystem.getLocal(spark.sparkContext._jsc.hadoopConfiguration())
+    known = [r.path for r in commits.committed(spark, root).log().where("kind = 'source'").collect() if "/b/" in r.path][0]
+    fs.delete(jvm.org.apache.hadoop.fs.Path(known), False)
+    fs.rename(jvm.org.apache.hadoop.fs.Path(new), jvm.org.apache.hadoop.fs.Path(known))
+    with pytest.raises(ValueError, match="has changed"):
+        lake.append_sources(spark, [b], root, ts)
+
+
+def test_compaction_keeps_rows_and_packs_files(spark, scratch):
+    feed, root, ts = scratch("feed_many"), scratch("lake_many"), "tpep_pickup_datetime"
+    for i in range(12):
+        lake.append_sources(spark, [_land(spark, feed, f"s{i}", i, 50 + i)], root, ts)
+    before = {(r.year, r.month): (r.files, r.bytes) for r in lake.lake_layout(spark, root).collect()}
+    assert before[(2024, 1)][0] == 12
+    rows = sorted(map(tuple, lake.read_lake(spark, root).collect()), key=str)
+    target = before[(2024, 1)][1] // 3
+    assert sorted(lake.compact_lake(spark, root, target)) == [(2024, 1), (2024, 2)]
+    after = {(r.year, r.month): r.files for r in lake.lake_layout(spark, root).collect()}
+    assert all(1 <= after[p] <= -(-b // target) + 1 for p, (_, b) in before.items())
+    assert sorted(map(tuple, lake.read_lake(spark, root).collect()), key=str) == rows
+    assert lake.compact_lake(spark, root, 1 << 20) in ([], [(2024, 1)], [(2024, 2)], [(2024, 1), (2024, 2)])
+    assert sorted(map(tuple, lake.read_lake(spark, root).collect()), key=str) == rows
+    # sources stay known through a compaction
+    assert lake.append_sources(spark, [feed], root, ts) == {}
+
+
+def test_clustered_lake_prunes_within_a_month(spark, scratch):
+    """Rows dealt by ranges of a column: a filter on it opens few of a month's files."""
+    root = scratch("lake_range")
+    rows = [dict(vendorid=1, pulocationid=i % 64) for i in range(640)]
+    lake.build_lake([raw_rows(spark, *rows).drop("year", "month").repartition(8)], root, "tpep_pickup_datetime", cluster_by="pulocationid")
+    df = lake.read_lake(spark, root)
+    spans = (df.groupBy(F.col("_metadata.file_path").alias("f"))
+             .agg(F.min("pulocationid").alias("lo"), F.max("pulocationid").alias("hi")).orderBy("lo").collect())
+    assert all(a.hi <= b.lo for a, b in zip(spans, spans[1:]))
+    assert df.where("pulocationid = 7").count() == 10 and df.count() == 640
+
+
+def test_daily_lake(spark, scratch):
+    root = scratch("lake_daily")
+    days = [dict(vendorid=d, tpep_pickup_datetime=dt.datetime(2024, 1, d)) for d in (1, 2, 2)] + [dict(tpep_pickup_datetime=None)]
+    lake.build_lake([raw_rows(spark, *days).drop("year", "month")], root, "tpep_pickup_datetime", by=lake.DAILY)
+    got = [tuple(r) for r in lake.lake_partitions(spark, root, lake.DAILY).collect()]
+    assert got == [(None, None, None), (2024, 1, 1), (2024, 1, 2)]
+    assert lake.read_lake(spark, root).where("day = 2").count() == 2
