@@ -199,8 +199,8 @@ def dataset_manifest(rows: DataFrame, group: str, order: str) -> tuple[DataFrame
     if root is None:
         return rows.limit(0).select("*", F.lit(None).cast("string").alias("subroot"),
                                     F.lit(None).cast(STEPS).alias("steps")), None
-    here = spark.range(1).select(F.lit(WHOLE).alias("tree"), F.lit(root["h"]).alias("subroot"),
-                                 F.array().cast(STEPS).alias("steps"))
+    here = stored(spark.range(1).select(F.lit(WHOLE).alias("tree"), F.lit(root["h"]).alias("subroot"),
+                                        F.array().cast(STEPS).alias("steps")), "merkle-root")
     tops = stored(proofs(whole, here).select(F.col("name").alias("tree"), F.col("h").alias("subroot"), "steps"),
                   "merkle-proofs")
     out = proofs(groups, tops)
