@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import prepare, shuffle_width, stored
-from .vectors import best_of, grouped, matrix, merge_lists, pack, usable
+from .vectors import best_of, grouped, matrix, merge_lists, of_all_dimensions, pack, usable
 
 SAMPLE_ROWS = 16384
 PILOT_ROWS = 8192
@@ -215,19 +215,25 @@ def nearest(vectors: DataFrame, every: int, k: int, id_col: str = "vec_id",
     smaller id; all if there are fewer. ``score`` is the inner product of the
     original vectors in double precision.
 
-    Rows without an id, and vectors that are null, zero, of another dimension
-    or hold null or non-finite components take no part. A repeated row counts
-    once. Rows of one id are never each other's candidates.
+    Rows without an id, and vectors that are null, empty, zero or hold null or
+    non-finite components take no part. Vectors of different dimensions are
+    searched apart, each among its own. A repeated row counts once. Rows of
+    one id are never each other's candidates.
     """
     spark = vectors.sparkSession
     prepare(spark)
-    rows, dim = usable(vectors, id_col, vec_col, zero=False)
+    lists = [_nearest_of(rows, dim, every, k, block_rows, seed) for rows, dim in usable(vectors, id_col, vec_col, zero=False)]
+    if not lists:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return of_all_dimensions(lists, k)
+
+
+def _nearest_of(rows: DataFrame, dim: int, every: int, k: int, block_rows: int, seed: int) -> DataFrame:
+    """The search among vectors of one dimension."""
+    spark = rows.sparkSession
     rows = stored(rows, "vectors")
     norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
     total, norm2 = rows.agg(F.count("*"), F.max(norm)).first()
-    result = "query_id long, rank int, vec_id long, score double"
-    if not total:
-        return spark.createDataFrame([], result)
     sample = rows.orderBy(F.xxhash64("id"), "id", "vec").limit(SAMPLE_ROWS).toArrow()
     index = fit(sample["id"].to_numpy(), matrix(sample["vec"].combine_chunks()), total,
                 float(norm2), k, seed)

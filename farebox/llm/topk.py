@@ -1,9 +1,11 @@
 """Exact top-k search by tiled matrix products (operator 10).
 
-Candidates are dealt to shards of about ``SHARD_ROWS`` rows by a hash of their
-id. A tile is a block of queries times one shard: one matrix product, then a
-partial selection of the k best of each query. The lists of a query are merged
-as a tree of bounded fan-in.
+Candidates are dealt to shards by a hash of their id: one for each
+``SHARD_BYTES`` of vectors, more where the session has tasks for them. A tile is a
+block of queries times a block of a shard's candidates: one matrix product,
+then a partial selection of the k best of each query, cut to k over the
+shard's tiles. The lists of a query are merged as a tree of bounded fan-in.
+Every query goes to every shard once.
 """
 
 from __future__ import annotations
@@ -14,9 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import prepare, shuffle_width, stored
-from .vectors import best_of, grouped, matrix, merge_lists, pack, usable
+from .vectors import best_of, grouped, matrix, merge_lists, of_all_dimensions, pack, usable
 
-SHARD_ROWS = 4096
+SHARD_BYTES = 128 << 20
+TILE_ROWS = 4096
 QUERY_ROWS = 512
 SCALE = 256
 EXACT = float(1 << 53)   # integers of a smaller size are exact in double precision
@@ -50,6 +53,16 @@ def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int)
     return qid[row[top]], cid[col[top]], score[row[top], col[top]]
 
 
+def tiles(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int):
+    """The same over all tiles of a shard."""
+    found = [tile(qid, q, cid[a:a + TILE_ROWS], c[a:a + TILE_ROWS], k) for a in range(0, len(cid), TILE_ROWS)]
+    if len(found) == 1:
+        return found[0]
+    query, hit, score = (np.concatenate(x) for x in zip(*found))
+    top = best_of(query, hit, score, k)
+    return query[top], hit[top], score[top]
+
+
 def _tiles(k: int, dim: int):
     def run(batches):
         now, parts, candidates = None, [], None
@@ -64,7 +77,7 @@ def _tiles(k: int, dim: int):
             if candidates is None:
                 candidates = [np.concatenate(x) for x in zip(*parts)]
             for a in range(0, len(ids), QUERY_ROWS):
-                q, c, s = tile(ids[a:a + QUERY_ROWS], vec[a:a + QUERY_ROWS], *candidates, k)
+                q, c, s = tiles(ids[a:a + QUERY_ROWS], vec[a:a + QUERY_ROWS], *candidates, k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(q), pa.array(np.full(len(q), key[0], dtype=np.int64)), pa.array(c),
                      pa.array(s)], ["query_id", "part", "vec_id", "score"])
@@ -79,27 +92,43 @@ def _floors(batches):
 
 
 def top_k(vectors: DataFrame, every: int, k: int, id_col: str = "vec_id",
-          vec_col: str = "embedding", shard_rows: int = SHARD_ROWS) -> DataFrame:
+          vec_col: str = "embedding", shard_rows: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by
     ``every``, the ``k`` other rows with the largest inner product of the
     components floor(256 x), ties to the smaller id; all if there are fewer.
 
-    Rows without an id, and vectors that are null, empty, of another
-    dimension or hold null or non-finite components take no part. A repeated
-    row counts once. Rows of one id are never each other's candidates; if
-    their vectors differ, the id gets one list, the best of all its rows'.
+    Rows without an id, and vectors that are null, empty or hold null or
+    non-finite components take no part. Vectors of different dimensions are
+    searched apart, each among its own. A repeated row counts once. Rows of
+    one id are never each other's candidates; if their vectors differ, the id
+    gets one list, the best of all its rows'.
     """
     spark = vectors.sparkSession
     prepare(spark)
-    rows, dim = usable(vectors, id_col, vec_col, SCALE)
+    lists = [_top_k_of(rows, dim, every, k, shard_rows) for rows, dim in usable(vectors, id_col, vec_col, SCALE)]
+    if not lists:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return of_all_dimensions(lists, k)
+
+
+def shard_number(rows: int, dim: int, width: int) -> int:
+    """Shards of ``SHARD_BYTES``; of a smaller table as many as there are tasks,
+    as long as each has a tile."""
+    return max(1, -(-rows * dim * 8 // SHARD_BYTES), min(width, -(-rows // TILE_ROWS)))
+
+
+def _top_k_of(rows: DataFrame, dim: int, every: int, k: int, shard_rows: int | None) -> DataFrame:
+    """The search among vectors of one dimension."""
+    width = shuffle_width(rows.sparkSession)
     rows = stored(rows.mapInArrow(_floors, "id long, vec binary"), "vectors")
-    shards = max(1, -(-rows.count() // shard_rows))
+    n = rows.count()
+    shards = -(-n // shard_rows) if shard_rows else shard_number(n, dim, width)
     candidates = rows.select(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"),
                              F.lit(0).alias("role"), "id", "vec")
     every_shard = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
     queries = rows.filter(F.pmod("id", F.lit(every)) == 0).select(
         every_shard.alias("shard"), F.lit(1).alias("role"), "id", "vec")
-    hits = (candidates.union(queries).repartition(max(shards, shuffle_width(spark)), "shard")
+    hits = (candidates.union(queries).repartition(max(shards, width), "shard")
             .sortWithinPartitions("shard", "role")
             .mapInArrow(_tiles(k, dim), "query_id long, part long, vec_id long, score long"))
     return merge_lists(hits, shards, k)

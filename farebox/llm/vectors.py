@@ -3,21 +3,25 @@ merging of per-query lists."""
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FAN_IN = 16
+MOST_DIMENSIONS = 64
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str, scale: float = 1.0,
-           zero: bool = True) -> tuple[DataFrame, int]:
-    """(id long, vec array<double>) and the dimension: rows with an id and a
-    vector whose components times ``scale`` are finite numbers, of the dimension
-    of the smallest such id (others take no part); without ``zero``, only
-    vectors with a component other than 0. Rows that repeat an id and vector
-    count once. An empty table has dimension 0."""
+           zero: bool = True) -> list[tuple[DataFrame, int]]:
+    """(id long, vec array<double>) of each dimension that occurs, smallest
+    first: rows with an id and a vector whose components times ``scale`` are
+    finite numbers; without ``zero``, only vectors with a component other than
+    0. Rows that repeat an id and vector count once. Vectors of different
+    dimensions have no inner product, so each dimension is a search of its
+    own; more than ``MOST_DIMENSIONS`` of them are an error."""
     vec = F.col(vec_col).cast("array<double>")
     inf = float("inf")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec")).filter(
@@ -26,8 +30,22 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str, scale: float = 1.0,
                                 & (F.abs(x * F.lit(scale)) < inf)))
     if not zero:
         rows = rows.filter(F.exists("vec", lambda x: x != 0.0))
-    dim = rows.agg(F.min_by(F.size("vec"), "id").alias("dim")).first()["dim"] or 0
-    return rows.filter(F.size("vec") == dim).dropDuplicates(["id", "vec"]), dim
+    found = rows.select(F.size("vec").alias("dim")).distinct().limit(MOST_DIMENSIONS + 1).collect()
+    if len(found) > MOST_DIMENSIONS:
+        raise ValueError(f"vectors of more than {MOST_DIMENSIONS} dimensions: not one collection")
+    return [(rows.filter(F.size("vec") == dim).dropDuplicates(["id", "vec"]), dim)
+            for dim in sorted(r["dim"] for r in found)]
+
+
+def of_all_dimensions(lists: list[DataFrame], k: int) -> DataFrame:
+    """The lists (query_id, rank, vec_id, score) of several dimensions as one: an
+    id that has vectors of more than one keeps the k best of all its lists."""
+    if len(lists) == 1:
+        return lists[0]
+    every = functools.reduce(DataFrame.unionByName, lists)
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return (every.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
 
 
 def matrix(column: pa.Array) -> np.ndarray:

@@ -101,3 +101,42 @@ def test_best_of_and_packing():
     assert [(int(q[j]), int(i[j])) for j in best_of(q, i, s, 2)] == [(0, 9), (1, 3), (1, 4)]
     m = np.arange(6.0).reshape(3, 2)
     assert (unpack(pack(m).slice(1, 2), 2) == m[1:]).all()
+
+
+def test_no_vector_is_dropped_for_its_dimension(spark):
+    """One vector of one component at the smallest id, before 199 good ones: each
+    dimension is searched by itself."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((199, 8))
+    ids = np.arange(1, 200)
+    rows = [(0, [0.5])] + [(int(i), v.tolist()) for i, v in zip(ids, x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert lists(topk.top_k(df, 50, 5)) == {
+        q: [(i, int(s)) for i, s in hits] for q, hits in brute(ids, np.floor(256 * x), 50, 5).items()}
+    near = lists(ann.nearest(df, 20, 20))
+    assert set(near) == {20, 40, 60, 80, 100, 120, 140, 160, 180} and all(len(v) == 20 for v in near.values())
+    # an id in two dimensions keeps the best of both lists; a second short vector is found
+    more = df.union(spark.createDataFrame([(50, [2.0]), (51, [3.0])], df.schema))
+    got = lists(topk.top_k(more, 50, 5))
+    assert got[0] == [(51, 128 * 768), (50, 128 * 512)] and (51, 512 * 768) in got[50]
+    assert len(got[50]) == 5 and got[50] == sorted(got[50], key=lambda h: (-h[1], h[0]))
+    many = spark.createDataFrame([(i, [1.0] * (i + 1)) for i in range(70)], df.schema)
+    for search in (topk.top_k, ann.nearest):
+        with pytest.raises(ValueError, match="dimensions"):
+            search(many, 50, 5)
+
+
+def test_tiles_of_a_shard_keep_the_best(spark, monkeypatch, embeddings):
+    df, ids, x = embeddings
+    monkeypatch.setattr(topk, "TILE_ROWS", 128)
+    got = topk.tiles(ids[:40], np.floor(256 * x[:40]), ids, np.floor(256 * x), 5)
+    want = brute(ids, np.floor(256 * x), 1, 5)
+    hits = {}
+    for q, c, s in zip(*got):
+        hits.setdefault(int(q), []).append((int(c), s))
+    assert hits == {int(i): [(c, int(s)) for c, s in want[int(i)]] for i in ids[:40]}
+
+
+def test_shards_grow_with_bytes():
+    assert topk.shard_number(1000, 64, 200) == 1 and topk.shard_number(100_000, 64, 200) == 25
+    assert topk.shard_number(10 ** 9, 64, 200) == -(-10 ** 9 * 64 * 8 // topk.SHARD_BYTES) < 4000
