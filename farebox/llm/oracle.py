@@ -65,7 +65,8 @@ ranked AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-# Fixed patterns of the base kinds; letters in either case are spelt out.
+# Fixed patterns of the base kinds. Letters in either case are spelt out: a match
+# without regard to case would fold letters beyond ASCII as well.
 _KEY = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in key)
                 for key in ("password", "passwd", "secret", "token")) + "|[aA][pP][iI]_?[kK][eE][yY]"
 _KINDS = (

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.session import path_exists, scratch_path
@@ -131,11 +131,13 @@ def findings(spark: SparkSession, path: str, rules: tuple[Rule, ...] = BASE_RULE
 
 
 def scan_secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = BASE_RULES,
-                 text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+                 text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+                 commit: Column | None = None, commits: int = 1) -> DataFrame:
     """The ``keep`` columns of each row, its blob and ``spans``: an array of
     (start, rank, kind, end), empty if there are none. ``ledger`` is the
     folder of an earlier scan, or a new one; by default a fresh folder below
-    ``spark.checkpoint.dir``.
+    ``spark.checkpoint.dir``. The rows come in ``commits`` commits, by the value
+    0, 1, .. of ``commit``; each scans only what the ledger lacks by then.
 
     A null text is the empty blob. Rows that repeat are paths of one blob. Ids
     play no part and may be null. The method itself adds no kind to the base
@@ -143,7 +145,9 @@ def scan_secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule,
     """
     spark = docs.sparkSession
     ledger = ledger or scratch_path(spark, "ledger")
-    update_ledger(with_blob(docs.select(F.col(text_col).alias("text")), "text"), ledger, rules)
+    texts = docs.select(F.col(text_col).alias("text"), (F.lit(0) if commit is None else commit).alias("commit"))
+    for n in range(commits):
+        update_ledger(with_blob(texts.filter(F.col("commit") == n).drop("commit"), "text"), ledger, rules)
     paths = with_blob(docs.select(*keep, F.col(text_col).alias("text")), "text").drop("text")
     none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
     found = findings(spark, ledger, rules)
