@@ -31,6 +31,7 @@ PAIRS_EACH = 4           # partners of a document of the rarer label
 CUT = 0.3
 FOLDS = 5
 CHUNK_BYTES = 8 << 20
+ACCURACY = 1_000_000     # of the approximate quantiles that enclose the exact one
 
 FEATURES = ("log_words", "word_length", "distinct", "commonest", "runs", "upper", "digit", "stop",
             "shout", "symbol", "high", "line", "marked", "tiny", "short", "very_short")
@@ -90,13 +91,27 @@ def in_training(id_col: str = "doc_id"):
 def labelled(docs: DataFrame, labels: DataFrame, label_col: str, rows: int) -> DataFrame:
     """(doc_id, label, text) of at most ``rows`` labelled documents outside the
     held-out fold, chosen by a hash of the id. Null ids and labels take no
-    part; an id with several labels has the largest."""
+    part; an id with several labels has the largest, one with several texts
+    the smallest of them."""
     prepare(docs.sparkSession)
-    chosen = (labels.filter(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull() & in_training())
-              .groupBy("doc_id").agg(F.max(label_col).cast("int").alias("label"))
+    chosen = (training_labels(labels, label_col)
               .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.select("doc_id", "text").join(F.broadcast(stored(chosen, "labelled")), "doc_id")
+    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+            .join(F.broadcast(stored(chosen, "labelled")), "doc_id")
+            .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
+
+
+def training_labels(labels: DataFrame, label_col: str) -> DataFrame:
+    """(doc_id, label) of all labelled ids outside the held-out fold."""
+    return (labels.filter(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull() & in_training())
+            .groupBy("doc_id").agg(F.max(label_col).cast("int").alias("label")))
+
+
+def held_out(id_col: str = "doc_id"):
+    """Rows of the held-out fold. A null id has no fold, so it is not of it (and
+    not learnt from either)."""
+    return F.coalesce(~in_training(id_col), F.lit(False))
 
 
 def _features(batches):
@@ -125,8 +140,9 @@ class Ranking:
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
         rows: int = SAMPLE_ROWS) -> Ranking:
-    """From at most ``rows`` labelled documents. Without both labels every
-    document scores alike: at the threshold."""
+    """Weights from at most ``rows`` labelled documents, the threshold from the
+    scores of all of them. Without both labels every document scores alike: at
+    the threshold."""
     spark = docs.sparkSession
     sample = labelled(docs, labels, label_col, rows)
     x = stored(sample.select("doc_id", "label", "text").mapInArrow(
@@ -153,10 +169,45 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     model = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=100).fit(
         both.select(array_to_vector("d").alias("features"), "label"))
     weights = np.array(model.coefficients.toArray())
-    known = x.select("label", "x").toArrow()  # at most ``rows``
-    s = np.array(known["x"].to_pylist()) @ weights
-    share = count[0] / (count[0] + count[1])
-    return Ranking(weights, float(np.quantile(s, share, method="midpoint")))
+    # The cut: the quantile of the scores of all labelled documents outside the
+    # fold, sampled or not. Scores are narrow, so the texts are not shuffled.
+    scores = docs.select("doc_id", "text").mapInArrow(_values(weights), "doc_id long, value double")
+    known = stored(scores.join(training_labels(labels, label_col), "doc_id").select("label", "value"), "scores")
+    zeros, both = known.agg(F.count_if(F.col("label") == 0), F.count("*")).first()
+    return Ranking(weights, quantile(known, "value", zeros / both))
+
+
+def _values(weights: np.ndarray):
+    def run(batches):
+        for batch in batches:
+            column = batch.column("text")
+            for a, n in W.chunks(column, CHUNK_BYTES):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(a, n), pa.array(expand(feature_rows(column.slice(a, n))) @ weights)],
+                    ["doc_id", "value"])
+    return run
+
+
+def quantile(rows: DataFrame, column: str, share: float) -> float:
+    """The exact quantile of a column, the midpoint of its two neighbours: two
+    approximate quantiles enclose it, and only the values between them, about
+    four in ``ACCURACY``, are counted and collected."""
+    n = rows.agg(F.count(column)).first()[0]
+    margin = 2 / ACCURACY + 2 / n
+    low, high = rows.agg(*(F.percentile_approx(column, min(max(x, 0.0), 1.0), ACCURACY)
+                           for x in (share - margin, share + margin))).first()
+    at = rows.agg(F.count_if(F.col(column) < low)).first()[0]
+    near = rows.filter(F.col(column).between(low, high)).groupBy(column).count().orderBy(column).collect()
+    place = share * (n - 1)
+    ends = []
+    for k in (math.floor(place), math.ceil(place)):
+        upto = at
+        for r in near:
+            upto += r["count"]
+            if k < upto:
+                ends.append(r[column])
+                break
+    return float(sum(ends) / 2)
 
 
 def _by_hash():

@@ -29,12 +29,15 @@ def op3_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     out = quality.score(docs, model, keep=["doc_id"])
-    return out.select("doc_id", (~quality.in_training()).alias("held_out"), "score",
+    return out.select("doc_id", quality.held_out().alias("held_out"), "score",
                       (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
 
 
 def op4_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = secret_ledger.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """The documents come in two commits by source, so the second one meets a
+    ledger that is not empty."""
+    out = secret_ledger.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text", "source"),
+                                     commit=F.pmod(F.xxhash64("source"), F.lit(2)), commits=2)
     counts = [F.size(F.filter("spans", lambda x: x["kind"] == F.lit(k))).cast("long").alias(f"n_{k}")
               for k in ("assign", "access", "hex")]
     base = F.filter("spans", lambda x: x["kind"].isin("assign", "access", "hex"))
@@ -57,7 +60,7 @@ def op7_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     out = toxicity.score(docs, model, keep=["doc_id"])
-    return out.select("doc_id", (~quality.in_training()).alias("held_out"), "score",
+    return out.select("doc_id", quality.held_out().alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

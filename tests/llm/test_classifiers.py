@@ -79,3 +79,76 @@ def test_the_threshold_is_the_cut():
     model = quality.Ranking(np.array([1.0]), 2.0)
     s = model.score(np.array([[1.999999999999999], [2.0], [2.1], [-900.0], [900.0]]))
     assert (s >= quality.CUT).tolist() == [False, True, True, False, True]
+
+
+def test_the_sample_is_bounded_by_ids(spark):
+    """One id in most rows, with several texts, is one labelled document."""
+    docs = spark.createDataFrame([(7, f"text {i}") for i in range(400)] + [(i, "other") for i in range(100, 200)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1)] + [(i, i % 2) for i in range(100, 200)], "doc_id long, quality int")
+    for rows in (2, 30, 1000):
+        sample = quality.labelled(docs, labels, "quality", rows)
+        assert sample.count() <= rows and sample.select("doc_id").distinct().count() == sample.count()
+    assert quality.labelled(docs, labels, "quality", 1000).filter("doc_id = 7").first()["text"] == "text 0"
+
+
+def test_exact_quantile(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    for values in (rng.standard_normal(3001), np.repeat([1.0, 2.0, 3.0], 500), np.array([5.0]), rng.integers(0, 9, 800) * 1.0):
+        df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(5)
+        for share in (0.0, 0.2, 0.371, 0.5, 1.0):
+            for accuracy in (1_000_000, 50):
+                monkeypatch.setattr(quality, "ACCURACY", accuracy)
+                assert quality.quantile(df, "v", share) == np.quantile(values, share, method="midpoint")
+
+
+def test_pairwise_fit_against_plain_descent(spark, tables):
+    """The weights minimise the logistic loss over preference pairs: no step of a
+    plain gradient descent on the same pairs finds a lower one; and the cut is
+    the quantile of all labelled scores."""
+    docs, labels = tables
+    docs = docs.filter("doc_id < 1500")
+    model = quality.fit(docs, labels)
+    rows = (docs.join(quality.training_labels(labels, "quality"), "doc_id").select("label", "text").collect())
+    y = np.array([r["label"] for r in rows])
+    x = quality.expand(quality.feature_rows(pa.array([r["text"] for r in rows])))
+    z = x @ model.weights
+    assert abs(model.threshold - np.quantile(z, (y == 0).mean(), method="midpoint")) < 1e-9
+    # over all pairs, not only the ones it was fitted on: the learnt order is
+    # as good as that of descent on them
+    good, bad = x[y == 1], x[y == 0]
+    w, pairs = np.zeros(x.shape[1]), (good[:, None, :] - bad[None, :, :]).reshape(-1, x.shape[1])
+    for _ in range(300):
+        w += 2.0 * (pairs / (1 + np.exp(pairs @ w))[:, None]).mean(axis=0)
+    def loss(v):
+        return np.log1p(np.exp(-np.clip(pairs @ v, -500, 500))).mean()
+    assert loss(model.weights) <= loss(w) + 1e-3
+    assert ((pairs @ model.weights) > 0).mean() >= ((pairs @ w) > 0).mean() - 1e-3
+
+
+def test_margins_and_calibration_against_plain_evaluation(spark, tables):
+    """Scores are those of walking each tree and interpolating the isotonic steps."""
+    docs, labels = tables
+    docs = docs.filter("doc_id < 3000")
+    model = toxicity.fit(docs, labels)
+    some = docs.filter("doc_id < 150")
+    rows = some.collect()
+    x = toxicity.feature_rows(pa.array([r["text"] for r in rows]), model.lexicon)
+
+    def walk(node, v):
+        while node.numDescendants():
+            split = node.split()
+            node = node.leftChild() if v[split.featureIndex()] <= split.threshold() else node.rightChild()
+        return node.prediction()
+    trees, weights = model.trees._java_obj.trees(), list(model.trees.treeWeights)
+    margin = np.array([sum(w * walk(t.rootNode(), v) for t, w in zip(trees, weights)) for v in x])
+    assert all(b >= a for a, b in zip(model.values, model.values[1:]))       # isotonic
+    want = np.clip(np.interp(margin, model.bounds, model.values), 0, 1)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(some, model).collect()}
+    assert np.allclose([got[r["doc_id"]] for r in rows], want, atol=1e-9)
+
+
+def test_held_out_of_a_null_id(spark):
+    df = spark.createDataFrame([(None,), (1,), (2,), (3,), (4,), (5,), (6,), (7,), (8,)], "doc_id long")
+    got = {r["doc_id"]: r["h"] for r in df.select("doc_id", quality.held_out().alias("h")).collect()}
+    assert got[None] is False and set(got.values()) == {True, False}
