@@ -36,7 +36,6 @@ ZIPF_SHIFT = 2.7
 SEED = 42
 CHUNK_BYTES = 2 << 20
 MARK = "▁"          # the word mark of SentencePiece
-SHIELD = "▁"  # never a piece: see Model.chars
 STEP = np.uint64(0xD1342543DE82EF95)
 BITS = 20                # of the table that most substrings fail
 

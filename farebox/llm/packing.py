@@ -12,7 +12,9 @@ one row for each id of the vocabulary) are those of the whole corpus. The
 index is sharded by each document's last-learned token: a BPE vocabulary is
 ordered by frequency, so that is its rarest one, and documents that share it
 meet in a shard. Shards hold about ``SHARD_TOKENS``; a token with more than that
-is split by a hash of the document, so no shard grows with a hot group.
+is split by a hash of the row, so no shard grows with a hot group, not even with
+one of identical rows. Retrieval is within a shard: the README has the measured
+share of whole-corpus neighbours that it sees.
 """
 
 from __future__ import annotations
@@ -31,8 +33,7 @@ from .runtime import prepare, shuffle_width, stored
 
 WINDOW = 2048
 END_ID = 1
-QUERY_TOKENS = None     # no bound: a seed is scored with all tokens it shares
-NEIGHBOURS = 32         # asked for at a time, until the window is full
+NEIGHBOURS = 32         # asked for at first; twice as many each time until the window is full
 COMMON = 16             # tokens of over one in so many of a shard's documents are scored as a matrix
 SHARD_TOKENS = 1 << 20
 BUCKETS = 4096          # rows of the driver's table of shard sizes
@@ -238,9 +239,10 @@ def pack_shard(n: np.ndarray, index: Index, window: int = WINDOW) -> list[list[t
         free -= take
         carry = (seed, start + take) if start + take < size[seed] else None
         if free and unused.any():
-            score, cut = index.scores(seed), None
+            score, cut, most = index.scores(seed), None, NEIGHBOURS
             while free and cut is None:
-                near = index.nearest(score, unused, NEIGHBOURS)
+                near = index.nearest(score, unused, most)
+                most *= 2
                 for d in near:
                     if size[d] <= free:
                         pieces.append((d, 0, size[d]))
@@ -368,8 +370,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, id_col
             plan.append((b, shard, 1))
             room -= sizes[b]
     plan_rows = spark.createDataFrame(plan, "bucket int, first long, parts long")
-    sharded = (texts.withColumn("bucket", bucket).join(F.broadcast(plan_rows), "bucket")
-               .select((F.col("first") + F.pmod(F.xxhash64("doc_id", "text_hash"), "parts")).alias("shard"),
+    # rows that repeat an id and text differ by their place in the stored tokens
+    placed = texts.withColumns({"bucket": bucket, "place": F.monotonically_increasing_id()})
+    sharded = (placed.join(F.broadcast(plan_rows), "bucket")
+               .select((F.col("first") + F.pmod(F.xxhash64("doc_id", "text_hash", "place"), "parts")).alias("shard"),
                        "doc_id", "text_hash", "ids"))
     return (sharded.repartition(shuffle_width(spark), "shard")
             .sortWithinPartitions("shard", "doc_id", "text_hash").drop("text_hash")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import os
 import uuid
 
@@ -37,7 +36,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def ceil_div(a: int, b: int) -> int:
-    return int(math.ceil(a / b)) if a > 0 else 0

@@ -146,7 +146,7 @@ def test_neighbours_by_bm25_fill_the_window():
     near = index.search(7, np.arange(20) != 7, 3)
     query = index.token[index.bounds[7]:index.bounds[8]]
     weight = index.weight[index.bounds[7]:index.bounds[8]]
-    shared = [t for w, t in sorted(zip(-weight, query)) if df[t] > 1][:packing.QUERY_TOKENS]
+    shared = [t for w, t in sorted(zip(-weight, query)) if df[t] > 1]
 
     def bm25(d):
         tf = collections.Counter(topic[d].tolist())
@@ -232,3 +232,40 @@ def test_redaction(spark):
 
 def test_long_prose_has_no_secret():
     assert not any(f(prose(3, 5000)) for f in (secret_ledger.assign, secret_ledger.access))
+
+
+def test_two_commits_scan_each_pair_once(spark, edge):
+    """The second commit meets the first one's ledger: it scans only blobs that
+    were not in it."""
+    path = scratch_path(spark, "ledger")
+    half = F.when(F.col("doc_id") % 2 == 0, 0).otherwise(1)
+    out = secret_ledger.scan_secrets(edge, path, commit=half, commits=2).collect()
+    assert len(out) == len(EDGE_ROWS)
+    ledger = secret_ledger.read_ledger(spark, path)
+    first = {t or "" for i, t in EDGE_ROWS if i is not None and i % 2 == 0}
+    both = {t or "" for _, t in EDGE_ROWS}
+    files = ledger.groupBy("blob", "rule").count()
+    assert files.filter("count > 1").count() == 0                                    # no pair twice
+    assert ledger.count() == len(secret_ledger.BASE_RULES) * len(both) and first < both
+    whole = {tuple(map(str, r)) for r in secret_ledger.scan_secrets(edge).collect()}
+    assert whole == {tuple(map(str, r)) for r in out}
+
+
+def test_identical_rows_are_split_over_shards(spark):
+    """A third of all rows may be one row: its copies go to many shards."""
+    rows = [(1, "one two three")] * 3000
+    pieces = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), WORDS,
+                                    shard_tokens=1000).collect()
+    size = collections.Counter()
+    for p in pieces:
+        size[p["sequence_id"] >> 32] += p["length"]
+    assert len(size) >= 9 and max(size.values()) < 3 * 1000
+
+
+def test_a_shard_of_empty_texts_is_packed_fast():
+    import time
+    n = np.ones(100_000, dtype=np.int64)
+    index = packing.Index(np.ones(100_000, dtype="<u2"), n, np.full(10, 0.1, dtype=np.float32), 1.0)
+    start = time.perf_counter()
+    sequences = packing.pack_shard(n, index)
+    assert time.perf_counter() - start < 5 and sum(len(s) for s in sequences) == 100_000
