@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions import ntz_literal
-from farebox.sources.commits import partition_predicate, read_log
-from farebox.sources.lake import PARTITION_COLS, partition_signatures, read_lake
+from farebox.sources.commits import read_log
+from farebox.sources.lake import PARTITION_COLS, partition_counts, partition_signatures
 
 
 def check_unique(df: DataFrame, key: str) -> DataFrame:
@@ -122,8 +122,8 @@ def check_signature_drift(spark: SparkSession, lake_root: str, audit_root: str,
     changed = both.where(~F.col("was").eqNullSafe(F.col("now"))).select(
         *PARTITION_COLS, "audited_rows", F.lit(0).cast("long").alias("lake_rows"))
     touched = [(r["year"], r["month"]) for r in changed.collect()]   # folder names
-    counts = (read_lake(spark, lake_root).where(partition_predicate(touched)).groupBy(*PARTITION_COLS)
-              .agg(F.lit(0).cast("long").alias("audited_rows"), F.count("*").alias("lake_rows")))
+    counts = partition_counts(spark, lake_root, touched).select(
+        *PARTITION_COLS, F.lit(0).cast("long").alias("audited_rows"), F.col("rows").alias("lake_rows"))
     return (changed.unionByName(counts).groupBy(*PARTITION_COLS)
             .agg(F.sum("audited_rows").alias("audited_rows"), F.sum("lake_rows").alias("lake_rows"))
             .where(F.col("audited_rows") != F.col("lake_rows")))

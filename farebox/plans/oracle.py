@@ -568,3 +568,20 @@ SELECT f.trip_id,
 FROM fct f
 LEFT JOIN keys p ON f.pickup_location_id = p.location_id
 LEFT JOIN keys d ON f.dropoff_location_id = d.location_id"""
+
+SQL["lake_row_counts"] = with_(RAW_CTE) + """
+SELECT year, month, count(*) AS rows FROM raw GROUP BY year, month"""
+
+# Columns of the raw table and their types.
+STRUCTURE = {"vendorid": "int", "tpep_pickup_datetime": "timestamp_ntz", "tpep_dropoff_datetime": "timestamp_ntz",
+             "passenger_count": "double", "trip_distance": "double", "ratecodeid": "double", "store_and_fwd_flag": "string",
+             "pulocationid": "int", "dolocationid": "int", "payment_type": "bigint", "fare_amount": "double", "extra": "double",
+             "mta_tax": "double", "tip_amount": "double", "tolls_amount": "double", "improvement_surcharge": "double",
+             "total_amount": "double", "congestion_surcharge": "double", "airport_fee": "double"}
+
+SQL["dataset_structure"] = with_(RAW_CTE) + " UNION ALL ".join(
+    f"""
+SELECT year, month, '{c}' AS column_name, '{t}' AS data_type, count(*) AS rows, count(*) - count({c}) AS nulls,
+       {f'CAST(min({c}) AS DOUBLE)' if t in ('int', 'bigint', 'double') else 'CAST(NULL AS DOUBLE)'} AS min_value,
+       {f'CAST(max({c}) AS DOUBLE)' if t in ('int', 'bigint', 'double') else 'CAST(NULL AS DOUBLE)'} AS max_value
+FROM raw GROUP BY year, month""" for c, t in STRUCTURE.items())

@@ -19,6 +19,9 @@ PIPELINE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # counts and bounds of whole partitions come from the footers, where a
+    # relation asks for the reader that can (commits.footer_relation)
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

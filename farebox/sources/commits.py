@@ -87,6 +87,11 @@ class State:
     seq: int
 
 
+def live_folders(state: State) -> Column:
+    """Static partition filter of the live folders."""
+    return _folder_key_column().isin([folder_key(*e) for e in state.live])
+
+
 @dataclass(frozen=True)
 class CommittedTable:
     spark: SparkSession
@@ -128,11 +133,39 @@ class CommittedTable:
         if not state.live:
             return inline_relation(self.spark, [], T.StructType([*columns.fields, *parts.fields]))
         schema = T.StructType([*columns.fields, *parts.fields, T.StructField(LOAD, T.StringType())])
-        keys = [folder_key(*e) for e in state.live]
         rows = (self.spark.read.schema(schema).option("basePath", self.root).parquet(self.root)
-                .where(_folder_key_column().isin(keys)))
+                .where(live_folders(state)))
         return (rows.withColumn(file_col, F.col("_metadata.file_path")) if file_col else rows).drop(LOAD)
 
+    def structure(self) -> DataFrame:
+        """S-21: (year, month, column_name, data_type, rows, nulls, min_value,
+        max_value) of each partition and column, from the footers alone. Bounds
+        are given, as doubles, for numbers; other types have none."""
+        state = self.state()
+        columns = state.columns.fields if state.columns else []
+        loads = self.log().where("columns is not null").agg(F.count_distinct("columns")).first()[0]
+        if loads > 1:
+            raise ValueError("loads of different columns have no common structure")
+        out = "year int, month int, column_name string, data_type string, rows bigint, nulls bigint, min_value double, max_value double"
+        if not state.live:
+            return inline_relation(self.spark, [], out)
+        schema = T.StructType([*columns, *(T.StructField(c, T.IntegerType()) for c in PARTITION_COLS), T.StructField(LOAD, T.StringType())])
+        rows = footer_relation(self.spark, schema, self.root).where(live_folders(state))
+        numbers = [f.name for f in columns if isinstance(f.dataType, (T.IntegerType, T.LongType, T.DoubleType))]
+        # the footers answer per folder, i.e. by all partition columns; folders are merged then
+        per_folder = rows.groupBy(*PARTITION_COLS, LOAD).agg(
+            F.count("*").alias("rows"), *(F.count(f.name).alias(f"n_{f.name}") for f in columns),
+            *(g(c).alias(f"{g.__name__}_{c}") for c in numbers for g in (F.min, F.max)))
+        per_part = per_folder.groupBy(*PARTITION_COLS).agg(
+            F.sum("rows").alias("rows"), *(F.sum(f"n_{f.name}").alias(f"n_{f.name}") for f in columns),
+            *(g(f"{g.__name__}_{c}").alias(f"{g.__name__}_{c}") for c in numbers for g in (F.min, F.max)))
+        none = F.lit(None).cast("double")
+        entry = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), "rows",
+                          (F.col("rows") - F.col(f"n_{f.name}")).alias("nulls"),
+                          *((F.col(f"{g}_{f.name}").cast("double") if f.name in numbers else none).alias(f"{g}_value")
+                            for g in ("min", "max"))) for f in columns]
+        return per_part.select(*PARTITION_COLS, F.explode(F.array(*entry)).alias("c")).select(*PARTITION_COLS, "c.*")
+
     # ---------------------------------------------------------------- write
     def write(self, rows: DataFrame, kind: str, partitions: Sequence[tuple[int | None, int | None]] = (),
               mark_col: str | None = None, rebalance: bool = True, state: State | None = None,
@@ -177,11 +210,15 @@ class CommittedTable:
         if not folders:
             return {}
         schema = T.StructType([*(f for f in data if f.name == mark_col),
-                               *(T.StructField(c, T.IntegerType()) for c in PARTITION_COLS)])
-        mark = F.max(mark_col) if mark_col else F.lit(None).cast("timestamp_ntz")
-        rows = (self.spark.read.schema(schema).option("basePath", self.root).parquet(*folders)
-                .groupBy(*PARTITION_COLS).agg(F.count("*").alias("n"), mark.alias("mark")).collect())
-        return {(r["year"], r["month"]): (r["n"], r["mark"]) for r in rows}
+                               *(T.StructField(c, T.IntegerType()) for c in PARTITION_COLS),
+                               T.StructField(LOAD, T.StringType())])
+        if mark_col:
+            rows = self.spark.read.schema(schema).option("basePath", self.root).parquet(*folders)
+            mark = [F.max(mark_col).alias("mark")]
+        else:
+            rows, mark = footer_relation(self.spark, schema, self.root, folders), []
+        found = rows.groupBy(*PARTITION_COLS, LOAD).agg(F.count("*").alias("n"), *mark).collect()   # one load
+        return {(r["year"], r["month"]): (r["n"], r["mark"] if mark_col else None) for r in found}
 
     def _commit(self, entries: list[tuple]) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -204,6 +241,20 @@ def _key_of(folder: str) -> str:
     return "/".join("-" if v == NO_VALUE else v for v in values)
 
 
+def footer_relation(spark: SparkSession, schema: T.StructType, root: str, paths: Sequence[str] = ()) -> DataFrame:
+    """Parquet files through the reader that answers COUNT, MIN and MAX over
+    whole partitions from the footers (``spark.sql.parquet.aggregatePushdown``):
+    no row is decoded, if the grouping is by all partition columns. MIN and MAX
+    go by a column's place, so all files must have exactly the columns of
+    ``schema``; COUNT(*) needs none of them."""
+    v1 = spark.conf.get("spark.sql.sources.useV1SourceList")
+    try:   # which reader a relation has is settled when it is made
+        spark.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in v1.split(",") if x.strip() != "parquet"))
+        return spark.read.schema(schema).option("basePath", root).parquet(*(paths or [root]))
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", v1)
+
+
 def read_log(spark: SparkSession, log_root: str) -> DataFrame:
     if not path_exists(spark, log_root):
         return inline_relation(spark, [], LOG_SCHEMA)

@@ -228,6 +228,26 @@ def lake_partitions(spark: SparkSession, root: str, by: Sequence[str] = PARTITIO
     return lake_files(spark, root, by).select(*by).distinct().orderBy(*by)
 
 
+def partition_counts(spark: SparkSession, root: str, parts: Sequence[tuple] | None = None) -> DataFrame:
+    """(year, month, rows) of the lake's partitions (of ``parts``, if given),
+    from the footers: no row is decoded, and no file of another partition is
+    opened."""
+    ints = [T.StructField(c, T.IntegerType()) for c in PARTITION_COLS]
+    if not path_exists(spark, root) or lake_files(spark, root).isEmpty():
+        return inline_relation(spark, [], T.StructType([*ints, T.StructField("rows", T.LongType())]))
+    table, keys = commits.committed(spark, root), list(PARTITION_COLS)
+    if table:
+        keys.append(commits.LOAD)
+        rows = commits.footer_relation(spark, T.StructType([*ints, T.StructField(commits.LOAD, T.StringType())]), root)
+        rows = rows.where(commits.live_folders(table.state()))
+    else:
+        rows = commits.footer_relation(spark, T.StructType(ints), root)
+    if parts is not None:
+        rows = rows.where(commits.partition_predicate(parts))
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("rows"))   # by all partition columns: from the footers
+    return counts.groupBy(*PARTITION_COLS).agg(F.sum("rows").alias("rows")) if table else counts
+
+
 def newest_partition(spark: SparkSession, root: str) -> tuple[int, int] | None:
     """The last (year, month) that has a file, from the folder names."""
     last = lake_files(spark, root).agg(F.max(F.col("year") * 100 + F.col("month"))).first()[0]

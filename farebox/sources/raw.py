@@ -75,20 +75,37 @@ def with_load_timestamp(df: DataFrame) -> DataFrame:
     return df.withColumn(LOADED_AT, load_time_literal())
 
 
+def same_types(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """``paths`` in groups whose files agree on the type of every column that
+    they share, whatever the spelling and whichever are absent. The footers of
+    a group are read and merged by one Spark job on the executors; a group
+    that does not merge is halved, so k changes of a type in a row of n
+    sources cost about k log n jobs, not n."""
+    try:
+        spark.read.option("mergeSchema", "true").parquet(*paths)
+        return [list(paths)]
+    except Exception as e:  # the conflict surfaces as a JVM error without a condition of its own
+        if len(paths) == 1 or "CANNOT_MERGE" not in str(e):
+            raise
+    half = len(paths) // 2
+    return same_types(spark, paths[:half]) + same_types(spark, paths[half:])
+
+
 def read_aligned(spark: SparkSession, paths: Iterable[str],
                  target: Sequence[tuple[str, T.DataType]] = RAW_COLUMNS) -> DataFrame:
     """Read source files whose schemas drift (casing, missing columns,
     int vs long vs double) as one aligned DataFrame.
 
-    Files are grouped by their physical schema, each group is read in one
-    scan (no mergeSchema, which refuses long->double), aligned and cast, and
-    the groups are combined with ``unionByName``.
+    Sources of one folder are tried together, in the order of their names: one
+    feed mostly keeps its types, and changes them at a point in time. Each
+    group of equal types is read in one scan (merged schema: absent columns
+    are NULL), aligned and cast, and the groups are combined by name.
     """
-    groups: dict[str, list[str]] = {}
+    feeds: dict[str, list[str]] = {}
     for p in paths:
-        key = spark.read.parquet(p).schema.json()
-        groups.setdefault(key, []).append(p)
-    frames = [align_columns(spark.read.parquet(*ps), target) for ps in groups.values()]
+        feeds.setdefault(p.rstrip("/").rsplit("/", 1)[0], []).append(p)
+    groups = [g for feed in feeds.values() for g in same_types(spark, sorted(feed))]
+    frames = [align_columns(spark.read.option("mergeSchema", "true").parquet(*g), target) for g in groups]
     if not frames:
         from farebox.sources.seeds import inline_relation
         return inline_relation(spark, [], T.StructType([T.StructField(n, t) for n, t in target]))

@@ -202,3 +202,51 @@ def test_daily_lake(spark, scratch):
     got = [tuple(r) for r in lake.lake_partitions(spark, root, lake.DAILY).collect()]
     assert got == [(None, None, None), (2024, 1, 1), (2024, 1, 2)]
     assert lake.read_lake(spark, root).where("day = 2").count() == 2
+
+
+def test_read_aligned_merges_equal_types_in_one_go(spark, scratch, monkeypatch):
+    """A feed whose type changes once: halved to the change, not read one by one."""
+    from farebox.sources import raw
+    root = scratch("feed_types")
+    paths = []
+    for i in range(16):
+        kind = "int" if i < 11 else "long"
+        path = f"{root}/m{i:02d}"
+        spark.createDataFrame([(i, i)], f"VendorID {kind}, payment_type {kind}" if i % 2 else f"vendorid {kind}, Extra {kind}").write.parquet(path)
+        paths.append(path)
+    tried = []
+    same = raw.same_types
+    monkeypatch.setattr(raw, "same_types", lambda sp, ps: tried.append(len(ps)) or same(sp, ps))
+    assert sorted(r.vendorid for r in read_aligned(spark, reversed(paths)).collect()) == list(range(16))
+    assert sum(tried) <= 16 * 3 and len(tried) <= 9
+
+
+def test_counts_and_structure_come_from_footers(spark, scratch):
+    """No row is decoded: the scan itself answers counts and bounds."""
+    from farebox.streaming import incremental
+    roots = [scratch(x) for x in ("lake_f", "raw_f", "audit_f")]
+    rows = [dict(vendorid=1, airport_fee=None), dict(vendorid=7, tip_amount=-2.5),
+            dict(vendorid=3, tpep_pickup_datetime=dt.datetime(2024, 2, 3)), dict(vendorid=4, tpep_pickup_datetime=None)]
+    lake.build_lake([raw_rows(spark, *rows).drop("year", "month")], roots[0], "tpep_pickup_datetime")
+    counts = lake.partition_counts(spark, roots[0])
+    assert sorted((tuple(r) for r in counts.collect()), key=str) == [(2024, 1, 2), (2024, 2, 1), (None, None, 1)]
+    plan = lake.partition_counts(spark, roots[0], [(2024, 2)])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "= 202402" in plan
+    incremental.load_partitions(spark, *roots)
+    table = incremental.raw_table(spark, *roots[1:])
+    plan = table.structure()._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(" in plan
+    got = {(r.month, r.column_name): (r.rows, r.nulls, r.min_value, r.max_value) for r in table.structure().collect()}
+    assert got[1, "vendorid"] == (2, 0, 1.0, 7.0) and got[1, "airport_fee"] == (2, 1, 0.0, 0.0)
+    assert got[1, "tip_amount"] == (2, 0, -2.5, 4.0) and got[None, "tpep_pickup_datetime"] == (1, 1, None, None)
+    assert got[2, "store_and_fwd_flag"] == (1, 0, None, None)
+    # the log, not the folder, says what the table holds
+    incremental.load_partitions(spark, *roots, full_refresh=True)
+    assert {r.rows for r in table.structure().where("month = 1").collect()} == {2}
+    assert incremental.raw_table(spark, scratch("r0"), scratch("a0")).structure().collect() == []
+
+
+def test_settings_of_a_cluster_hold_off_one_machine():
+    from farebox import session
+    assert session.session_conf("local[8]", 8)["spark.sql.shuffle.partitions"] == "8"
+    assert session.session_conf("spark://host:7077", 8)["spark.sql.shuffle.partitions"] == session.CLUSTER_CONF["spark.sql.shuffle.partitions"]
