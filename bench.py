@@ -4,6 +4,7 @@ Steps (each the median of 5 warm runs after one warm-up):
   lake_build        trip source -> partitioned Parquet lake (S-05/S-06)
   raw_load          lake -> raw table, full refresh + audit (S-09..S-12)
   dims_build        dimension tables (S-14..S-16, S-18)
+  control_scan      an unchanged scan, to compare machines of different rounds
   stg_fact_build    raw table -> staging -> fact table (W-01, S-13 first run)
   fact_incremental_nothing_new   later fact run, high-water mark, no new rows (S-13, P-22)
   fact_incremental_new_day       later fact run with one new day, appended
@@ -80,8 +81,15 @@ def main():
     marts_root = scratch_path(spark, "bench_marts")
     q["dims_build"] = timed(lambda: build_dimensions(spark, seed, P, Marts(marts_root)))
 
+    def raw_now():
+        return incremental.read_raw(spark, raw_path, raw_path + "_audit")
+
+    # a control: code that no round has changed, beside the steps that it is to be read with
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    q["control_scan"] = timed(lambda: li.write.mode("overwrite").format("noop").save())
+
     def stg_fact():
-        raw = spark.read.parquet(raw_path)
+        raw = raw_now()
         fact_path = scratch_path(spark, "bench_fct")
         incremental.build_fact(spark, raw, P, fact_path)
         stg_fact.fact_path = fact_path
@@ -89,9 +97,9 @@ def main():
     rows_per_sec["stg_fact_build"] = n_src / q["stg_fact_build"]
     # a later run with nothing new: the high-water mark prunes raw to its month
     q["fact_incremental_nothing_new"] = timed(lambda: incremental.build_fact(
-        spark, spark.read.parquet(raw_path), P, stg_fact.fact_path, late="drop"))
+        spark, raw_now(), P, stg_fact.fact_path, late="drop"))
 
-    raw_all = spark.read.parquet(raw_path)
+    raw_all = raw_now()
     last_day = P.end - dt.timedelta(days=880)
     early = raw_all.where(F.col("tpep_pickup_datetime") < F.lit(str(last_day)).cast("timestamp_ntz"))
     day = raw_all.where(F.col("tpep_pickup_datetime") < F.lit(str(last_day + dt.timedelta(days=1)))
@@ -106,7 +114,7 @@ def main():
 
     marts = Marts(marts_root).read(spark, fact_path=stg_fact.fact_path)
     fact, dim = marts["fct_trips"], marts["dim_location"]
-    raw = spark.read.parquet(raw_path)
+    raw = raw_now()
     ev = fixtures.events(spark, sf_dir)
     q["top_pickup_zones"] = timed(lambda: profile.top_pickup_zones(fact, dim).collect())
     q["weekend_revenue_by_quarter"] = timed(
@@ -120,7 +128,12 @@ def main():
     q["scan_lake_all_2cols"] = timed(lambda: lk.select(*two).write.mode("overwrite").format("noop").save())
     one_month = lake.read_partition(spark, lake_path, 1996, 1, two)
     q["scan_lake_one_month_2cols"] = timed(lambda: one_month.write.mode("overwrite").format("noop").save())
-    li = fixtures.table(spark, sf_dir, "lineitem")
+    # a filter within a month: files dealt by ranges of the column, and not
+    clustered = scratch_path(spark, "bench_clustered")
+    lake.build_lake([src], clustered, "tpep_pickup_datetime", cluster_by="PULocationID")
+    for name, root in (("plain", lake_path), ("clustered", clustered)):
+        zone = lake.read_partition(spark, root, 1996, 1).where(F.col("PULocationID") == 7).select(*two)
+        q[f"scan_one_zone_{name}"] = timed(lambda z=zone: z.write.mode("overwrite").format("noop").save())
     q["scan_file_all_cols"] = timed(lambda: li.write.mode("overwrite").format("noop").save())
     q["scan_file_2cols"] = timed(
         lambda: li.select("l_quantity", "l_extendedprice").write.mode("overwrite").format("noop").save())

@@ -139,8 +139,10 @@ class CommittedTable:
 
     def structure(self) -> DataFrame:
         """S-21: (year, month, column_name, data_type, rows, nulls, min_value,
-        max_value) of each partition and column, from the footers alone. Bounds
-        are given, as doubles, for numbers; other types have none."""
+        max_value) of each partition and column. Bounds are given, as doubles,
+        for numbers; other types have none. All counts, and the bounds of columns
+        without a null, come from the footers; a row group of nulls alone has
+        no bounds there, so columns that hold nulls are scanned for theirs."""
         state = self.state()
         columns = state.columns.fields if state.columns else []
         loads = self.log().where("columns is not null").agg(F.count_distinct("columns")).first()[0]
@@ -150,19 +152,31 @@ class CommittedTable:
         if not state.live:
             return inline_relation(self.spark, [], out)
         schema = T.StructType([*columns, *(T.StructField(c, T.IntegerType()) for c in PARTITION_COLS), T.StructField(LOAD, T.StringType())])
-        rows = footer_relation(self.spark, schema, self.root).where(live_folders(state))
+        footers = footer_relation(self.spark, schema, self.root).where(live_folders(state))
+        counts = [F.count("*").alias("rows"), *(F.count(f.name).alias(f"n_{f.name}") for f in columns)]
+        whole = footers.groupBy(*PARTITION_COLS, LOAD).agg(*counts).agg(
+            F.sum("rows").alias("rows"), *(F.sum(f"n_{f.name}").alias(f"n_{f.name}") for f in columns)).first()
         numbers = [f.name for f in columns if isinstance(f.dataType, (T.IntegerType, T.LongType, T.DoubleType))]
+        full = [c for c in numbers if whole[f"n_{c}"] == whole["rows"]]
+
+        def bounds(names):
+            return [g(c).alias(f"{g.__name__}_{c}") for c in names for g in (F.min, F.max)]
         # the footers answer per folder, i.e. by all partition columns; folders are merged then
-        per_folder = rows.groupBy(*PARTITION_COLS, LOAD).agg(
-            F.count("*").alias("rows"), *(F.count(f.name).alias(f"n_{f.name}") for f in columns),
-            *(g(c).alias(f"{g.__name__}_{c}") for c in numbers for g in (F.min, F.max)))
-        per_part = per_folder.groupBy(*PARTITION_COLS).agg(
+        per_folder = footers.groupBy(*PARTITION_COLS, LOAD).agg(*counts, *bounds(full))
+        holed = [c for c in numbers if c not in full]
+        scanned = self.read(state).groupBy(*PARTITION_COLS).agg(*bounds(holed)) if holed else None
+        parts = per_folder if scanned is None else per_folder.unionByName(scanned, allowMissingColumns=True)
+        per_part = parts.groupBy(*PARTITION_COLS).agg(
             F.sum("rows").alias("rows"), *(F.sum(f"n_{f.name}").alias(f"n_{f.name}") for f in columns),
             *(g(f"{g.__name__}_{c}").alias(f"{g.__name__}_{c}") for c in numbers for g in (F.min, F.max)))
         none = F.lit(None).cast("double")
+
+        def bound(name):   # a writer may note a bound of 0 as -0
+            value = F.col(name).cast("double")
+            return F.when(value == 0, F.lit(0.0)).otherwise(value)
         entry = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), "rows",
                           (F.col("rows") - F.col(f"n_{f.name}")).alias("nulls"),
-                          *((F.col(f"{g}_{f.name}").cast("double") if f.name in numbers else none).alias(f"{g}_value")
+                          *((bound(f"{g}_{f.name}") if f.name in numbers else none).alias(f"{g}_value")
                             for g in ("min", "max"))) for f in columns]
         return per_part.select(*PARTITION_COLS, F.explode(F.array(*entry)).alias("c")).select(*PARTITION_COLS, "c.*")
 

@@ -226,7 +226,8 @@ def test_counts_and_structure_come_from_footers(spark, scratch):
     from farebox.streaming import incremental
     roots = [scratch(x) for x in ("lake_f", "raw_f", "audit_f")]
     rows = [dict(vendorid=1, airport_fee=None), dict(vendorid=7, tip_amount=-2.5),
-            dict(vendorid=3, tpep_pickup_datetime=dt.datetime(2024, 2, 3)), dict(vendorid=4, tpep_pickup_datetime=None)]
+            # a partition in which a column is null throughout
+            dict(vendorid=3, tpep_pickup_datetime=dt.datetime(2024, 2, 3), dolocationid=None), dict(vendorid=4, tpep_pickup_datetime=None)]
     lake.build_lake([raw_rows(spark, *rows).drop("year", "month")], roots[0], "tpep_pickup_datetime")
     counts = lake.partition_counts(spark, roots[0])
     assert sorted((tuple(r) for r in counts.collect()), key=str) == [(2024, 1, 2), (2024, 2, 1), (None, None, 1)]
@@ -239,7 +240,8 @@ def test_counts_and_structure_come_from_footers(spark, scratch):
     got = {(r.month, r.column_name): (r.rows, r.nulls, r.min_value, r.max_value) for r in table.structure().collect()}
     assert got[1, "vendorid"] == (2, 0, 1.0, 7.0) and got[1, "airport_fee"] == (2, 1, 0.0, 0.0)
     assert got[1, "tip_amount"] == (2, 0, -2.5, 4.0) and got[None, "tpep_pickup_datetime"] == (1, 1, None, None)
-    assert got[2, "store_and_fwd_flag"] == (1, 0, None, None)
+    assert got[2, "store_and_fwd_flag"] == (1, 0, None, None) and got[2, "dolocationid"] == (1, 1, None, None)
+    assert got[1, "dolocationid"] == (2, 0, 236.0, 236.0)
     # the log, not the folder, says what the table holds
     incremental.load_partitions(spark, *roots, full_refresh=True)
     assert {r.rows for r in table.structure().where("month = 1").collect()} == {2}
