@@ -28,6 +28,7 @@ from .runtime import prepare, stored
 
 SAMPLE_ROWS = 20_000     # labelled documents to learn from, at the most
 PAIRS_EACH = 4           # partners of a document of the rarer label
+LEARN_TASKS = 8          # of a step of the descent
 CUT = 0.3
 FOLDS = 5
 CHUNK_BYTES = 8 << 20
@@ -163,9 +164,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     many = place.filter("not side").select(F.col("i").cast("long").alias("j"), F.col("x").alias("b"))
     sign = 1.0 if rare == 1 else -1.0
     diff = F.zip_with("a", "b", lambda p, q: (p - q) * F.lit(sign))
-    pairs = few.join(many, "j").select(diff.alias("d"))
-    both = pairs.select("d", F.lit(1.0).alias("label")).union(
-        pairs.select(F.transform("d", lambda v: -v).alias("d"), F.lit(0.0).alias("label")))
+    # Each pair in both orders. A sample's pairs are few, so a step of the descent is
+    # LEARN_TASKS tasks, however many partitions the session shuffles into.
+    pairs = stored(few.join(many, "j").select(diff.alias("d")), "pairs").coalesce(LEARN_TASKS)
+    both = pairs.select(F.inline(F.array(
+        F.struct(F.col("d"), F.lit(1.0).alias("label")),
+        F.struct(F.transform("d", lambda v: -v).alias("d"), F.lit(0.0).alias("label")))))
     model = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=100).fit(
         both.select(array_to_vector("d").alias("features"), "label"))
     weights = np.array(model.coefficients.toArray())
