@@ -25,6 +25,7 @@ from array import array
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,6 +120,13 @@ def word_ids(path: str) -> WordIds:
     return _OPEN[path]
 
 
+def forget_words() -> None:
+    """A worker that packs has no more words to encode: what it remembers of
+    them would only lie beside its index, and beside all that it does later."""
+    if TaskContext.get() is not None:  # not in the driver
+        _OPEN.clear()
+
+
 TOKENS = "doc_id long, text_hash long, ids binary, n long, rarest int, token int, df long"
 
 
@@ -313,6 +321,7 @@ def _pack(idf: np.ndarray, mean: float, dtype: np.dtype, window: int):
             [*(pa.array(x, pa.int64()) for x in out[:7]), pa.array(out[7], pa.binary())], names)
 
     def run(batches):
+        forget_words()
         now, keys, ids = None, [], []
         for batch in batches:
             for shard, key, own in zip(batch.column("shard").to_pylist(),
