@@ -73,6 +73,27 @@ def build_marts(spark: SparkSession, raw: DataFrame, zone_seed: DataFrame, param
     return m
 
 
+def refresh_fact(spark: SparkSession, raw_root: str, audit_root: str, params: PipelineParams, fact_root: str,
+                 ledger_root: str, table_name: str = "yellow_trips", late: str = "drop") -> list[tuple]:
+    """The nightly run of the fact: ``build_fact`` on the partitions of every
+    audited raw load that the ledger does not have, this night's or an earlier
+    one's that died before its fact was written; the loads are noted after
+    the fact's commit. With nothing to take in, the audit and the ledger are
+    all that is read: neither raw table nor fact is opened.
+
+    ``late="drop"`` needs no other partition: what the absorbed loads hold beyond
+    the mark is in the fact, and what the mark has overtaken stays out by that
+    rule. A load that was noted is not looked at again, so after a change of
+    ``params`` or of the model the fact is to be built anew. Returns the (year,
+    month) taken in."""
+    pending = pending_loads(spark, audit_root, ledger_root, table_name).collect()   # one row per partition
+    parts = sorted({(r["year"], r["month"]) for r in pending}, key=lambda p: (p[0] is not None, p[0] or 0, p[1] or 0))
+    if parts:
+        build_fact(spark, read_raw(spark, raw_root, audit_root, table_name), params, fact_root, late=late, partitions=parts)
+        note_absorbed(spark, ledger_root, table_name, sorted({r["load_id"] for r in pending}))
+    return parts
+
+
 def refresh_star(spark: SparkSession, lake_root: str, raw_root: str, audit_root: str,
                  zone_seed: DataFrame, params: PipelineParams, marts_root: str,
                  full_refresh: bool = False, table_name: str = "yellow_trips") -> Marts:
@@ -84,10 +105,5 @@ def refresh_star(spark: SparkSession, lake_root: str, raw_root: str, audit_root:
     load_partitions(spark, lake_root, raw_root, audit_root, table_name, full_refresh)
     m = Marts(marts_root)
     build_dimensions(spark, zone_seed, params, m)
-    pending = pending_loads(spark, audit_root, m.absorbed, table_name).collect()  # one row per partition
-    if pending:
-        parts = sorted({(r["year"], r["month"]) for r in pending}, key=lambda p: (p[0] is not None, p[0] or 0, p[1] or 0))
-        raw = read_raw(spark, raw_root, audit_root, table_name)
-        build_fact(spark, raw, params, m.fact, late="upsert", partitions=parts)
-        note_absorbed(spark, m.absorbed, table_name, sorted({r["load_id"] for r in pending}))
+    refresh_fact(spark, raw_root, audit_root, params, m.fact, m.absorbed, table_name, late="upsert")
     return m

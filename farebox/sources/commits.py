@@ -85,6 +85,18 @@ class State:
     mark: dt.datetime | None
     columns: T.StructType | None
     seq: int
+    marks: tuple[dt.datetime | None, ...] = ()   # of the live folders, in their order
+
+    def after(self, kind: str, load_id: str, written: dict, replaced: Sequence[tuple[int | None, int | None]],
+              columns: T.StructType) -> State:
+        """What the log says once it holds one more load: ``written`` is
+        {(year, month): (rows, mark)}, ``replaced`` the partitions that hold
+        nothing else then. So a writer need not read back the log it has written."""
+        gone = {*replaced, *written} if kind == "replace" else set()
+        kept = [(e, m) for e, m in zip(self.live, self.marks) if e[:2] not in gone]
+        kept += [((*p, load_id), mark) for p, (n, mark) in written.items() if n]
+        return State(tuple(e for e, _ in kept), max((m for _, m in kept if m is not None), default=None),
+                     columns, self.seq + 1, tuple(m for _, m in kept))
 
 
 def live_folders(state: State) -> Column:
@@ -116,10 +128,11 @@ class CommittedTable:
         rows = per_part.select(*PARTITION_COLS, "seq", F.filter(
             "folders", lambda f: (f["seq"] >= base) & (f["row_count"] > 0)).alias("folders"), "last").collect()
         live = tuple((r["year"], r["month"], f[LOAD]) for r in rows for f in r["folders"])
-        marks = [f["mark"] for r in rows for f in r["folders"] if f["mark"] is not None]
+        marks = tuple(f["mark"] for r in rows for f in r["folders"])
         last = max((r["last"] for r in rows if r["last"][0] is not None), key=lambda x: x[0], default=None)
-        return State(live, max(marks, default=None), T.StructType.fromJson(json.loads(last[1])) if last else None,
-                     max((r["seq"] for r in rows), default=-1))
+        return State(live, max((m for m in marks if m is not None), default=None),
+                     T.StructType.fromJson(json.loads(last[1])) if last else None,
+                     max((r["seq"] for r in rows), default=-1), marks)
 
     # ----------------------------------------------------------------- read
     def read(self, state: State | None = None, file_col: str | None = None) -> DataFrame:
@@ -193,6 +206,13 @@ class CommittedTable:
         ``rebalance=False`` writes without a shuffle, for rows that are read
         from a table that is partitioned the same way. A ``load_id`` may span
         several commits, of different partitions each."""
+        return self.load(rows, kind, partitions, mark_col, rebalance, state, signatures, sources, load_id)[0]
+
+    def load(self, rows: DataFrame, kind: str, partitions: Sequence[tuple[int | None, int | None]] = (),
+             mark_col: str | None = None, rebalance: bool = True, state: State | None = None,
+             signatures: dict | None = None, sources: Sequence[tuple[str, int, int]] = (),
+             load_id: str | None = None) -> tuple[dict, State]:
+        """``write`` that also returns the table's state after the load."""
         state = state or self.state()
         load_id = load_id or new_load_id()
         data = [f for f in rows.schema.fields if f.name not in PARTITION_COLS]
@@ -214,7 +234,7 @@ class CommittedTable:
         self._commit(log)
         if kind == "replace" and state.live:
             self.vacuum()
-        return {p: n for p, (n, _) in written.items()}
+        return {p: n for p, (n, _) in written.items()}, state.after(kind, load_id, written, partitions, T.StructType(data))
 
     def _written(self, load_id: str, data: list[T.StructField], mark_col: str | None, state: State) -> dict:
         """{(year, month): (rows, mark)} of a load's new folders, from the footers

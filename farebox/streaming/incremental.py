@@ -231,5 +231,5 @@ def build_fact(spark: SparkSession, raw: DataFrame, params: PipelineParams, fact
     if late == "drop" and not first and stg_trips(raw, params, dedupe=False, since=since).isEmpty():
         return table.read(state)
     kind = "replace" if late == "upsert" and not first else "append"
-    table.write(with_storage_partitions(new), kind, partitions or (), mark_col="pickup_at", state=state)
-    return table.read()
+    _, state = table.load(with_storage_partitions(new), kind, partitions or (), mark_col="pickup_at", state=state)
+    return table.read(state)

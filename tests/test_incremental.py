@@ -256,6 +256,63 @@ def test_star_heals_a_crash_between_raw_and_fact(spark, scratch, monkeypatch):
     assert incremental.pending_loads(spark, roots[2], done.absorbed, "yellow_trips").count() == 0
 
 
+def test_nightly_fact_run_opens_nothing_without_a_new_load(spark, scratch, monkeypatch):
+    from farebox.plans import marts
+    roots = [scratch(x) for x in ("lake_n", "raw_n", "audit_n")]
+    fact, ledger = scratch("fct_n"), scratch("fct_n_absorbed")
+
+    def night(*trips):
+        if trips:
+            lake.append_to_lake(raw_rows(spark, *trips), roots[0], "tpep_pickup_datetime")
+            incremental.load_partitions(spark, *roots, reload_changed=True)
+        return marts.refresh_fact(spark, *roots[1:], P, fact, ledger)
+
+    def stored():
+        return sorted(r.vendor_id for r in incremental.fact_table(spark, fact).read().collect())
+
+    lake.build_lake([raw_rows(spark, trip(1, 5)).drop("year", "month")], roots[0], "tpep_pickup_datetime")
+    incremental.load_partitions(spark, *roots)
+    assert night() == [(2024, 1)] and stored() == [1]
+    with monkeypatch.context() as c:
+        for unread in ("build_fact", "read_raw"):
+            c.setattr(marts, unread, lambda *a, **k: pytest.fail("opened without a new load"))
+        assert night() == []
+    # a new month and, in the old one, a row that the mark has overtaken and one that it has not
+    assert night(trip(2, 40), trip(3, 3), trip(4, 7)) == [(2024, 1), (2024, 2)]
+    assert stored() == [1, 2, 4]
+    # a run that dies between the fact's commit and the ledger is done again, without doubling a row
+    with monkeypatch.context() as c:
+        c.setattr(marts, "note_absorbed", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            night(trip(5, 41))
+    assert stored() == [1, 2, 4, 5]
+    assert night() == [(2024, 2)] and stored() == [1, 2, 4, 5]
+    assert night() == []
+    # a load whose rows are all rejected is noted too
+    assert night(trip(6, 42, total_amount=-1.0)) == [(2024, 2)] and stored() == [1, 2, 4, 5]
+    assert night() == []
+
+
+def test_the_state_after_a_load_is_what_the_log_says(spark, scratch):
+    table = commits.CommittedTable(spark, scratch("state"), scratch("state_log"))
+    state = table.state()
+    for kind, rows, parts in (
+            ("append", [(1, 2024, 1), (2, 2024, 2), (3, None, None)], ()),
+            ("append", [(4, 2024, 1)], ()),
+            ("append", [], ()),
+            ("replace", [(5, 2024, 2)], ()),
+            ("replace", [], [(2024, 1)]),
+            ("append", [(6, 2024, 1), (7, 2024, 2)], ()),
+            ("replace", [(8, None, None)], [(2024, 2), (None, None)])):
+        df = spark.createDataFrame(rows, "d int, year int, month int").withColumn(
+            "at", F.expr("make_timestamp_ntz(2024, 1, d, 0, 0, 0)"))
+        _, state = table.load(df, kind, parts, mark_col="at", state=state)
+        said = table.state()
+        assert dict(zip(state.live, state.marks)) == dict(zip(said.live, said.marks))
+        assert (state.mark, state.columns, state.seq) == (said.mark, said.columns, said.seq)
+        assert sorted(map(str, table.read(state).collect())) == sorted(map(str, table.read().collect()))
+
+
 def test_unreachable_file_systems_are_errors(spark):
     from farebox.session import path_exists
     for path in ("s3a://nowhere/fact", "nosuchscheme://x/fact"):
