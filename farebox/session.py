@@ -22,6 +22,9 @@ PIPELINE_CONF = {
     # counts and bounds of whole partitions come from the footers, where a
     # relation asks for the reader that can (commits.footer_relation)
     "spark.sql.parquet.aggregatePushdown": "true",
+    # a writing task keeps this many partitions' files open and sorts only what is
+    # left: rows that come a few months a task are not sorted in memory at all
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 
