@@ -122,7 +122,8 @@ def compact_lake(spark: SparkSession, root: str, target_bytes: int = TARGET_FILE
             .select(F.regexp_replace("path", "^file:/+", "file:/").alias("_file"), F.floor(start / target_bytes).alias("_bin")))
     state = table.state()
     rows = table.read(state, "_file").where(commits.partition_predicate(parts))
-    binned = rows.withColumn("_file", F.regexp_replace("_file", "^file:/+", "file:/")).join(bins, "_file")
+    # one row per file goes to every task: the rows are shuffled once, to their bins
+    binned = rows.withColumn("_file", F.regexp_replace("_file", "^file:/+", "file:/")).join(F.broadcast(bins), "_file")
     count = sum(-(-r["bytes"] // target_bytes) for r in todo)
     dealt = binned.repartition(int(count), *PARTITION_COLS, "_bin").drop("_file", "_bin")
     table.write(dealt, "replace", parts, rebalance=False, state=state)

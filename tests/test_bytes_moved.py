@@ -24,3 +24,25 @@ def test_a_write_by_partition_does_not_sort(spark, scratch):
         assert spark.table("unsorted_write").select("v").distinct().count() == 100
     finally:
         spark.sql("DROP TABLE unsorted_write")
+
+
+def test_compaction_shuffles_the_rows_once(spark, scratch, monkeypatch):
+    root = scratch("lake")
+    for k in (1, 2):
+        src = scratch("src")
+        spark.range(50).select("id", F.lit("2024-01-05").cast("timestamp_ntz").alias("ts")).coalesce(1).write.parquet(src)
+        lake.append_sources(spark, [src], root, "ts")
+    plans, write = [], CommittedTable.write
+
+    def spied(self, rows, *a, **k):
+        plans.append(executed_plan(rows))
+        return write(self, rows, *a, **k)
+    monkeypatch.setattr(CommittedTable, "write", spied)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as for a lake of many rows
+    try:
+        assert lake.compact_lake(spark, root, slack=1) == [(2024, 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+    assert lake.read_lake(spark, root).count() == 100
