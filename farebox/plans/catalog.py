@@ -67,6 +67,17 @@ class Workspace:
             self._built[name] = build()
         return self._built[name]
 
+    # the joined lines of all trips, for facts that are built from them in several runs
+    def lines(self) -> DataFrame:
+        def build():
+            path = f"{self.root}/lines"
+            fixtures.land_lines(self.spark, self.sf_dir, path)
+            return path
+        return self.spark.read.parquet(self._once("lines", build))
+
+    def raw(self) -> DataFrame:
+        return fixtures.trip_raw(self.spark, self.sf_dir, self.lines())
+
     # lake with every trip (source spelling, airport fee absent)
     def lake_full(self) -> str:
         def build():
@@ -161,7 +172,7 @@ class Workspace:
     def fact_incremental(self, late: str) -> str:
         def build():
             path = f"{self.root}/fct_{late}"
-            raw = fixtures.trip_raw(self.spark, self.sf_dir)
+            raw = self.raw()
             arrived = raw.where(F.col("tpep_dropoff_datetime") < ntz_literal(fixtures.FIXTURE_ARRIVAL_CUTOFF))
             if late == "upsert":
                 wrong = arrived.withColumn("tip_amount", F.when(F.col("vendorid") == 1, F.col("tip_amount") + 7)
@@ -181,7 +192,7 @@ class Workspace:
     def fact_mixed(self) -> str:
         def build():
             path = f"{self.root}/fct_mixed"
-            raw = fixtures.trip_raw(self.spark, self.sf_dir)
+            raw = self.raw()
             arrived = raw.where(F.col("tpep_dropoff_datetime") < ntz_literal(fixtures.FIXTURE_ARRIVAL_CUTOFF))
             incremental.build_fact(self.spark, arrived, P, path, late="drop")
             incremental.build_fact(self.spark, raw, P, path, late="upsert", partitions=[ONE_MONTH, LATER_MONTH])
@@ -620,9 +631,10 @@ def q_check_relationships(spark, sf):
 
 def q_check_model_keys(spark, sf):
     _prep(spark)
-    fact = lake.read_lake(spark, Workspace.of(spark, sf).fact_incremental("upsert"))
+    ws = Workspace.of(spark, sf)
+    fact = lake.read_lake(spark, ws.fact_incremental("upsert"))
     return checks.check_model_keys({
-        "raw": (staging.renamed(_raw(spark, sf)), "trip_id"),
+        "raw": (staging.renamed(ws.raw()), "trip_id"),
         "fct_trips": (fact, "trip_id"),
         "dim_location": (_dim_location(spark, sf), "location_id"),
         "dim_payment_type": (dims.dim_payment_type(spark), "payment_type_id"),
@@ -662,8 +674,9 @@ def q_check_business_rules(spark, sf):
 
 def q_check_reconciliation(spark, sf):
     _prep(spark)
-    path = Workspace.of(spark, sf).fact_incremental("drop")
-    return checks.check_reconciliation(_stg(spark, sf), lake.read_lake(spark, path))
+    ws = Workspace.of(spark, sf)
+    path = ws.fact_incremental("drop")
+    return checks.check_reconciliation(staging.stg_trips(ws.raw(), P), lake.read_lake(spark, path))
 
 
 def q_check_freshness(spark, sf):
@@ -674,13 +687,14 @@ def q_check_freshness(spark, sf):
 def q_schema_change_gate(spark, sf):
     """A changed model is refused, and the stored fact is as it was."""
     _prep(spark)
-    path = Workspace.of(spark, sf).fact_incremental("drop")
+    ws = Workspace.of(spark, sf)
+    path = ws.fact_incremental("drop")
 
     def changed(stg):
         return to_fact(stg).withColumns({"passenger_count": F.col("passenger_count").cast("double"),
                                          "store_id": F.lit(None).cast("int")})
     try:
-        incremental.build_fact(spark, _raw(spark, sf), P, path, model=changed)
+        incremental.build_fact(spark, ws.raw(), P, path, model=changed)
         refused = False
     except incremental.SchemaChangeError:
         refused = True

@@ -14,6 +14,36 @@ def executed_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture
+def counted_joins(monkeypatch):
+    """How often the tables are joined to trips; every query builds its own tables."""
+    joins = []
+    monkeypatch.setattr(catalog.Workspace, "_cache", {})
+    joined = fixtures.trip_lines if hasattr(fixtures, "trip_lines") else fixtures.trip_source
+    monkeypatch.setattr(fixtures, joined.__name__, lambda *a: joins.append(a) or joined(*a))
+    return joins
+
+
+@pytest.mark.parametrize("query", ["fct_incremental", "fct_incremental_upsert", "fct_incremental_mixed", "check_reconciliation", "check_model_keys"])
+def test_the_tables_are_joined_once(spark, counted_joins, query):
+    catalog.QUERIES[query](spark, SF_SMALL).collect()
+    assert len(counted_joins) == 1
+
+
+def test_landed_lines_give_the_same_trips(spark, scratch):
+    path = scratch("lines")
+    fixtures.land_lines(spark, SF_SMALL, path)
+    direct, landed = fixtures.trip_source(spark, SF_SMALL), fixtures.trip_source(spark, SF_SMALL, spark.read.parquet(path))
+    assert landed.columns == direct.columns
+    assert landed.exceptAll(direct).isEmpty() and direct.exceptAll(landed).isEmpty()
+
+
+def test_orders_meet_their_customers_before_the_lines(spark):
+    plan = fixtures.trip_lines(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "o_custkey" in joins[-1] and "c_custkey" in joins[-1]   # the innermost one
+
+
 def test_a_write_by_partition_does_not_sort(spark, scratch):
     spark.sql(f"CREATE TABLE unsorted_write (v BIGINT, year INT, month INT) USING parquet PARTITIONED BY (year, month) LOCATION '{scratch('t')}'")
     try:
