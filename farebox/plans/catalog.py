@@ -101,11 +101,11 @@ class Workspace:
             lake_path = f"{self.root}/lake_inc"
             raw_path = f"{self.root}/raw_inc"
             audit_path = f"{self.root}/audit_inc"
-            src = fixtures.trip_source(self.spark, self.sf_dir)
+            src = lake.read_lake(self.spark, self.lake_full())
             arrived = src.where(F.col("tpep_dropoff_datetime") < ntz_literal(fixtures.FIXTURE_ARRIVAL_CUTOFF))
-            lake.build_lake([arrived], lake_path, "tpep_pickup_datetime")
+            lake.build_lake([arrived], lake_path, "tpep_pickup_datetime", rebalance=False)
             incremental.load_partitions(self.spark, lake_path, raw_path, audit_path, TABLE_NAME)
-            lake.build_lake([src], lake_path, "tpep_pickup_datetime")
+            lake.build_lake([src], lake_path, "tpep_pickup_datetime", rebalance=False)
             incremental.load_partitions(self.spark, lake_path, raw_path, audit_path, TABLE_NAME)
             return lake_path, raw_path, audit_path
         return self._once("incremental_raw", build)
@@ -129,12 +129,12 @@ class Workspace:
     # the same lake after its first partition went missing
     def shrunk_lake(self) -> tuple[str, str]:
         def build():
-            _, _, audit_path = self.incremental_raw()
+            lake_path, _, audit_path = self.incremental_raw()
             path = f"{self.root}/lake_shrunk"
-            src = fixtures.trip_raw(self.spark, self.sf_dir)
+            src = align_columns(lake.read_lake(self.spark, lake_path))
             y, m = ONE_MONTH
             gone = (F.col("year") == y) & (F.col("month") == m)
-            lake.build_lake([src.where(~F.coalesce(gone, F.lit(False)))], path, "tpep_pickup_datetime")
+            lake.build_lake([src.where(~F.coalesce(gone, F.lit(False)))], path, "tpep_pickup_datetime", rebalance=False)
             return path, audit_path
         return self._once("shrunk_lake", build)
 
@@ -228,11 +228,11 @@ class Workspace:
     def reloaded_raw(self) -> tuple[CommittedTable, str]:
         def build():
             lake_path, raw_path, audit_path, sums = (f"{self.root}/{x}_rel" for x in ("lake", "raw", "audit", "sums"))
-            src = fixtures.trip_source(self.spark, self.sf_dir)
+            src = lake.read_lake(self.spark, self.lake_full())
             arrived = src.where(F.col("tpep_dropoff_datetime") < ntz_literal(fixtures.FIXTURE_ARRIVAL_CUTOFF))
             raw = incremental.raw_table(self.spark, raw_path, audit_path, TABLE_NAME)
             for rows in (arrived, src):
-                lake.build_lake([rows], lake_path, "tpep_pickup_datetime")
+                lake.build_lake([rows], lake_path, "tpep_pickup_datetime", rebalance=False)
                 incremental.load_partitions(self.spark, lake_path, raw_path, audit_path, TABLE_NAME, reload_changed=True)
                 summaries.refresh(self.spark, raw, sums)
             return raw, sums

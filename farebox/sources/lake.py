@@ -131,7 +131,7 @@ def compact_lake(spark: SparkSession, root: str, target_bytes: int = TARGET_FILE
 
 
 def build_lake(sources: Iterable[DataFrame], root: str, ts_col: str, cluster_by: str | None = None,
-               by: Sequence[str] = PARTITION_COLS) -> None:
+               by: Sequence[str] = PARTITION_COLS, rebalance: bool = True) -> None:
     """S-06 + U-02: full rebuild from all source files in ONE job, partitioned
     by the parts ``by`` of the timestamp (e.g. ``DAILY``).
 
@@ -139,6 +139,9 @@ def build_lake(sources: Iterable[DataFrame], root: str, ts_col: str, cluster_by:
     column and sorted by it (bounds are sampled), so that the statistics of
     files and row groups prune a filter on it within a month.
 
+    ``rebalance=False`` writes without a shuffle, for rows that are read from a
+    lake that is partitioned the same way.
+
     All sources are unioned by name (missing columns become NULL) and the
     whole lake is rewritten with a static overwrite, so re-running never
     duplicates rows. Sources that do not exist should be left out by the
@@ -152,7 +155,7 @@ def build_lake(sources: Iterable[DataFrame], root: str, ts_col: str, cluster_by:
     df = add_partition_columns(df.drop(*by), ts_col, by)
     if cluster_by:
         df = df.repartitionByRange(*by, cluster_by).sortWithinPartitions(*by, cluster_by)
-    else:
+    elif rebalance:
         df = df.hint("rebalance", *by)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "static")

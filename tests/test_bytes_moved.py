@@ -24,7 +24,9 @@ def counted_joins(monkeypatch):
     return joins
 
 
-@pytest.mark.parametrize("query", ["fct_incremental", "fct_incremental_upsert", "fct_incremental_mixed", "check_reconciliation", "check_model_keys"])
+@pytest.mark.parametrize("query", ["fct_incremental", "fct_incremental_upsert", "fct_incremental_mixed", "check_reconciliation",
+                                   "check_model_keys", "check_signature_drift", "check_audit_drift",
+                                   "incremental_reload_changed"])
 def test_the_tables_are_joined_once(spark, counted_joins, query):
     catalog.QUERIES[query](spark, SF_SMALL).collect()
     assert len(counted_joins) == 1
@@ -44,6 +46,20 @@ def test_orders_meet_their_customers_before_the_lines(spark):
     assert "o_custkey" in joins[-1] and "c_custkey" in joins[-1]   # the innermost one
 
 
+def test_rows_of_a_lake_are_written_anew_without_a_shuffle(spark, scratch, monkeypatch):
+    rows = spark.range(200).select((F.col("id") % 7).alias("v"), F.when(
+        F.col("id") % 9 > 0, F.timestamp_add("DAY", (F.col("id") % 90).cast("int"), F.lit("2024-01-01").cast("timestamp_ntz"))).alias("ts"))
+    first, second = scratch("lake"), scratch("lake")
+    lake.build_lake([rows], first, "ts")
+    hints = []
+    hint = type(rows).hint
+    monkeypatch.setattr(type(rows), "hint", lambda self, *a: hints.append(a) or hint(self, *a))
+    lake.build_lake([lake.read_lake(spark, first)], second, "ts", rebalance=False)
+    assert not hints
+    assert sorted(map(tuple, lake.read_lake(spark, second).collect()), key=str) == \
+        sorted(map(tuple, lake.read_lake(spark, first).collect()), key=str)
+
+
 def test_a_write_by_partition_does_not_sort(spark, scratch):
     spark.sql(f"CREATE TABLE unsorted_write (v BIGINT, year INT, month INT) USING parquet PARTITIONED BY (year, month) LOCATION '{scratch('t')}'")
     try:
@@ -76,3 +92,11 @@ def test_compaction_shuffles_the_rows_once(spark, scratch, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
     assert lake.read_lake(spark, root).count() == 100
+
+
+def test_the_grown_lake_is_the_only_one_built_for_it(spark, monkeypatch):
+    monkeypatch.setattr(catalog.Workspace, "_cache", {})
+    built, build = [], lake.build_lake
+    monkeypatch.setattr(lake, "build_lake", lambda rows, root, *a, **k: built.append(root) or build(rows, root, *a, **k))
+    catalog.QUERIES["lake_append_month"](spark, SF_SMALL).collect()
+    assert len(built) == 1
