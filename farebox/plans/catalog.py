@@ -152,19 +152,24 @@ class Workspace:
                           key=lambda p: p.rsplit("/", 1)[-1])
         return self._once("monthly_sources", build)
 
-    # lake built from all monthly sources but the last, which is appended
-    def lake_of_months(self) -> tuple[str, str, list[str]]:
+    # lake built from all monthly sources but the last (and one that is absent)
+    def lake_of_months(self, name: str = "lake_months") -> tuple[str, list[str]]:
         def build():
-            built, grown = f"{self.root}/lake_months", f"{self.root}/lake_grown"
+            path = f"{self.root}/{name}"
             sources = self.monthly_sources()
             absent = [f"{sources[0].rsplit('/', 1)[0]}/file_month=1901-01"]
             present, missing = lake.existing_sources(self.spark, absent + sources[:-1])
-            rows = read_aligned(self.spark, present)
-            lake.build_lake([rows], built, "tpep_pickup_datetime")
-            lake.build_lake([rows], grown, "tpep_pickup_datetime")
-            lake.append_to_lake(read_aligned(self.spark, sources[-1:]), grown, "tpep_pickup_datetime")
-            return built, grown, missing
-        return self._once("lake_of_months", build)
+            lake.build_lake([read_aligned(self.spark, present)], path, "tpep_pickup_datetime")
+            return path, missing
+        return self._once(name, build)
+
+    # another one like it, to which the last is appended
+    def lake_grown(self) -> str:
+        def build():
+            path, _ = self.lake_of_months("lake_to_grow")
+            lake.append_to_lake(read_aligned(self.spark, self.monthly_sources()[-1:]), path, "tpep_pickup_datetime")
+            return path
+        return self._once("lake_grown", build)
 
     # first load: the trips that had arrived; second: all of them. For the
     # upsert, the first load also holds wrong tips and trips that are later
@@ -342,14 +347,13 @@ def q_dataset_summary(spark, sf):
 
 def q_lake_from_monthly_files(spark, sf):
     _prep(spark)
-    built, _, missing = Workspace.of(spark, sf).lake_of_months()
+    built, missing = Workspace.of(spark, sf).lake_of_months()
     return profile.trips_by_month(lake.read_lake(spark, built)).withColumn("absent_sources", F.lit(len(missing)))
 
 
 def q_lake_append_month(spark, sf):
     _prep(spark)
-    _, grown, _ = Workspace.of(spark, sf).lake_of_months()
-    return profile.trips_by_month(lake.read_lake(spark, grown))
+    return profile.trips_by_month(lake.read_lake(spark, Workspace.of(spark, sf).lake_grown()))
 
 
 def _event_sources(sf):
