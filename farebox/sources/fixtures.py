@@ -69,8 +69,8 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Store the joined lines, for jobs that read the trips more than once: the
-    joins, and their shuffles, run once. The lines are a third as wide as the
-    trips (amounts are computed, fees are constants)."""
+    joins, and their shuffles, run once. The lines are narrower than the trips
+    (amounts are computed, fees are constants)."""
     trip_lines(spark, sf_dir).write.option("compression", "zstd").parquet(path)
 
 
