@@ -24,6 +24,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -39,24 +40,24 @@ COMMON = 16             # tokens of over one in so many of a shard's documents a
 SHARD_TOKENS = 1 << 20
 BUCKETS = 4096          # rows of the driver's table of shard sizes
 K1, B = 1.2, 0.75       # BM25
-KNOWN_WORDS = 200_000   # that a Python worker remembers, twice over
-CHUNK_TOKENS = 1 << 21
+KNOWN_WORDS = 200_000   # parts of words that a Python worker remembers, twice over
+CHUNK_BYTES = 1 << 23   # of text that are encoded at once
+CHUNK_TOKENS = 1 << 21  # whose documents are counted at once
 
 
 class WordIds(dict):
-    """Token ids of white-space-separated words, packed, by an exact reading
-    of a lower-casing BPE tokenizer with word ends.
-
-    White space separates pre-tokens and is dropped, so words are encoded one
-    by one and remembered. Words of printable characters below U+0300 are
-    in NFC; they are lower-cased and split here by the tokenizer's own
-    pattern. All others go through the tokenizer. Keys are words with A-Z in
-    lower case, which no id depends on.
+    """Token ids of the parts that a lower-casing BPE tokenizer with word ends
+    splits words into, packed, by an exact reading of it.
+
+    White space separates pre-tokens and is dropped, so the distinct words of
+    a chunk of texts are encoded, each once, and the parts that they share are
+    remembered. Words of printable characters below U+0300 are in NFC; they
+    are lower-cased and split here by the tokenizer's own pattern, all in one
+    pass. All others go through the tokenizer.
     """
 
-    # Fixed value: the pattern of the tokenizer's file.
-    PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    PLAIN = regex.compile("[!-~\u00a1-\u02ff]+")
+    # Fixed value: the pattern of the tokenizer's file; a line is a word.
+    PATTERN = regex.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
     def __init__(self, path: str):
         super().__init__()
@@ -65,8 +66,9 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.size = self.tokenizer.get_vocab_size()
-        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.older: dict[bytes, bytes] = {}
+        # the first number that is no id ends a word
+        self.dtype = np.dtype("<u2" if self.size < 1 << 16 else "<u4")
+        self.older: dict[str, bytes] = {}
         # Byte-level alphabet: printable bytes stand for themselves, the
         # others for the characters from 256 on.
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -76,38 +78,79 @@ class WordIds(dict):
     def pack(self, ids: list[int]) -> bytes:
         return array("H" if self.dtype.itemsize == 2 else "I", ids).tobytes()
 
-    def __missing__(self, word: bytes) -> bytes:
-        found = self.older.get(word)
+    def __missing__(self, part: str) -> bytes:
+        found = self.older.get(part)
         if found is None:
-            found = self.encode(word)
+            if part == "\n":
+                found = self.pack([self.size])
+            else:
+                spelt = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+                found = self.pack([t.id for t in self.merge(spelt)])
         if len(self) >= KNOWN_WORDS:
             self.older = dict(self)
             self.clear()
-        self[word] = found
+        self[part] = found
         return found
 
-    def encode(self, word: bytes) -> bytes:
-        if word.isalpha():  # of ASCII letters
-            return self.pack([t.id for t in self.merge(word.decode())])
-        stem = word.rstrip(b".,")
-        if stem and len(stem) < len(word) and stem.isalpha():
-            return self[stem] + self[word[len(stem):]]
-        text = word.decode("utf-8", "replace")
-        low = text.lower()
-        if not self.PLAIN.fullmatch(low):
-            return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def whole(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def of_words(self, words: pa.Array) -> pa.Array:
+        """The packed ids of distinct words, as large binary."""
+        if not len(words):
+            return pa.array([], pa.large_binary())
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), pa.scalar(b"\n", words.type))
+        lines = joined[0].as_py().decode("utf-8", "replace")
+        low = lines.lower()
+        points = np.frombuffer(low.encode("utf-32-le"), dtype="<u4")
+        plain = (points - 33 < 94) | (points - 0xA1 < 0x25F) | (points == 10)
+        odd = np.unique(np.cumsum(points == 10)[~plain]).tolist()
+        if odd:
+            lines, left = lines.split("\n"), low.split("\n")
+            for i in odd:
+                left[i] = ""
+            low = "\n".join(left)
         parts = self.PATTERN.findall(low)
-        if len(parts) > 1:
-            return b"".join([self[x.encode()] for x in parts])
-        spelt = "".join(map(self.letters.__getitem__, low.encode()))
-        return self.pack([t.id for t in self.merge(spelt)])
+        parts.append("\n")
+        ids = np.frombuffer(b"".join(map(self.__getitem__, parts)), dtype=self.dtype)
+        line_ends = ids == self.size
+        ends = np.flatnonzero(line_ends)
+        found = self.packed(ids[~line_ends], ends - np.arange(len(ends)))
+        if odd:
+            found = pa.concat_arrays([found, pa.array([self.whole(lines[i]) for i in odd], pa.large_binary())])
+            at = np.arange(len(words))
+            at[odd] = len(words) + np.arange(len(odd))
+            found = found.take(pa.array(at))
+        return found
+
+    def packed(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """``ids`` cut at ``ends``, as large binary."""
+        offsets = np.concatenate([[0], ends]).astype(np.int64) * self.dtype.itemsize
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends),
+                                                [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of whole texts, each with id 1 at its end, and their ends."""
+        special = pc.fill_null(pc.match_substring(texts, "<|"), False)  # tokens found before the split
+        rows = np.flatnonzero(special.to_numpy(zero_copy_only=False))
+        others = pa.array(np.arange(len(texts)), mask=special.to_numpy(zero_copy_only=False))
+        split = W.encode(texts.take(others))  # a copy, as Arrow misreads some slices; nulls have no words
+        # a text's last "word" is id 1, after all of a text with special tokens
+        end = self.pack([END_ID])
+        last = [end] + [self.whole(x.decode("utf-8", "replace")) + end
+                        for x in texts.take(pa.array(rows)).cast(pa.large_binary()).to_pylist()]
+        words = pa.concat_arrays([self.of_words(split.vocab), pa.array(last, pa.large_binary())])
+        closing = np.full(len(texts), len(split.vocab), dtype=np.int32)
+        closing[rows] += np.arange(1, len(last), dtype=np.int32)
+        ids = words.take(pa.array(np.insert(split.codes, split.bounds[1:], closing)))
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, dtype=np.int64)[split.bounds[1:] + np.arange(1, len(texts) + 1)]
+        return np.frombuffer(data, dtype=self.dtype, count=ends[-1] // self.dtype.itemsize), ends // self.dtype.itemsize
 
     def of_text(self, text: bytes) -> bytes:
         """The ids of a whole text."""
-        if b"<|" in text:  # special tokens are found before the split
-            return self.pack(self.tokenizer.encode(text.decode("utf-8", "replace"),
-                                                   add_special_tokens=False).ids)
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        ids, _ = self.of_texts(pa.array([text], pa.large_binary()).view(pa.large_string()))
+        return ids[:-1].tobytes()
 
 
 _OPEN: dict[str, WordIds] = {}
@@ -139,32 +182,35 @@ def _tokenize(path: str):
 
     def run(batches):
         known = word_ids(path)
-        end = known.pack([END_ID])
         df = np.zeros(known.size, dtype=np.int64)
         for batch in batches:
-            keys, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
-            texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-            a, out, held = 0, [], 0
-            for i, text in enumerate(texts):
-                out.append(known.of_text(text or b"") + end)
-                held += len(out[-1])
-                if held >= CHUNK_TOKENS * known.dtype.itemsize or i == len(texts) - 1:
-                    n = np.array([len(x) for x in out]) // known.dtype.itemsize
-                    flat = np.frombuffer(b"".join(out), dtype=known.dtype)
-                    pairs = np.repeat(np.arange(len(n), dtype=np.uint64) << np.uint64(32), n) | flat
-                    pairs.sort()
-                    new = np.ones(len(pairs), dtype=bool)
-                    new[1:] = pairs[1:] != pairs[:-1]
-                    df += np.bincount((pairs[new] & np.uint64(0xFFFFFFFF)).astype(np.int64),
-                                      minlength=len(df))
-                    rarest = np.maximum.reduceat(flat, np.cumsum(n) - n)
-                    k = len(out)
-                    yield _row_batch(keys[a:a + k], hashes[a:a + k], out, n, rarest, [None] * k, [None] * k)
-                    a, out, held = a + k, [], 0
+            keys, hashes = batch.column("doc_id"), batch.column("text_hash")
+            texts = batch.column("text").cast(pa.large_string())
+            for a, k in W.chunks(texts, CHUNK_BYTES):
+                flat, ends = known.of_texts(texts.slice(a, k))
+                n = np.diff(ends, prepend=0)
+                _count(df, flat, n)
+                yield _row_batch(keys.slice(a, k), hashes.slice(a, k), known.packed(flat, ends).cast(pa.binary()), n,
+                                 np.maximum.reduceat(flat, ends - n), [None] * k, [None] * k)
         yield counts(df)
     return run
 
 
+def _count(df: np.ndarray, flat: np.ndarray, n: np.ndarray) -> None:
+    """Add to ``df`` how many of the documents hold each token."""
+    ends = np.cumsum(n)
+    a = 0
+    while a < len(n):
+        base = ends[a] - n[a]
+        b = max(a + 1, int(np.searchsorted(ends, base + CHUNK_TOKENS, side="right")))
+        pairs = np.repeat(np.arange(b - a, dtype=np.uint64) << np.uint64(32), n[a:b]) | flat[base:ends[b - 1]]
+        pairs.sort()
+        new = np.ones(len(pairs), dtype=bool)
+        new[1:] = pairs[1:] != pairs[:-1]
+        df += np.bincount((pairs[new] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(df))
+        a = b
+
+
 def _row_batch(doc_id, text_hash, ids, n, rarest, token, df) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(doc_id, pa.int64()), pa.array(text_hash, pa.int64()), pa.array(ids, pa.binary()),

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -94,6 +95,37 @@ def test_word_ids_with_a_small_memory(monkeypatch, documents):
         assert got == known.tokenizer.encode(r["text"], add_special_tokens=False).ids
 
 
+def test_texts_are_encoded_together_each_word_once(monkeypatch):
+    """Texts of a chunk, also one that begins within a larger array, have the
+    tokenizer's ids; a word that they repeat reaches the tokenizer once."""
+    texts = ["Ab, ab <|endoftext|> x", None, "Σίσυφος Ab don't İx", "", " ", "ab AB, Σίσυφος é\xa0a 3½ don't", "<|x", "q\x1fr"]
+    known = packing.WordIds(WORDS)
+    want = [known.tokenizer.encode(t or "", add_special_tokens=False).ids + [packing.END_ID] for t in texts * 50]
+    array = pa.array(["cut off"] * 3 + texts * 50 + ["cut off"], pa.large_string()).slice(3, len(want))
+    whole, merged = [], []
+    monkeypatch.setattr(known, "whole", lambda t, own=known.whole: whole.append(t) or own(t))
+    monkeypatch.setattr(known, "merge", lambda t, own=known.merge: merged.append(t) or own(t))
+    flat, ends = known.of_texts(array)
+    assert [x.tolist() for x in np.split(flat, ends[:-1])] == want and ends[-1] == len(flat)
+    assert sorted(set(whole)) == sorted({texts[0], texts[6], "Σίσυφος", "İx", "q\x1fr", "é\xa0a"}) and len(whole) == 104
+    assert len(merged) == len(set(merged))
+    assert known.of_texts(array.slice(5, 1))[0].tolist() == want[5]
+
+
+def test_a_small_chunk_changes_nothing(monkeypatch, documents):
+    own = packing.pack_documents(documents, WORDS)
+    rows = sorted(map(tuple, own.collect()))
+    monkeypatch.setattr(packing, "CHUNK_BYTES", 5000)
+    monkeypatch.setattr(packing, "CHUNK_TOKENS", 700)
+    table = documents.select("doc_id", "text", F.lit(0).cast("long").alias("text_hash")).toArrow()
+    run = pa.Table.from_batches(packing._tokenize(WORDS)(table.to_batches()))
+    assert {i: len(x) // 2 for i, x in zip(run["doc_id"].to_pylist(), run["ids"].to_pylist()) if x} == {
+        r[0]: r[4] for r in rows}
+    held = [set(np.frombuffer(x, dtype="<u2").tolist()) for x in run["ids"].to_pylist() if x]
+    df = {t: n for t, n in zip(run["token"].to_pylist(), run["df"].to_pylist()) if n}
+    assert df == dict(collections.Counter(t for own in held for t in own))
+
+
 def check_packing(pieces, rows, window=2048):
     tokenizer = Tokenizer.from_file(WORDS)
     sequences, docs = collections.defaultdict(list), collections.defaultdict(list)
